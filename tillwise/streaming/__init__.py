@@ -1,0 +1 @@
+"""Empty on purpose: the retail workload is batch only and defines no streaming operator."""
