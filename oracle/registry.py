@@ -1,0 +1,457 @@
+"""Every operator bound to the benchmark tables, by query name."""
+
+from __future__ import annotations
+
+import threading
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from oracle.defects import CATEGORIES, PATTERNS, RAW, SUSPECT, messy_frame
+from tillwise import model
+from tillwise.catalog import ANALYSES
+from tillwise.functions.numeric import dbl, lng
+from tillwise.functions.relations import union_all
+from tillwise.functions.text import normalize_province, normalize_text
+from tillwise.model import RetailTables
+from tillwise.operators import cleaning, demand, sales, sampling, validation
+from tillwise.operators.frames import FRAMES
+from tillwise.plans import calendar, measures, report
+from tillwise.plans.suite import run_suite
+from tillwise.sources import files
+from tillwise.sources.staging import new_path, stage
+from tillwise.sources.star import benchmark_star
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+_LOCK = threading.RLock()
+_CLEANED: dict[tuple[str, str], dict[str, cleaning.Cleaned]] = {}
+
+
+def raw_table(t: RetailTables, name: str) -> DataFrame:
+    return messy_frame(t, RAW, name)
+
+
+def suspect_star(t: RetailTables) -> RetailTables:
+    lazy = {n: (lambda n=n: messy_frame(t, SUSPECT, n)) for n in model.TABLES}
+    return RetailTables(unknown_customer=0, **lazy)
+
+
+def cleaned(spark: SparkSession, sf_dir: str, name: str) -> cleaning.Cleaned:
+    """The cleaned messy table; checked rows are staged once, with the tables they need."""
+    t = benchmark_star(spark, sf_dir)
+    with _LOCK:
+        done = _CLEANED.setdefault((spark.sparkContext.applicationId, str(sf_dir)), {})
+        if name in done:
+            return done[name]
+
+        def rows(other: str) -> DataFrame:
+            return cleaned(spark, sf_dir, other).rows
+
+        raw = raw_table(t, name)
+        if name == "customers":
+            part = cleaning.clean_customers(raw, PATTERNS, keep=stage)
+            out = cleaning.Cleaned(
+                cleaning.append_unknown_member(part.rows),
+                part.counts.withColumn("rows_after", F.col("rows_after") + 1),
+            )
+        elif name == "products":
+            out = cleaning.clean_products(raw, PATTERNS, CATEGORIES, keep=stage)
+        elif name == "stores":
+            out = cleaning.clean_stores(raw, PATTERNS, keep=stage)
+        elif name == "sales":
+            out = cleaning.clean_sales(
+                raw, rows("customers"), rows("products"), rows("stores"), PATTERNS, keep=stage
+            )
+        elif name == "inventory":
+            out = cleaning.clean_inventory(raw, rows("products"), rows("stores"), keep=stage)
+        else:
+            out = cleaning.clean_returns(raw, rows("sales"), PATTERNS, keep=stage)
+        done[name] = out
+        return out
+
+
+def _plain_money(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, so both engines hand over the same type."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    return df.select(*[dbl(c).alias(c) if kinds[c] == "decimal" else F.col(c) for c in df.columns])
+
+
+def _on_star(op, **params) -> Query:
+    return lambda spark, sf_dir: op(benchmark_star(spark, sf_dir), **params)
+
+
+def _counts(t: RetailTables) -> DataFrame:
+    return ANALYSES["table_row_counts"](t)
+
+
+# ------------------------------------------------------------------ cleaning
+
+
+def _clean(name: str) -> Query:
+    return lambda spark, sf_dir: _plain_money(cleaned(spark, sf_dir, name).rows)
+
+
+def _typed_sales(t: RetailTables) -> DataFrame:
+    """First messy sales line per key, normalised and typed."""
+    first = cleaning.dedupe_by_key(raw_table(t, "sales"), ["order_id", "product_id"])
+    ids = ("order_id", "customer_id", "store_id", "product_id")
+    typed = first.withColumns({c: normalize_text(c, upper=True) for c in ids})
+    return cleaning.coerce_numeric(
+        cleaning.coerce_date(typed, "order_date"),
+        {"quantity": "double", "unit_price": "decimal(20,8)", "discount_pct": "decimal(20,10)"},
+    )
+
+
+def _impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = _typed_sales(benchmark_star(spark, sf_dir))
+    products = cleaned(spark, sf_dir, "products").rows
+    filled = cleaning.impute_from_dim(typed, products, "product_id", "unit_price")
+    return filled.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("row_count"), dbl(F.sum("unit_price")).alias("price_sum")
+    )
+
+
+def _map_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = _typed_sales(benchmark_star(spark, sf_dir))
+    customers = cleaned(spark, sf_dir, "customers").rows
+    mapped = cleaning.map_unknown_member(typed, customers, "customer_id", model.UNKNOWN_CUSTOMER)
+    return mapped.groupBy("customer_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _append_unknown(t: RetailTables) -> DataFrame:
+    members = cleaning.append_unknown_member(raw_table(t, "customers"))
+    return members.groupBy("customer_name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _derive(t: RetailTables) -> DataFrame:
+    lines = t.sales.drop("gross_revenue", "net_revenue", "cost", "profit")
+    return cleaning.derive_measures(lines).select(
+        "order_id",
+        "product_id",
+        *[dbl(c).alias(c) for c in ("gross_revenue", "net_revenue", "cost", "profit")],
+    )
+
+
+def _repair(t: RetailTables) -> DataFrame:
+    first = cleaning.dedupe_by_key(raw_table(t, "inventory"), model.PRIMARY_KEYS["inventory"])
+    typed = cleaning.coerce_numeric(first, {c: "double" for c in model.STOCK_COLUMNS})
+    repaired = cleaning.repair_balance(typed, "fixed")
+    return repaired.groupBy(normalize_text("store_id", upper=True).alias("store_id")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if("fixed").alias("repaired"),
+        lng(F.sum("closing_stock")).alias("closing_stock"),
+    )
+
+
+def _filter_valid(t: RetailTables) -> DataFrame:
+    rules = [F.col("quantity") > 0, F.col("discount_pct").between(0, 1)]
+    kept = cleaning.filter_valid(_typed_sales(t), rules)
+    return kept.groupBy("product_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _match_returns(t: RetailTables) -> DataFrame:
+    matched = cleaning.match_returns(suspect_star(t).returns, t.sales)
+    return matched.select("return_id", "order_id", "product_id")
+
+
+def _distinct_rows(t: RetailTables) -> DataFrame:
+    distinct = cleaning.drop_exact_duplicates(raw_table(t, "sales"))
+    return distinct.groupBy("product_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _counted(df: DataFrame, *columns) -> DataFrame:
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _coerce_date(t: RetailTables) -> DataFrame:
+    return _counted(cleaning.coerce_date(raw_table(t, "sales"), "order_date"), "order_date")
+
+
+def _coerce_numeric(t: RetailTables) -> DataFrame:
+    raw = raw_table(t, "sales").withColumn("raw_quantity", F.col("quantity"))
+    return _counted(cleaning.coerce_numeric(raw, {"quantity": "double"}), "raw_quantity", "quantity")
+
+
+def _fill_default(t: RetailTables) -> DataFrame:
+    supplier = F.lit(model.DEFAULTS["supplier"])
+    return _counted(cleaning.fill_default(raw_table(t, "products"), {"supplier": supplier}), "supplier")
+
+
+def _domain_default(t: RetailTables) -> DataFrame:
+    kept = cleaning.domain_default(
+        normalize_text("customer_segment", title=True), model.SEGMENTS, model.DEFAULTS["segment"]
+    )
+    return _counted(
+        raw_table(t, "customers"),
+        F.col("customer_segment").alias("raw_segment"),
+        kept.alias("customer_segment"),
+    )
+
+
+def _normalize_text(t: RetailTables) -> DataFrame:
+    return raw_table(t, "customers").select(
+        F.col("customer_id").alias("raw_id"),
+        normalize_text("customer_id", upper=True).alias("customer_id"),
+        normalize_text("customer_name", title=True).alias("customer_name"),
+        normalize_text("city", title=True).alias("city"),
+    )
+
+
+def _normalize_province(t: RetailTables) -> DataFrame:
+    return _counted(
+        raw_table(t, "customers"),
+        F.col("province").alias("raw_province"),
+        normalize_province("province").alias("province"),
+    )
+
+
+def _dedupe(t: RetailTables) -> DataFrame:
+    first = cleaning.dedupe_by_key(raw_table(t, "sales"), ["order_id", "product_id"])
+    return first.select("order_id", "product_id", "quantity")
+
+
+def _clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts(cleaning.cleaned_tables({n: cleaned(spark, sf_dir, n) for n in model.TABLES}))
+
+
+def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.cleaning_summary({n: cleaned(spark, sf_dir, n) for n in model.TABLES})
+
+
+def cleaning_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {f"clean_{name}": _clean(name) for name in model.TABLES}
+    out["clean_all"] = _clean_all
+    out["cleaning_summary"] = _summary
+    out["impute_from_dim"] = _impute
+    out["map_unknown_member"] = _map_unknown
+    on_star = {
+        "count_missing": lambda t: cleaning.count_missing(raw_table(t, "sales")),
+        "drop_exact_duplicates": _distinct_rows,
+        "dedupe_by_key": _dedupe,
+        "normalize_text": _normalize_text,
+        "normalize_province": _normalize_province,
+        "coerce_date": _coerce_date,
+        "coerce_numeric": _coerce_numeric,
+        "fill_default": _fill_default,
+        "domain_default": _domain_default,
+        "append_unknown_member": _append_unknown,
+        "derive_measures": _derive,
+        "repair_balance": _repair,
+        "filter_valid": _filter_valid,
+        "match_returns": _match_returns,
+    }
+    out.update({name: _on_star(op) for name, op in on_star.items()})
+    return out
+
+
+# ---------------------------------------------------------------- validation
+
+
+def validation_queries() -> dict[str, Query]:
+    v = validation
+
+    def primary_keys(s: RetailTables) -> DataFrame:
+        return union_all([v.check_primary_key(s.table(n), n) for n in model.TABLES])
+
+    on_suspect = {
+        "check_not_null": lambda s: v.check_not_null(s.customers, "customers"),
+        "check_primary_key": primary_keys,
+        "check_ranges": v.check_ranges,
+        "check_foreign_key": v.check_foreign_keys,
+        "check_composite_foreign_key": v.check_composite_foreign_key,
+        "check_derived_measures": v.check_derived_measures,
+        "check_inventory_balance": v.check_inventory_balance,
+        "check_returns_vs_sales": v.check_returns_vs_sales,
+        "check_dates": v.check_dates,
+        "check_declared_constraints": v.check_declared_constraints,
+        "foreign_key_report": v.foreign_key_report,
+        "validate_all": v.validate_all,
+    }
+    out: dict[str, Query] = {
+        name: _on_star(lambda t, op=op: op(suspect_star(t))) for name, op in on_suspect.items()
+    }
+    out["validate_all_clean"] = _on_star(v.validate_all)
+    out["reconcile_row_counts"] = _on_star(lambda t: v.reconcile_row_counts(t, suspect_star(t)))
+    out["reconcile_totals"] = _on_star(v.reconcile_totals)
+    return out
+
+
+# ------------------------------------------------- measures, report and demand
+
+SLICE = {"date_from": "1997-03-15", "date_to": "1999-10-20", "province": "EUROPE"}
+
+
+def _slice(t: RetailTables) -> DataFrame:
+    picked = report.slice_star(t, **SLICE, category="PROMO", customer_segment="BUILDING")
+    return report.slice_totals(picked)
+
+
+def _slice_by_category(t: RetailTables) -> DataFrame:
+    by = measures.measure_by(report.slice_star(t, **SLICE), ["total_revenue", "orders"], ["category"])
+    return by.withColumnRenamed("total_revenue", "revenue")
+
+
+def _returned_by_store(t: RetailTables) -> DataFrame:
+    enriched = t.replace(returns=report.enrich_returns(t))
+    return measures.measure_by(enriched, ["returned_units"], ["province", "customer_segment"])
+
+
+def _densify(t: RetailTables) -> DataFrame:
+    described = t.sales.join(t.products.select("product_id", "category"), "product_id")
+    keys = ("store_id", "category")
+    return demand.densify_grid(demand.monthly_demand(t.replace(sales=described), keys), keys)
+
+
+def measure_queries() -> dict[str, Query]:
+    hidden = {"cost_of_goods_sold", "discount_sum", "sales_lines"}
+    out = {
+        f"measure_{name}": _on_star(measures.measure_by, names=[name], dims=["year", "category"])
+        for name in measures.MEASURES
+        if name not in hidden
+    }
+    for name in measures.TIME_MEASURES:
+        out[f"measure_{name}"] = _on_star(measures.time_measure, name=name, by=["category"])
+    out["measure_by_company"] = _on_star(
+        measures.measure_by,
+        names=["total_revenue", "orders", "return_rate", "stockout_rate", "repeat_customers"],
+    )
+    out["measure_by_segment_province"] = _on_star(
+        measures.measure_by,
+        names=["total_revenue", "customers", "returned_units"],
+        dims=["customer_segment", "province"],
+    )
+    out["measure_by_province_stock_and_sales"] = _on_star(
+        measures.measure_by, names=["profit_margin", "stockout_rate"], dims=["province"]
+    )
+    return out
+
+
+def report_queries() -> dict[str, Query]:
+    on_star = {
+        "date_dimension": calendar.date_dimension,
+        "slice": _slice,
+        "slice_executive_kpis": _slice_by_category,
+        "enrich_returns": report.enrich_returns,
+        "enrichment_check": report.enrichment_check,
+        "returned_units_by_store": _returned_by_store,
+        "monthly_revenue_profit": report.monthly_revenue_profit,
+        "revenue_by_category": report.revenue_by_category,
+        "revenue_by_store": report.revenue_by_store,
+        "product_ranking": report.product_ranking,
+        "margin_by_category": report.margin_by_category,
+        "discount_vs_margin": report.discount_vs_margin,
+        "closing_value_by_category": report.closing_value_by_category,
+        "stockout_matrix": lambda t: report.stockout_matrix(t, PART_TYPES),
+        "customers_by_segment": report.customers_by_segment,
+        "monthly_demand": demand.monthly_demand,
+        "densify_grid": _densify,
+        "inventory_rollforward": lambda t: demand.inventory_rollforward(t.inventory),
+        "sample_rows": lambda t: sampling.sample_rows(t.products, 100, ["product_id"]).select(
+            "product_id", "product_name"
+        ),
+        "weighted_sample": lambda t: sampling.weighted_sample(
+            t.products, 100, "unit_price", ["product_id"], seed=7
+        ).select("product_id", "product_name"),
+        "run_suite": run_suite,
+    }
+    return {name: _on_star(op) for name, op in on_star.items()}
+
+
+# --------------------------------------------------------------- round trips
+
+
+def _read_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = benchmark_star(spark, sf_dir)
+    path = new_path(spark, "raw_csv")
+    files.write_raw({n: raw_table(t, n) for n in model.TABLES}, path)
+    tables = files.read_raw(spark, path)
+    return union_all(
+        [
+            df.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.countDistinct(model.PRIMARY_KEYS[n][0]).alias("first_key_values"),
+            ).select(F.lit(n).alias("table_name"), "row_count", "first_key_values")
+            for n, df in tables.items()
+        ]
+    )
+
+
+def _round_trip(spark: SparkSession, sf_dir: str) -> RetailTables:
+    t = benchmark_star(spark, sf_dir)
+    path = new_path(spark, "cleaned")
+    files.write_cleaned(t, path)
+    return files.read_cleaned(spark, path, files.cleaned_schemas(t), unknown_customer=0)
+
+
+def _read_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_trip(spark, sf_dir).sales.groupBy("month").agg(
+        F.count(F.lit(1)).alias("row_count"), dbl(F.sum("net_revenue")).alias("revenue")
+    )
+
+
+def _write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "cleaning_summary")
+    files.write_cleaning_summary(_summary(spark, sf_dir), path)
+    return files.read_cleaning_summary(spark, path)
+
+
+def _load(t: RetailTables) -> DataFrame:
+    frames = {n: t.table(n) for n in model.TABLES}
+    return _counts(files.load_tables(frames, files.cleaned_schemas(t), prefix="retail_"))
+
+
+def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "export")
+    name = "monthly_revenue_profit"
+    files.export_results({name: report.monthly_revenue_profit(benchmark_star(spark, sf_dir))}, path)
+    return spark.read.parquet(f"{path}/{name}")
+
+
+def _verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = benchmark_star(spark, sf_dir)
+    names = ("frame_monthly", "frame_stores", "frame_returns_reason", "executive_kpis")
+    path = new_path(spark, "export")
+    files.export_results({n: FRAMES[n](t) for n in names}, path)
+    return files.verify_export(spark, path, names)
+
+
+def file_queries() -> dict[str, Query]:
+    return {
+        "read_raw": _read_raw,
+        "write_cleaned": lambda spark, sf_dir: _counts(_round_trip(spark, sf_dir)),
+        "read_cleaned": _read_cleaned,
+        "write_cleaning_summary": _write_summary,
+        "load_tables": _on_star(_load),
+        "export_results": _export,
+        "verify_export": _verify,
+    }
+
+
+def star_queries() -> dict[str, Query]:
+    names = ("products", "customers", "stores", "inventory", "returns")
+    return {
+        f"star_{n}": _on_star(lambda t, n=n: _plain_money(t.table(n))) for n in names
+    }
+
+
+def all_queries() -> dict[str, Query]:
+    out = {name: _on_star(op) for name, op in ANALYSES.items()}
+    # The benchmark discounts end at 10%, so the default edges would leave bands empty.
+    out["discount_bands"] = _on_star(sales.discount_bands, edges=(0, 0.03, 0.07))
+    out["month_over_month_calendar"] = _on_star(sales.month_over_month, calendar=True)
+    out["year_over_year_calendar"] = _on_star(sales.year_over_year, calendar=True)
+    out.update({name: _on_star(op) for name, op in FRAMES.items()})
+    for group in (
+        star_queries,
+        measure_queries,
+        report_queries,
+        cleaning_queries,
+        validation_queries,
+        file_queries,
+    ):
+        out.update(group())
+    return out

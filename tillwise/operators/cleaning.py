@@ -2,7 +2,7 @@
 
 Every ``clean_*`` returns a :class:`Cleaned` with two lazy frames: ``rows``, the valid
 rows, and ``counts``, the one-row cleaning report. Both derive from the same checked
-table, which a ``keep(name, df)`` callback may write out (``sources.staging.stage``) so
+table, which a ``keep(df, name)`` callback may write out (``sources.staging.stage``) so
 that it is computed once however many consumers follow.
 """
 
@@ -23,10 +23,10 @@ from tillwise.functions.text import full_match, normalize_province, normalize_te
 
 _VALID = "__valid"
 
-Keep = Callable[[str, DataFrame], DataFrame]
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def _as_is(name: str, df: DataFrame) -> DataFrame:
+def _as_is(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
@@ -220,7 +220,7 @@ def _cleaned(
     ``checked`` has one row per raw key, so key duplicates are the distinct raw rows
     beyond those. ``extras`` maps report names to boolean columns counted on it.
     """
-    checked = keep(table, checked)
+    checked = keep(checked, table)
     schema = model.CLEAN_SCHEMAS[table]
     rows = finish(checked.filter(F.col(_VALID))).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
