@@ -41,13 +41,24 @@ def growth_pct(now: Column | str, before: Column | str) -> Column:
     return pct(_col(now) - _col(before), before)
 
 
+def money_sum(c: Column | str) -> Column:
+    """Exact sum of a money column (two decimals, at most 15 digits).
+
+    Adds whole cents as BIGINT: the double of such an amount is within a fraction of a
+    cent, so rounding it is exact, and a BIGINT accumulator is about twice as fast and
+    half as wide in the shuffle as the DECIMAL one. Overflow raises; it cannot wrap.
+    """
+    cents = F.sum(F.rint(dbl(c) * 100).cast("long"))
+    return cents.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")
+
+
 def mean(c: Column | str) -> Column:
     """Mean of an exact (integer or decimal) column: one exact sum, one division."""
     return F.try_divide(F.sum(_col(c)).cast("double"), F.count(_col(c)))
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
+def money_mean(c: Column | str) -> Column:
+    return F.try_divide(dbl(money_sum(c)), F.count(_col(c)))
 
 
 def close_to(a: Column, b: Column, atol: float = 1e-8, rtol: float = 1e-5) -> Column:

@@ -11,7 +11,7 @@ TABLES = ("customers", "products", "stores", "sales", "inventory", "returns")
 
 PRICE = T.DecimalType(12, 2)
 MONEY = T.DecimalType(14, 2)
-RATE = T.DecimalType(9, 6)
+RATE = T.DecimalType(8, 6)
 
 
 def _schema(**columns: T.DataType) -> T.StructType:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import month_key
-from tillwise.functions.numeric import dbl, lng, mean, pct, ratio, round2
+from tillwise.functions.numeric import dbl, lng, mean, money_mean, money_sum, pct, ratio, round2
 from tillwise.model import RetailTables
 
 
@@ -20,7 +20,7 @@ def known_sales(t: RetailTables) -> DataFrame:
 
 def _spend(t: RetailTables) -> DataFrame:
     return known_sales(t).groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("orders"), F.sum("net_revenue").alias("spend")
+        F.countDistinct("order_id").alias("orders"), money_sum("net_revenue").alias("spend")
     )
 
 
@@ -28,7 +28,7 @@ def customer_summary(t: RetailTables) -> DataFrame:
     """Customers, mean spend, mean orders, share with two or more orders."""
     return _spend(t).agg(
         F.count(F.lit(1)).alias("unique_customers"),
-        round2(mean("spend")).alias("average_spend_per_customer"),
+        round2(money_mean("spend")).alias("average_spend_per_customer"),
         round2(mean("orders")).alias("average_orders_per_customer"),
         pct(F.count_if(F.col("orders") >= 2), F.count(F.lit(1))).alias("repeat_customer_rate_pct"),
     )
@@ -38,7 +38,7 @@ def customer_frequency_value(t: RetailTables) -> DataFrame:
     """Frequency, spend, average order value and order span of each customer."""
     per_customer = known_sales(t).groupBy("customer_id").agg(
         F.countDistinct("order_id").alias("purchase_frequency"),
-        F.sum("net_revenue").alias("spend"),
+        money_sum("net_revenue").alias("spend"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("latest_order_date"),
     )
@@ -62,8 +62,8 @@ def customer_frequency_value(t: RetailTables) -> DataFrame:
 def top_customers(t: RetailTables, n: int = 20) -> DataFrame:
     per_customer = known_sales(t).groupBy("customer_id").agg(
         F.countDistinct("order_id").alias("orders"),
-        F.sum("net_revenue").alias("spend"),
-        F.sum("profit").alias("profit"),
+        money_sum("net_revenue").alias("spend"),
+        money_sum("profit").alias("profit"),
     )
     who = t.customers.select("customer_id", "customer_name", "city", "province")
     return (
@@ -85,7 +85,7 @@ def top_customers(t: RetailTables, n: int = 20) -> DataFrame:
 def customer_value_segments(t: RetailTables, high: float = 2.0) -> DataFrame:
     """High Value from ``high`` times the mean spend, Core from the mean, else Occasional."""
     spend = _spend(t).join(t.customers.select("customer_id", "customer_name"), "customer_id")
-    average = spend.agg(mean("spend")).scalar()
+    average = spend.agg(money_mean("spend")).scalar()
     return (
         spend.withColumn("average", average)
         .orderBy(F.desc("spend"), "customer_id")
@@ -149,7 +149,7 @@ def rfm_segments(
     per_customer = known_sales(t).groupBy("customer_id").agg(
         F.max("order_date").alias("last_date"),
         F.countDistinct("order_id").alias("frequency"),
-        F.sum("net_revenue").alias("value"),
+        money_sum("net_revenue").alias("value"),
     )
     aged = per_customer.withColumn("recency_days", lng(F.datediff(as_of, F.col("last_date"))))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import with_month
-from tillwise.functions.numeric import dbl, mean, ratio, ratio_or_zero
+from tillwise.functions.numeric import dbl, mean, money_sum, ratio, ratio_or_zero
 from tillwise.functions.relations import checked_lookup, side_by_side
 from tillwise.model import RetailTables
 from tillwise.operators.customers import known_sales
@@ -24,8 +24,8 @@ def _described(df: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> D
 
 def frame_monthly(t: RetailTables) -> DataFrame:
     monthly = with_month(t.sales, "order_date").groupBy("month").agg(
-        F.sum("net_revenue").alias("rev"),
-        F.sum("profit").alias("prof"),
+        money_sum("net_revenue").alias("rev"),
+        money_sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"),
         F.sum("quantity").alias("units_sold"),
     )
@@ -43,8 +43,8 @@ def frame_monthly(t: RetailTables) -> DataFrame:
 
 def frame_stores(t: RetailTables) -> DataFrame:
     totals = t.sales.groupBy("store_id").agg(
-        F.sum("net_revenue").alias("rev"),
-        F.sum("profit").alias("prof"),
+        money_sum("net_revenue").alias("rev"),
+        money_sum("profit").alias("prof"),
         F.countDistinct("order_id").alias("orders"),
         F.sum("quantity").alias("units_sold"),
     )
@@ -69,8 +69,8 @@ def frame_stores(t: RetailTables) -> DataFrame:
 
 def frame_products(t: RetailTables) -> DataFrame:
     totals = t.sales.groupBy("product_id").agg(
-        F.sum("net_revenue").alias("rev"),
-        F.sum("profit").alias("prof"),
+        money_sum("net_revenue").alias("rev"),
+        money_sum("profit").alias("prof"),
         F.sum("quantity").alias("units_sold"),
         F.count(F.lit(1)).alias("sales_lines"),
         mean("discount_pct").alias("average_discount"),
@@ -96,8 +96,8 @@ def frame_products(t: RetailTables) -> DataFrame:
 def frame_customers(t: RetailTables) -> DataFrame:
     totals = known_sales(t).groupBy("customer_id").agg(
         F.countDistinct("order_id").alias("orders"),
-        F.sum("net_revenue").alias("spend"),
-        F.sum("profit").alias("prof"),
+        money_sum("net_revenue").alias("spend"),
+        money_sum("profit").alias("prof"),
         F.min("order_date").alias("first"),
         F.max("order_date").alias("latest"),
     )
@@ -177,21 +177,20 @@ def frame_returns_reason(t: RetailTables) -> DataFrame:
 def executive_kpis(t: RetailTables) -> DataFrame:
     """The ten headline numbers as (metric, value); ratios are 0 on a zero denominator."""
     sold = t.sales.agg(
-        F.sum("net_revenue").alias("revenue"),
-        F.sum("profit").alias("profit"),
-        F.sum("cost").alias("cost"),
+        money_sum("net_revenue").alias("revenue"),
+        money_sum("profit").alias("profit"),
+        money_sum("cost").alias("cost"),
         F.sum("quantity").alias("units"),
-        F.countDistinct("order_id").alias("orders"),
-        F.countDistinct(
-            F.when(F.col("customer_id") != F.lit(t.unknown_customer), F.col("customer_id"))
-        ).alias("customers"),
     )
+    # One distinct count per aggregation: together they would multiply the fact rows.
+    orders = t.sales.agg(F.countDistinct("order_id").alias("orders"))
+    customers = known_sales(t).agg(F.countDistinct("customer_id").alias("customers"))
     stock = t.inventory.agg(
         F.count_if(F.col("closing_stock") == 0).alias("out"), F.count(F.lit(1)).alias("seen")
     )
     value = inventory_value(t, "date").agg(mean("inventory_value").alias("stock_value"))
     returned = t.returns.agg(F.sum("quantity_returned").alias("returned"))
-    one = side_by_side(sold, stock, value, returned)
+    one = side_by_side(sold, orders, customers, stock, value, returned)
     kpis = one.select(
         dbl("revenue").alias("Total Revenue"),
         dbl("profit").alias("Gross Profit"),

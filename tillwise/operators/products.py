@@ -10,16 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.numeric import dbl, pct, ratio, round2
+from tillwise.functions.numeric import dbl, money_sum, pct, ratio, round2
 from tillwise.model import RetailTables
 from tillwise.plans.ordered import with_order_stats
 
+MONEY_COLUMNS = ("gross_revenue", "net_revenue", "cost", "profit")
 NAMES = ("product_id", "product_name", "category")
 
 
 def product_totals(t: RetailTables, **sums: str) -> DataFrame:
     """Exact sums per product: ``product_totals(t, revenue="net_revenue")``."""
-    return t.sales.groupBy("product_id").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    return t.sales.groupBy("product_id").agg(
+        *[(money_sum(c) if c in MONEY_COLUMNS else F.sum(c)).alias(n) for n, c in sums.items()]
+    )
 
 
 def _named(t: RetailTables, totals: DataFrame, *columns: str) -> DataFrame:

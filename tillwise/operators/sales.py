@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import shift_month, with_month
-from tillwise.functions.numeric import dbl, growth_pct, lng, mean, pct, round2
+from tillwise.functions.numeric import dbl, growth_pct, lng, mean, money_mean, money_sum, pct, round2
 from tillwise.model import RetailTables
 
 
 def monthly_revenue(t: RetailTables) -> DataFrame:
     """(month, revenue) as an exact decimal."""
     return with_month(t.sales, "order_date").groupBy("month").agg(
-        F.sum("net_revenue").alias("revenue")
+        money_sum("net_revenue").alias("revenue")
     )
 
 
@@ -29,8 +29,8 @@ def monthly_sales(t: RetailTables) -> DataFrame:
         with_month(t.sales, "order_date")
         .groupBy("month")
         .agg(
-            dbl(F.sum("net_revenue")).alias("revenue"),
-            dbl(F.sum("profit")).alias("profit"),
+            dbl(money_sum("net_revenue")).alias("revenue"),
+            dbl(money_sum("profit")).alias("profit"),
             F.countDistinct("order_id").alias("orders"),
             F.sum("quantity").alias("units_sold"),
         )
@@ -64,7 +64,7 @@ def calendar_month_strength(t: RetailTables) -> DataFrame:
     return (
         t.sales.groupBy(F.month("order_date").alias("m"), F.date_format("order_date", "MMMM").alias("month_name"))
         .agg(
-            dbl(F.sum("net_revenue")).alias("revenue"),
+            dbl(money_sum("net_revenue")).alias("revenue"),
             F.countDistinct("order_id").alias("orders"),
         )
         .select(lng("m").alias("month_number"), "month_name", "revenue", "orders")
@@ -91,9 +91,9 @@ def discount_bands(t: RetailTables, edges: Sequence[float] = (0, 0.10, 0.20)) ->
         .agg(
             F.count(F.lit(1)).alias("sales_lines"),
             round2(mean("discount_pct") * 100).alias("average_discount_pct"),
-            dbl(F.sum("net_revenue")).alias("revenue"),
-            dbl(F.sum("profit")).alias("profit"),
-            pct(F.sum("profit"), F.sum("net_revenue")).alias("profit_margin_pct"),
+            dbl(money_sum("net_revenue")).alias("revenue"),
+            dbl(money_sum("profit")).alias("profit"),
+            pct(money_sum("profit"), money_sum("net_revenue")).alias("profit_margin_pct"),
         )
         .orderBy("average_discount_pct")
     )
@@ -118,14 +118,14 @@ def basket_size(t: RetailTables) -> DataFrame:
     baskets = t.sales.groupBy("order_id", "order_date").agg(
         F.sum("quantity").alias("units"),
         F.count(F.lit(1)).alias("product_lines"),
-        F.sum("net_revenue").alias("value"),
+        money_sum("net_revenue").alias("value"),
     )
     return (
         baskets.groupBy("product_lines")
         .agg(
             F.count(F.lit(1)).alias("orders"),
             round2(mean("units")).alias("average_units"),
-            round2(mean("value")).alias("average_order_value"),
+            round2(money_mean("value")).alias("average_order_value"),
         )
         .orderBy("product_lines")
     )

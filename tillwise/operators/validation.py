@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.functions.dates import to_date
-from tillwise.functions.numeric import close_to
+from tillwise.functions.numeric import close_to, dbl, money_sum
 from tillwise.functions.relations import union_all
 from tillwise.model import RetailTables
 
@@ -238,24 +238,27 @@ def reconcile_row_counts(source: RetailTables, loaded: RetailTables) -> DataFram
 def reconcile_totals(t: RetailTables) -> DataFrame:
     """Company totals from the sales lines against the same totals via two dimensions."""
 
-    def totals(df: DataFrame, path: str) -> DataFrame:
-        return df.agg(
-            F.sum("net_revenue").cast("double").alias("revenue"),
-            F.sum("profit").cast("double").alias("profit"),
-            F.sum("quantity").alias("units_sold"),
-        ).select(F.lit(path).alias("path"), "revenue", "profit", "units_sold")
+    sums = {
+        "revenue": money_sum("net_revenue"),
+        "profit": money_sum("profit"),
+        "units_sold": F.sum("quantity"),
+    }
+    named = [c.alias(n) for n, c in sums.items()]
 
-    def via(dim: DataFrame, key: str) -> DataFrame:
-        sums = t.sales.groupBy(key).agg(
-            *[F.sum(c).alias(c) for c in ("net_revenue", "profit", "quantity")]
+    def report(totals: DataFrame, path: str) -> DataFrame:
+        return totals.select(
+            F.lit(path).alias("path"), dbl("revenue").alias("revenue"), dbl("profit").alias("profit"), "units_sold"
         )
-        return sums.join(dim.select(key), key)
+
+    def via(dim: DataFrame, key: str) -> DataFrame:
+        per_key = t.sales.groupBy(key).agg(*named).join(dim.select(key), key)
+        return per_key.agg(*[F.sum(n).alias(n) for n in sums])
 
     return union_all(
         [
-            totals(t.sales, "sales"),
-            totals(via(t.products, "product_id"), "products"),
-            totals(via(t.stores, "store_id"), "stores"),
+            report(t.sales.agg(*named), "sales"),
+            report(via(t.products, "product_id"), "products"),
+            report(via(t.stores, "store_id"), "stores"),
         ]
     )
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import month_key
-from tillwise.functions.numeric import dbl, lng, ratio
+from tillwise.functions.numeric import dbl, lng, money_sum, ratio
 from tillwise.functions.relations import side_by_side
 from tillwise.model import RetailTables
 from tillwise.plans.calendar import calendar_lag, growth, year_to_date
@@ -46,7 +46,11 @@ class Additive:
     fact: str
     source: Callable[[], Column]
     weight: str | None = None
-    money: bool = False
+    money: bool = False  # report as double
+    cents: bool = False  # a two-decimal column
+
+    def total(self) -> Column:
+        return money_sum(self.source()) if self.cents else F.sum(self.source())
 
 
 @dataclass(frozen=True)
@@ -94,8 +98,8 @@ def _known_customer(unknown: object) -> Column:
 
 
 MEASURES: dict[str, Additive | Distinct | Nested | Ratio] = {
-    "total_revenue": Additive("sales", lambda: F.col("net_revenue"), money=True),
-    "total_profit": Additive("sales", lambda: F.col("profit"), money=True),
+    "total_revenue": Additive("sales", lambda: F.col("net_revenue"), money=True, cents=True),
+    "total_profit": Additive("sales", lambda: F.col("profit"), money=True, cents=True),
     "profit_margin": Ratio("total_profit", "total_revenue"),
     "orders": Distinct(lambda unknown: F.col("order_id")),
     "units_sold": Additive("sales", lambda: F.col("quantity")),
@@ -117,7 +121,7 @@ MEASURES: dict[str, Additive | Distinct | Nested | Ratio] = {
     "repeat_customers": Nested("sales", _repeat_customers),
     "repeat_customer_rate": Ratio("repeat_customers", "customers"),
     # parts of ratios above
-    "cost_of_goods_sold": Additive("sales", lambda: F.col("cost"), money=True),
+    "cost_of_goods_sold": Additive("sales", lambda: F.col("cost"), money=True, cents=True),
     "discount_sum": Additive("sales", lambda: F.col("discount_pct"), money=True),
     "sales_lines": Additive("sales", lambda: F.lit(1)),
 }
@@ -165,7 +169,7 @@ def _additive(
     keys = [key for table, key in KEYS.items() if table in tables]
     dates = [d for d in dims if d == "__month" or ATTRIBUTES[d] == "date"]
     sums = _with_dates(t.table(fact), fact, dates).groupBy(*keys, *dates).agg(
-        *[F.sum(m.source()).alias(n) for n, m in measures.items()]
+        *[m.total().alias(n) for n, m in measures.items()]
     )
     joined = _join_dims(t, sums, dims, weight)
     final = []
@@ -186,7 +190,7 @@ def _direct(
         if isinstance(m, Distinct):
             aggregates.append(F.countDistinct(m.value(t.unknown_customer)).alias(name))
         else:
-            aggregates.append(F.sum(m.source()).alias(name))
+            aggregates.append(m.total().alias(name))
     return _described(t, t.table(fact), fact, dims).groupBy(*dims).agg(*aggregates)
 
 
@@ -223,9 +227,15 @@ def _fact_frames(t: RetailTables, names: Sequence[str], dims: Sequence[str]):
         rest = {n: m for n, m in group.items() if n not in weighted}
         if weighted:
             yield own, _additive(t, fact, weighted, own)
+        counts = {n: m for n, m in rest.items() if isinstance(m, Distinct)}
+        if len(counts) > 1:
+            # Several distinct counts in one aggregation multiply every fact row.
+            for name, m in counts.items():
+                yield own, _direct(t, fact, {name: m}, own)
+            rest = {n: m for n, m in rest.items() if n not in counts}
+            counts = {}
         if rest:
-            distinct = any(isinstance(m, Distinct) for m in rest.values())
-            yield own, (_direct if distinct else _additive)(t, fact, rest, own)
+            yield own, (_direct if counts else _additive)(t, fact, rest, own)
 
 
 def measure_by(t: RetailTables, names: Sequence[str], dims: Sequence[str] = ()) -> DataFrame:
