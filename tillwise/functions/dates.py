@@ -27,4 +27,4 @@ def shift_month(month: Column | str, by: int) -> Column:
 def to_date(c: Column | str) -> Column:
     """Lenient ISO date: anything but ``yyyy-MM-dd`` becomes NULL."""
     text = F.trim((F.col(c) if isinstance(c, str) else c).cast("string"))
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
+    return F.when(F.length(text) == 10, F.try_to_date(text, "yyyy-MM-dd"))

@@ -73,7 +73,9 @@ def is_integral(c: Column | str) -> Column:
 
 
 def to_number(c: Column | str, kind: str) -> Column:
-    """Lenient text-to-number: unparsable text, NaN and infinities become NULL."""
-    text = F.trim(_col(c).cast("string"))
-    finite = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
-    return F.when(finite, text.try_cast(kind))
+    """Lenient text-to-number: unparsable text becomes NULL.
+
+    Parsing as DECIMAL also refuses what a binary parser lets through, such as NaN,
+    infinities and the suffixes of ``1.5d`` or ``2f``.
+    """
+    return _col(c).cast("string").try_cast("decimal(34,12)").try_cast(kind)

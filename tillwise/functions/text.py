@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from tillwise.model import PROVINCES
 
-_SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_EDGE_SPACE = rf"\A{_SPACE}+|{_SPACE}+\z"
+# Fixed value: the characters Unicode counts as white space.
+_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _WORD_OR_GAP = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(_SPACE))
 
 
 def title_case(c: Column) -> Column:

@@ -171,10 +171,16 @@ def check_returns_vs_sales(t: RetailTables) -> DataFrame:
     )
 
 
+def _date_rule(df: DataFrame, column: str) -> dict[str, Column]:
+    typed = dict(df.dtypes)[column] == "date"
+    parsed = F.col(column) if typed else to_date(column)
+    return {f"date_parses:{column}": parsed.isNotNull()}
+
+
 def check_dates(t: RetailTables) -> DataFrame:
     return union_all(
         [
-            check_rules(t.table(name), name, {f"date_parses:{c}": to_date(F.col(c)).isNotNull()})
+            check_rules(t.table(name), name, _date_rule(t.table(name), c))
             for name, c in model.DATE_COLUMNS.items()
         ]
     )
@@ -274,8 +280,7 @@ def validate_all(t: RetailTables, raise_on_failure: bool = False, atol: float =
             f"not_null:{c}": F.col(c).isNotNull() for c in model.CLEAN_SCHEMAS[name].names
         }
         if name in model.DATE_COLUMNS:
-            c = model.DATE_COLUMNS[name]
-            rules[name][f"date_parses:{c}"] = to_date(F.col(c)).isNotNull()
+            rules[name].update(_date_rule(t.table(name), model.DATE_COLUMNS[name]))
     for name, extra in range_rules().items():
         rules[name].update(extra)
     rules["sales"].update(derived_rules(atol))

@@ -13,6 +13,7 @@ from tillwise import model
 from tillwise.functions.dates import with_month
 from tillwise.functions.relations import union_all
 from tillwise.model import RetailTables
+from tillwise.operators.cleaning import require_columns
 
 # Cell texts a CSV reader treats as missing.
 MISSING_TEXT = (
@@ -38,7 +39,7 @@ def _load_all(load, names: Sequence[str], what: str) -> dict[str, DataFrame]:
 
 
 def read_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The six raw CSV tables as text; columns are bound by header name, never inferred."""
+    """The six raw CSV tables with headers; every column is read as text, none is inferred."""
 
     def load(name: str) -> DataFrame:
         path = f"{directory}/{name}.csv"
@@ -115,7 +116,11 @@ def load_tables(
     """
     out = {}
     for name in model.TABLES:
-        typed = tables[name].to(schemas[name])
+        required = [f.name for f in schemas[name] if f.name != "month"]
+        found = require_columns(tables[name], name, required)
+        if "month" in schemas[name].names:
+            found = with_month(found, PARTITIONED[name])
+        typed = found.to(schemas[name])
         typed.createOrReplaceTempView(f"{prefix}{name}")
         out[name] = typed
     return RetailTables(**out)
