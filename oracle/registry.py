@@ -109,7 +109,7 @@ def _typed_sales(t: RetailTables) -> DataFrame:
 def _impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = _typed_sales(benchmark_star(spark, sf_dir))
     products = cleaned(spark, sf_dir, "products").rows
-    filled = cleaning.impute_from_dim(typed, products, "product_id", "unit_price")
+    filled = cleaning.impute_from_dim(typed, products, "product_id", "unit_price", stage)
     return filled.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("row_count"), dbl(F.sum("unit_price")).alias("price_sum")
     )
@@ -118,7 +118,9 @@ def _impute(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _map_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = _typed_sales(benchmark_star(spark, sf_dir))
     customers = cleaned(spark, sf_dir, "customers").rows
-    mapped = cleaning.map_unknown_member(typed, customers, "customer_id", model.UNKNOWN_CUSTOMER)
+    mapped = cleaning.map_unknown_member(
+        typed, customers, "customer_id", model.UNKNOWN_CUSTOMER, keep=stage
+    )
     return mapped.groupBy("customer_id").agg(F.count(F.lit(1)).alias("row_count"))
 
 

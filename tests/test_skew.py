@@ -12,6 +12,7 @@ from tests.small_star import tiny_star
 from tillwise import model
 from tillwise.model import RetailTables
 from tillwise.operators import cleaning, customers, products, returns, stores, validation
+from tillwise.sources.staging import stage
 from tillwise.sources.star import benchmark_star
 
 N = 3000
@@ -120,3 +121,80 @@ def test_no_plan_crosses_or_gathers(spark, broadcast):
 def test_suspect_star_is_lazy(spark):
     t = suspect_star(benchmark_star(spark, "/root/testdata/sf0.001"))
     assert t.names() == list(model.TABLES)
+
+
+def _final_plan(df):
+    """Run ``df`` and return the plan adaptive execution ended with."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def eager_skew_handling(spark):
+    """Thresholds low enough for test data, and no broadcast."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k in conf:
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+
+
+def test_unknown_customers_do_not_pile_up(spark, eager_skew_handling, partitions):
+    """A third of the sales have no customer; the join on the dimension is split."""
+    partitions(8)
+    sales = spark.range(200_000).selectExpr(
+        "id", "if(id % 3 = 0, null, concat('C', id % 500)) customer_id", "uuid() payload"
+    )
+    sales = stage(sales.repartition(8), "hot_sales")
+    dim = spark.range(400).selectExpr("concat('C', id) customer_id")
+    mapped = cleaning.map_unknown_member(sales, dim, "customer_id", "none", keep=stage)
+    plan = _final_plan(mapped)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert mapped.count() == 200_000
+    expected = sales.filter("customer_id is null or cast(substr(customer_id, 2) as int) >= 400").count()
+    assert mapped.filter("customer_id = 'none'").count() == expected
+
+
+def test_many_returns_of_one_sale_line_are_split(spark, eager_skew_handling, partitions):
+    partitions(8)
+    returned = spark.range(150_000).selectExpr(
+        "uuid() return_id",
+        "if(id % 3 = 0, 'O0', concat('O', id % 2000)) order_id",
+        "'P' product_id",
+        "date_add(date '2024-01-01', cast(id % 50 as int)) return_date",
+        "1.0D quantity_returned",
+    )
+    returned = stage(returned.repartition(8), "hot_returns")
+    sales = stage(
+        spark.range(2000).selectExpr(
+            "concat('O', id) order_id", "'P' product_id", "date '2024-01-11' order_date", "1L quantity"
+        ),
+        "sales",
+    )
+    matched = cleaning.match_returns(returned, sales)
+    assert "SortMergeJoin(skew=true)" in _final_plan(matched)
+    assert matched.count() == returned.filter("return_date >= date '2024-01-11'").count()
+
+
+def test_staging_by_a_hot_month_uses_several_writers(spark, partitions):
+    partitions(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        rows = spark.range(60_000).selectExpr("id", "uuid() payload", "if(id % 3 = 0, '2024-01', concat('2023-', id % 12)) month")
+        staged = stage(rows.repartition(8), "by_month", ["month"])
+        hot = [f for f in staged.inputFiles() if "month=2024-01" in f]
+        assert len(hot) > 1
+        assert staged.count() == 60_000
+        empty = stage(rows.limit(0), "by_month", ["month"])
+        assert empty.count() == 0 and empty.columns == rows.columns
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -90,30 +90,44 @@ def domain_default(c: Column | str, domain: Sequence[str], default: str) -> Colu
     return F.when(c.isin(*domain), c).otherwise(F.lit(default))
 
 
-def impute_from_dim(df: DataFrame, dim: DataFrame, key: str, column: str) -> DataFrame:
-    """Fill NULLs of ``column`` with the dimension's value for the same key."""
-    lookup = dim.groupBy(F.col(key).alias("__k")).agg(F.min(column).alias("__v"))
-    return (
-        df.join(lookup, F.col(key) == F.col("__k"), "left")
-        .withColumn(column, F.coalesce(F.col(column), F.col("__v")))
-        .drop("__k", "__v")
+def lookup(dim: DataFrame, key: str, columns: Sequence[str] = (), keep: Keep = _as_is) -> DataFrame:
+    """One row per key with ``columns``, renamed to ``__<key>`` and ``__<column>``.
+
+    Unique keys mean a join can never multiply fact rows. A dimension too large to
+    broadcast should be kept (written out): adaptive execution splits a hot key of the
+    fact side only if the other side of the join is a plain shuffle of a scan, not an
+    aggregation that already fixed the partitioning.
+    """
+    rows = dim.groupBy(F.col(key).alias(f"__{key}")).agg(
+        F.count(F.lit(1)).alias("__copies"), *[F.min(c).alias(f"__{c}") for c in columns]
     )
+    return keep(rows.drop("__copies"), f"lookup_{key}")
+
+
+def impute_from_dim(
+    df: DataFrame, dim: DataFrame, key: str, column: str, keep: Keep = _as_is
+) -> DataFrame:
+    """Fill NULLs of ``column`` with the dimension's value for the same key."""
+    values = lookup(dim, key, [column], keep)
+    filled = F.coalesce(F.col(column), F.col(f"__{column}"))
+    joined = df.join(values, F.col(key) == F.col(f"__{key}"), "left")
+    return joined.withColumn(column, filled).drop(f"__{key}", f"__{column}")
 
 
 def map_unknown_member(
-    df: DataFrame, dim: DataFrame, key: str, unknown: object, flag: str | None = None
+    df: DataFrame,
+    dim: DataFrame,
+    key: str,
+    unknown: object,
+    flag: str | None = None,
+    keep: Keep = _as_is,
 ) -> DataFrame:
     """Point NULL or orphan keys at the unknown member; ``flag`` marks the rows changed."""
-    known = _ids(dim, key, "__k")
-    out = df.join(known, F.col(key) == F.col("__k"), "left")
+    found = F.col(f"__{key}")
+    out = df.join(lookup(dim, key, keep=keep), F.col(key) == found, "left")
     if flag:
-        out = out.withColumn(flag, F.col("__k").isNull())
-    return out.withColumn(key, F.coalesce(F.col("__k"), F.lit(unknown))).drop("__k")
-
-
-def _ids(dim: DataFrame, key: str, alias: str) -> DataFrame:
-    """Distinct keys, so a lookup can never multiply fact rows."""
-    return dim.select(F.col(key).alias(alias)).distinct()
+        out = out.withColumn(flag, found.isNull())
+    return out.withColumn(key, F.coalesce(found, F.lit(unknown))).drop(f"__{key}")
 
 
 def append_unknown_member(
@@ -165,32 +179,29 @@ def filter_valid(df: DataFrame, rules: Sequence[Column]) -> DataFrame:
     return df.filter(all_true(rules))
 
 
-def match_returns(returns: DataFrame, sales: DataFrame, flag: str | None = None) -> DataFrame:
-    """Returns that agree with their sale line: it exists, is not later than the
-    return, and sold at least the (positive, whole) quantity returned.
+def match_returns(returns: DataFrame, sales: DataFrame) -> DataFrame:
+    """Returns that agree with a sale line: same order and product, sold no later, and at
+    least the (positive, whole) quantity returned.
 
-    Quantities are checked per return row, not summed over one sale line. With
-    ``flag`` all rows stay and the flag says which agree.
+    Quantities are checked per return row, not summed over one sale line. A semi join
+    cannot multiply rows, and adaptive execution may split it on a hot sale line.
     """
-    lines = sales.groupBy(F.col("order_id").alias("__o"), F.col("product_id").alias("__p")).agg(
-        F.min("order_date").alias("__date"), F.max("quantity").alias("__sold")
+    lines = sales.select(
+        F.col("order_id").alias("__o"),
+        F.col("product_id").alias("__p"),
+        F.col("order_date").alias("__date"),
+        F.col("quantity").alias("__sold"),
     )
-    joined = returns.join(
-        lines,
-        (F.col("order_id") == F.col("__o")) & (F.col("product_id") == F.col("__p")),
-        "left" if flag else "inner",
+    whole = returns.filter(
+        all_true([F.col("quantity_returned") > 0, is_integral("quantity_returned")])
     )
-    agrees = all_true(
-        [
-            F.col("__o").isNotNull(),
-            F.col("return_date") >= F.col("__date"),
-            F.col("quantity_returned") > 0,
-            is_integral("quantity_returned"),
-            F.col("quantity_returned") <= F.col("__sold"),
-        ]
+    agrees = (
+        (F.col("order_id") == F.col("__o"))
+        & (F.col("product_id") == F.col("__p"))
+        & (F.col("return_date") >= F.col("__date"))
+        & (F.col("quantity_returned") <= F.col("__sold"))
     )
-    out = joined.withColumn(flag, agrees) if flag else joined.filter(agrees)
-    return out.drop("__o", "__p", "__date", "__sold")
+    return whole.join(lines, agrees, "left_semi")
 
 
 # ---------------------------------------------------------------- per-table composites
@@ -207,24 +218,18 @@ def _first_rows(raw: DataFrame, key: list[str], normalise: Mapping[str, Column],
     return dedupe_by_key(raw, key).withColumns(normalise)
 
 
-def _cleaned(
-    table: str,
-    raw: DataFrame,
-    checked: DataFrame,
-    keep: Keep,
-    finish: Callable[[DataFrame], DataFrame] = lambda df: df,
-    extras: Mapping[str, str] | None = None,
-) -> Cleaned:
-    """Split rows by the validity flag and build the one-row report.
+def _typed(table: str, rows: DataFrame) -> DataFrame:
+    return rows.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in model.CLEAN_SCHEMAS[table]]
+    )
+
 
-    ``checked`` has one row per raw key, so key duplicates are the distinct raw rows
-    beyond those. ``extras`` maps report names to boolean columns counted on it.
+def _report(table: str, raw: DataFrame, after: DataFrame, extras: Sequence[str] = ()) -> DataFrame:
+    """One-row cleaning report.
+
+    ``after`` is one row with ``__keys`` (rows left by key deduplication), ``rows_after``
+    and the ``extras``; key duplicates are the distinct raw rows beyond the keys.
     """
-    checked = keep(checked, table)
-    schema = model.CLEAN_SCHEMAS[table]
-    rows = finish(checked.filter(F.col(_VALID))).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-    )
     columns = model.RAW_COLUMNS[table]
     nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in columns])
     copies = raw.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
@@ -233,21 +238,34 @@ def _cleaned(
         F.count(F.lit(1)).alias("__distinct"),
         F.coalesce(F.sum(nulls * F.col("__copies")), F.lit(0)).alias("missing_values_handled"),
     )
-    after = checked.agg(
-        F.count(F.lit(1)).alias("__keys"),
-        F.count_if(F.col(_VALID)).alias("rows_after"),
-        *[F.count_if(F.col(c)).alias(n) for n, c in (extras or {}).items()],
-    )
-    counts = side_by_side(before, after).select(
+    return side_by_side(before, after).select(
         "rows_before",
         "rows_after",
         (F.col("rows_before") - F.col("__distinct")).alias("exact_duplicates_removed"),
         (F.col("__distinct") - F.col("__keys")).alias("primary_key_duplicates_removed"),
         (F.col("__keys") - F.col("rows_after")).alias("invalid_rows_removed"),
         "missing_values_handled",
-        *(extras or {}),
+        *extras,
     )
-    return Cleaned(rows, counts)
+
+
+def _cleaned(
+    table: str,
+    raw: DataFrame,
+    checked: DataFrame,
+    keep: Keep,
+    finish: Callable[[DataFrame], DataFrame] = lambda df: df,
+    extras: Mapping[str, str] | None = None,
+) -> Cleaned:
+    """Split rows by the validity flag; ``extras`` are boolean columns to count."""
+    checked = keep(checked, table)
+    after = checked.agg(
+        F.count(F.lit(1)).alias("__keys"),
+        F.count_if(F.col(_VALID)).alias("rows_after"),
+        *[F.count_if(F.col(c)).alias(n) for n, c in (extras or {}).items()],
+    )
+    rows = _typed(table, finish(checked.filter(F.col(_VALID))))
+    return Cleaned(rows, _report(table, raw, after, list(extras or {})))
 
 
 def clean_customers(
@@ -390,25 +408,28 @@ def clean_sales(
         coerce_date(first, "order_date"),
         {"quantity": "double", "unit_price": "decimal(20,8)", "discount_pct": "decimal(20,10)"},
     )
-    # One pass over each dimension: the product row gives price, cost and existence.
-    product = products.groupBy(F.col("product_id").alias("__product")).agg(
-        F.min("unit_price").alias("__list_price"), F.min("unit_cost").alias("unit_cost")
-    )
-    store = _ids(stores, "store_id", "__store")
+    # One join per dimension: the product row gives price, cost and existence.
     looked_up = (
         map_unknown_member(
-            typed, customers, "customer_id", model.UNKNOWN_CUSTOMER, "__to_unknown"
+            typed, customers, "customer_id", model.UNKNOWN_CUSTOMER, "__to_unknown", keep
         )
-        .join(product, F.col("product_id") == F.col("__product"), "left")
-        .join(store, F.col("store_id") == F.col("__store"), "left")
-        .withColumn("unit_price", F.coalesce(F.col("unit_price"), F.col("__list_price")))
+        .join(
+            lookup(products, "product_id", ["unit_price", "unit_cost"], keep),
+            F.col("product_id") == F.col("__product_id"),
+            "left",
+        )
+        .join(
+            lookup(stores, "store_id", keep=keep), F.col("store_id") == F.col("__store_id"), "left"
+        )
+        .withColumn("unit_price", F.coalesce(F.col("unit_price"), F.col("__unit_price")))
+        .withColumnRenamed("__unit_cost", "unit_cost")
     )
     valid = all_true(
         [
             full_match("order_id", patterns["order_id"]),
             F.col("order_date").isNotNull(),
-            F.col("__store").isNotNull(),
-            F.col("__product").isNotNull(),
+            F.col("__store_id").isNotNull(),
+            F.col("__product_id").isNotNull(),
             F.col("quantity") > 0,
             is_integral("quantity"),
             F.col("unit_price") >= 0,
@@ -451,21 +472,19 @@ def clean_inventory(
     known = (
         repair_balance(typed)
         .join(
-            _ids(products, "product_id", "__product"),
-            F.col("product_id") == F.col("__product"),
+            lookup(products, "product_id", keep=keep),
+            F.col("product_id") == F.col("__product_id"),
             "left",
         )
         .join(
-            _ids(stores, "store_id", "__store"),
-            F.col("store_id") == F.col("__store"),
-            "left",
+            lookup(stores, "store_id", keep=keep), F.col("store_id") == F.col("__store_id"), "left"
         )
     )
     valid = all_true(
         [
             F.col("date").isNotNull(),
-            F.col("__store").isNotNull(),
-            F.col("__product").isNotNull(),
+            F.col("__store_id").isNotNull(),
+            F.col("__product_id").isNotNull(),
             *[F.col(c) >= 0 for c in model.STOCK_COLUMNS],
         ]
     )
@@ -501,9 +520,13 @@ def clean_returns(
         coerce_numeric(coerce_date(first, "return_date"), {"quantity_returned": "double"}),
         {"return_reason": F.lit(model.DEFAULTS["return_reason"])},
     )
-    matched = match_returns(typed, sales, "__agrees")
-    valid = all_true([full_match("return_id", patterns["return_id"]), F.col("__agrees")])
-    return _cleaned("returns", raw, matched.withColumn(_VALID, valid), keep)
+    typed = keep(typed, "typed_returns")
+    named = filter_valid(typed, [full_match("return_id", patterns["return_id"])])
+    rows = keep(match_returns(named, sales), "returns")
+    after = side_by_side(
+        typed.agg(F.count(F.lit(1)).alias("__keys")), rows.agg(F.count(F.lit(1)).alias("rows_after"))
+    )
+    return Cleaned(_typed("returns", rows), _report("returns", raw, after))
 
 
 # ---------------------------------------------------------------- whole star

@@ -35,9 +35,18 @@ def _one(df: DataFrame, table: str, rule: str, violations: Column) -> DataFrame:
     )
 
 
-def check_rules(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
-    """Rows breaking each rule, all rules in one pass; NULL counts as broken."""
-    wide = df.agg(*[F.count_if(~_holds(rule)).alias(name) for name, rule in rules.items()])
+def check_rules(
+    df: DataFrame, table: str, rules: Mapping[str, Column], weight: str | None = None
+) -> DataFrame:
+    """Rows breaking each rule, all rules in one pass; NULL counts as broken.
+
+    ``weight`` is a column saying how many table rows a row of ``df`` stands for.
+    """
+    rows = F.col(weight) if weight else F.lit(1)
+    broken = {name: F.when(~_holds(rule), rows).otherwise(0) for name, rule in rules.items()}
+    wide = df.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for n, c in broken.items()]
+    )
     long = wide.unpivot([], list(rules), "rule", "violations")
     return long.select(F.lit(table).alias("table"), "rule", "violations")
 
@@ -155,19 +164,24 @@ def check_inventory_balance(t: RetailTables) -> DataFrame:
 
 
 def check_returns_vs_sales(t: RetailTables) -> DataFrame:
-    """Return date parses, is not before its order, and quantity does not exceed the sale."""
-    sold = t.sales.groupBy("order_id", "product_id").agg(
+    """Return date parses, is not before its order, and quantity does not exceed the sale.
+
+    Equal returns are counted first, so many returns of one sale line join as few rows.
+    """
+    key = ["order_id", "product_id"]
+    sold = t.sales.groupBy(*key).agg(
         F.min("order_date").alias("order_date"), F.max("quantity").alias("quantity")
     )
-    joined = t.returns.join(sold, ["order_id", "product_id"], "left")
+    returned = t.returns.groupBy(*key, "return_date", "quantity_returned").count()
     return check_rules(
-        joined,
+        returned.join(sold, key, "left"),
         "returns",
         {
             "return_date_parses": F.col("return_date").isNotNull(),
             "not_before_order": F.col("return_date") >= F.col("order_date"),
             "within_quantity_sold": F.col("quantity_returned") <= F.col("quantity"),
         },
+        weight="count",
     )
 
 
