@@ -64,22 +64,26 @@ def with_order_stats(
     part = [_SLICE, *within]
     keyed = Window.partitionBy(*part).orderBy(*by_key)
     so_far = keyed.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    valued = Window.partitionBy(*part).orderBy(*[_sort(c) for c in order])
     local = staged.withColumns(
         {
             _POS: F.row_number().over(keyed),
-            _RANK: F.rank().over(valued),
             **{out: F.sum(c).over(so_far) for out, c in running.items()},
         }
     )
+    if rank:
+        valued = Window.partitionBy(*part).orderBy(*[_sort(c) for c in order])
+        local = local.withColumn(_RANK, F.rank().over(valued))
 
-    # One row per (slice, group): sizes and sums, and the tie values at both ends.
+    # One row per (slice, group): its size, its sums and, for ranks, both end rows.
     ends = [F.col(c).alias(f"__v_{c}") for c in values]
+    edge_rows = [
+        F.min(F.struct(F.col(_POS), *ends)).alias("__head"),
+        F.max(F.struct(F.col(_POS), F.col(_RANK), *ends)).alias("__tail"),
+    ]
     summary = local.groupBy(*part).agg(
         F.count(F.lit(1)).alias("__rows"),
         *[F.sum(c).alias(f"__sum_{out}") for out, c in running.items()],
-        F.min(F.struct(F.col(_POS), *ends)).alias("__head"),
-        F.max(F.struct(F.col(_POS), F.col(_RANK), *ends)).alias("__tail"),
+        *(edge_rows if rank else []),
     )
     earlier = (
         Window.partitionBy(*within)
@@ -92,47 +96,33 @@ def with_order_stats(
             **{f"__base_{out}": F.sum(f"__sum_{out}").over(earlier) for out in running},
         }
     )
-    # A tie that runs over slice borders starts where its first slice says.
-    tied = Window.partitionBy(*within, *[f"__tail.__v_{c}" for c in values])
-    starts = totals.withColumn(
-        "__tie_start", F.min(F.col("__before") + F.col(f"__tail.{_RANK}")).over(tied)
-    )
-    ties = starts.select(
-        *[F.col(w).alias(f"__t_{w}") for w in within],
-        *[F.col(f"__tail.__v_{c}").alias(f"__t_{c}") for c in values],
-        "__tie_start",
-    ).distinct()
     # Only the first group of a slice can have rows in earlier slices, so this holds at
     # most one row per slice: a bounded broadcast.
     carried = totals.filter(F.col("__before") > 0).select(
         F.col(_SLICE).alias("__c_slice"),
         *[F.col(w).alias(f"__c_{w}") for w in within],
-        *[F.col(f"__head.__v_{c}").alias(f"__h_{c}") for c in values],
+        *[F.col(f"__head.__v_{c}").alias(f"__h_{c}") for c in values if rank],
         "__before",
         *[f"__base_{out}" for out in running],
     )
-    same_tie = [F.col(f"__c_{w}").eqNullSafe(F.col(f"__t_{w}")) for w in within] + [
-        F.col(f"__h_{c}").eqNullSafe(F.col(f"__t_{c}")) for c in values
-    ]
-    carried = carried.join(ties, reduce(lambda a, b: a & b, same_tie), "left").withColumn(
-        "__tie_start", F.when(F.col("__tie_start") <= F.col("__before"), F.col("__tie_start"))
-    )
+    if rank:
+        carried = _with_tie_starts(carried, totals, values, within)
 
     same_part = [F.col(_SLICE) == F.col("__c_slice")] + [
         F.col(w).eqNullSafe(F.col(f"__c_{w}")) for w in within
     ]
-    joined = local.join(F.broadcast(carried), reduce(lambda a, b: a & b, same_part), "left")
+    joined = local.join(F.broadcast(carried), _all(same_part), "left")
     before = F.coalesce(F.col("__before"), F.lit(0))
-    in_head_tie = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__h_{c}")) for c in values]
-    )
     out: dict[str, Column] = {}
     if rank:
-        out[rank] = F.when(
-            F.col("__tie_start").isNotNull() & in_head_tie, F.col("__tie_start")
-        ).otherwise(before + F.col(_RANK))
+        in_head_tie = _all([F.col(c).eqNullSafe(F.col(f"__h_{c}")) for c in values])
+        out[rank] = (
+            F.when(F.col("__tie_start").isNotNull() & in_head_tie, F.col("__tie_start"))
+            .otherwise(before + F.col(_RANK))
+            .cast("long")
+        )
     if row_number:
-        out[row_number] = before + F.col(_POS)
+        out[row_number] = (before + F.col(_POS)).cast("long")
     for name in running:
         base = F.col(f"__base_{name}")
         out[name] = F.when(base.isNull(), F.col(name)).otherwise(
@@ -140,14 +130,39 @@ def with_order_stats(
         )
     return joined.select(
         *df.columns,
-        *[
-            (c.cast("long") if name in (rank, row_number) else c).alias(name)
-            for name, c in out.items()
-        ],
+        *[c.alias(name) for name, c in out.items()],
         *[staged.agg(F.sum(c)).scalar().alias(name) for name, c in (total or {}).items()],
     )
 
 
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
+def _with_tie_starts(
+    carried: DataFrame, totals: DataFrame, values: Sequence[str], within: Sequence[str]
+) -> DataFrame:
+    """Add the rank of a tie that runs into a slice from earlier ones.
+
+    The tie starts where the first slice that ends in it says it does.
+    """
+    tail = [F.col(f"__tail.__v_{c}").alias(f"__t_{c}") for c in values]
+    ends = totals.select(
+        *[F.col(w).alias(f"__t_{w}") for w in within],
+        *tail,
+        (F.col("__before") + F.col(f"__tail.{_RANK}")).alias("__start"),
+    )
+    keys = [f"__t_{c}" for c in (*within, *values)]
+    starts = ends.groupBy(*keys).agg(F.min("__start").alias("__tie_start"))
+    same = [F.col(f"__c_{w}").eqNullSafe(F.col(f"__t_{w}")) for w in within] + [
+        F.col(f"__h_{c}").eqNullSafe(F.col(f"__t_{c}")) for c in values
+    ]
+    # A start beyond the rows before the slice belongs to a tie that begins in it.
+    return carried.join(starts, _all(same), "left").withColumn(
+        "__tie_start", F.when(F.col("__tie_start") <= F.col("__before"), F.col("__tie_start"))
+    )
+
+
 def global_running_sum(
     df: DataFrame, order: Sequence[str], value: str, key: Sequence[str], out: str
 ) -> DataFrame:
