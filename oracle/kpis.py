@@ -239,7 +239,7 @@ def report() -> dict[str, str]:
                 FROM returns WHERE return_date {dates} AND product_id IN (FROM pick_p)""",
             sliced,
         ),
-        "slice_executive_kpis": star_query(
+        "slice_by_category": star_query(
             f"""SELECT category, {dbl('SUM(net_revenue)')} AS revenue, COUNT(DISTINCT order_id) AS orders
                 FROM sales JOIN products USING (product_id)
                 WHERE order_date {dates} AND store_id IN (FROM pick_s) GROUP BY category""",

@@ -336,7 +336,7 @@ def report_queries() -> dict[str, Query]:
     on_star = {
         "date_dimension": calendar.date_dimension,
         "slice": _slice,
-        "slice_executive_kpis": _slice_by_category,
+        "slice_by_category": _slice_by_category,
         "enrich_returns": report.enrich_returns,
         "enrichment_check": report.enrichment_check,
         "returned_units_by_store": _returned_by_store,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.dates import month_key
 from tillwise.functions.numeric import dbl, lng, mean, money_mean, money_sum, pct, ratio, round2
 from tillwise.model import RetailTables
+from tillwise.sources.staging import stage
 
 
 def known_sales(t: RetailTables) -> DataFrame:
@@ -83,8 +84,13 @@ def top_customers(t: RetailTables, n: int = 20) -> DataFrame:
 
 
 def customer_value_segments(t: RetailTables, high: float = 2.0) -> DataFrame:
-    """High Value from ``high`` times the mean spend, Core from the mean, else Occasional."""
-    spend = _spend(t).join(t.customers.select("customer_id", "customer_name"), "customer_id")
+    """High Value from ``high`` times the mean spend, Core from the mean, else Occasional.
+
+    The customer totals are written once: their mean and the rows compared with it would
+    otherwise each aggregate the facts.
+    """
+    named = _spend(t).join(t.customers.select("customer_id", "customer_name"), "customer_id")
+    spend = stage(named, "customer_spend")
     average = spend.agg(money_mean("spend")).scalar()
     return (
         spend.withColumn("average", average)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.functions.dates import month_key
 from tillwise.functions.numeric import dbl, lng, mean, pct, ratio, round2
 from tillwise.model import RetailTables
 from tillwise.operators.products import NAMES, product_totals
@@ -86,6 +87,8 @@ def below_reorder_latest(t: RetailTables) -> DataFrame:
     short = t.inventory.filter(
         (F.col("date") == latest) & (F.col("closing_stock") < F.col("reorder_level"))
     )
+    if "month" in short.columns:  # reads one partition
+        short = short.filter(F.col("month") == month_key(latest))
     return (
         short.join(t.stores.select("store_id", "store_name"), "store_id")
         .join(t.products.select(*NAMES), "product_id")

@@ -38,13 +38,17 @@ def _load_all(load, names: Sequence[str], what: str) -> dict[str, DataFrame]:
     return found
 
 
-def read_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The six raw CSV tables with headers; every column is read as text, none is inferred."""
+def read_raw(
+    spark: SparkSession, directory: str, multi_line: bool = False
+) -> dict[str, DataFrame]:
+    """The six raw CSV tables with headers; every column is read as text, none is inferred.
+
+    ``multi_line`` admits line breaks inside quoted cells, but then a file is one task.
+    """
 
     def load(name: str) -> DataFrame:
-        path = f"{directory}/{name}.csv"
-        header = spark.read.option("header", True).option("inferSchema", False)
-        df = header.csv(path)
+        reader = spark.read.options(header=True, inferSchema=False, escape='"', multiLine=multi_line)
+        df = reader.csv(f"{directory}/{name}.csv")
         return df.select(
             *[
                 F.when(F.col(f"`{c}`").isin(*MISSING_TEXT), None).otherwise(F.col(f"`{c}`")).alias(c)
@@ -56,8 +60,15 @@ def read_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 
 
 def write_raw(tables: Mapping[str, DataFrame], directory: str) -> None:
+    """Write text tables as CSV folders, keeping the white space around cells."""
+    exact = {
+        "header": True,
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     for name, df in tables.items():
-        df.write.option("header", True).mode("errorifexists").csv(f"{directory}/{name}.csv")
+        df.write.options(**exact).mode("errorifexists").csv(f"{directory}/{name}.csv")
 
 
 def write_cleaned(t: RetailTables, directory: str) -> None:
