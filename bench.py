@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession
 
-from oracle.registry import all_queries
+from tillcheck.registry import all_queries
 from tillwise.catalog import ANALYSES
 from tillwise.model import TABLES
 from tillwise.operators.frames import FRAMES
@@ -77,6 +77,8 @@ def main() -> None:
             name,
             lambda: queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save(),
         )
+    folder = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    scale = float(folder) if folder.replace(".", "", 1).isdigit() else folder
     print(
         json.dumps(
             {
@@ -84,7 +86,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": scale,
             }
         )
     )

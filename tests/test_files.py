@@ -42,6 +42,19 @@ def test_raw_csv_to_cleaned_parquet(spark, tmp_path):
     assert dict(back.sales.dtypes)["month"] == "string"
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_formats_round_trip(spark, star, tmp_path, fmt):
+    path = str(tmp_path / fmt)
+    files.write_cleaned(star, path, fmt)
+    back = files.read_cleaned(spark, path, files.cleaned_schemas(star), fmt=fmt)
+    for name in model.TABLES:
+        assert same(back.table(name), star.table(name)), name
+    files.export_results({"a": star.stores}, f"{path}-out", fmt)
+    assert files.verify_export(spark, f"{path}-out", ["a"], fmt).first().has_rows
+    with pytest.raises(ValueError, match="xlsx"):
+        files.write_cleaned(star, path, "xlsx")
+
+
 def test_month_filter_prunes_partitions(spark, star, tmp_path):
     files.write_cleaned(star, str(tmp_path / "clean"))
     back = files.read_cleaned(spark, str(tmp_path / "clean"))

@@ -7,7 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from oracle.compare import compare, connect
+from tillcheck.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()

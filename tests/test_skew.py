@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from oracle.registry import all_queries, suspect_star
+from tillcheck.registry import all_queries, suspect_star
 from tests.small_star import tiny_star
 from tillwise import model
 from tillwise.model import RetailTables

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.star import big, dbl, mean, month, pct, r2, ratio, star_query
+from tillcheck.star import big, dbl, mean, month, pct, r2, ratio, star_query
 
 KNOWN = "customer_id <> 0"
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.defects import CATEGORIES, PATTERNS, RAW, messy_sql
-from oracle.star import big, dbl, star_query
+from tillcheck.defects import CATEGORIES, PATTERNS, RAW, messy_sql
+from tillcheck.star import big, dbl, star_query
 from tillwise.model import PROVINCES, RAW_COLUMNS, STOCK_COLUMNS
 
 RAW_CTES = messy_sql(RAW, "raw")
@@ -297,6 +297,6 @@ def all_cleaning() -> dict[str, str]:
 
 
 def messy_suspect() -> str:
-    from oracle.defects import SUSPECT
+    from tillcheck.defects import SUSPECT
 
     return messy_sql(SUSPECT, "s")

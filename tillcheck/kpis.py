@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.analyses import all_analyses
-from oracle.star import big, dbl, mean, month, pct, ratio, star_query
+from tillcheck.analyses import all_analyses
+from tillcheck.star import big, dbl, mean, month, pct, ratio, star_query
 
 KNOWN = "customer_id <> 0"
 TABLES = ("customers", "products", "stores", "sales", "inventory", "returns")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oracle.defects import CATEGORIES, PATTERNS, RAW, SUSPECT, messy_frame
+from tillcheck.defects import CATEGORIES, PATTERNS, RAW, SUSPECT, messy_frame
 from tillwise import model
 from tillwise.catalog import ANALYSES
 from tillwise.functions.numeric import dbl, lng
@@ -253,6 +253,13 @@ def cleaning_queries() -> dict[str, Query]:
 # ---------------------------------------------------------------- validation
 
 
+def _required_columns(t: RetailTables) -> DataFrame:
+    """Missing columns beside the rows of each table, with two sales columns taken away."""
+    lacking = t.replace(sales=t.sales.drop("profit", "cost"))
+    report = validation.check_required_columns(t.sales.sparkSession, lacking)
+    return report.join(_counts(lacking).withColumnRenamed("table_name", "table"), "table")
+
+
 def validation_queries() -> dict[str, Query]:
     v = validation
 
@@ -276,6 +283,7 @@ def validation_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         name: _on_star(lambda t, op=op: op(suspect_star(t))) for name, op in on_suspect.items()
     }
+    out["check_required_columns"] = _on_star(_required_columns)
     out["validate_all_clean"] = _on_star(v.validate_all)
     out["reconcile_row_counts"] = _on_star(lambda t: v.reconcile_row_counts(t, suspect_star(t)))
     out["reconcile_totals"] = _on_star(v.reconcile_totals)

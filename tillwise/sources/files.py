@@ -20,6 +20,12 @@ MISSING_TEXT = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
+_EXACT_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 PARTITIONED = {"sales": "order_date", "inventory": "date"}
 
 
@@ -61,18 +67,18 @@ def read_raw(
 
 def write_raw(tables: Mapping[str, DataFrame], directory: str) -> None:
     """Write text tables as CSV folders, keeping the white space around cells."""
-    exact = {
-        "header": True,
-        "escape": '"',
-        "ignoreLeadingWhiteSpace": False,
-        "ignoreTrailingWhiteSpace": False,
-    }
     for name, df in tables.items():
-        df.write.options(**exact).mode("errorifexists").csv(f"{directory}/{name}.csv")
+        _formatted(df.write, "csv").mode("errorifexists").save(f"{directory}/{name}.csv")
 
 
-def write_cleaned(t: RetailTables, directory: str) -> None:
-    """Parquet per table; the two large facts are partitioned by month.
+def _formatted(writer, fmt: str):
+    if fmt not in ("parquet", "csv"):
+        raise ValueError(f"unknown format {fmt}")
+    return writer.format(fmt).options(**(_EXACT_CSV if fmt == "csv" else {}))
+
+
+def write_cleaned(t: RetailTables, directory: str, fmt: str = "parquet") -> None:
+    """A folder per table, as Parquet or CSV; the two large facts are partitioned by month.
 
     Rows are rebalanced on the month first, so writers get even shares whatever the
     month sizes are.
@@ -84,7 +90,7 @@ def write_cleaned(t: RetailTables, directory: str) -> None:
             writer = df.write.partitionBy("month")
         else:
             writer = df.write
-        writer.mode("overwrite").parquet(f"{directory}/{name}")
+        _formatted(writer, fmt).mode("overwrite").save(f"{directory}/{name}")
 
 
 def cleaned_schemas(t: RetailTables | None = None) -> dict[str, T.StructType]:
@@ -104,11 +110,16 @@ def read_cleaned(
     directory: str,
     schemas: Mapping[str, T.StructType] | None = None,
     unknown_customer: object = model.UNKNOWN_CUSTOMER,
+    fmt: str = "parquet",
 ) -> RetailTables:
-    """The cleaned Parquet tables with fixed schemas."""
+    """The cleaned tables with fixed schemas; CSV headers must name the schema's columns."""
     schemas = schemas or cleaned_schemas()
+    options = {"header": True, "escape": '"', "enforceSchema": False} if fmt == "csv" else {}
     tables = _load_all(
-        lambda name: spark.read.schema(schemas[name]).parquet(f"{directory}/{name}"),
+        lambda name: spark.read.schema(schemas[name])
+        .format(fmt)
+        .options(**options)
+        .load(f"{directory}/{name}"),
         list(schemas),
         "cleaned tables",
     )
@@ -146,15 +157,22 @@ def read_cleaning_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("table string, metric string, value long").json(path)
 
 
-def export_results(frames: Mapping[str, DataFrame], directory: str) -> None:
-    """One Parquet folder per named result."""
+def export_results(
+    frames: Mapping[str, DataFrame], directory: str, fmt: str = "parquet"
+) -> None:
+    """One folder per named result, as Parquet or CSV."""
     for name, df in frames.items():
-        df.write.mode("overwrite").parquet(f"{directory}/{name}")
+        _formatted(df.write, fmt).mode("overwrite").save(f"{directory}/{name}")
 
 
-def verify_export(spark: SparkSession, directory: str, expected: Sequence[str]) -> DataFrame:
+def verify_export(
+    spark: SparkSession, directory: str, expected: Sequence[str], fmt: str = "parquet"
+) -> DataFrame:
     """(name, has_rows) of every expected result; absent ones are an error."""
-    frames = _load_all(lambda n: spark.read.parquet(f"{directory}/{n}"), expected, "exported results")
+    reader = spark.read.options(header=True) if fmt == "csv" else spark.read
+    frames = _load_all(
+        lambda n: reader.format(fmt).load(f"{directory}/{n}"), expected, "exported results"
+    )
     return union_all(
         [
             df.limit(1)
