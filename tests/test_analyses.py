@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.small_star import d, tiny_star
 from tillwise.catalog import ANALYSES
 from tillwise.operators import basic, customers, demand, frames, inventory, products, returns, sales, sampling, stores
-from tillwise.plans import calendar, measures, report
+from tillwise.plans import calendar, measures, report, slicing
 from tillwise.plans.suite import run_suite
 
 
@@ -160,10 +160,10 @@ def test_date_dimension_covers_every_day(star):
 
 
 def test_slice_filters_only_related_facts(star):
-    picked = report.slice_star(star, date_from="2023-01-01", date_to="2023-12-31", province="Ontario")
-    assert {r[0]: r[1] for r in rows(report.slice_totals(picked))} == {"sales": 3, "inventory": 2, "returns": 2}
-    bob = report.slice_star(star, customer_segment="Loyal")
-    assert {r[0]: r[1] for r in rows(report.slice_totals(bob))} == {"sales": 1, "inventory": 4, "returns": 2}
+    picked = slicing.slice_star(star, date_from="2023-01-01", date_to="2023-12-31", province="Ontario")
+    assert {r[0]: r[1] for r in rows(slicing.slice_totals(picked))} == {"sales": 3, "inventory": 2, "returns": 2}
+    bob = slicing.slice_star(star, customer_segment="Loyal")
+    assert {r[0]: r[1] for r in rows(slicing.slice_totals(bob))} == {"sales": 1, "inventory": 4, "returns": 2}
 
 
 def test_stockout_matrix(star):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.small_star import raw_tables, tiny_star
 from tillwise import model
 from tillwise.operators import cleaning
-from tillwise.plans import report
+from tillwise.plans import slicing
 from tillwise.sources import files, staging
 
 
@@ -58,7 +58,7 @@ def test_formats_round_trip(spark, star, tmp_path, fmt):
 def test_month_filter_prunes_partitions(spark, star, tmp_path):
     files.write_cleaned(star, str(tmp_path / "clean"))
     back = files.read_cleaned(spark, str(tmp_path / "clean"))
-    january = report.slice_star(back, date_from="2024-01-01", date_to="2024-01-31").sales
+    january = slicing.slice_star(back, date_from="2024-01-01", date_to="2024-01-31").sales
     assert january.count() == 1
     plan = january._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan

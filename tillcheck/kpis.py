@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillcheck.analyses import all_analyses
-from tillcheck.star import big, dbl, mean, month, pct, ratio, star_query
+from tillcheck.star import big, dbl, mean, month, ratio, star_query
 
 KNOWN = "customer_id <> 0"
 TABLES = ("customers", "products", "stores", "sales", "inventory", "returns")

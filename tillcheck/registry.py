@@ -17,7 +17,7 @@ from tillwise.functions.text import normalize_province, normalize_text
 from tillwise.model import RetailTables
 from tillwise.operators import cleaning, demand, sales, sampling, validation
 from tillwise.operators.frames import FRAMES
-from tillwise.plans import calendar, measures, report
+from tillwise.plans import calendar, measures, report, slicing
 from tillwise.plans.suite import run_suite
 from tillwise.sources import files
 from tillwise.sources.staging import new_path, stage
@@ -296,12 +296,12 @@ SLICE = {"date_from": "1997-03-15", "date_to": "1999-10-20", "province": "EUROPE
 
 
 def _slice(t: RetailTables) -> DataFrame:
-    picked = report.slice_star(t, **SLICE, category="PROMO", customer_segment="BUILDING")
-    return report.slice_totals(picked)
+    picked = slicing.slice_star(t, **SLICE, category="PROMO", customer_segment="BUILDING")
+    return slicing.slice_totals(picked)
 
 
 def _slice_by_category(t: RetailTables) -> DataFrame:
-    by = measures.measure_by(report.slice_star(t, **SLICE), ["total_revenue", "orders"], ["category"])
+    by = measures.measure_by(t, ["total_revenue", "orders"], ["category"], where=SLICE)
     return by.withColumnRenamed("total_revenue", "revenue")
 
 

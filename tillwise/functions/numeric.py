@@ -46,7 +46,8 @@ def money_sum(c: Column | str) -> Column:
 
     Adds whole cents as BIGINT: the double of such an amount is within a fraction of a
     cent, so rounding it is exact, and a BIGINT accumulator is about twice as fast and
-    half as wide in the shuffle as the DECIMAL one. Overflow raises; it cannot wrap.
+    half as wide in the shuffle as the DECIMAL one. In ANSI mode, the default, an
+    overflow raises.
     """
     cents = F.sum(F.rint(dbl(c) * 100).cast("long"))
     return cents.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.functions.dates import to_date
-from tillwise.functions.numeric import close_to, dbl, is_integral, to_number
+from tillwise.functions.numeric import close_to, is_integral, to_number
 from tillwise.functions.relations import side_by_side
 from tillwise.functions.text import full_match, normalize_province, normalize_text
 

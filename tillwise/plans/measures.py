@@ -7,7 +7,7 @@ dimension tables are joined; only distinct counts carry dimensions with fact row
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +18,7 @@ from tillwise.functions.numeric import dbl, lng, money_sum, ratio
 from tillwise.functions.relations import side_by_side
 from tillwise.model import RetailTables
 from tillwise.plans.calendar import calendar_lag, growth, year_to_date
+from tillwise.plans.slicing import FACT_DATE, KEYS, slice_star
 
 # dimension attribute -> dimension table
 ATTRIBUTES = {
@@ -26,8 +27,6 @@ ATTRIBUTES = {
     **{c: "customers" for c in ("customer_id", "customer_name", "customer_segment")},
     **{c: "date" for c in ("date", "month", "year", "quarter")},
 }
-KEYS = {"products": "product_id", "stores": "store_id", "customers": "customer_id"}
-FACT_DATE = {"sales": "order_date", "inventory": "date", "returns": "return_date"}
 
 
 def _date_attribute(name: str, date: str) -> Column:
@@ -238,13 +237,21 @@ def _fact_frames(t: RetailTables, names: Sequence[str], dims: Sequence[str]):
             yield own, (_direct if counts else _additive)(t, fact, rest, own)
 
 
-def measure_by(t: RetailTables, names: Sequence[str], dims: Sequence[str] = ()) -> DataFrame:
+def measure_by(
+    t: RetailTables,
+    names: Sequence[str],
+    dims: Sequence[str] = (),
+    where: Mapping[str, object] | None = None,
+) -> DataFrame:
     """Measures by dimension attributes; no ``dims`` gives one row.
 
-    A fact that a dimension does not relate to is not split by it: its value repeats
-    over that dimension. Filter first with :func:`tillwise.plans.report.slice_star`.
+    ``where`` holds filters of :func:`slice_star`, applied before aggregating. A fact that
+    a dimension does not relate to is not split by it: its value repeats over that
+    dimension.
     """
     dims = list(dims)
+    if where:
+        t = slice_star(t, **where)
     frames = list(_fact_frames(t, _parts(names), dims))
     outputs = [_value(n).alias(n) for n in names]
     if not dims:

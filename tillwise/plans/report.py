@@ -1,8 +1,7 @@
-"""Model-level work: slicing the star, enriching returns, and the report tables."""
+"""Model-level work: enriching returns and the report tables."""
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,69 +9,12 @@ from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.functions.numeric import dbl, ratio
-from tillwise.functions.relations import side_by_side, union_all
+from tillwise.functions.relations import side_by_side
 from tillwise.model import RetailTables
-from tillwise.plans.measures import FACT_DATE, KEYS, measure_by
+from tillwise.plans.measures import measure_by
 from tillwise.plans.ordered import global_rank
 
 
-def slice_star(
-    t: RetailTables,
-    date_from: datetime.date | str | None = None,
-    date_to: datetime.date | str | None = None,
-    province: str | None = None,
-    store_id: object | None = None,
-    category: str | None = None,
-    customer_segment: str | None = None,
-) -> RetailTables:
-    """Filter dimensions, and through them the facts they relate to.
-
-    Province means the store's. Plain returns know neither store nor customer, so those
-    filters reach them only after :func:`enrich_returns`.
-    """
-    picks = {
-        "stores": {"province": province, "store_id": store_id},
-        "products": {"category": category},
-        "customers": {"customer_segment": customer_segment},
-    }
-    changed: dict[str, DataFrame] = {}
-    for dim, wanted in picks.items():
-        wanted = {c: v for c, v in wanted.items() if v is not None}
-        if wanted:
-            rows = t.table(dim)
-            for c, v in wanted.items():
-                rows = rows.filter(F.col(c) == F.lit(v))
-            changed[dim] = rows
-    for fact, date in FACT_DATE.items():
-        rows = t.table(fact)
-        if date_from is not None:
-            rows = rows.filter(F.col(date) >= F.lit(date_from).cast("date"))
-            if "month" in rows.columns:  # prunes partitions
-                rows = rows.filter(F.col("month") >= F.lit(str(date_from)[:7]))
-        if date_to is not None:
-            rows = rows.filter(F.col(date) <= F.lit(date_to).cast("date"))
-            if "month" in rows.columns:
-                rows = rows.filter(F.col("month") <= F.lit(str(date_to)[:7]))
-        for dim, key in KEYS.items():
-            if dim in changed and key in rows.columns:
-                rows = rows.join(changed[dim].select(key), key, "left_semi")
-        changed[fact] = rows
-    return t.replace(**changed)
-
-
-def slice_totals(t: RetailTables) -> DataFrame:
-    """Rows and units of each fact, one row per fact."""
-    units = {"sales": "quantity", "inventory": "units_sold", "returns": "quantity_returned"}
-    return union_all(
-        [
-            t.table(fact)
-            .agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(c), F.lit(0)).alias("units"))
-            .select(F.lit(fact).alias("fact"), "row_count", "units")
-            for fact, c in units.items()
-        ]
-    )
-
-
 def enrich_returns(t: RetailTables) -> DataFrame:
     """Returns with store and customer of their sale line.
 
