@@ -1,11 +1,11 @@
 """Ranks and running sums over a whole table without putting it in one task.
 
 A window with no PARTITION BY (or with one huge partition) runs in a single task. Here
-the rows are range-partitioned into slices by (group, order, key) and written once, so
-slice numbers cannot change on a retry. Each slice is windowed on its own and the
-totals of earlier slices, one small row per slice, are broadcast back as offsets.
-Because the unique key is part of the range, even a value shared by most rows spreads
-over several slices.
+the rows are range-partitioned into slices by (group, order, key), each slice is windowed
+on its own, and the result is written once. The last row of each slice says how many rows
+and which sums came before the next one; those offsets, one small row per slice, are
+broadcast back. Because the unique key is part of the range, even a value shared by most
+rows spreads over several slices.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tillwise.sources.staging import stage
 
-_SLICE, _POS, _RANK = "__slice", "__pos", "__rank"
+_SLICE, _POS, _RANK, _LAST = "__slice", "__pos", "__rank", "__last"
 
 
 def _sort(column: str) -> Column:
@@ -54,72 +54,55 @@ def with_order_stats(
     within = list(within)
     values = [_name(c) for c in order]
     by_key = [_sort(c) for c in order] + [F.col(k).asc() for k in key]
-    staged = stage(
-        df.repartitionByRange(*[F.col(w).asc() for w in within], *by_key).withColumn(
-            _SLICE, F.spark_partition_id()
-        ),
-        "ordered",
-    )
-
     part = [_SLICE, *within]
     keyed = Window.partitionBy(*part).orderBy(*by_key)
     so_far = keyed.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = staged.withColumns(
-        {
-            _POS: F.row_number().over(keyed),
-            **{out: F.sum(c).over(so_far) for out, c in running.items()},
-        }
-    )
+    local = {
+        _POS: F.row_number().over(keyed),
+        _LAST: F.lead(F.lit(True)).over(keyed).isNull(),
+        **{out: F.sum(c).over(so_far) for out, c in running.items()},
+    }
     if rank:
         valued = Window.partitionBy(*part).orderBy(*[_sort(c) for c in order])
-        local = local.withColumn(_RANK, F.rank().over(valued))
-
-    # One row per (slice, group): its size, its sums and, for ranks, both end rows.
-    ends = [F.col(c).alias(f"__v_{c}") for c in values]
-    edge_rows = [
-        F.min(F.struct(F.col(_POS), *ends)).alias("__head"),
-        F.max(F.struct(F.col(_POS), F.col(_RANK), *ends)).alias("__tail"),
-    ]
-    summary = local.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.sum(c).alias(f"__sum_{out}") for out, c in running.items()],
-        *(edge_rows if rank else []),
+        local[_RANK] = F.rank().over(valued)
+    sliced = df.repartitionByRange(*[F.col(w).asc() for w in within], *by_key).withColumn(
+        _SLICE, F.spark_partition_id()
     )
+    staged = stage(sliced.withColumns(local), "ordered")
+
+    # The last row of each (slice, group) carries its size, its sums and its last rank.
     earlier = (
         Window.partitionBy(*within)
         .orderBy(_SLICE)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    totals = summary.withColumns(
+    tails = staged.filter(F.col(_LAST)).withColumns(
         {
-            "__before": F.coalesce(F.sum("__rows").over(earlier), F.lit(0)),
-            **{f"__base_{out}": F.sum(f"__sum_{out}").over(earlier) for out in running},
+            "__before": F.coalesce(F.sum(_POS).over(earlier), F.lit(0)),
+            **{f"__base_{out}": F.sum(out).over(earlier) for out in running},
         }
     )
     # Only the first group of a slice can have rows in earlier slices, so this holds at
     # most one row per slice: a bounded broadcast.
-    carried = totals.filter(F.col("__before") > 0).select(
+    carried = tails.filter(F.col("__before") > 0).select(
         F.col(_SLICE).alias("__c_slice"),
         *[F.col(w).alias(f"__c_{w}") for w in within],
-        *[F.col(f"__head.__v_{c}").alias(f"__h_{c}") for c in values if rank],
         "__before",
         *[f"__base_{out}" for out in running],
     )
     if rank:
-        carried = _with_tie_starts(carried, totals, values, within)
+        carried = _with_tie_starts(carried, staged, tails, values, within)
 
     same_part = [F.col(_SLICE) == F.col("__c_slice")] + [
         F.col(w).eqNullSafe(F.col(f"__c_{w}")) for w in within
     ]
-    joined = local.join(F.broadcast(carried), _all(same_part), "left")
+    joined = staged.join(F.broadcast(carried), _all(same_part), "left")
     before = F.coalesce(F.col("__before"), F.lit(0))
     out: dict[str, Column] = {}
     if rank:
-        in_head_tie = _all([F.col(c).eqNullSafe(F.col(f"__h_{c}")) for c in values])
+        runs_in = F.col("__tie_start").isNotNull() & (F.col(_RANK) == 1)
         out[rank] = (
-            F.when(F.col("__tie_start").isNotNull() & in_head_tie, F.col("__tie_start"))
-            .otherwise(before + F.col(_RANK))
-            .cast("long")
+            F.when(runs_in, F.col("__tie_start")).otherwise(before + F.col(_RANK)).cast("long")
         )
     if row_number:
         out[row_number] = (before + F.col(_POS)).cast("long")
@@ -140,26 +123,44 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def _with_tie_starts(
-    carried: DataFrame, totals: DataFrame, values: Sequence[str], within: Sequence[str]
+    carried: DataFrame,
+    staged: DataFrame,
+    tails: DataFrame,
+    values: Sequence[str],
+    within: Sequence[str],
 ) -> DataFrame:
     """Add the rank of a tie that runs into a slice from earlier ones.
 
     The tie starts where the first slice that ends in it says it does.
     """
-    tail = [F.col(f"__tail.__v_{c}").alias(f"__t_{c}") for c in values]
-    ends = totals.select(
+    heads = staged.filter(F.col(_POS) == 1).select(
+        F.col(_SLICE).alias("__h_slice"),
+        *[F.col(w).alias(f"__h_{w}") for w in within],
+        *[F.col(c).alias(f"__hv_{c}") for c in values],
+    )
+    ends = tails.select(
         *[F.col(w).alias(f"__t_{w}") for w in within],
-        *tail,
-        (F.col("__before") + F.col(f"__tail.{_RANK}")).alias("__start"),
+        *[F.col(c).alias(f"__tv_{c}") for c in values],
+        (F.col("__before") + F.col(_RANK)).alias("__start"),
     )
-    keys = [f"__t_{c}" for c in (*within, *values)]
+    keys = [*[f"__t_{w}" for w in within], *[f"__tv_{c}" for c in values]]
     starts = ends.groupBy(*keys).agg(F.min("__start").alias("__tie_start"))
-    same = [F.col(f"__c_{w}").eqNullSafe(F.col(f"__t_{w}")) for w in within] + [
-        F.col(f"__h_{c}").eqNullSafe(F.col(f"__t_{c}")) for c in values
+    same_slice = [F.col("__c_slice") == F.col("__h_slice")] + [
+        F.col(f"__c_{w}").eqNullSafe(F.col(f"__h_{w}")) for w in within
+    ]
+    same_tie = [F.col(f"__c_{w}").eqNullSafe(F.col(f"__t_{w}")) for w in within] + [
+        F.col(f"__hv_{c}").eqNullSafe(F.col(f"__tv_{c}")) for c in values
     ]
     # A start beyond the rows before the slice belongs to a tie that begins in it.
-    return carried.join(starts, _all(same), "left").withColumn(
-        "__tie_start", F.when(F.col("__tie_start") <= F.col("__before"), F.col("__tie_start"))
+    return (
+        carried.join(heads, _all(same_slice))
+        .join(starts, _all(same_tie), "left")
+        .select(
+            *carried.columns,
+            F.when(F.col("__tie_start") <= F.col("__before"), F.col("__tie_start")).alias(
+                "__tie_start"
+            ),
+        )
     )
 
 
