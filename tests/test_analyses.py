@@ -148,9 +148,15 @@ def test_measures_without_dimensions(star):
 
 def test_time_measures(star):
     got = rows(measures.time_measures(star).orderBy("month"))
-    assert [(r[0], r[2], r[4]) for r in got] == [
-        ("2023-01", None, 29.0), ("2023-03", None, 54.0), ("2024-01", None, 20.0),
+    assert got == [
+        ("2023-01", None, None, 29.0), ("2023-03", None, None, 54.0), ("2024-01", None, None, 20.0),
     ]
+    april = star.sales.filter("order_id = 'O3'").withColumn("order_date", F.lit(d("2023-04-01")))
+    consecutive = star.replace(sales=star.sales.unionByName(april))
+    growth = {r[0]: r[1:] for r in rows(measures.time_measures(consecutive, names=["previous_month_revenue", "mom_growth"]))}
+    assert growth["2023-04"] == (25.0, pytest.approx(-0.4)) and growth["2023-03"] == (None, None)
+    with pytest.raises(ValueError, match="weekly"):
+        measures.time_measures(star, names=["weekly"])
 
 
 def test_date_dimension_covers_every_day(star):

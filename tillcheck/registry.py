@@ -324,7 +324,7 @@ def measure_queries() -> dict[str, Query]:
         if name not in hidden
     }
     for name in measures.TIME_MEASURES:
-        out[f"measure_{name}"] = _on_star(measures.time_measure, name=name, by=["category"])
+        out[f"measure_{name}"] = _on_star(measures.time_measures, by=["category"], names=[name])
     out["measure_by_company"] = _on_star(
         measures.measure_by,
         names=["total_revenue", "orders", "return_rate", "stockout_rate", "repeat_customers"],

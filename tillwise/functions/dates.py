@@ -15,13 +15,10 @@ def with_month(df: DataFrame, date_col: str) -> DataFrame:
     return df if "month" in df.columns else df.withColumn("month", month_key(date_col))
 
 
-def month_start(month: Column | str) -> Column:
-    c = F.col(month) if isinstance(month, str) else month
-    return F.to_date(F.concat(c, F.lit("-01")), "yyyy-MM-dd")
-
-
-def shift_month(month: Column | str, by: int) -> Column:
-    return month_key(F.add_months(month_start(month), by))
+def month_number(month: Column | str) -> Column:
+    """Months since year 0 of a ``yyyy-MM`` key: consecutive months differ by one."""
+    year, of_year = F.substring(month, 1, 4), F.substring(month, 6, 2)
+    return year.cast("int") * 12 + of_year.cast("int")
 
 
 def to_date(c: Column | str) -> Column:

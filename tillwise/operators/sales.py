@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.dates import shift_month, with_month
+from tillwise.functions.dates import with_month
 from tillwise.functions.numeric import dbl, growth_pct, lng, mean, money_mean, money_sum, pct, round2
 from tillwise.model import RetailTables
+from tillwise.plans.calendar import calendar_lag
 
 
 def monthly_revenue(t: RetailTables) -> DataFrame:
@@ -40,12 +41,9 @@ def monthly_sales(t: RetailTables) -> DataFrame:
 
 def with_previous(monthly: DataFrame, out: str, calendar: bool = False, by: int = 1) -> DataFrame:
     """Add revenue of the ``by``-th earlier row, or of the calendar month ``by`` back."""
-    if not calendar:
-        return monthly.withColumn(out, F.lag("revenue", by).over(Window.orderBy("month")))
-    shifted = monthly.select(
-        shift_month("month", by).alias("month"), F.col("revenue").alias(out)
-    )
-    return monthly.join(shifted, "month", "left")
+    if calendar:
+        return calendar_lag(monthly, "revenue", out, by)
+    return monthly.withColumn(out, F.lag("revenue", by).over(Window.orderBy("month")))
 
 
 def month_over_month(t: RetailTables, calendar: bool = False) -> DataFrame:

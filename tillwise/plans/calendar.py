@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.dates import month_key, shift_month
+from tillwise.functions.dates import month_key, month_number
 from tillwise.functions.numeric import lng, ratio
 from tillwise.functions.relations import union_all
 from tillwise.model import RetailTables
@@ -44,16 +44,13 @@ def date_dimension(t: RetailTables) -> DataFrame:
 def calendar_lag(
     monthly: DataFrame, value: str, out: str, months: int = 1, by: Sequence[str] = ()
 ) -> DataFrame:
-    """``value`` of the month ``months`` earlier within ``by``; NULL if that month is absent."""
-    shifted = monthly.select(
-        *[F.col(c).alias(f"__{c}") for c in by],
-        shift_month("month", months).alias("__month"),
-        F.col(value).alias(out),
-    )
-    same = monthly["month"] == shifted["__month"]
-    for c in by:
-        same = same & monthly[c].eqNullSafe(shifted[f"__{c}"])
-    return monthly.join(shifted, same, "left").drop("__month", *[f"__{c}" for c in by])
+    """``value`` of the month ``months`` earlier within ``by``; NULL if that month is absent.
+
+    The frame is one point on the month axis, so gaps are seen as gaps. A partition holds
+    one row per month.
+    """
+    at = Window.partitionBy(*by).orderBy(month_number("month")).rangeBetween(-months, -months)
+    return monthly.withColumn(out, F.first(value).over(at))
 
 
 def growth(now: str, before: str):

@@ -277,22 +277,22 @@ def measure_by(
     return grid.select(*dims, *outputs)
 
 
-def time_measures(t: RetailTables, by: Sequence[str] = ()) -> DataFrame:
-    """Monthly revenue with previous calendar month, growth on it, and year to date."""
+def time_measures(
+    t: RetailTables, by: Sequence[str] = (), names: Sequence[str] = TIME_MEASURES
+) -> DataFrame:
+    """Measures on the month axis: previous calendar month, growth on it, year to date."""
+    unknown = sorted(set(names) - set(TIME_MEASURES))
+    if unknown:
+        raise ValueError(f"unknown time measures: {', '.join(unknown)}")
     by = list(by)
-    monthly = _additive(t, "sales", {"total_revenue": MEASURES["total_revenue"]}, [*by, "month"])
-    lagged = calendar_lag(monthly, "total_revenue", "previous_month_revenue", by=by)
-    return year_to_date(lagged, "total_revenue", "ytd_revenue", by=by).select(
-        *by,
-        "month",
-        dbl("total_revenue").alias("total_revenue"),
-        dbl("previous_month_revenue").alias("previous_month_revenue"),
-        growth("total_revenue", "previous_month_revenue").alias("mom_growth"),
-        dbl("ytd_revenue").alias("ytd_revenue"),
-    )
-
-
-def time_measure(t: RetailTables, name: str, by: Sequence[str] = ()) -> DataFrame:
-    if name not in TIME_MEASURES:
-        raise ValueError(f"unknown time measure {name}")
-    return time_measures(t, by).select(*by, "month", name)
+    out = _additive(t, "sales", {"total_revenue": MEASURES["total_revenue"]}, [*by, "month"])
+    if {"previous_month_revenue", "mom_growth"} & set(names):
+        out = calendar_lag(out, "total_revenue", "previous_month_revenue", by=by)
+    if "ytd_revenue" in names:
+        out = year_to_date(out, "total_revenue", "ytd_revenue", by=by)
+    values = {
+        "previous_month_revenue": dbl("previous_month_revenue"),
+        "mom_growth": growth("total_revenue", "previous_month_revenue"),
+        "ytd_revenue": dbl("ytd_revenue"),
+    }
+    return out.select(*by, "month", *[values[n].alias(n) for n in names])
