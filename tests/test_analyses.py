@@ -168,6 +168,8 @@ def test_date_dimension_covers_every_day(star):
 def test_slice_filters_only_related_facts(star):
     picked = slicing.slice_star(star, date_from="2023-01-01", date_to="2023-12-31", province="Ontario")
     assert {r[0]: r[1] for r in rows(slicing.slice_totals(picked))} == {"sales": 3, "inventory": 2, "returns": 2}
+    s2 = slicing.slice_star(star, supplier="S2", subcategory="B", category="Office")
+    assert {r[0]: r[1] for r in rows(slicing.slice_totals(s2))} == {"sales": 2, "inventory": 2, "returns": 1}
     bob = slicing.slice_star(star, customer_segment="Loyal")
     assert {r[0]: r[1] for r in rows(slicing.slice_totals(bob))} == {"sales": 1, "inventory": 4, "returns": 2}
 

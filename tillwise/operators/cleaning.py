@@ -20,13 +20,15 @@ from tillwise.functions.dates import to_date
 from tillwise.functions.numeric import close_to, is_integral, to_number
 from tillwise.functions.relations import side_by_side
 from tillwise.functions.text import full_match, normalize_province, normalize_text
+from tillwise.sources.staging import stage
 
 _VALID = "__valid"
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def _as_is(df: DataFrame, name: str) -> DataFrame:
+def as_is(df: DataFrame, name: str) -> DataFrame:
+    """A ``keep`` that keeps nothing: the table is computed again by every consumer."""
     return df
 
 
@@ -90,7 +92,7 @@ def domain_default(c: Column | str, domain: Sequence[str], default: str) -> Colu
     return F.when(c.isin(*domain), c).otherwise(F.lit(default))
 
 
-def lookup(dim: DataFrame, key: str, columns: Sequence[str] = (), keep: Keep = _as_is) -> DataFrame:
+def lookup(dim: DataFrame, key: str, columns: Sequence[str] = (), keep: Keep = as_is) -> DataFrame:
     """One row per key with ``columns``, renamed to ``__<key>`` and ``__<column>``.
 
     Unique keys mean a join can never multiply fact rows. A dimension too large to
@@ -105,7 +107,7 @@ def lookup(dim: DataFrame, key: str, columns: Sequence[str] = (), keep: Keep = _
 
 
 def impute_from_dim(
-    df: DataFrame, dim: DataFrame, key: str, column: str, keep: Keep = _as_is
+    df: DataFrame, dim: DataFrame, key: str, column: str, keep: Keep = as_is
 ) -> DataFrame:
     """Fill NULLs of ``column`` with the dimension's value for the same key."""
     values = lookup(dim, key, [column], keep)
@@ -120,7 +122,7 @@ def map_unknown_member(
     key: str,
     unknown: object,
     flag: str | None = None,
-    keep: Keep = _as_is,
+    keep: Keep = as_is,
 ) -> DataFrame:
     """Point NULL or orphan keys at the unknown member; ``flag`` marks the rows changed."""
     found = F.col(f"__{key}")
@@ -273,7 +275,7 @@ def clean_customers(
     patterns: Mapping[str, str] = model.ID_PATTERNS,
     segments: Sequence[str] = model.SEGMENTS,
     dedupe_after_normalize: bool = False,
-    keep: Keep = _as_is,
+    keep: Keep = as_is,
 ) -> Cleaned:
     columns = model.RAW_COLUMNS["customers"]
     raw = require_columns(raw, "customers", columns).select(*columns)
@@ -317,7 +319,7 @@ def clean_products(
     patterns: Mapping[str, str] = model.ID_PATTERNS,
     categories: Sequence[str] = model.CATEGORIES,
     dedupe_after_normalize: bool = False,
-    keep: Keep = _as_is,
+    keep: Keep = as_is,
 ) -> Cleaned:
     columns = model.RAW_COLUMNS["products"]
     raw = require_columns(raw, "products", columns).select(*columns)
@@ -353,7 +355,7 @@ def clean_stores(
     patterns: Mapping[str, str] = model.ID_PATTERNS,
     store_types: Sequence[str] = model.STORE_TYPES,
     dedupe_after_normalize: bool = False,
-    keep: Keep = _as_is,
+    keep: Keep = as_is,
 ) -> Cleaned:
     columns = model.RAW_COLUMNS["stores"]
     raw = require_columns(raw, "stores", columns).select(*columns)
@@ -392,7 +394,7 @@ def clean_sales(
     patterns: Mapping[str, str] = model.ID_PATTERNS,
     rounding: str = "half_up",
     dedupe_after_normalize: bool = False,
-    keep: Keep = _as_is,
+    keep: Keep = as_is,
 ) -> Cleaned:
     """Needs the three cleaned dimensions; orphan customers move to the unknown member."""
     columns = model.RAW_COLUMNS["sales"]
@@ -456,7 +458,7 @@ def clean_inventory(
     products: DataFrame,
     stores: DataFrame,
     dedupe_after_normalize: bool = False,
-    keep: Keep = _as_is,
+    keep: Keep = as_is,
 ) -> Cleaned:
     columns = model.RAW_COLUMNS["inventory"]
     raw = require_columns(raw, "inventory", columns).select(*columns)
@@ -502,7 +504,7 @@ def clean_returns(
     sales: DataFrame,
     patterns: Mapping[str, str] = model.ID_PATTERNS,
     dedupe_after_normalize: bool = False,
-    keep: Keep = _as_is,
+    keep: Keep = as_is,
 ) -> Cleaned:
     """Needs the cleaned sales."""
     columns = model.RAW_COLUMNS["returns"]
@@ -540,9 +542,13 @@ def clean_all(
     store_types: Sequence[str] = model.STORE_TYPES,
     rounding: str = "half_up",
     dedupe_after_normalize: bool = False,
-    keep: Keep = _as_is,
+    keep: Keep = stage,
 ) -> dict[str, Cleaned]:
-    """Clean dimensions, then sales and inventory, then returns."""
+    """Clean dimensions, then sales and inventory, then returns.
+
+    Later tables look up earlier ones and the report reads all, so each checked table is
+    written to shared storage as it is reached; pass ``keep=as_is`` to stay lazy.
+    """
     after = dedupe_after_normalize
     part = clean_customers(raw["customers"], patterns, segments, after, keep)
     customers = Cleaned(

@@ -22,6 +22,8 @@ def slice_star(
     province: str | None = None,
     store_id: object | None = None,
     category: str | None = None,
+    subcategory: str | None = None,
+    supplier: str | None = None,
     customer_segment: str | None = None,
 ) -> RetailTables:
     """Filter dimensions, and through them the facts they relate to.
@@ -31,7 +33,7 @@ def slice_star(
     """
     picks = {
         "stores": {"province": province, "store_id": store_id},
-        "products": {"category": category},
+        "products": {"category": category, "subcategory": subcategory, "supplier": supplier},
         "customers": {"customer_segment": customer_segment},
     }
     changed: dict[str, DataFrame] = {}
