@@ -199,6 +199,15 @@ def measures() -> dict[str, str]:
             FROM sales_base GROUP BY customer_segment, province""",
         BASES,
     )
+    out["measure_by_province_category"] = star_query(
+        f"""SELECT province, category, {dbl('prof')} AS total_profit, {dbl('worth')} AS closing_inventory_value,
+                   v AS avg_monthly_inventory_value
+            FROM (SELECT province, category, SUM(profit) AS prof FROM sales_base GROUP BY ALL)
+            JOIN (SELECT province, category, SUM(closing_stock * unit_cost) AS worth
+                  FROM stock_base GROUP BY ALL) USING (province, category)
+            JOIN {_average_value('province, category')} USING (province, category)""",
+        BASES,
+    )
     out["measure_by_province_stock_and_sales"] = star_query(
         f"""SELECT province, {ratio('prof', 'rev')} AS profit_margin, {ratio('zero', 'seen')} AS stockout_rate
             FROM (SELECT province, SUM(profit) AS prof, SUM(net_revenue) AS rev FROM sales_base GROUP BY ALL)

@@ -334,6 +334,11 @@ def measure_queries() -> dict[str, Query]:
         names=["total_revenue", "customers", "returned_units"],
         dims=["customer_segment", "province"],
     )
+    out["measure_by_province_category"] = _on_star(
+        measures.measure_by,
+        names=["total_profit", "closing_inventory_value", "avg_monthly_inventory_value"],
+        dims=["province", "category"],
+    )
     out["measure_by_province_stock_and_sales"] = _on_star(
         measures.measure_by, names=["profit_margin", "stockout_rate"], dims=["province"]
     )

@@ -162,22 +162,31 @@ def _described(t: RetailTables, rows: DataFrame, fact: str, dims: Sequence[str])
 def _additive(
     t: RetailTables, fact: str, measures: dict[str, Additive], dims: Sequence[str]
 ) -> DataFrame:
-    """Sum at key grain, join the dimensions to the small result, sum again."""
+    """Additive measures of one fact by attributes.
+
+    With one dimension table the facts are summed by its key before the join, so only a
+    row per key meets it. Keys of several tables together are close to fact grain; then
+    summing twice would shuffle the facts for nothing, and they are joined directly.
+    """
     weight = next((m.weight for m in measures.values() if m.weight), None)
     tables = {ATTRIBUTES[d] for d in dims if d != "__month"} | ({"products"} if weight else set())
     keys = [key for table, key in KEYS.items() if table in tables]
     dates = [d for d in dims if d == "__month" or ATTRIBUTES[d] == "date"]
-    sums = _with_dates(t.table(fact), fact, dates).groupBy(*keys, *dates).agg(
-        *[m.total().alias(n) for n, m in measures.items()]
-    )
-    joined = _join_dims(t, sums, dims, weight)
-    final = []
-    for name, m in measures.items():
-        value = F.col(name)
-        if m.weight:
-            value = value.cast("decimal(18,0)") * F.col(m.weight)
-        final.append(F.sum(value).alias(name))
-    return joined.groupBy(*dims).agg(*final)
+    dated = _with_dates(t.table(fact), fact, dates)
+
+    def weighted(value: Column, m: Additive) -> Column:
+        return value.cast("decimal(18,0)") * F.col(m.weight) if m.weight else value
+
+    if len(keys) > 1:
+        totals = {
+            n: F.sum(weighted(m.source(), m)) if m.weight else m.total() for n, m in measures.items()
+        }
+        joined = _join_dims(t, dated, dims, weight)
+    else:
+        per_key = dated.groupBy(*keys, *dates).agg(*[m.total().alias(n) for n, m in measures.items()])
+        totals = {n: F.sum(weighted(F.col(n), m)) for n, m in measures.items()}
+        joined = _join_dims(t, per_key, dims, weight)
+    return joined.groupBy(*dims).agg(*[c.alias(n) for n, c in totals.items()])
 
 
 def _direct(
