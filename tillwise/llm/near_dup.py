@@ -254,7 +254,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Rows are in one class if a chain of links joins them: equal word sequences, or a
     probability Jaccard of five-word shingles of at least the threshold. ``class_id`` is the
     least doc_id of the class (NULL only if all are NULL); ``is_first`` marks the rows with the
-    least (doc_id, mark), ``mark`` telling texts under one id apart. Texts without words (NULL,
+    least (doc_id, mark), ``mark`` telling texts under one id apart; classes whose least ids are
+    equal, as different texts share an id, also share the ``class_id``. Texts without words (NULL,
     empty, blank) are one class; texts of fewer than five words are one shingle. No bucket is
     capped: members are compared with one hub, and members of different components found so far
     by their rare shingles.

@@ -21,9 +21,9 @@ BASE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}
 ASSIGN_VALUE_CHARS = 6
 # Weak kinds: what each looks like, and which part of a credential it is.
 WEAK = {
-    "identity": r"(?i)\b(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{3,}",
+    "identity": r"(?i)(?<![A-Za-z0-9_])(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{3,}",
     "keylike": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}",
-    "endpoint": r"(?i)\b(?:https?|ftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]{3,}",
+    "endpoint": r"(?i)(?<![A-Za-z0-9_])(?:https?|ftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]{3,}",
 }
 PART = {
     "assign": "secret", "hex": "secret", "keylike": "secret",
