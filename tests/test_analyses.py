@@ -131,8 +131,17 @@ def test_enrichment_keeps_rows(star):
 def test_measures_repeat_over_unrelated_dimensions(star):
     got = {r[0]: r[1:] for r in rows(measures.measure_by(star, ["total_revenue", "returned_units"], ["customer_segment"]))}
     assert got == {"New": (65.0, 3), "Loyal": (9.0, 3)}
-    with pytest.raises(ValueError, match="customer_segment"):
-        measures.measure_by(star, ["returned_units"], ["customer_segment"])
+    alone = rows(measures.measure_by(star, ["returned_units"], ["customer_segment"]))
+    assert sorted(alone) == [("Loyal", 3), ("New", 3)]
+
+
+def test_no_rows_of_partly_related_facts_are_lost(star):
+    by = measures.measure_by(star, ["total_revenue", "returned_units"], ["month", "customer_segment"])
+    got = {(r[0], r[1]): r[2:] for r in rows(by)}
+    assert got["2023-02", "New"] == got["2023-02", "Loyal"] == (None, 1)  # a return in a month without sales
+    assert got["2024-01", "New"] == (20.0, None)
+    months = {m: v[1] for (m, _), v in got.items()}
+    assert sum(v for v in months.values() if v) == 3
 
 
 def test_measures_without_dimensions(star):
@@ -148,13 +157,18 @@ def test_measures_without_dimensions(star):
 
 def test_time_measures(star):
     got = rows(measures.time_measures(star).orderBy("month"))
-    assert got == [
-        ("2023-01", None, None, 29.0), ("2023-03", None, None, 54.0), ("2024-01", None, None, 20.0),
+    assert len(got) == 13  # every month of the date dimension
+    assert got[:4] == [
+        ("2023-01", None, None, 29.0), ("2023-02", 29.0, None, 29.0),
+        ("2023-03", None, None, 54.0), ("2023-04", 25.0, None, 54.0),
     ]
+    assert got[11] == ("2023-12", None, None, 54.0) and got[12] == ("2024-01", None, None, 20.0)
     april = star.sales.filter("order_id = 'O3'").withColumn("order_date", F.lit(d("2023-04-01")))
     consecutive = star.replace(sales=star.sales.unionByName(april))
     growth = {r[0]: r[1:] for r in rows(measures.time_measures(consecutive, names=["previous_month_revenue", "mom_growth"]))}
     assert growth["2023-04"] == (25.0, pytest.approx(-0.4)) and growth["2023-03"] == (None, None)
+    by = measures.time_measures(star, by=["category"]).groupBy("category").count()
+    assert sorted(rows(by)) == [("Home", 13), ("Office", 13)]
     with pytest.raises(ValueError, match="weekly"):
         measures.time_measures(star, names=["weekly"])
 

@@ -166,10 +166,16 @@ def measures() -> dict[str, str]:
         f"SELECT {named}, {ratio('again', 'everyone')} AS repeat_customer_rate FROM {_repeats(keys)}",
         BASES,
     )
-    monthly = """monthly AS (SELECT category, month, CAST(month || '-01' AS DATE) AS m,
-        year(CAST(month || '-01' AS DATE)) AS yr, SUM(net_revenue) AS rev
-        FROM sales JOIN products USING (product_id) GROUP BY ALL)"""
-    before = """monthly a LEFT JOIN monthly b
+    monthly = """days AS (SELECT order_date AS x FROM sales UNION ALL SELECT date FROM inventory
+          UNION ALL SELECT return_date FROM returns),
+      axis AS (SELECT CAST(unnest(generate_series(date_trunc('month', MIN(x)), date_trunc('month', MAX(x)),
+                 INTERVAL 1 MONTH)) AS DATE) AS m FROM days),
+      monthly AS (SELECT category, CAST(month || '-01' AS DATE) AS m, SUM(net_revenue) AS rev
+        FROM sales JOIN products USING (product_id) GROUP BY ALL),
+      grid AS (SELECT category, m, year(m) AS yr, strftime(m, '%Y-%m') AS month, rev
+        FROM (SELECT category, m FROM (SELECT DISTINCT category FROM monthly), axis)
+        LEFT JOIN monthly USING (category, m))"""
+    before = """grid a LEFT JOIN grid b
         ON a.category = b.category AND b.m = a.m - INTERVAL 1 MONTH"""
     out["measure_previous_month_revenue"] = star_query(
         f"""SELECT a.category, a.month, {dbl('b.rev')} AS previous_month_revenue FROM {before}""", monthly
@@ -180,10 +186,24 @@ def measures() -> dict[str, str]:
     )
     out["measure_ytd_revenue"] = star_query(
         f"""SELECT a.category, a.month, {dbl('SUM(b.rev)')} AS ytd_revenue
-            FROM monthly a JOIN monthly b ON a.category = b.category AND a.yr = b.yr AND b.m <= a.m
+            FROM grid a JOIN grid b ON a.category = b.category AND a.yr = b.yr AND b.m <= a.m
             GROUP BY a.category, a.month""",
         monthly,
     )
+    out["measure_by_month_segment"] = star_query(
+        f"""SELECT month, customer_segment, {dbl('s.rev')} AS total_revenue, r.units AS returned_units
+            FROM (SELECT month, customer_segment, SUM(net_revenue) AS rev FROM sales_base GROUP BY ALL) s
+            FULL JOIN (SELECT g.month, k.customer_segment, g.units
+                       FROM (SELECT {month('return_date')} AS month, {big('SUM(quantity_returned)')} AS units
+                             FROM returns GROUP BY ALL) g,
+                            (SELECT DISTINCT customer_segment FROM customers) k) r
+            USING (month, customer_segment)""",
+        BASES,
+    )
+    out["measure_by_segment_unrelated"] = star_query(
+        f"""SELECT DISTINCT customer_segment, (SELECT {big('SUM(quantity_returned)')} FROM returns) AS returned_units
+            FROM customers"""
+    )
     out["measure_by_company"] = star_query(
         f"""SELECT {dbl('SUM(net_revenue)')} AS total_revenue, COUNT(DISTINCT order_id) AS orders,
                    {ratio('(SELECT SUM(quantity_returned) FROM returns)', 'SUM(quantity)')} AS return_rate,
@@ -193,26 +213,30 @@ def measures() -> dict[str, str]:
             FROM sales"""
     )
     out["measure_by_segment_province"] = star_query(
-        f"""SELECT customer_segment, province, {dbl('SUM(net_revenue)')} AS total_revenue,
-                   COUNT(DISTINCT customer_id) FILTER ({KNOWN}) AS customers,
+        f"""SELECT customer_segment, province, total_revenue, customers,
                    (SELECT {big('SUM(quantity_returned)')} FROM returns) AS returned_units
-            FROM sales_base GROUP BY customer_segment, province""",
+            FROM (SELECT customer_segment, province, {dbl('SUM(net_revenue)')} AS total_revenue,
+                         COUNT(DISTINCT customer_id) FILTER ({KNOWN}) AS customers
+                  FROM sales_base GROUP BY customer_segment, province)
+            RIGHT JOIN (SELECT * FROM (SELECT DISTINCT customer_segment FROM customers),
+                                      (SELECT DISTINCT province FROM stores))
+            USING (customer_segment, province)""",
         BASES,
     )
     out["measure_by_province_category"] = star_query(
         f"""SELECT province, category, {dbl('prof')} AS total_profit, {dbl('worth')} AS closing_inventory_value,
                    v AS avg_monthly_inventory_value
             FROM (SELECT province, category, SUM(profit) AS prof FROM sales_base GROUP BY ALL)
-            JOIN (SELECT province, category, SUM(closing_stock * unit_cost) AS worth
-                  FROM stock_base GROUP BY ALL) USING (province, category)
-            JOIN {_average_value('province, category')} USING (province, category)""",
+            FULL JOIN (SELECT province, category, SUM(closing_stock * unit_cost) AS worth
+                       FROM stock_base GROUP BY ALL) USING (province, category)
+            FULL JOIN {_average_value('province, category')} USING (province, category)""",
         BASES,
     )
     out["measure_by_province_stock_and_sales"] = star_query(
         f"""SELECT province, {ratio('prof', 'rev')} AS profit_margin, {ratio('zero', 'seen')} AS stockout_rate
             FROM (SELECT province, SUM(profit) AS prof, SUM(net_revenue) AS rev FROM sales_base GROUP BY ALL)
-            JOIN (SELECT province, COUNT(*) FILTER (closing_stock = 0) AS zero, COUNT(*) AS seen
-                  FROM stock_base GROUP BY ALL) USING (province)""",
+            FULL JOIN (SELECT province, COUNT(*) FILTER (closing_stock = 0) AS zero, COUNT(*) AS seen
+                       FROM stock_base GROUP BY ALL) USING (province)""",
         BASES,
     )
     return out

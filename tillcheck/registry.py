@@ -334,6 +334,14 @@ def measure_queries() -> dict[str, Query]:
         names=["total_revenue", "customers", "returned_units"],
         dims=["customer_segment", "province"],
     )
+    out["measure_by_month_segment"] = _on_star(
+        measures.measure_by,
+        names=["total_revenue", "returned_units"],
+        dims=["month", "customer_segment"],
+    )
+    out["measure_by_segment_unrelated"] = _on_star(
+        measures.measure_by, names=["returned_units"], dims=["customer_segment"]
+    )
     out["measure_by_province_category"] = _on_star(
         measures.measure_by,
         names=["total_profit", "closing_inventory_value", "avg_monthly_inventory_value"],

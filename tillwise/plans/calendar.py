@@ -41,6 +41,24 @@ def date_dimension(t: RetailTables) -> DataFrame:
     )
 
 
+def on_month_axis(t: RetailTables, monthly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``monthly`` with a row for every month of the date dimension per value of ``by``.
+
+    The months travel as one array, bounded by the calendar.
+    """
+    span = fact_dates(t).agg(F.min("date").alias("lo"), F.max("date").alias("hi")).filter("lo IS NOT NULL")
+    firsts = F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"), F.expr("INTERVAL 1 MONTH"))
+    months = span.select(F.transform(firsts, month_key).alias("months"))
+    if not by:
+        return months.select(F.explode("months").alias("month")).join(monthly, "month", "left")
+    keys = [F.col(c).alias(f"__{c}") for c in by]
+    axis = monthly.select(*keys).distinct().select("*", F.explode(months.scalar()).alias("__month"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*by, "month")]
+    values = [c for c in monthly.columns if c not in by and c != "month"]
+    named = [F.col(f"__{c}").alias(c) for c in (*by, "month")]
+    return axis.join(monthly, same, "left").select(*named, *values)
+
+
 def calendar_lag(
     monthly: DataFrame, value: str, out: str, months: int = 1, by: Sequence[str] = ()
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from tillwise.functions.dates import month_key
 from tillwise.functions.numeric import dbl, lng, money_sum, ratio
 from tillwise.functions.relations import side_by_side
 from tillwise.model import RetailTables
-from tillwise.plans.calendar import calendar_lag, growth, year_to_date
+from tillwise.plans.calendar import calendar_lag, growth, on_month_axis, year_to_date
 from tillwise.plans.slicing import FACT_DATE, KEYS, slice_star
 
 # dimension attribute -> dimension table
@@ -254,9 +254,9 @@ def measure_by(
 ) -> DataFrame:
     """Measures by dimension attributes; no ``dims`` gives one row.
 
-    ``where`` holds filters of :func:`slice_star`, applied before aggregating. A fact that
-    a dimension does not relate to is not split by it: its value repeats over that
-    dimension.
+    ``where`` holds filters of :func:`slice_star`, applied before aggregating. Rows are the
+    full outer combination of the facts. A fact that a dimension does not relate to is not
+    split by it: its value repeats over all values of that dimension.
     """
     dims = list(dims)
     if where:
@@ -265,36 +265,42 @@ def measure_by(
     outputs = [_value(n).alias(n) for n in names]
     if not dims:
         return side_by_side(*[f for _, f in frames]).select(*outputs)
-    whole = [f for own, f in frames if own == dims]
-    if not whole:
-        raise ValueError(f"no requested measure relates to all of {dims}")
-    stacked = whole[0]
-    for f in whole[1:]:
+    spread = [_repeated(t, f, own, dims) for own, f in frames]
+    stacked = spread[0]
+    for f in spread[1:]:
         stacked = stacked.unionByName(f, allowMissingColumns=True)
     values = [c for c in stacked.columns if c not in dims]
-    grid = stacked.groupBy(*dims).agg(*[F.max(c).alias(c) for c in values])
-    for own, f in frames:
-        if own == dims:
-            continue
-        if own:
-            renamed = f.withColumnsRenamed({c: f"__{c}" for c in own})
-            same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in own]
-            grid = grid.join(renamed, same, "left").drop(*[f"__{c}" for c in own])
-        else:
-            for c in f.columns:
-                grid = grid.withColumn(c, f.select(c).scalar())
-    return grid.select(*dims, *outputs)
+    return stacked.groupBy(*dims).agg(*[F.max(c).alias(c) for c in values]).select(*dims, *outputs)
+
+
+def _repeated(t: RetailTables, frame: DataFrame, own: Sequence[str], dims: Sequence[str]) -> DataFrame:
+    """A fact's rows once for every value of the dimension tables it does not relate to.
+
+    Those values are attributes asked for by name; they travel as one array per table, and
+    the result holds every one of them by definition.
+    """
+    for table in KEYS:
+        missing = [d for d in dims if d not in own and ATTRIBUTES[d] == table]
+        if missing:
+            values = t.table(table).select(F.struct(*missing).alias("v")).agg(F.collect_set("v").alias("v"))
+            frame = frame.select("*", F.inline(values.scalar()))
+    return frame
 
 
 def time_measures(
     t: RetailTables, by: Sequence[str] = (), names: Sequence[str] = TIME_MEASURES
 ) -> DataFrame:
-    """Measures on the month axis: previous calendar month, growth on it, year to date."""
+    """Measures on the date axis: previous calendar month, growth on it, year to date.
+
+    Each combination of ``by`` that has sales gets a row for every month of the date dimension,
+    so a month without sales still shows its year to date and its previous month.
+    """
     unknown = sorted(set(names) - set(TIME_MEASURES))
     if unknown:
         raise ValueError(f"unknown time measures: {', '.join(unknown)}")
     by = list(by)
-    out = _additive(t, "sales", {"total_revenue": MEASURES["total_revenue"]}, [*by, "month"])
+    sold = _additive(t, "sales", {"total_revenue": MEASURES["total_revenue"]}, [*by, "month"])
+    out = on_month_axis(t, sold, by)
     if {"previous_month_revenue", "mom_growth"} & set(names):
         out = calendar_lag(out, "total_revenue", "previous_month_revenue", by=by)
     if "ytd_revenue" in names:
