@@ -106,6 +106,22 @@ def test_returns(star):
     assert rows(returns.overall_return_rate(nothing)) == [(None, None, None)]
 
 
+def test_discount_bands_keep_fine_edges_apart(star):
+    fine = star.replace(sales=star.sales.withColumn("discount_pct", F.expr("CASE order_id WHEN 'O1' THEN 0.0005 WHEN 'O2' THEN 0.002 ELSE 0.5 END").cast("decimal(9,6)")))
+    labels = {r[0] for r in rows(sales.discount_bands(fine, edges=(0, 0.001, 0.004)))}
+    assert labels == {"Over 0 to 0.1%", "Over 0.1 to 0.4%", "Over 0.4%"}
+    with pytest.raises(ValueError, match="ascend"):
+        sales.discount_bands(star, edges=(0, 0.2, 0.1))
+
+
+def test_suite_computes_every_column(star):
+    def pruned(t):
+        return t.sales.select("order_id", F.raise_error(F.lit("no")).alias("x"))
+
+    with pytest.raises(RuntimeError, match="pruned"):
+        run_suite(star, {"pruned": pruned})
+
+
 def test_identities(star):
     total = star.sales.agg(F.sum("net_revenue")).first()[0]
     by_category = rows(products.category_performance(star))
@@ -191,7 +207,9 @@ def test_slice_filters_only_related_facts(star):
 def test_stockout_matrix(star):
     got = {r.store_id: r.asDict() for r in report.stockout_matrix(star, ["Home", "Office"]).collect()}
     assert got["S1"]["Home"] == 0.0 and got["S1"]["Office"] is None
-    assert got["S2"]["Office"] == 0.5
+    assert got["S2"]["Office"] == 0.5 and got["S2"]["other"] is None
+    rest = {r.store_id: r.other for r in report.stockout_matrix(star, ["Home"]).collect()}
+    assert rest == {"S1": None, "S2": 0.5}
 
 
 def test_executive_kpis_zero_policy(star):

@@ -192,3 +192,11 @@ def test_cleaning_an_empty_table(spark):
     out = cleaning.clean_all(raw)
     assert out["sales"].rows.count() == 0
     assert out["sales"].counts.first()["rows_before"] == 0
+
+
+def test_default_ids_may_grow(spark):
+    columns = ", ".join(f"{c} string" for c in model.RAW_COLUMNS["customers"])
+    rows = [(f"CUST{i}", "A", "Toronto", "ON", "2023-01-01", "New") for i in range(9990, 10010)]
+    raw = spark.createDataFrame(rows + [("CUST12", "B", "Toronto", "ON", "2023-01-01", "New")], columns)
+    assert cleaning.clean_customers(raw).rows.count() == 20
+    assert cleaning.clean_customers(raw, model.EXACT_ID_PATTERNS).rows.count() == 10

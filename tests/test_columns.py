@@ -45,12 +45,19 @@ def test_to_number_refuses_what_is_not_a_number(spark):
 
 
 def test_to_date_wants_iso(spark):
-    items = ["2024-02-29", " 2024-01-05 ", "2023-02-29", "2024-1-5", "2024", "13/40/2020", "2024-01-05 10:00", None]
+    items = ["2024-02-29", " 2024-01-05 ", "2023-02-29", "2024-1-5", "2024", "13/40/2020", "2024-01-05x10:00", None]
     assert values(spark, "string", items, dates.to_date) == [
         datetime.date(2024, 2, 29), datetime.date(2024, 1, 5), *[None] * 6,
     ]
 
 
+def test_to_date_takes_date_times(spark):
+    times = ["2024-03-05 00:00:00", "2024-03-05T23:59:59Z", "2024-03-05T23:30:00.123-05:00", " 2024-03-05 10:00"]
+    assert values(spark, "string", times, dates.to_date) == [datetime.date(2024, 3, 5)] * 4
+    other = values(spark, "string", ["05.03.2024", "2024-03-05", "x"], lambda c: dates.to_date(c, ["yyyy-MM-dd", "dd.MM.yyyy"]))
+    assert other == [datetime.date(2024, 3, 5), datetime.date(2024, 3, 5), None]
+
+
 def test_month_numbers_are_consecutive(spark):
     got = values(spark, "string", ["2023-12", "2024-01", "2025-01"], dates.month_number)
     assert got[1] - got[0] == 1 and got[2] - got[1] == 12

@@ -137,3 +137,20 @@ def test_staging_keeps_rows_and_types(star):
     assert same(staging.stage(star.sales, "sales"), star.sales)
     by_store = staging.stage(star.sales, "sales", ["store_id"])
     assert same(by_store, star.sales) and by_store.dtypes == star.sales.dtypes
+
+
+def test_raw_part_files_must_agree_on_the_header(spark, tmp_path):
+    files.write_raw(raw_tables(spark), str(tmp_path))
+    other = tmp_path / "stores.csv" / "part-other.csv"
+    other.write_text("store_name,store_id,city,province,store_type,opening_date\nX,STORE09,T,ON,Urban,2020-01-01\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_raw(spark, str(tmp_path))["stores"].collect()
+
+
+def test_loaded_star_keeps_the_unknown_member_and_is_checked(star):
+    frames = {n: star.table(n) for n in model.TABLES}
+    loaded = files.load_tables(frames, files.cleaned_schemas(star), "t_", unknown_customer="C2", check=True)
+    assert loaded.unknown_customer == "C2"
+    broken = {**frames, "products": star.products.filter("product_id <> 'P1'")}
+    with pytest.raises(AssertionError, match="sales: foreign_key:product_id->products"):
+        files.load_tables(broken, files.cleaned_schemas(star), "t_", check=True)

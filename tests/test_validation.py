@@ -82,6 +82,8 @@ def test_foreign_key_report_lists_values(star):
         ("sales", "products", "P1", 2),
         ("inventory", "products", "P1", 2),
     }
+    cut = v.foreign_key_report(star.replace(products=star.products.limit(0)), limit=1).collect()
+    assert {(r.table, r.orphan_values, r.orphan_rows) for r in cut} == {("sales", 3, 6), ("inventory", 2, 4)}
 
 
 def test_reconciliation(star):

@@ -42,7 +42,8 @@ def province(x: str) -> str:
 
 
 def date(x: str) -> str:
-    return f"CASE WHEN regexp_full_match(trim({x}), '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN TRY_CAST(trim({x}) AS DATE) END"
+    form = r"\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?"
+    return f"CASE WHEN regexp_full_match(trim({x}), '{form}') THEN TRY_CAST(substr(trim({x}), 1, 10) AS DATE) END"
 
 
 def number(x: str, kind: str = "DOUBLE") -> str:
@@ -188,6 +189,8 @@ def _summary(table: str) -> str:
         "invalid_rows_removed": f"(SELECT COUNT(*) FROM chk_{table} WHERE NOT valid)",
         "missing_values_handled": f"(SELECT SUM({nulls}) FROM raw_{table})",
     }
+    for c in RAW_COLUMNS[table]:
+        metrics[f"missing_values:{c}"] = f"(SELECT COUNT(*) FROM raw_{table} WHERE {c} IS NULL)"
     if table == "sales":
         metrics["customer_ids_assigned_to_unknown"] = "(SELECT COUNT(*) FROM chk_sales WHERE to_unknown)"
     if table == "inventory":
@@ -209,7 +212,9 @@ def all_cleaning() -> dict[str, str]:
     )
     out["cleaning_summary"] = clean_query(" UNION ALL ".join(_summary(t) for t in KEYS))
     out["write_cleaning_summary"] = out["cleaning_summary"]
-    out["count_missing"] = star_query(_missing("sales"), RAW_CTES)
+    out["count_missing"] = star_query(
+        " UNION ALL ".join(f"SELECT '{t}' AS table_name, * FROM ({_missing(t)})" for t in KEYS), RAW_CTES
+    )
     out["drop_exact_duplicates"] = star_query(
         """SELECT product_id, COUNT(*) AS row_count FROM (SELECT DISTINCT * FROM raw_sales)
            GROUP BY product_id""",
@@ -269,6 +274,14 @@ def all_cleaning() -> dict[str, str]:
                    {dbl('net_revenue')} AS net_revenue, {dbl('cost')} AS cost, {dbl('profit')} AS profit
             FROM sales"""
     )
+    half_even = """SELECT order_id, product_id, cost, CAST(CASE
+          WHEN (exact * 100) % 1 = 0.5 AND floor(exact * 100) % 2 = 0 THEN floor(exact * 100) / 100
+          ELSE ROUND(exact, 2) END AS DECIMAL(14,2)) AS net
+        FROM (SELECT *, gross_revenue * (1 - discount_pct) AS exact FROM sales)"""
+    out["derive_measures_half_even"] = star_query(
+        f"""SELECT order_id, product_id, {dbl('net')} AS net_revenue, {dbl('(net - cost)')} AS profit
+            FROM ({half_even})"""
+    )
     out["repair_balance"] = clean_query(
         f"""SELECT store_id, COUNT(*) AS row_count, COUNT(*) FILTER (repaired) AS repaired,
                    {big('SUM(closing_stock)')} AS closing_stock
@@ -285,17 +298,18 @@ def all_cleaning() -> dict[str, str]:
              AND r.quantity_returned <= s.quantity""",
         messy_suspect(),
     )
-    out["read_raw"] = star_query(
-        " UNION ALL ".join(
-            f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, "
-            f"COUNT(DISTINCT {KEYS[t].split(',')[0]}) AS first_key_values FROM raw_{t}"
-            for t in KEYS
-        ),
-        RAW_CTES,
-    )
+    out["read_raw"] = star_query(" UNION ALL ".join(_read(t) for t in KEYS), RAW_CTES)
     return out
 
 
+def _read(table: str) -> str:
+    cells = " || '|' || ".join(f"COALESCE({c}, '~')" for c in RAW_COLUMNS[table])
+    digest = f"CAST('0x' || substr(md5({cells}), 1, 8) AS BIGINT)"
+    return f"""SELECT '{table}' AS table_name, COUNT(*) AS row_count,
+                      COUNT(DISTINCT {KEYS[table].split(',')[0]}) AS first_key_values,
+                      {big(f'SUM({digest})')} AS content FROM raw_{table}"""
+
+
 def messy_suspect() -> str:
     from tillcheck.defects import SUSPECT
 

@@ -79,6 +79,8 @@ RAW: dict[str, tuple[dict[str, str], list[tuple[str, dict[str, str]]]]] = {
         {
             "order_id": "'ORD' || CAST(order_id AS STRING)",
             "order_date": """CASE WHEN order_id % 97 = 0 THEN 'invalid-date'
+                WHEN order_id % 103 = 0 THEN CAST(order_date AS STRING) || ' 00:00:00'
+                WHEN order_id % 107 = 0 THEN CAST(order_date AS STRING) || 'T23:59:59.5Z'
                 ELSE CAST(order_date AS STRING) END""",
             "customer_id": """CASE WHEN order_id % 67 = 0 THEN NULL
                 WHEN order_id % 211 = 0 THEN 'CUST999999999'

@@ -249,6 +249,8 @@ def report() -> dict[str, str]:
         f' AS "{c}"'
         for c in types
     )
+    none = " AND ".join(f"category <> '{c}'" for c in types)
+    cells += f""", {ratio(f'COUNT(*) FILTER (closing_stock = 0 AND {none})', f'COUNT(*) FILTER ({none})')} AS other"""
     sliced = """pick_p AS (SELECT product_id FROM products WHERE category = 'PROMO'),
       pick_s AS (SELECT store_id FROM stores WHERE province = 'EUROPE'),
       pick_c AS (SELECT customer_id FROM customers WHERE customer_segment = 'BUILDING')"""
@@ -380,22 +382,32 @@ def demand() -> dict[str, str]:
 
 def files() -> dict[str, str]:
     counts = all_analyses()["table_row_counts"]
-    frame_names = ("frame_monthly", "frame_stores", "frame_returns_reason", "executive_kpis")
+    exported = {
+        "frame_monthly": "revenue", "frame_stores": "revenue", "frame_products": "revenue",
+        "frame_customers": "total_spend", "frame_inventory": "total_units_sold",
+        "frame_returns_category": "units_returned", "frame_returns_reason": "units_returned",
+        "executive_kpis": "value",
+    }
+    sql = frames()
+    money = ("unit_price", "discount_pct", "unit_cost", "gross_revenue", "net_revenue", "cost", "profit")
     return {
-        "write_cleaned": counts,
+        "write_cleaned": star_query(
+            f"""SELECT order_id, order_date, customer_id, store_id, product_id, quantity,
+                       {', '.join(f'{dbl(c)} AS {c}' for c in money)} FROM sales"""
+        ),
         "read_cleaned": star_query(
             f"""SELECT month, COUNT(*) AS row_count, {dbl('SUM(net_revenue)')} AS revenue
                 FROM sales GROUP BY month"""
         ),
-        "load_tables": counts,
-        "export_results": star_query(
-            f"""SELECT month, {dbl('SUM(net_revenue)')} AS total_revenue, {dbl('SUM(profit)')} AS total_profit
-                FROM sales GROUP BY month"""
+        "load_tables": star_tables()["star_products"],
+        "load_tables_counts": counts,
+        "load_tables_customers": all_analyses()["customer_summary"],
+        "export_results": " UNION ALL ".join(
+            f"SELECT '{n}' AS name, COUNT(*) AS row_count, CAST(MAX({c}) AS DOUBLE) AS largest FROM ({sql[n]})"
+            for n, c in exported.items()
         ),
-        "verify_export": star_query(
-            " UNION ALL ".join(
-                f"SELECT '{n}' AS name, (SELECT COUNT(*) > 0 FROM sales) AS has_rows" for n in frame_names
-            )
+        "verify_export": " UNION ALL ".join(
+            f"SELECT '{n}' AS name, COUNT(*) > 0 AS has_rows FROM ({sql[n]})" for n in exported
         ),
     }
 

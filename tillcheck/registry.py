@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcheck.defects import CATEGORIES, PATTERNS, RAW, SUSPECT, messy_frame
@@ -27,7 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
-_LOCK = threading.RLock()
+_LOCK = threading.Lock()
+_LOCKS: dict[tuple[str, str], threading.Lock] = {}
 _CLEANED: dict[tuple[str, str], dict[str, cleaning.Cleaned]] = {}
 
 
@@ -40,38 +41,21 @@ def suspect_star(t: RetailTables) -> RetailTables:
     return RetailTables(unknown_customer=0, **lazy)
 
 
-def cleaned(spark: SparkSession, sf_dir: str, name: str) -> cleaning.Cleaned:
-    """The cleaned messy table; checked rows are staged once, with the tables they need."""
+def all_cleaned(spark: SparkSession, sf_dir: str) -> dict[str, cleaning.Cleaned]:
+    """The messy tables cleaned, once per application and folder."""
     t = benchmark_star(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, str(sf_dir))
     with _LOCK:
-        done = _CLEANED.setdefault((spark.sparkContext.applicationId, str(sf_dir)), {})
-        if name in done:
-            return done[name]
-
-        def rows(other: str) -> DataFrame:
-            return cleaned(spark, sf_dir, other).rows
-
-        raw = raw_table(t, name)
-        if name == "customers":
-            part = cleaning.clean_customers(raw, PATTERNS, keep=stage)
-            out = cleaning.Cleaned(
-                cleaning.append_unknown_member(part.rows),
-                part.counts.withColumn("rows_after", F.col("rows_after") + 1),
-            )
-        elif name == "products":
-            out = cleaning.clean_products(raw, PATTERNS, CATEGORIES, keep=stage)
-        elif name == "stores":
-            out = cleaning.clean_stores(raw, PATTERNS, keep=stage)
-        elif name == "sales":
-            out = cleaning.clean_sales(
-                raw, rows("customers"), rows("products"), rows("stores"), PATTERNS, keep=stage
-            )
-        elif name == "inventory":
-            out = cleaning.clean_inventory(raw, rows("products"), rows("stores"), keep=stage)
-        else:
-            out = cleaning.clean_returns(raw, rows("sales"), PATTERNS, keep=stage)
-        done[name] = out
-        return out
+        lock = _LOCKS.setdefault(key, threading.Lock())
+    with lock:
+        if key not in _CLEANED:
+            raw = {n: raw_table(t, n) for n in model.TABLES}
+            _CLEANED[key] = cleaning.clean_all(raw, PATTERNS, CATEGORIES, keep=stage)
+        return _CLEANED[key]
+
+
+def cleaned(spark: SparkSession, sf_dir: str, name: str) -> cleaning.Cleaned:
+    return all_cleaned(spark, sf_dir)[name]
 
 
 def _plain_money(df: DataFrame) -> DataFrame:
@@ -217,11 +201,27 @@ def _dedupe(t: RetailTables) -> DataFrame:
 
 
 def _clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _counts(cleaning.cleaned_tables({n: cleaned(spark, sf_dir, n) for n in model.TABLES}))
+    return _counts(cleaning.cleaned_tables(all_cleaned(spark, sf_dir)))
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.cleaning_summary({n: cleaned(spark, sf_dir, n) for n in model.TABLES})
+    return cleaning.cleaning_summary(all_cleaned(spark, sf_dir))
+
+
+def _missing(t: RetailTables) -> DataFrame:
+    """Missing values per column of every raw table."""
+    parts = [
+        cleaning.count_missing(raw_table(t, n)).select(F.lit(n).alias("table_name"), "column", "missing")
+        for n in model.TABLES
+    ]
+    return union_all(parts)
+
+
+def _derive_half_even(t: RetailTables) -> DataFrame:
+    lines = t.sales.drop("gross_revenue", "net_revenue", "cost", "profit")
+    return cleaning.derive_measures(lines, rounding="half_even").select(
+        "order_id", "product_id", dbl("net_revenue").alias("net_revenue"), dbl("profit").alias("profit")
+    )
 
 
 def cleaning_queries() -> dict[str, Query]:
@@ -231,7 +231,8 @@ def cleaning_queries() -> dict[str, Query]:
     out["impute_from_dim"] = _impute
     out["map_unknown_member"] = _map_unknown
     on_star = {
-        "count_missing": lambda t: cleaning.count_missing(raw_table(t, "sales")),
+        "count_missing": _missing,
+        "derive_measures_half_even": _derive_half_even,
         "drop_exact_duplicates": _distinct_rows,
         "dedupe_by_key": _dedupe,
         "normalize_text": _normalize_text,
@@ -267,7 +268,7 @@ def validation_queries() -> dict[str, Query]:
         return union_all([v.check_primary_key(s.table(n), n) for n in model.TABLES])
 
     on_suspect = {
-        "check_not_null": lambda s: v.check_not_null(s.customers, "customers"),
+        "check_not_null": lambda s: union_all([v.check_not_null(s.table(n), n) for n in model.TABLES]),
         "check_primary_key": primary_keys,
         "check_ranges": v.check_ranges,
         "check_foreign_key": v.check_foreign_keys,
@@ -397,12 +398,19 @@ def _read_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             df.agg(
                 F.count(F.lit(1)).alias("row_count"),
                 F.countDistinct(model.PRIMARY_KEYS[n][0]).alias("first_key_values"),
-            ).select(F.lit(n).alias("table_name"), "row_count", "first_key_values")
+                lng(F.sum(_digest(df.columns))).alias("content"),
+            ).select(F.lit(n).alias("table_name"), "row_count", "first_key_values", "content")
             for n, df in tables.items()
         ]
     )
 
 
+def _digest(columns: Sequence[str]) -> Column:
+    """A number from all cells of a row; equal rows in both engines get the same one."""
+    cells = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("~")) for c in columns])
+    return F.conv(F.substring(F.md5(cells), 1, 8), 16, 10).cast("long")
+
+
 def _round_trip(spark: SparkSession, sf_dir: str) -> RetailTables:
     t = benchmark_star(spark, sf_dir)
     path = new_path(spark, "cleaned")
@@ -422,33 +430,67 @@ def _write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_cleaning_summary(spark, path)
 
 
-def _load(t: RetailTables) -> DataFrame:
+def _write_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales lines as written and read back."""
+    return _plain_money(_round_trip(spark, sf_dir).sales.drop("month"))
+
+
+def _load(t: RetailTables) -> RetailTables:
     frames = {n: t.table(n) for n in model.TABLES}
-    return _counts(files.load_tables(frames, files.cleaned_schemas(t), prefix="retail_"))
+    schemas = files.cleaned_schemas(t)
+    return files.load_tables(frames, schemas, prefix="retail_", unknown_customer=t.unknown_customer, check=True)
 
 
-def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_path(spark, "export")
-    name = "monthly_revenue_profit"
-    files.export_results({name: report.monthly_revenue_profit(benchmark_star(spark, sf_dir))}, path)
-    return spark.read.parquet(f"{path}/{name}")
+def _load_values(t: RetailTables) -> DataFrame:
+    _load(t)
+    return _plain_money(t.sales.sparkSession.table("retail_products"))
 
 
-def _verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Result of every frame export: the column whose largest value is compared.
+EXPORTED = {
+    "frame_monthly": "revenue",
+    "frame_stores": "revenue",
+    "frame_products": "revenue",
+    "frame_customers": "total_spend",
+    "frame_inventory": "total_units_sold",
+    "frame_returns_category": "units_returned",
+    "frame_returns_reason": "units_returned",
+    "executive_kpis": "value",
+}
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> str:
     t = benchmark_star(spark, sf_dir)
-    names = ("frame_monthly", "frame_stores", "frame_returns_reason", "executive_kpis")
     path = new_path(spark, "export")
-    files.export_results({n: FRAMES[n](t) for n in names}, path)
-    return files.verify_export(spark, path, names)
+    files.export_results({n: FRAMES[n](t) for n in EXPORTED}, path)
+    return path
+
+
+def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _exported(spark, sf_dir)
+    return union_all(
+        [
+            spark.read.parquet(f"{path}/{n}")
+            .agg(F.count(F.lit(1)).alias("row_count"), F.max(c).cast("double").alias("largest"))
+            .select(F.lit(n).alias("name"), "row_count", "largest")
+            for n, c in EXPORTED.items()
+        ]
+    )
+
+
+def _verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.verify_export(spark, _exported(spark, sf_dir), list(EXPORTED))
 
 
 def file_queries() -> dict[str, Query]:
     return {
         "read_raw": _read_raw,
-        "write_cleaned": lambda spark, sf_dir: _counts(_round_trip(spark, sf_dir)),
+        "write_cleaned": _write_cleaned,
         "read_cleaned": _read_cleaned,
         "write_cleaning_summary": _write_summary,
-        "load_tables": _on_star(_load),
+        "load_tables": _on_star(_load_values),
+        "load_tables_counts": _on_star(lambda t: _counts(_load(t))),
+        "load_tables_customers": _on_star(lambda t: ANALYSES["customer_summary"](_load(t))),
         "export_results": _export,
         "verify_export": _verify,
     }

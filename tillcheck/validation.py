@@ -137,7 +137,8 @@ def _orphan_report(p: str) -> str:
         value = " || '+' || ".join(f"COALESCE(CAST(c.{c} AS VARCHAR), 'NULL')" for c in columns)
         same = " AND ".join(f"c.{c} = q.{c}" for c in columns)
         parts.append(
-            f"""(SELECT '{child}' AS "table", '{parent}' AS parent, {value} AS value, COUNT(*) AS row_count
+            f"""(SELECT '{child}' AS "table", '{parent}' AS parent, {value} AS value, COUNT(*) AS row_count,
+                        COUNT(*) OVER () AS orphan_values, {big('SUM(COUNT(*)) OVER ()')} AS orphan_rows
                  FROM {p}{child} c
                  WHERE NOT EXISTS (SELECT 1 FROM {p}{parent} q WHERE {same})
                  GROUP BY ALL ORDER BY row_count DESC, value LIMIT 5)"""
@@ -161,7 +162,9 @@ def all_validation() -> dict[str, str]:
                 for t in TABLES
             )
         ),
-        "check_not_null": on_suspect(_broken("customers", _not_null("customers"), "s_customers")),
+        "check_not_null": on_suspect(
+            [row for t in TABLES for row in _broken(t, _not_null(t), p + t)]
+        ),
         "check_primary_key": on_suspect([_primary(t, p) for t in TABLES]),
         "check_ranges": on_suspect(
             [row for t, rules in RANGES.items() for row in _broken(t, rules, p + t)]

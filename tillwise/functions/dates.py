@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,12 @@ def month_key(c: Column | str) -> Column:
 
 def with_month(df: DataFrame, date_col: str) -> DataFrame:
     """Add the ``yyyy-MM`` key, or keep the one the table is already partitioned by."""
-    return df if "month" in df.columns else df.withColumn("month", month_key(date_col))
+    known = [f for f in df.schema if f.name == "month"]
+    if not known:
+        return df.withColumn("month", month_key(date_col))
+    if known[0].dataType.typeName() != "string":
+        raise ValueError(f"column month is {known[0].dataType.simpleString()}, not yyyy-MM text")
+    return df
 
 
 def month_number(month: Column | str) -> Column:
@@ -21,7 +28,20 @@ def month_number(month: Column | str) -> Column:
     return year.cast("int") * 12 + of_year.cast("int")
 
 
-def to_date(c: Column | str) -> Column:
-    """Lenient ISO date: anything but ``yyyy-MM-dd`` becomes NULL."""
+ISO = "yyyy-MM-dd"
+_WITH_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
+
+
+def to_date(c: Column | str, formats: Sequence[str] = (ISO,)) -> Column:
+    """Lenient date: the first format that parses the whole text; NULL if none does.
+
+    An ISO date-time counts as the date written in it, whatever its offset.
+    """
     text = F.trim((F.col(c) if isinstance(c, str) else c).cast("string"))
-    return F.when(F.length(text) == 10, F.try_to_date(text, "yyyy-MM-dd"))
+    day = F.when(text.rlike(_WITH_TIME), F.substring(text, 1, 10)).otherwise(text)
+    return F.coalesce(
+        *[
+            F.when(F.length(day) == len(f), F.try_to_date(day, f)) if f == ISO else F.try_to_date(text, f)
+            for f in formats
+        ]
+    )

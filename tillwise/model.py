@@ -85,7 +85,16 @@ CATEGORIES = ("Electronics", "Grocery", "Home", "Personal Care", "Clothing", "Of
 SEGMENTS = ("New", "Regular", "Loyal")
 STORE_TYPES = ("Urban", "Suburban")
 
+# Prefix and least width; longer numbers are valid, so growing tables lose nothing.
 ID_PATTERNS = {
+    "customer_id": r"CUST\d{4,}",
+    "product_id": r"PROD\d{3,}",
+    "store_id": r"STORE\d{2,}",
+    "order_id": r"ORD\d{6,}",
+    "return_id": r"RET\d{6,}",
+}
+# The widths to the digit, for those who want anything else dropped.
+EXACT_ID_PATTERNS = {
     "customer_id": r"CUST\d{4}",
     "product_id": r"PROD\d{3}",
     "store_id": r"STORE\d{2}",

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise import model
-from tillwise.functions.dates import to_date
+from tillwise.functions.dates import ISO, to_date
 from tillwise.functions.numeric import close_to, is_integral, to_number
 from tillwise.functions.relations import side_by_side
 from tillwise.functions.text import full_match, normalize_province, normalize_text
@@ -74,8 +74,10 @@ def dedupe_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | None
     return df.withColumn("__n", F.row_number().over(first)).filter(F.col("__n") == 1).drop("__n")
 
 
-def coerce_date(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: to_date(c) for c in columns})
+def coerce_date(
+    df: DataFrame, *columns: str, formats: Sequence[str] = (ISO,)
+) -> DataFrame:
+    return df.withColumns({c: to_date(c, formats) for c in columns})
 
 
 def coerce_numeric(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
@@ -210,14 +212,29 @@ def match_returns(returns: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def _first_rows(raw: DataFrame, key: list[str], normalise: Mapping[str, Column], after: bool) -> DataFrame:
-    """One row per key plus normalised columns.
+    """The first row per key plus normalised columns, and what the report says about the key.
 
-    By default keys are compared as they were read, so ``" P1 "`` and ``"P1"`` both
-    survive; ``after=True`` normalises first and merges them.
+    Equal rows are counted first, then the rows of a key; both combine map-side, and the raw
+    table is read once. By default keys are compared as they were read, so ``" P1 "`` and
+    ``"P1"`` both survive; ``after=True`` normalises first and merges them.
     """
+    columns = raw.columns
+    whole = raw.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows"))
+    counted = whole.withColumns(
+        {f"__missing_{c}": F.col(c).isNull().cast("long") * F.col("__rows") for c in columns}
+    )
     if after:
-        return dedupe_by_key(raw.withColumns(normalise), key)
-    return dedupe_by_key(raw, key).withColumns(normalise)
+        counted = counted.withColumns(normalise)
+    first = (
+        counted.groupBy(*[F.col(c).alias(f"__by_{c}") for c in key])
+        .agg(
+            F.min(F.struct(*columns)).alias("__first"),
+            F.count(F.lit(1)).alias("__distinct"),
+            *[F.sum(c).alias(c) for c in ("__rows", *[f"__missing_{c}" for c in columns])],
+        )
+        .select("__first.*", "__distinct", "__rows", *[f"__missing_{c}" for c in columns])
+    )
+    return first if after else first.withColumns(normalise)
 
 
 def _typed(table: str, rows: DataFrame) -> DataFrame:
@@ -226,34 +243,37 @@ def _typed(table: str, rows: DataFrame) -> DataFrame:
     )
 
 
-def _report(table: str, raw: DataFrame, after: DataFrame, extras: Sequence[str] = ()) -> DataFrame:
-    """One-row cleaning report.
+def _totals(table: str) -> list[Column]:
+    """What the rows of :func:`_first_rows` say about the raw table, as aggregates."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return [
+        F.count(F.lit(1)).alias("__keys"),
+        total("__rows"),
+        total("__distinct"),
+        *[total(f"__missing_{c}") for c in model.RAW_COLUMNS[table]],
+    ]
+
+
+def _report(table: str, totals: DataFrame, extras: Sequence[str] = ()) -> DataFrame:
+    """One-row cleaning report from one row of totals, ``rows_after`` and the ``extras``.
 
-    ``after`` is one row with ``__keys`` (rows left by key deduplication), ``rows_after``
-    and the ``extras``; key duplicates are the distinct raw rows beyond the keys.
+    Key duplicates are the distinct raw rows beyond the keys.
     """
-    columns = model.RAW_COLUMNS[table]
-    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in columns])
-    copies = raw.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
-    before = copies.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("rows_before"),
-        F.count(F.lit(1)).alias("__distinct"),
-        F.coalesce(F.sum(nulls * F.col("__copies")), F.lit(0)).alias("missing_values_handled"),
-    )
-    return side_by_side(before, after).select(
-        "rows_before",
+    missing = {c: F.col(f"__missing_{c}") for c in model.RAW_COLUMNS[table]}
+    return totals.select(
+        F.col("__rows").alias("rows_before"),
         "rows_after",
-        (F.col("rows_before") - F.col("__distinct")).alias("exact_duplicates_removed"),
+        (F.col("__rows") - F.col("__distinct")).alias("exact_duplicates_removed"),
         (F.col("__distinct") - F.col("__keys")).alias("primary_key_duplicates_removed"),
         (F.col("__keys") - F.col("rows_after")).alias("invalid_rows_removed"),
-        "missing_values_handled",
+        reduce(lambda a, b: a + b, missing.values()).alias("missing_values_handled"),
+        *[n.alias(f"missing_values:{c}") for c, n in missing.items()],
         *extras,
     )
 
 
 def _cleaned(
     table: str,
-    raw: DataFrame,
     checked: DataFrame,
     keep: Keep,
     finish: Callable[[DataFrame], DataFrame] = lambda df: df,
@@ -261,13 +281,13 @@ def _cleaned(
 ) -> Cleaned:
     """Split rows by the validity flag; ``extras`` are boolean columns to count."""
     checked = keep(checked, table)
-    after = checked.agg(
-        F.count(F.lit(1)).alias("__keys"),
+    totals = checked.agg(
+        *_totals(table),
         F.count_if(F.col(_VALID)).alias("rows_after"),
         *[F.count_if(F.col(c)).alias(n) for n, c in (extras or {}).items()],
     )
     rows = _typed(table, finish(checked.filter(F.col(_VALID))))
-    return Cleaned(rows, _report(table, raw, after, list(extras or {})))
+    return Cleaned(rows, _report(table, totals, list(extras or {})))
 
 
 def clean_customers(
@@ -311,7 +331,7 @@ def clean_customers(
             F.col("province").isNotNull(),
         ]
     )
-    return _cleaned("customers", raw, filled.withColumn(_VALID, valid), keep)
+    return _cleaned("customers", filled.withColumn(_VALID, valid), keep)
 
 
 def clean_products(
@@ -347,7 +367,7 @@ def clean_products(
             F.col("unit_price") >= 0,
         ]
     )
-    return _cleaned("products", raw, filled.withColumn(_VALID, valid), keep)
+    return _cleaned("products", filled.withColumn(_VALID, valid), keep)
 
 
 def clean_stores(
@@ -383,7 +403,7 @@ def clean_stores(
             F.col("store_type").isin(*store_types),
         ]
     )
-    return _cleaned("stores", raw, filled.withColumn(_VALID, valid), keep)
+    return _cleaned("stores", filled.withColumn(_VALID, valid), keep)
 
 
 def clean_sales(
@@ -395,8 +415,13 @@ def clean_sales(
     rounding: str = "half_up",
     dedupe_after_normalize: bool = False,
     keep: Keep = as_is,
+    lookups: Mapping[str, DataFrame] | None = None,
 ) -> Cleaned:
-    """Needs the three cleaned dimensions; orphan customers move to the unknown member."""
+    """Needs the three cleaned dimensions; orphan customers move to the unknown member.
+
+    ``lookups`` are those of :func:`shared_lookups`, if made already.
+    """
+    lookups = lookups or shared_lookups(products, stores, keep)
     columns = model.RAW_COLUMNS["sales"]
     raw = require_columns(raw, "sales", columns).select(*columns)
     ids = ("order_id", "customer_id", "store_id", "product_id")
@@ -416,13 +441,11 @@ def clean_sales(
             typed, customers, "customer_id", model.UNKNOWN_CUSTOMER, "__to_unknown", keep
         )
         .join(
-            lookup(products, "product_id", ["unit_price", "unit_cost"], keep),
+            lookups["products"],
             F.col("product_id") == F.col("__product_id"),
             "left",
         )
-        .join(
-            lookup(stores, "store_id", keep=keep), F.col("store_id") == F.col("__store_id"), "left"
-        )
+        .join(lookups["stores"], F.col("store_id") == F.col("__store_id"), "left")
         .withColumn("unit_price", F.coalesce(F.col("unit_price"), F.col("__unit_price")))
         .withColumnRenamed("__unit_cost", "unit_cost")
     )
@@ -445,7 +468,6 @@ def clean_sales(
 
     return _cleaned(
         "sales",
-        raw,
         looked_up.withColumn(_VALID, valid),
         keep,
         finish,
@@ -453,13 +475,23 @@ def clean_sales(
     )
 
 
+def shared_lookups(products: DataFrame, stores: DataFrame, keep: Keep = as_is) -> dict[str, DataFrame]:
+    """The product and store lookups that sales and inventory both join."""
+    return {
+        "products": lookup(products, "product_id", ["unit_price", "unit_cost"], keep),
+        "stores": lookup(stores, "store_id", keep=keep),
+    }
+
+
 def clean_inventory(
     raw: DataFrame,
     products: DataFrame,
     stores: DataFrame,
     dedupe_after_normalize: bool = False,
     keep: Keep = as_is,
+    lookups: Mapping[str, DataFrame] | None = None,
 ) -> Cleaned:
+    lookups = lookups or shared_lookups(products, stores, keep)
     columns = model.RAW_COLUMNS["inventory"]
     raw = require_columns(raw, "inventory", columns).select(*columns)
     first = _first_rows(
@@ -473,14 +505,8 @@ def clean_inventory(
     )
     known = (
         repair_balance(typed)
-        .join(
-            lookup(products, "product_id", keep=keep),
-            F.col("product_id") == F.col("__product_id"),
-            "left",
-        )
-        .join(
-            lookup(stores, "store_id", keep=keep), F.col("store_id") == F.col("__store_id"), "left"
-        )
+        .join(lookups["products"], F.col("product_id") == F.col("__product_id"), "left")
+        .join(lookups["stores"], F.col("store_id") == F.col("__store_id"), "left")
     )
     valid = all_true(
         [
@@ -492,7 +518,6 @@ def clean_inventory(
     )
     return _cleaned(
         "inventory",
-        raw,
         known.withColumn(_VALID, valid),
         keep,
         extras={"closing_balances_corrected": "__repaired"},
@@ -525,10 +550,10 @@ def clean_returns(
     typed = keep(typed, "typed_returns")
     named = filter_valid(typed, [full_match("return_id", patterns["return_id"])])
     rows = keep(match_returns(named, sales), "returns")
-    after = side_by_side(
-        typed.agg(F.count(F.lit(1)).alias("__keys")), rows.agg(F.count(F.lit(1)).alias("rows_after"))
+    totals = side_by_side(
+        typed.agg(*_totals("returns")), rows.agg(F.count(F.lit(1)).alias("rows_after"))
     )
-    return Cleaned(_typed("returns", rows), _report("returns", raw, after))
+    return Cleaned(_typed("returns", rows), _report("returns", totals))
 
 
 # ---------------------------------------------------------------- whole star
@@ -557,15 +582,16 @@ def clean_all(
     )
     products = clean_products(raw["products"], patterns, categories, after, keep)
     stores = clean_stores(raw["stores"], patterns, store_types, after, keep)
+    lookups = shared_lookups(products.rows, stores.rows, keep)
     sales = clean_sales(
-        raw["sales"], customers.rows, products.rows, stores.rows, patterns, rounding, after, keep
+        raw["sales"], customers.rows, products.rows, stores.rows, patterns, rounding, after, keep, lookups
     )
     return {
         "customers": customers,
         "products": products,
         "stores": stores,
         "sales": sales,
-        "inventory": clean_inventory(raw["inventory"], products.rows, stores.rows, after, keep),
+        "inventory": clean_inventory(raw["inventory"], products.rows, stores.rows, after, keep, lookups),
         "returns": clean_returns(raw["returns"], sales.rows, patterns, after, keep),
     }
 

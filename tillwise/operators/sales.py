@@ -7,6 +7,7 @@ by the calendar.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,14 +73,20 @@ def calendar_month_strength(t: RetailTables) -> DataFrame:
 
 def discount_band(edges: Sequence[float] = (0, 0.10, 0.20)) -> Column:
     """Band label of ``discount_pct``: none up to the first edge, open above the last."""
-    percent = [round(e * 100) for e in edges]
-    labels = ["No discount"] + [
-        f"{low + 1}-{high}%" for low, high in zip(percent, percent[1:])
+    if any(low >= high for low, high in zip(edges, edges[1:])):
+        raise ValueError(f"band edges must ascend: {list(edges)}")
+    percent = [(Decimal(str(e)) * 100).normalize() for e in edges]
+    whole = all(p == p.to_integral_value() for p in percent)
+    names = [f"{p:f}" for p in percent]
+    # Between whole percents the next band starts one above; else it starts past the edge.
+    labels = ["No discount" if edges[0] == 0 else f"Up to {names[0]}%"] + [
+        f"{int(low) + 1}-{high}%" if whole else f"Over {low:f} to {high}%"
+        for low, high in zip(percent, names[1:])
     ]
     band = F.when(F.col("discount_pct") <= F.lit(str(edges[0])).cast("decimal(9,6)"), labels[0])
     for edge, label in zip(edges[1:], labels[1:]):
         band = band.when(F.col("discount_pct") <= F.lit(str(edge)).cast("decimal(9,6)"), label)
-    return band.otherwise(f"Over {percent[-1]}%")
+    return band.otherwise(f"Over {names[-1]}%")
 
 
 def discount_bands(t: RetailTables, edges: Sequence[float] = (0, 0.10, 0.20)) -> DataFrame:

@@ -124,7 +124,10 @@ def check_composite_foreign_key(t: RetailTables) -> DataFrame:
 
 
 def foreign_key_report(t: RetailTables, limit: int = 5) -> DataFrame:
-    """The most frequent orphan key values, ``limit`` per relationship."""
+    """The most frequent orphan key values, ``limit`` per relationship.
+
+    ``orphan_values`` and ``orphan_rows`` are the totals of the relationship, so a cut shows.
+    """
     parts = []
     for child, columns, parent in model.FOREIGN_KEYS:
         value = F.concat_ws("+", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
@@ -134,7 +137,11 @@ def foreign_key_report(t: RetailTables, limit: int = 5) -> DataFrame:
             value.alias("value"),
             F.col("count").alias("row_count"),
         )
-        parts.append(lost.orderBy(F.desc("row_count"), "value").limit(limit))
+        totals = lost.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum("row_count").alias("s")).alias("t"))
+        top = lost.orderBy(F.desc("row_count"), "value").limit(limit).withColumn("t", totals.scalar())
+        parts.append(
+            top.select("table", "parent", "value", "row_count", F.col("t.n").alias("orphan_values"), F.col("t.s").alias("orphan_rows"))
+        )
     return union_all(parts)
 
 

@@ -80,21 +80,30 @@ def closing_value_by_category(t: RetailTables) -> DataFrame:
     return by.orderBy(F.desc("closing_inventory_value"), "category")
 
 
-def stockout_matrix(t: RetailTables, categories: Sequence[str] = model.CATEGORIES) -> DataFrame:
-    """Stockout rate with a row per store and a column per category."""
+def stockout_matrix(
+    t: RetailTables, categories: Sequence[str] = model.CATEGORIES, other: str = "other"
+) -> DataFrame:
+    """Stockout rate with a row per store and a column per category.
+
+    Products of any other category are summed up in the column ``other``.
+    """
+    if other in categories:
+        raise ValueError(f"{other} is the name of a category")
+    listed = F.when(F.col("category").isin(*categories), F.col("category")).otherwise(F.lit(other))
     counts = (
         t.inventory.join(t.products.select("product_id", "category"), "product_id")
-        .groupBy("store_id", "category")
+        .groupBy("store_id", listed.alias("category"))
         .agg(
             F.count_if(F.col("closing_stock") == 0).alias("out"),
             F.count(F.lit(1)).alias("seen"),
         )
     )
-    rates = counts.groupBy("store_id").pivot("category", list(categories)).agg(
+    columns = [*categories, other]
+    rates = counts.groupBy("store_id").pivot("category", columns).agg(
         ratio(F.sum("out"), F.sum("seen"))
     )
     return rates.join(t.stores.select("store_id", "store_name"), "store_id").select(
-        "store_id", "store_name", *[dbl(F.col(f"`{c}`")).alias(c) for c in categories]
+        "store_id", "store_name", *[dbl(F.col(f"`{c}`")).alias(c) for c in columns]
     )
 
 

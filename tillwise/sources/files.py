@@ -13,7 +13,9 @@ from tillwise import model
 from tillwise.functions.dates import with_month
 from tillwise.functions.relations import union_all
 from tillwise.model import RetailTables
+from tillwise.operators import validation
 from tillwise.operators.cleaning import require_columns
+from tillwise.operators.validation import ValidationError
 
 # Cell texts a CSV reader treats as missing.
 MISSING_TEXT = (
@@ -49,16 +51,22 @@ def read_raw(
 ) -> dict[str, DataFrame]:
     """The six raw CSV tables with headers; every column is read as text, none is inferred.
 
+    Part files of one table must have one header; another order of columns is an error.
+
     ``multi_line`` admits line breaks inside quoted cells, but then a file is one task.
     """
 
     def load(name: str) -> DataFrame:
-        reader = spark.read.options(header=True, inferSchema=False, escape='"', multiLine=multi_line)
-        df = reader.csv(f"{directory}/{name}.csv")
+        options = {"header": True, "escape": '"', "multiLine": multi_line}
+        path = f"{directory}/{name}.csv"
+        names = spark.read.options(**options, inferSchema=False).csv(path).columns
+        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        # With the schema given and not enforced, every part file's header is held against it.
+        df = spark.read.schema(text).options(**options, enforceSchema=False).csv(path)
         return df.select(
             *[
                 F.when(F.col(f"`{c}`").isin(*MISSING_TEXT), None).otherwise(F.col(f"`{c}`")).alias(c)
-                for c in df.columns
+                for c in names
             ]
         )
 
@@ -130,11 +138,14 @@ def load_tables(
     tables: Mapping[str, DataFrame],
     schemas: Mapping[str, T.StructType],
     prefix: str = "",
+    unknown_customer: object = model.UNKNOWN_CUSTOMER,
+    check: bool = False,
 ) -> RetailTables:
     """Bind frames to typed views, parents before children.
 
     Columns are matched by name and cast losslessly; extra columns are dropped and a
-    missing or incompatible one is an error.
+    missing or incompatible one is an error. ``check`` also compares row counts with the
+    source and looks for rows without a parent, and fails naming what is wrong.
     """
     out = {}
     for name in model.TABLES:
@@ -145,7 +156,21 @@ def load_tables(
         typed = found.to(schemas[name])
         typed.createOrReplaceTempView(f"{prefix}{name}")
         out[name] = typed
-    return RetailTables(**out)
+    loaded = RetailTables(unknown_customer=unknown_customer, **out)
+    if check:
+        source = RetailTables(unknown_customer=unknown_customer, **{n: tables[n] for n in model.TABLES})
+        _check_loaded(source, loaded)
+    return loaded
+
+
+def _check_loaded(source: RetailTables, loaded: RetailTables) -> None:
+    """Fail unless every row arrived and every key has its parent; one row per rule is read."""
+    counts = validation.reconcile_row_counts(source, loaded).filter(~F.col("matches")).collect()
+    keys = union_all([validation.check_foreign_key(loaded, *fk) for fk in model.FOREIGN_KEYS])
+    wrong = [f"{r['table']}: {r.source_rows} rows became {r.loaded_rows}" for r in counts]
+    wrong += [f"{r['table']}: {r.rule} ({r.violations} rows)" for r in keys.filter("violations > 0").collect()]
+    if wrong:
+        raise ValidationError("loading failed:\n" + "\n".join(f"  - {w}" for w in wrong))
 
 
 def write_cleaning_summary(summary: DataFrame, path: str) -> None:
