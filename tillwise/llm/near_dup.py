@@ -23,6 +23,7 @@ from tillwise.sources.staging import stage
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 6  # a pair at 0.8 shares no band with probability (1 - 0.8**6)**40 = 5e-6
+MORE_HUBS = 1  # rounds of random hubs after the first; they only spare the exact pass work
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -215,10 +216,14 @@ def _shingle_rows(nodes: DataFrame) -> DataFrame:
 def unsettled_pairs(mixed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Candidate pairs (x, y) between components among the nodes of mixed buckets.
 
-    Two texts of similarity t share normalised shingle weight of at least t, so under any common
-    order of shingles the first shared one lies among the first 1 - t of either weight. Ordered
-    by rarity, only rare shingles are compared, and a passage that many documents share makes no
-    pairs. Within a shingle, pairs are formed against its largest component, never inside one.
+    If texts of weights m and x meet in shingles that weigh M in one and X in the other, their
+    similarity is at most 1 / (m / M + x / X - 1). Under any common order of shingles nothing
+    before the first shared one is met, which bounds M and X; and a shared shingle weighs at
+    most as much more in one text as that text repeats shingles, which bounds M by X and X by M.
+    The order is by rarity, and a pair is formed only on a shingle at which the bound still
+    allows the threshold: a passage that many documents share makes no pairs, and texts with
+    much of their own drop out. Within a shingle, pairs are formed against its largest
+    component, never inside one.
     """
     rows = stage(_shingle_rows(mixed), "shingles")
     spread = rows.groupBy("shingle").agg(
@@ -229,11 +234,14 @@ def unsettled_pairs(mixed: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     before = F.sum("weight").over(
         by_node.orderBy("df", "shingle").rowsBetween(Window.unboundedPreceding, -1)
     )
+    most = 1 / threshold + 1 + 1e-9
+    total = F.sum("weight").over(by_node)
     prefix = (
-        ranked.withColumn("before", F.coalesce(before, F.lit(0.0)))
-        .withColumn("total", F.sum("weight").over(by_node))
-        .filter((F.col("before") <= (1 - threshold) * F.col("total") + 1e-9) & (F.col("lo") != F.col("hi")))
-        .select("shingle", "node", "comp")
+        ranked.withColumn("rest", total - F.coalesce(before, F.lit(0.0)))  # can still be met
+        .withColumn("total", total)
+        .withColumn("extra", F.col("total") - F.count(F.lit(1)).over(by_node))  # by repeats
+        .filter((F.col("total") / F.col("rest") + 1 <= most) & (F.col("lo") != F.col("hi")))
+        .select("shingle", "node", "comp", "total", "rest", "extra")
     )
     prefix = stage(prefix, "prefixes")
     largest = (
@@ -243,11 +251,32 @@ def unsettled_pairs(mixed: DataFrame, threshold: float = THRESHOLD) -> DataFrame
         .select("shingle", F.col("top.comp").alias("major"))
     )
     minor = prefix.join(largest, "shingle").filter(F.col("comp") != F.col("major")).drop("major")
-    other = prefix.select("shingle", F.col("node").alias("node2"), F.col("comp").alias("comp2"))
-    met = minor.join(other, "shingle").filter(F.col("comp") != F.col("comp2"))
+    other = prefix.select("shingle", *[F.col(c).alias(f"{c}2") for c in prefix.columns if c != "shingle"])
+    met_here = F.least("rest", F.col("rest2") + F.col("extra"))
+    met_there = F.least("rest2", F.col("rest") + F.col("extra2"))
+    near = F.col("total") / met_here + F.col("total2") / met_there <= most
+    met = minor.join(other, (minor["shingle"] == other["shingle"]) & (F.col("comp") != F.col("comp2")) & near)
     return met.select(F.least("node", "node2").alias("x"), F.greatest("node", "node2").alias("y")).distinct()
 
 
+def _parted(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, node, comp) of the buckets that hold several components."""
+    roots = found.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    labelled = shared.select("key", "node").join(roots, "node", "left")
+    labelled = labelled.select("key", "node", F.coalesce("root", "node").alias("comp"))
+    spread = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return labelled.join(spread.filter("lo != hi").select("key"), "key", "left_semi")
+
+
+def _other_hubs(parted: DataFrame, turn: int) -> DataFrame:
+    """Pairs (x, y) of each member with a random one of its bucket, if their components differ."""
+    draw = F.struct(F.xxhash64(F.lit(turn), "key", "node").alias("draw"), "node", "comp")
+    hubs = parted.groupBy("key").agg(F.min(draw).alias("hub"))
+    met = parted.join(hubs, "key").filter(F.col("comp") != F.col("hub.comp"))
+    hub = F.col("hub.node")
+    return met.select(F.least("node", hub).alias("x"), F.greatest("node", hub).alias("y")).distinct()
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, mark, class_id, class_size, is_first) per row of ``docs``.
 
@@ -257,8 +286,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     least (doc_id, mark), ``mark`` telling texts under one id apart; classes whose least ids are
     equal, as different texts share an id, also share the ``class_id``. Texts without words (NULL,
     empty, blank) are one class; texts of fewer than five words are one shingle. No bucket is
-    capped: members are compared with one hub, and members of different components found so far
-    by their rare shingles.
+    capped: members are compared with hubs, and members of components that stay apart by their
+    rare shingles.
     """
     sketches = stage(sketched(docs), "sketches")
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
@@ -287,22 +316,17 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .agg(F.any_value("text").alias("text")),
         "texts",
     )
-    links = stage(verified(pairs, texts, threshold), "verified")
-    found = connected(links)
-    labelled = shared.select("key", "node").join(
-        found.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left"
-    ).select("key", "node", F.coalesce("root", "node").alias("comp"))
-    mixed_keys = (
-        labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        .filter("lo != hi").select("key")
-    )
-    mixed = labelled.join(mixed_keys, "key", "left_semi").select("node", "comp").distinct()
+    found = connected(verified(pairs, texts, threshold))
+    seen = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    for turn in range(MORE_HUBS):
+        again = stage(_other_hubs(_parted(shared, found), turn).join(seen, ["x", "y"], "left_anti"), "pairs")
+        seen = seen.union(again)
+        found = connected(found.union(verified(again, texts, threshold)))
+    mixed = _parted(shared, found).select("node", "comp").distinct()
     mixed = stage(mixed.join(texts, "node"), "mixed")
     if not mixed.isEmpty():
-        rest = unsettled_pairs(mixed, threshold)
-        seen = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        more = stage(verified(rest.join(seen, ["x", "y"], "left_anti"), texts, threshold), "verified")
-        found = connected(links.select("x", "y").union(more))
+        rest = unsettled_pairs(mixed, threshold).join(seen, ["x", "y"], "left_anti")
+        found = connected(found.union(verified(rest, texts, threshold)))
     rooted = reps.select("node", "rep", "n").join(
         found.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left"
     ).withColumn("root", F.coalesce("root", "node"))
