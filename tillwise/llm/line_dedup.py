@@ -53,7 +53,8 @@ def dropped_bitmaps(docs: DataFrame, min_docs: int, keep: str, min_chars: int =
     runs = found.groupBy("h1", "h2").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min(F.struct(*_DOC)).alias("first")
     )
-    common = runs.filter(F.col("n_docs") >= min_docs)
+    # Written first, so that both sides of the join are plain scans and a hot key can be split.
+    common = stage(runs.filter(F.col("n_docs") >= min_docs), "common-lines")
     hits = found.join(common, ["h1", "h2"])
     positions = F.col("positions")
     if keep == "first":
