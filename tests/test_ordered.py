@@ -99,3 +99,17 @@ def test_totals_and_shortcuts(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, v long, k long")
     assert with_order_stats(df, ["-v"], ["k"], rank="r", running={"s": "v"}).count() == 0
+
+
+@pytest.mark.parametrize("slices", [1, 5])
+def test_row_numbers_alone(spark, partitions, slices):
+    partitions(slices)
+    rng = random.Random(slices)
+    rows = [("a", rng.choice([None, 1, 2, 3]), k) for k in range(300)]
+    df = spark.createDataFrame(rows, "g string, v long, k long")
+    numbered = with_order_stats(df, ["-v"], ["k"], row_number="n", total={"whole": "v"})
+    want = expected(rows)
+    got = numbered.collect()
+    assert {(r.g, r.k): r.n for r in got} == {key: x[1] for key, x in want.items()}
+    assert {r.whole for r in got} == {sum(v or 0 for _, v, _ in rows)}
+    assert "Window" not in numbered.select("k", "v").distinct()._jdf.queryExecution().optimizedPlan().toString()

@@ -17,7 +17,8 @@ def star(spark):
 
 
 def found(report):
-    return {(r.table, r.rule): r.violations for r in report.collect() if r.violations}
+    rows = [r for r in report.collect() if r.rule != "row_count"]
+    return {(r.table, r.rule): r.violations for r in rows if r.violations}
 
 
 def test_a_clean_star_has_no_violations(star):
@@ -63,6 +64,20 @@ def test_required_columns(spark, star):
     assert found(v.check_required_columns(spark, lacking)) == {("sales", "required_columns"): 2}
 
 
+def test_missing_columns_are_reported_and_the_rest_goes_on(star):
+    lacking = star.replace(sales=star.sales.drop("profit"), stores=star.stores.drop("store_id"))
+    got = {(r["table"], r.rule): r.violations for r in v.validate_all(lacking).collect()}
+    assert got["sales", "required_columns"] == 1 and got["stores", "required_columns"] == 1
+    every = v.validate_all(star)
+    rules = {(r["table"], r.rule) for r in every.select("table", "rule").collect()}
+    silent = {k for k in rules if k not in {(r["table"], r.rule) for r in v.validate_all(lacking).collect()}}
+    assert ("sales", "profit_recomputes") in silent and ("stores", "primary_key") in silent
+    assert ("sales", "net_revenue_recomputes") not in silent
+    assert got["returns", "row_count"] == 2
+    with pytest.raises(v.ValidationError, match="sales: required_columns"):
+        v.validate_all(lacking, raise_on_failure=True)
+
+
 def test_text_dates_are_parsed(star):
     text = star.replace(sales=star.sales.withColumn("order_date", F.expr("if(order_id = 'O1', '2023-13-01', '2023-01-01')")))
     assert found(v.check_dates(text)) == {("sales", "date_parses:order_date"): 2}

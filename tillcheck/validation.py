@@ -103,6 +103,8 @@ def _validate_all(p: str) -> list[str]:
         rules.update(DERIVED if table == "sales" else BALANCE if table == "inventory" else {})
         out += _broken(table, rules, f"{p}{table}")
         out.append(_primary(table, p))
+        out.append(_row(table, "row_count", f"(SELECT COUNT(*) FROM {p}{table})"))
+        out.append(_row(table, "required_columns", "0"))
     out += [_foreign(*fk, p) for fk in FOREIGN_KEYS]
     return out + _versus(p)
 

@@ -86,8 +86,8 @@ def top_customers(t: RetailTables, n: int = 20) -> DataFrame:
 def customer_value_segments(t: RetailTables, high: float = 2.0) -> DataFrame:
     """High Value from ``high`` times the mean spend, Core from the mean, else Occasional.
 
-    The customer totals are written once: their mean and the rows compared with it would
-    otherwise each aggregate the facts.
+    The customer totals are written once, by a job that runs while the plan is built: their
+    mean and the rows compared with it would otherwise each aggregate the facts.
     """
     named = _spend(t).join(t.customers.select("customer_id", "customer_name"), "customer_id")
     spend = stage(named, "customer_spend")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.dates import month_key
 from tillwise.functions.numeric import dbl, lng, mean, pct, ratio, round2
 from tillwise.model import RetailTables
 from tillwise.operators.products import NAMES, product_totals
@@ -83,12 +82,11 @@ def high_demand(t: RetailTables, n: int = 20) -> DataFrame:
 
 def below_reorder_latest(t: RetailTables) -> DataFrame:
     """Rows of the latest snapshot whose closing stock is under the reorder level."""
-    latest = t.inventory.agg(F.max("date")).scalar()
-    short = t.inventory.filter(
-        (F.col("date") == latest) & (F.col("closing_stock") < F.col("reorder_level"))
-    )
-    if "month" in short.columns:  # reads one partition
-        short = short.filter(F.col("month") == month_key(latest))
+    stock = t.inventory
+    if "month" in stock.columns:  # a partition column: only the latest partition is read below
+        stock = stock.filter(F.col("month") == stock.agg(F.max("month")).scalar())
+    latest = stock.agg(F.max("date")).scalar()
+    short = stock.filter((F.col("date") == latest) & (F.col("closing_stock") < F.col("reorder_level")))
     return (
         short.join(t.stores.select("store_id", "store_name"), "store_id")
         .join(t.products.select(*NAMES), "product_id")

@@ -7,8 +7,9 @@ one row per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from tillwise.functions.dates import to_date
 from tillwise.functions.numeric import close_to, dbl, money_sum
 from tillwise.functions.relations import union_all
 from tillwise.model import RetailTables
+from tillwise.sources.staging import stage
 
 REPORT = "table string, rule string, violations long"
 
@@ -70,12 +72,24 @@ def check_not_null(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def check_primary_key(df: DataFrame, table: str) -> DataFrame:
-    """Rows beyond the first of each key."""
-    copies = df.groupBy(*model.PRIMARY_KEYS[table]).count()
+def check_primary_key(df: DataFrame, table: str, counted: DataFrame | None = None) -> DataFrame:
+    """Rows beyond the first of each key; ``counted`` holds a ``count`` per key, if known."""
+    copies = counted if counted is not None else df.groupBy(*model.PRIMARY_KEYS[table]).count()
     return _one(copies, table, "primary_key", F.sum(F.col("count") - 1))
 
 
+def sale_lines_by_key(t: RetailTables) -> DataFrame:
+    """One row per sale line: its rows, first date and largest quantity.
+
+    Serves the primary key, the composite foreign key and the returns check.
+    """
+    return t.sales.groupBy(*model.PRIMARY_KEYS["sales"]).agg(
+        F.count(F.lit(1)).alias("count"),
+        F.min("order_date").alias("order_date"),
+        F.max("quantity").alias("quantity"),
+    )
+
+
 def range_rules() -> dict[str, dict[str, Column]]:
     c = F.col
     return {
@@ -170,15 +184,13 @@ def check_inventory_balance(t: RetailTables) -> DataFrame:
     return check_rules(t.inventory, "inventory", balance_rule())
 
 
-def check_returns_vs_sales(t: RetailTables) -> DataFrame:
+def check_returns_vs_sales(t: RetailTables, lines: DataFrame | None = None) -> DataFrame:
     """Return date parses, is not before its order, and quantity does not exceed the sale.
 
     Equal returns are counted first, so many returns of one sale line join as few rows.
     """
     key = ["order_id", "product_id"]
-    sold = t.sales.groupBy(*key).agg(
-        F.min("order_date").alias("order_date"), F.max("quantity").alias("quantity")
-    )
+    sold = (lines if lines is not None else sale_lines_by_key(t)).drop("count")
     returned = t.returns.groupBy(*key, "return_date", "quantity_returned").count()
     return check_rules(
         returned.join(sold, key, "left"),
@@ -290,33 +302,69 @@ def reconcile_totals(t: RetailTables) -> DataFrame:
     )
 
 
-def validate_all(t: RetailTables, raise_on_failure: bool = False, atol: float = 0.01) -> DataFrame:
+def _answerable(df: DataFrame, rules: Mapping[str, Column]) -> dict[str, Column]:
+    """The rules whose columns the table has; what it lacks is reported on its own."""
+    out = {}
+    for name, rule in rules.items():
+        try:
+            df.select(rule)
+        except AnalysisException as error:
+            if error.getCondition() not in ("UNRESOLVED_COLUMN.WITH_SUGGESTION", "UNRESOLVED_COLUMN.WITHOUT_SUGGESTION"):
+                raise
+        else:
+            out[name] = rule
+    return out
+
+
+def validate_all(
+    t: RetailTables,
+    raise_on_failure: bool = False,
+    atol: float = 0.01,
+    keep: Callable[[DataFrame, str], DataFrame] = stage,
+) -> DataFrame:
     """Every rule over the whole star as one report.
 
-    Rules that read one table only are merged into a single pass over it.
+    Rules that read one table only are merged into a single pass over it. Missing columns are
+    violations themselves (``required_columns``) and silence only the rules that need them.
+    ``row_count`` rows say how large each table is. The sale lines are aggregated by key once,
+    and with the default ``keep`` written to shared storage while the report is put together.
     """
+    has = {name: set(t.table(name).columns) for name in model.TABLES}
     rules: dict[str, dict[str, Column]] = {}
     for name in model.TABLES:
-        rules[name] = {
-            f"not_null:{c}": F.col(c).isNotNull() for c in model.CLEAN_SCHEMAS[name].names
-        }
-        if name in model.DATE_COLUMNS:
+        present = [c for c in model.CLEAN_SCHEMAS[name].names if c in has[name]]
+        rules[name] = {f"not_null:{c}": F.col(c).isNotNull() for c in present}
+        if model.DATE_COLUMNS.get(name) in has[name]:
             rules[name].update(_date_rule(t.table(name), model.DATE_COLUMNS[name]))
     for name, extra in range_rules().items():
         rules[name].update(extra)
     rules["sales"].update(derived_rules(atol))
     rules["inventory"].update(balance_rule())
 
-    report = union_all(
-        [check_rules(t.table(name), name, named) for name, named in rules.items()]
-        + [check_primary_key(t.table(name), name) for name in model.TABLES]
-        + [check_foreign_key(t, *fk) for fk in model.FOREIGN_KEYS]
-        + [check_returns_vs_sales(t)]
-    )
+    def keyed(name: str, columns: Sequence[str]) -> bool:
+        return set(columns) <= has[name]
+
+    line = [*model.PRIMARY_KEYS["sales"], "order_date", "quantity"]
+    lines = keep(sale_lines_by_key(t), "sale_lines_by_key") if keyed("sales", line) else None
+    parts = [check_required_columns(t.table("sales").sparkSession, t)]
+    parts += [check_rules(t.table(n), n, _answerable(t.table(n), named)) for n, named in rules.items()]
+    parts += [_one(t.table(n), n, "row_count", F.count(F.lit(1))) for n in model.TABLES]
+    parts += [
+        check_primary_key(t.table(n), n, lines if n == "sales" else None)
+        for n in model.TABLES
+        if keyed(n, model.PRIMARY_KEYS[n])
+    ]
+    for child, columns, parent in model.FOREIGN_KEYS:
+        if keyed(child, columns) and keyed(parent, columns):
+            star = t.replace(sales=lines) if parent == "sales" and lines is not None else t
+            parts.append(check_foreign_key(star, child, columns, parent))
+    if lines is not None and keyed("returns", ["order_id", "product_id", "return_date", "quantity_returned"]):
+        parts.append(check_returns_vs_sales(t, lines))
+    report = union_all(parts)
     if raise_on_failure:
         # At most one row per rule reaches the driver.
-        broken = report.filter(F.col("violations") > 0).collect()
+        broken = report.filter((F.col("violations") > 0) & (F.col("rule") != "row_count")).collect()
         if broken:
-            lines = [f"  - {r['table']}: {r['rule']} ({r['violations']} rows)" for r in broken]
-            raise ValidationError(f"{len(broken)} rule(s) broken:\n" + "\n".join(lines))
+            rows = [f"  - {r['table']}: {r['rule']} ({r['violations']} rows)" for r in broken]
+            raise ValidationError(f"{len(broken)} rule(s) broken:\n" + "\n".join(rows))
     return report

@@ -49,9 +49,14 @@ def with_order_stats(
     row_number  output name for ROW_NUMBER() by ``order`` then ``key``
     running     {output: column} running sums, ROWS from the first to the current row
     total       {output: column} sums over the whole table
+
+    Runs a job while the plan is built: the sorted slices are written to staged storage, from
+    which the result is read (see README on when that storage goes).
     """
     running = dict(running or {})
     within = list(within)
+    if row_number and not (rank or running or within):
+        return _positions(df, order, key, row_number, total or {})
     values = [_name(c) for c in order]
     by_key = [_sort(c) for c in order] + [F.col(k).asc() for k in key]
     part = [_SLICE, *within]
@@ -118,6 +123,28 @@ def with_order_stats(
     )
 
 
+def _positions(
+    df: DataFrame, order: Sequence[str], key: Sequence[str], out: str, total: Mapping[str, str]
+) -> DataFrame:
+    """Row numbers alone need no window: they are counted along the sorted slices.
+
+    A generated id holds the slice in its upper bits and the place in it in the lower 33.
+    """
+    by_key = [_sort(c) for c in order] + [F.col(k).asc() for k in key]
+    sliced = df.repartitionByRange(*by_key).sortWithinPartitions(*by_key)
+    staged = stage(sliced.withColumn("__id", F.monotonically_increasing_id()), "ordered")
+    part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = staged.groupBy(part.alias(_SLICE)).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(_SLICE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    joined = staged.withColumn(_SLICE, part).join(F.broadcast(before), _SLICE)  # one row per slice
+    return joined.select(
+        *df.columns,
+        (F.col("__before") + place + 1).cast("long").alias(out),
+        *[staged.agg(F.sum(c)).scalar().alias(name) for name, c in total.items()],
+    )
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
