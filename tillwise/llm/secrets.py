@@ -2,8 +2,8 @@
 
 A lone identifier, key-like string or endpoint is no finding. Parts are interval-joined within
 a scope: two parts are linked if they start within ``REACH`` code points of each other. A weak
-part is reported only if a part of another class is linked to it, so that together they make a
-usable credential.
+part is reported only if linked to one that completes it: an identifier or endpoint to a
+secret, a secret to an identifier or endpoint.
 """
 
 from __future__ import annotations
@@ -22,12 +22,15 @@ ASSIGN_VALUE_CHARS = 6
 # Weak kinds: what each looks like, and which part of a credential it is.
 WEAK = {
     "identity": r"(?i)(?<![A-Za-z0-9_])(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{3,}",
+    "login": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "keylike": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}",
     "endpoint": r"(?i)(?<![A-Za-z0-9_])(?:https?|ftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]{3,}",
+    "host": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{1,5})?(?![0-9])",
 }
 PART = {
     "assign": "secret", "hex": "secret", "keylike": "secret",
-    "access": "identifier", "identity": "identifier", "endpoint": "endpoint",
+    "access": "identifier", "identity": "identifier", "login": "identifier",
+    "endpoint": "endpoint", "host": "endpoint",
 }
 ORDER = {kind: i for i, kind in enumerate([*BASE, *WEAK])}
 REACH = 300
@@ -75,20 +78,17 @@ def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
     near = by_text.orderBy("start").rangeBetween(-reach, reach)
     up = by_text.orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     down = by_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
-    others = lambda name: F.count_if((F.col("part") == name)).over(near)
+    is_secret = F.col("part") == "secret"
     return (
         parts.withColumn("part", part)
-        .withColumn("n_near", F.count(F.lit(1)).over(near))
-        .withColumn(
-            "n_own",
-            F.coalesce(*[F.when(F.col("part") == p, others(p)) for p in sorted(set(PART.values()))]),
-        )
+        .withColumn("secrets", F.count_if(is_secret).over(near))
+        .withColumn("users", F.count_if(~is_secret).over(near))
         .withColumn("covered", F.max(F.when(strong, F.col("end"))).over(up))
         .withColumn("next", F.min(F.when(strong, F.col("start"))).over(down))
         .filter(
             strong
             | (
-                (F.col("n_near") > F.col("n_own"))
+                (F.when(is_secret, F.col("users")).otherwise(F.col("secrets")) > 0)
                 & ~F.coalesce(F.col("covered") > F.col("start"), F.lit(False))
                 & ~F.coalesce(F.col("next") < F.col("end"), F.lit(False))
             )
