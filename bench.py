@@ -34,8 +34,8 @@ OTHERS = (
     "enrichment_check",
     "date_dimension",
     "densify_grid",
+    "clean_all",  # the first to ask for the cleaned tables, so it carries their cost
     "cleaning_summary",
-    "clean_all",
     "validate_all_clean",
     "validate_all",
 )

@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from tillcheck.defects import CATEGORIES, PATTERNS, RAW, messy_sql
 from tillcheck.star import big, dbl, star_query
-from tillwise.model import PROVINCES, RAW_COLUMNS, STOCK_COLUMNS
+from tillwise.model import RAW_COLUMNS, STOCK_COLUMNS
 
 RAW_CTES = messy_sql(RAW, "raw")
+# What the province spellings of the messy data stand for.
+PROVINCES = {
+    "on": "Ontario",
+    "ontario": "Ontario",
+    "b.c.": "British Columbia",
+    "qc": "Quebec",
+    "québec": "Quebec",
+    "nova scotia": "Nova Scotia",
+    "sk": "Saskatchewan",
+    "alberta": "Alberta",
+}
 KEYS = {
     "customers": "customer_id",
     "products": "product_id",

@@ -10,29 +10,40 @@ from pyspark.sql import DataFrame
 
 from tillwise.model import RetailTables
 
-# Fixed values of the check data: id formats and the categories as title-cased part types.
+# Fixed values of the check data: the default id formats, longer numbers included, and the
+# categories as title-cased part types.
 PATTERNS = {
-    "customer_id": r"CUST\d+",
-    "product_id": r"PROD\d+",
-    "store_id": r"STORE\d+",
-    "order_id": r"ORD\d+",
-    "return_id": r"RET\d+",
+    "customer_id": r"CUST\d{4,}",
+    "product_id": r"PROD\d{3,}",
+    "store_id": r"STORE\d{2,}",
+    "order_id": r"ORD\d{6,}",
+    "return_id": r"RET\d{6,}",
 }
 CATEGORIES = ("Economy", "Large", "Medium", "Promo", "Small", "Standard")
 
 _PROVINCE = """CASE {k} % 8 WHEN 0 THEN 'ON' WHEN 1 THEN 'ontario' WHEN 2 THEN ' B.C. '
   WHEN 3 THEN 'QC' WHEN 4 THEN 'Québec' WHEN 5 THEN 'nova scotia' WHEN 6 THEN 'sk'
   ELSE CASE WHEN {k} % 5 = 0 THEN 'Atlantis' ELSE 'Alberta' END END"""
+
+
+def _padded(column: str, width: int) -> str:
+    """The number as text of at least ``width`` digits."""
+    text = f"CAST({column} AS STRING)"
+    return f"repeat('0', greatest({width} - length({text}), 0)) || {text}"
+
+
+_CUSTOMER, _STORE = _padded("customer_id", 4), _padded("store_id", 2)
+_PRODUCT, _ORDER = _padded("product_id", 3), _padded("order_id", 6)
 _SP = "(store_id + product_id)"
 _OP = "(order_id + product_id)"
-_PROD = "'PROD' || CAST(product_id AS STRING)"
+_PROD = f"'PROD' || {_PRODUCT}"
 
 # table -> (columns, [(condition for an extra copy, columns replaced in it)])
 RAW: dict[str, tuple[dict[str, str], list[tuple[str, dict[str, str]]]]] = {
     "customers": (
         {
-            "customer_id": """CASE WHEN customer_id % 89 = 0 THEN ' cust' || CAST(customer_id AS STRING) || ' '
-                              ELSE 'CUST' || CAST(customer_id AS STRING) END""",
+            "customer_id": f"""CASE WHEN customer_id % 89 = 0 THEN ' cust' || {_CUSTOMER} || ' '
+                              ELSE 'CUST' || {_CUSTOMER} END""",
             "customer_name": """CASE WHEN customer_id % 97 = 0 THEN NULL
                 WHEN customer_id % 101 = 0 THEN '   '
                 WHEN customer_id % 7 = 1 THEN 'o' || chr(39) || 'NEIL anne-marie 3rd ' || CAST(customer_id AS STRING)
@@ -63,8 +74,8 @@ RAW: dict[str, tuple[dict[str, str], list[tuple[str, dict[str, str]]]]] = {
     ),
     "stores": (
         {
-            "store_id": """CASE WHEN store_id % 19 = 0 THEN 'store' || CAST(store_id AS STRING) || ' '
-                           ELSE 'STORE' || CAST(store_id AS STRING) END""",
+            "store_id": f"""CASE WHEN store_id % 19 = 0 THEN 'store' || {_STORE} || ' '
+                           ELSE 'STORE' || {_STORE} END""",
             "store_name": "store_name",
             "city": "city",
             "province": _PROVINCE.format(k="store_id"),
@@ -77,16 +88,16 @@ RAW: dict[str, tuple[dict[str, str], list[tuple[str, dict[str, str]]]]] = {
     ),
     "sales": (
         {
-            "order_id": "'ORD' || CAST(order_id AS STRING)",
+            "order_id": f"'ORD' || {_ORDER}",
             "order_date": """CASE WHEN order_id % 97 = 0 THEN 'invalid-date'
                 WHEN order_id % 103 = 0 THEN CAST(order_date AS STRING) || ' 00:00:00'
                 WHEN order_id % 107 = 0 THEN CAST(order_date AS STRING) || 'T23:59:59.5Z'
                 ELSE CAST(order_date AS STRING) END""",
-            "customer_id": """CASE WHEN order_id % 67 = 0 THEN NULL
+            "customer_id": f"""CASE WHEN order_id % 67 = 0 THEN NULL
                 WHEN order_id % 211 = 0 THEN 'CUST999999999'
-                ELSE 'CUST' || CAST(customer_id AS STRING) END""",
-            "store_id": "'STORE' || CAST(store_id AS STRING)",
-            "product_id": f"""CASE WHEN {_OP} % 89 = 0 THEN ' prod' || CAST(product_id AS STRING) || ' '
+                ELSE 'CUST' || {_CUSTOMER} END""",
+            "store_id": f"'STORE' || {_STORE}",
+            "product_id": f"""CASE WHEN {_OP} % 89 = 0 THEN ' prod' || {_PRODUCT} || ' '
                 ELSE {_PROD} END""",
             "quantity": """CASE WHEN order_id % 101 = 0 THEN '-' || CAST(quantity AS STRING)
                 WHEN order_id % 127 = 0 THEN CAST(quantity AS STRING) || '.5'
@@ -101,8 +112,8 @@ RAW: dict[str, tuple[dict[str, str], list[tuple[str, dict[str, str]]]]] = {
         {
             "date": f"CASE WHEN {_SP} % 103 = 0 THEN '2025-99-99' ELSE CAST(date AS STRING) END",
             "store_id": f"""CASE WHEN {_SP} % 107 = 0 THEN NULL
-                ELSE 'STORE' || CAST(store_id AS STRING) END""",
-            "product_id": f"""CASE WHEN {_SP} % 89 = 0 THEN ' prod' || CAST(product_id AS STRING) || ' '
+                ELSE 'STORE' || {_STORE} END""",
+            "product_id": f"""CASE WHEN {_SP} % 89 = 0 THEN ' prod' || {_PRODUCT} || ' '
                 ELSE {_PROD} END""",
             "opening_stock": f"CASE WHEN {_SP} % 113 = 0 THEN '-4' ELSE CAST(opening_stock AS STRING) END",
             "units_received": "CAST(units_received AS STRING)",
@@ -118,8 +129,8 @@ RAW: dict[str, tuple[dict[str, str], list[tuple[str, dict[str, str]]]]] = {
         {
             "return_id": """CASE WHEN order_id % 53 = 0 THEN 'R-' ELSE 'RET' END
                 || CAST(order_id * 1000000 + product_id AS STRING)""",
-            "order_id": """CASE WHEN order_id % 31 = 0 THEN 'ORD999999999'
-                ELSE 'ORD' || CAST(order_id AS STRING) END""",
+            "order_id": f"""CASE WHEN order_id % 31 = 0 THEN 'ORD999999999'
+                ELSE 'ORD' || {_ORDER} END""",
             "product_id": f"CASE WHEN order_id % 37 = 0 THEN 'PROD999999999' ELSE {_PROD} END",
             "return_date": """CASE WHEN order_id % 29 = 0 THEN '1990-01-01'
                 WHEN order_id % 59 = 0 THEN 'soon' ELSE CAST(return_date AS STRING) END""",

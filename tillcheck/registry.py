@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcheck.defects import CATEGORIES, PATTERNS, RAW, SUSPECT, messy_frame
+from tillcheck.defects import CATEGORIES, RAW, SUSPECT, messy_frame
 from tillwise import model
 from tillwise.catalog import ANALYSES
 from tillwise.functions.numeric import dbl, lng
@@ -50,7 +50,7 @@ def all_cleaned(spark: SparkSession, sf_dir: str) -> dict[str, cleaning.Cleaned]
     with lock:
         if key not in _CLEANED:
             raw = {n: raw_table(t, n) for n in model.TABLES}
-            _CLEANED[key] = cleaning.clean_all(raw, PATTERNS, CATEGORIES, keep=stage)
+            _CLEANED[key] = cleaning.clean_all(raw, categories=CATEGORIES, keep=stage)
         return _CLEANED[key]
 
 

@@ -172,7 +172,10 @@ def _inventory(sales: DataFrame) -> DataFrame:
 
 
 def benchmark_star(spark: SparkSession, sf_dir: str) -> RetailTables:
-    """The retail star over ``<sf_dir>/*.parquet``; each table is staged on first use."""
+    """The retail star over ``<sf_dir>/*.parquet``; each table is staged on first use.
+
+    The star is kept for the application: files rewritten under one name need a new session.
+    """
     key = (spark.sparkContext.applicationId, str(sf_dir))
     with _LOCK:
         if key in _STARS:
@@ -184,8 +187,10 @@ def benchmark_star(spark: SparkSession, sf_dir: str) -> RetailTables:
         memo: dict[str, DataFrame] = {}
 
         def once(name: str, build, partition_by=()):
+            lock = threading.RLock()  # per table: building one never holds up another
+
             def get() -> DataFrame:
-                with _LOCK:
+                with lock:
                     if name not in memo:
                         memo[name] = stage(build(), name, partition_by)
                     return memo[name]
