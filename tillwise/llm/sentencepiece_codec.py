@@ -167,6 +167,12 @@ def project(
     return source[cuts[:-1]], source[cuts[1:]]
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    cuts = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([len(r) for r in rows], out=cuts[1:])
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(rows).astype(np.int32)))
+
+
 def encode(docs: DataFrame, model_path: str, add_eos: bool = True) -> DataFrame:
     """(row, ids, starts, ends, decoded) for every row of ``docs``.
 
@@ -191,21 +197,19 @@ def encode(docs: DataFrame, model_path: str, add_eos: bool = True) -> DataFrame:
                 part = batch.slice(low, _OUT_ROWS)
                 texts = part.column("text").to_pylist()
                 coded = processor.encode(texts, num_threads=1)
-                starts, ends = [], []
-                for text, ids in zip(texts, coded):
+                ids, starts, ends = [], [], []
+                for text, row in zip(texts, coded):
                     norm, source = normalise(text)
-                    at = project(
-                        np.array(ids, np.int64), lengths, norm, source,
+                    ids.append(np.array(row, np.int32))
+                    first, last = project(
+                        ids[-1], lengths, norm, source,
                         lambda t=text: [p.surface for p in processor.encode(t, out_type="immutable_proto").pieces],
                     )
-                    starts.append(at[0])
-                    ends.append(at[1])
+                    starts.append(first)
+                    ends.append(last)
                 yield pa.record_batch(
                     [
-                        part.column("row"),
-                        pa.array(coded, pa.list_(pa.int32())),
-                        pa.array(starts, pa.list_(pa.int32())),
-                        pa.array(ends, pa.list_(pa.int32())),
+                        part.column("row"), _lists(ids), _lists(starts), _lists(ends),
                         pa.array(processor.decode(coded), pa.string()),
                     ],
                     names=["row", "ids", "starts", "ends", "decoded"],
