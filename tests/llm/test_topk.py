@@ -29,7 +29,7 @@ def vectors(n, dims, seed, copies=0):
     rng = random.Random(seed)
     as_float = lambda x: __import__("struct").unpack("f", __import__("struct").pack("f", x))[0]
     out = [(i, [as_float(rng.gauss(0, 0.3)) for _ in range(dims)], 7, "x") for i in range(n)]
-    hot = out[1][1]
+    hot = out[-1][1]
     return out + [(n + i, hot, 7, "y") for i in range(copies)]
 
 
