@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +42,16 @@ def remainder(doc_id: str, divisor: int) -> Column:
 def passed_through(df: DataFrame, **internal: Column) -> DataFrame:
     """All columns packed into ``row``, so names made by an operator can't clash with them."""
     return df.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in internal.items()])
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for the jobs that run inside; long texts make
+    the default batch large on both sides of the pipe."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tillwise.llm.blocks import Block, blocks, mix
-from tillwise.llm.common import text_mark, whole_text
+from tillwise.llm.common import batches_of, text_mark, whole_text
 from tillwise.llm.components import connected
 from tillwise.sources.staging import stage
 
@@ -138,7 +138,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, block in blocks(batch.column("text"), 4 << 20):
+            for low, block in blocks(batch.column("text"), 2 << 20):
                 c1, c2 = _content(block)
                 signature = prob_minhash(*shingles(block), block.n, BANDS * ROWS)
                 rows = signature.reshape(block.n, BANDS, ROWS)
@@ -289,13 +289,19 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     capped: members are compared with hubs, and members of components that stay apart by their
     rare shingles.
     """
+    with batches_of(docs.sparkSession, 1000):  # every job that runs Python runs in here
+        return _near_classes(docs, threshold)
+
+
+def _near_classes(docs: DataFrame, threshold: float) -> DataFrame:
     sketches = stage(sketched(docs), "sketches")
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
     copies = sketches.groupBy("c1", "c2").agg(
         F.min(key).alias("rep"), F.count(F.lit(1)).alias("n"), F.any_value("bands").alias("bands")
     )
-    node = F.struct("c1", "c2").alias("node")
-    reps = stage(copies.select(node, "rep", "n", "bands"), "representatives")
+    # Distinct texts get a number, fixed once written: eight bytes travel where hashes would.
+    numbered = copies.withColumn("node", F.monotonically_increasing_id())
+    reps = stage(numbered, "representatives")
     buckets = reps.select("node", F.explode("bands").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
     shared = stage(
@@ -327,14 +333,11 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not mixed.isEmpty():
         rest = unsettled_pairs(mixed, threshold).join(seen, ["x", "y"], "left_anti")
         found = connected(found.union(verified(rest, texts, threshold)))
-    rooted = reps.select("node", "rep", "n").join(
+    rooted = reps.drop("bands").join(
         found.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left"
     ).withColumn("root", F.coalesce("root", "node"))
     classes = rooted.groupBy("root").agg(F.min("rep").alias("first"), F.sum("n").alias("class_size"))
-    named = rooted.select("node", "root").join(classes, "root")
-    named = named.select(
-        F.col("node.c1").alias("c1"), F.col("node.c2").alias("c2"), "first", "class_size"
-    )
+    named = rooted.select("c1", "c2", "root").join(classes, "root").drop("root")
     return sketches.drop("bands").join(named, ["c1", "c2"]).select(
         "doc_id",
         "mark",
