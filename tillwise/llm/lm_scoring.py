@@ -169,6 +169,24 @@ def scored_words(words: DataFrame, spelt: Mapping[str, float], raw: list[float])
     return words.mapInArrow(run, "word string, c long, lattice double")
 
 
+def most_frequent(words: DataFrame, limit: int) -> DataFrame:
+    """Words of at most ``FREQUENT_BYTES`` above the count at which ``limit`` would be passed.
+
+    The count is read off a histogram of a few thousand steps, exact below 1,024 and of about
+    1.6 % above, so the words themselves are neither sorted nor sent more than once.
+    """
+    step = F.when(F.col("c") < 1024, F.col("c")).otherwise(1024 + F.floor(F.log(F.col("c") / 1024) * 64))
+    short = words.filter(F.octet_length("word") <= FREQUENT_BYTES).withColumn("step", step.cast("long"))
+    sizes = {r.step: r.n for r in short.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect()}
+    taken, lowest = 0, max(sizes, default=0) + 1
+    for at in sorted(sizes, reverse=True):
+        taken += sizes[at]
+        if taken > limit:
+            break
+        lowest = at
+    return short.filter(F.col("step") >= lowest).drop("step")
+
+
 def _by_frequent(docs: DataFrame, words: list[bytes], c: np.ndarray, base: np.ndarray, lattice: np.ndarray) -> DataFrame:
     """Sums over the frequent words of each document, and its other words with their counts."""
     packed = docs.select("doc_id", held_out().alias("held_out"), whole_text().alias("text"))
@@ -226,10 +244,7 @@ def score_documents(docs: DataFrame, model_path: str, frequent: int = FREQUENT_W
     unit = n + 1 * (v + 1)
     spelt, raw, end_score = piece_scores(model_path, piece_counts(counts, model_path), ends)
     words = stage(scored_words(counts, spelt, raw), "word-scores")
-    top = (
-        words.filter(F.octet_length("word") <= FREQUENT_BYTES)
-        .orderBy(F.desc("c"), "word").limit(frequent).toPandas()
-    )
+    top = most_frequent(words, frequent).toPandas()
     c = top["c"].to_numpy(np.int64)
     split = _by_frequent(
         docs, [w.encode() for w in top["word"]], c, np.log10((c + 1) / unit), top["lattice"].to_numpy(float)
