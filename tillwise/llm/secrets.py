@@ -3,7 +3,8 @@
 A lone identifier, key-like string or endpoint is no finding. Parts are interval-joined within
 a scope: two parts are linked if they start within ``REACH`` code points of each other. A weak
 part is reported only if linked to one that completes it: an identifier or endpoint to a
-secret, a secret to an identifier or endpoint.
+secret, a secret to an identifier or endpoint. A key-like value right behind the name of an
+identifier (``client_id=...``) is that identifier and no secret.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ BASE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}
 ASSIGN_VALUE_CHARS = 6
 # Weak kinds: what each looks like, and which part of a credential it is.
 WEAK = {
-    "identity": r"(?i)(?<![A-Za-z0-9_])(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{3,}",
+    "identity": r"(?i)(?<![A-Za-z0-9_])(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._-]{3,})",
     "login": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "keylike": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}",
+    "keylike": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}",
     "endpoint": r"(?i)(?<![A-Za-z0-9_])(?:https?|ftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]{3,}",
     "host": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{1,5})?(?![0-9])",
 }
@@ -33,17 +34,19 @@ PART = {
     "endpoint": "endpoint", "host": "endpoint",
 }
 ORDER = {kind: i for i, kind in enumerate([*BASE, *WEAK])}
+VALUE_GROUP = {ASSIGN: 2, WEAK["identity"]: 1}  # patterns of a name and a value
 REACH = 300
 
 
 
 def _lengths(text: Column, pattern: str) -> Column:
-    """Per match: code points since the match before, of the match, and of its second group.
+    """Per match: code points since the match before, of the match, and of its value.
 
     The text splits at the matches, so places are running sums of these lengths.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if pattern == ASSIGN else found
+    group = VALUE_GROUP.get(pattern, 0)
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
     both = F.arrays_zip(gaps.alias("g"), found.alias("m"), value.alias("v"))
     lengths = F.transform(
@@ -56,14 +59,28 @@ def _lengths(text: Column, pattern: str) -> Column:
 
 
 def _parts(scanned: DataFrame) -> DataFrame:
-    """(rid, kind_no, start, end) of every match, in code points, the end exclusive."""
+    """(rid, kind_no, start, end, value) of every match, in code points, the end exclusive."""
     each = scanned.select("rid", F.posexplode("found").alias("kind_no", "lengths")).select(
         "rid", "kind_no", F.posexplode("lengths").alias("at", "x")
     )
     upto = Window.partitionBy("rid", "kind_no").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     ended = each.repartition("rid").withColumn("end", F.sum(F.col("x.g") + F.col("x.m")).over(upto))
     short = (F.col("kind_no") == ORDER["assign"]) & (F.col("x.v") < ASSIGN_VALUE_CHARS)
-    return ended.filter(~short).select("rid", "kind_no", (F.col("end") - F.col("x.m")).alias("start"), "end")
+    return ended.filter(~short).select(
+        "rid",
+        "kind_no",
+        (F.col("end") - F.col("x.m")).alias("start"),
+        "end",
+        (F.col("end") - F.col("x.v")).alias("value"),
+    )
+
+
+def _unnamed(parts: DataFrame) -> DataFrame:
+    """The parts without key-like strings that are the value of an identity."""
+    up = Window.partitionBy("rid").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    named = F.max(F.when(F.col("kind_no") == ORDER["identity"], F.col("value"))).over(up)
+    is_name = (F.col("kind_no") == ORDER["keylike"]) & (F.col("named") == F.col("start"))
+    return parts.withColumn("named", named).filter(~F.coalesce(is_name, F.lit(False)))
 
 
 def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
@@ -80,7 +97,8 @@ def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
     down = by_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
     is_secret = F.col("part") == "secret"
     return (
-        parts.withColumn("part", part)
+        _unnamed(parts)
+        .withColumn("part", part)
         .withColumn("secrets", F.count_if(is_secret).over(near))
         .withColumn("users", F.count_if(~is_secret).over(near))
         .withColumn("covered", F.max(F.when(strong, F.col("end"))).over(up))
