@@ -5,7 +5,7 @@ import random
 import re
 
 from tests.llm import rows
-from tillwise.llm.secrets import ORDER, PART, REACH, WEAK, report
+from tillwise.llm.secrets import ADJACENT, ORDER, PART, REACH, WEAK, report
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
@@ -90,6 +90,49 @@ def test_env_credentials(spark):
     }
 
 
+def gap(a, b):
+    return max(a[0] - b[2], b[0] - a[2])
+
+
+def by_gaps(text):
+    """As everything(), with gaps for start distances, whole runs of key lines, and no keys that are identities."""
+    strong = base(text)
+    weak = [(m.start(), k, m.end()) for k, p in WEAK.items() for m in re.finditer(p, text, re.A)]
+    names = {m.start(1) for m in re.finditer(WEAK["identity"], text, re.A)}
+    both = strong + [w for w in weak if w[1] != "keylike" or w[0] not in names]
+    near = {p for p in both if any(completes(o, p) and gap(o, p) <= REACH for o in both)}
+    lines = [p for p in both if p[1] in ("keylike", "hex")]
+    grown = None
+    while grown != near:
+        grown, near = near, near | {p for p in lines if any(q in near and gap(p, q) <= ADJACENT for q in lines)}
+    kept = [w for w in both if w[1] in WEAK and w in near and not any(s[0] < w[2] and s[2] > w[0] for s in strong)]
+    return ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(strong + kept, key=lambda s: (s[0], ORDER[s[1]], s[2])))
+
+
+def test_by_gaps_against_brute_force(spark):
+    some = texts(200, 8)
+    df = rows.frame(spark, [(i, t, "en", "s", 1, "", 0, "") for i, t in enumerate(some)])
+    got = {r.doc_id: r.spans for r in report(df, by_gap=True).collect()}
+    assert got == {i: by_gaps(t) for i, t in enumerate(some)}
+
+
+def test_long_credentials(spark):
+    """A long key or address and what directly follows it, and a key broken into lines."""
+    line = "kJ8x2Lm9Qp4Rt7Vw1Zy3Bn5/" * 3
+    key, url = line[:64], "https://a.example/" + "z" * 400
+    pem = "\n".join([key] * 12)
+    data = [
+        (1, f"{key * 8} user: alice"), (2, f"{url} auth: {key}"), (3, f"user: alice\n{pem}"),
+        (4, f"{pem}\n{'. ' * 149}jo@x.org"), (5, f"{pem}\n{'. ' * 151}jo@x.org"),
+    ]
+    df = rows.frame(spark, [(*d, "", "", 0, "", 0, "") for d in data])
+    lines = lambda at: ",".join(f"keylike:{at + 65 * i}:{at + 65 * i + 64}" for i in range(12))
+    assert {r.doc_id: r.spans for r in report(df, by_gap=True).collect()} == {
+        1: "keylike:0:512,identity:513:524", 2: "endpoint:0:418,keylike:425:489",
+        3: f"identity:0:11,{lines(12)}", 4: f"{lines(0)},login:1078:1086", 5: "",
+    }
+
+
 def test_empty(spark):
     assert report(rows.frame(spark, [])).collect() == []
     assert set(PART) == set(ORDER) and set(PART.values()) == {"secret", "identifier", "endpoint"}

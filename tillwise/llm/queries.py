@@ -41,7 +41,7 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.report(table(spark, sf_dir, "documents"))
+    return secrets.report(table(spark, sf_dir, "documents"), by_gap=True)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

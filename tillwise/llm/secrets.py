@@ -1,8 +1,9 @@
 """Secret scans: strong patterns, and weak parts linked where they complement each other.
 
 A lone identifier, key-like string or endpoint is no finding. Parts are interval-joined within
-a scope: two parts are linked if they start within ``REACH`` code points of each other. A weak
-part is reported only if linked to one that completes it: an identifier or endpoint to a
+a scope: two parts are linked if at most ``REACH`` code points lie between them (``by_gap``, as the
+query asks for) or between their starts. By gap, the lines of a broken key are one part: key-like
+strings with at most ``ADJACENT`` code points between them. A weak part is reported only if linked to one that completes it: an identifier or endpoint to a
 secret, a secret to an identifier or endpoint. A key-like value right behind the name of an
 identifier (``client_id=...``) is that identifier and no secret.
 """
@@ -36,7 +37,7 @@ PART = {
 ORDER = {kind: i for i, kind in enumerate([*BASE, *WEAK])}
 VALUE_GROUP = {ASSIGN: 2, WEAK["identity"]: 1}  # patterns of a name and a value
 REACH = 300
-
+ADJACENT = 8  # line end, quotes and a small indent
 
 
 def _lengths(text: Column, pattern: str) -> Column:
@@ -83,30 +84,65 @@ def _unnamed(parts: DataFrame) -> DataFrame:
     return parts.withColumn("named", named).filter(~F.coalesce(is_name, F.lit(False)))
 
 
-def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
+def _near_starts(parts: DataFrame, reach: int) -> DataFrame:
+    """With ``completed``: a complementary part starts within reach of the start."""
+    near = Window.partitionBy("rid").orderBy("start").rangeBetween(-reach, reach)
+    is_secret = F.col("part") == "secret"
+    others = F.when(is_secret, F.count_if(~is_secret).over(near)).otherwise(F.count_if(is_secret).over(near))
+    return parts.withColumn("completed", others > 0)
+
+
+def _near_gaps(parts: DataFrame, reach: int) -> DataFrame:
+    """With ``completed``: at most ``reach`` code points lie between a complementary part and this one.
+
+    A part that starts before is near if the largest end of those is, one that starts after if
+    the least start of those is. Of the lines of one key all are completed if one is.
+    """
+    by_text = Window.partitionBy("rid")
+    ordered = by_text.orderBy("start", "kind_no", "end")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    up = by_text.orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    down = by_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
+    is_secret = F.col("part") == "secret"
+    line = F.col("kind_no").isin(ORDER["keylike"], ORDER["hex"])
+    adjoins = F.coalesce(F.max(F.when(line, F.col("end"))).over(before) + ADJACENT >= F.col("start"), F.lit(False))
+    last = lambda which: F.max(F.when(which, F.col("end"))).over(up)
+    first = lambda which: F.min(F.when(which, F.col("start"))).over(down)
+    other = lambda found: F.when(is_secret, found(~is_secret)).otherwise(found(is_secret))
+    near = F.coalesce(F.col("last") >= F.col("start") - reach, F.lit(False)) | F.coalesce(
+        F.col("first") <= F.col("end") + reach, F.lit(False)
+    )
+    return (
+        parts.withColumn("opens", (line & ~adjoins).cast("int"))
+        .withColumn("run", F.when(line, F.sum("opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0))))
+        .withColumn("last", other(last))
+        .withColumn("first", other(first))
+        .withColumn("near", near)
+        .withColumn("whole", F.max("near").over(Window.partitionBy("rid", "run")))
+        .withColumn("completed", F.when(line, F.col("whole")).otherwise(F.col("near")))
+    )
+
+
+def linked(parts: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFrame:
     """The strong parts, and the weak ones that complement another part within reach.
 
-    Links are a range frame over the start, so no pairs are formed. A weak part that overlaps
+    Links are frames over the start, so no pairs are formed. A weak part that overlaps
     a strong one is left out, as it says nothing new.
     """
     strong = F.col("kind_no") < len(BASE)
     part = F.element_at(F.array(*[F.lit(PART[k]) for k in ORDER]), F.col("kind_no") + 1)
     by_text = Window.partitionBy("rid")
-    near = by_text.orderBy("start").rangeBetween(-reach, reach)
     up = by_text.orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     down = by_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
-    is_secret = F.col("part") == "secret"
+    kinds = _unnamed(parts).withColumn("part", part)
     return (
-        _unnamed(parts)
-        .withColumn("part", part)
-        .withColumn("secrets", F.count_if(is_secret).over(near))
-        .withColumn("users", F.count_if(~is_secret).over(near))
+        (_near_gaps if by_gap else _near_starts)(kinds, reach)
         .withColumn("covered", F.max(F.when(strong, F.col("end"))).over(up))
         .withColumn("next", F.min(F.when(strong, F.col("start"))).over(down))
         .filter(
             strong
             | (
-                (F.when(is_secret, F.col("users")).otherwise(F.col("secrets")) > 0)
+                F.col("completed")
                 & ~F.coalesce(F.col("covered") > F.col("start"), F.lit(False))
                 & ~F.coalesce(F.col("next") < F.col("end"), F.lit(False))
             )
@@ -122,7 +158,7 @@ def _listed(spans: Column) -> Column:
     )
 
 
-def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def scan(docs: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFrame:
     """(doc_id, spans, base, n_weak) per row: spans are (start, kind_no, end) structs in order.
 
     ``base`` has the strong kinds only. A NULL or empty text has no spans; repeated rows are
@@ -133,7 +169,7 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
         "doc_id", F.array(*[_lengths(text, p) for p in {**BASE, **WEAK}.values()]).alias("found")
     ).withColumn("rid", F.monotonically_increasing_id())
     scanned = stage(scanned, "secret-parts")  # the row numbers are fixed once written
-    spans = linked(_parts(scanned), reach).groupBy("rid").agg(
+    spans = linked(_parts(scanned), reach, by_gap).groupBy("rid").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind_no", "end"))).alias("spans")
     )
     none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint>>")
@@ -146,10 +182,10 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     )
 
 
-def report(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def report(docs: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFrame:
     """Counts per strong kind, a digest of the strong spans, and all spans as text."""
     count = lambda k: F.size(F.filter("base", lambda s: s["kind_no"] == ORDER[k])).cast("long")
-    return scan(docs, reach).select(
+    return scan(docs, reach, by_gap).select(
         "doc_id",
         *[count(k).alias(f"n_{k}") for k in BASE],
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
