@@ -151,6 +151,25 @@ def test_measures_repeat_over_unrelated_dimensions(star):
     assert sorted(alone) == [("Loyal", 3), ("New", 3)]
 
 
+def test_unrelated_values_stay_distributed(star):
+    """No array of all customers: neither for one row or rows per month, nor for rows per product."""
+    attributes = {c.customer_id: c.customer_name for c in star.customers.collect()}
+    kinds = {s.store_type for s in star.stores.collect()}
+    returned = {}
+    for r in star.returns.collect():
+        returned[r.product_id] = returned.get(r.product_id, 0) + r.quantity_returned
+    by = measures.measure_by(star, ["total_revenue", "returned_units"], ["customer_id"])
+    assert {r[0]: r[2] for r in rows(by)}.items() >= dict.fromkeys(attributes, sum(returned.values())).items()
+    wide = measures.measure_by(star, ["returned_units"], ["customer_id", "customer_name", "product_id", "store_type"])
+    want = {(c, n, p, k, v) for c, n in attributes.items() for p, v in returned.items() for k in kinds}
+    assert set(rows(wide)) == want and wide.count() == len(want)
+    monthly = measures.measure_by(star, ["returned_units"], ["month", "customer_name"])
+    assert len(rows(monthly)) == len({str(r.return_date)[:7] for r in star.returns.collect()}) * len(set(attributes.values()))
+    for df in (by, wide, monthly):
+        plan = df._jdf.queryExecution().toString()
+        assert "collect_set" not in plan and "scalar-subquery" not in plan
+
+
 def test_no_rows_of_partly_related_facts_are_lost(star):
     by = measures.measure_by(star, ["total_revenue", "returned_units"], ["month", "customer_segment"])
     got = {(r[0], r[1]): r[2:] for r in rows(by)}

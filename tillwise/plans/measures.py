@@ -276,14 +276,17 @@ def measure_by(
 def _repeated(t: RetailTables, frame: DataFrame, own: Sequence[str], dims: Sequence[str]) -> DataFrame:
     """A fact's rows once for every value of the dimension tables it does not relate to.
 
-    Those values are attributes asked for by name; they travel as one array per table, and
-    the result holds every one of them by definition.
+    The values may be as many as customers, so they stay a DataFrame. The result holds every
+    combination by definition. Only a frame of one row, or of rows per date, is surely small
+    enough to broadcast; for others Spark decides by size.
     """
+    small = all(ATTRIBUTES[d] == "date" for d in own)
     for table in KEYS:
         missing = [d for d in dims if d not in own and ATTRIBUTES[d] == table]
         if missing:
-            values = t.table(table).select(F.struct(*missing).alias("v")).agg(F.collect_set("v").alias("v"))
-            frame = frame.select("*", F.inline(values.scalar()))
+            values = t.table(table).select(*missing).distinct()
+            frame = values.crossJoin(F.broadcast(frame) if small else frame)
+            small = False
     return frame
 
 
