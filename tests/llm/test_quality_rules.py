@@ -6,7 +6,9 @@ from collections import Counter
 import pytest
 
 from tests.llm import brute, rows
-from tillwise.llm.quality_rules import RULES, apply_rules, certified_cutoffs, rejection_bound
+from tillwise.llm.quality_rules import (
+    RULES, apply_rules, certified_cutoffs, least_clean, pooled_cutoffs, rejection_bound,
+)
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -44,6 +46,32 @@ def test_cutoffs_stop_at_the_first_failure():
     assert certified_cutoffs(histogram, 0.02, 0.05, 2)["en", rule] == pytest.approx(0.15)
 
 
+def test_small_strata_are_pooled():
+    assert least_clean(0.02, 0.05, 4) == 1495 and least_clean(0.02, 0.05, 100) == 2298
+    rule = "upper_share"
+    histogram = {("en", rule): {0: 5000, 40: 3}, ("fr", rule): {0: 1000, 10: 2}, ("de", rule): {0: 900}}
+    assert {s for s, _ in certified_cutoffs(histogram, 0.02, 0.05, 3)} == {"en"}
+    cut = pooled_cutoffs(histogram, 0.02, 0.05)
+    assert cut["fr", rule] == cut["de", rule]
+    # the pool is one stratum more: its bound holds at a fourth of the confidence
+    own = certified_cutoffs({("pool", rule): {0: 1900, 10: 2}, ("en", rule): histogram["en", rule]}, 0.02, 0.05, 4)
+    assert cut["fr", rule] == own["pool", rule] and cut["en", rule] == own["en", rule]
+    assert not {s for s, _ in pooled_cutoffs({("fr", rule): {0: 20}, ("de", rule): {0: 20}}, 0.02, 0.05)}
+    enough = {("en", rule): {0: 5000}, ("fr", rule): {0: 4000, 9: 1}}
+    assert pooled_cutoffs(enough, 0.02, 0.05) == certified_cutoffs(enough, 0.02, 0.05, 2)
+
+
+def test_junk_of_small_languages_is_caught(spark):
+    plain = "some plain words of a text that is long enough to pass number {} and then goes on a bit more here"
+    langs = ("aa", "bb", "cc")
+    data = [(i, plain.format(i), langs[i % 3], "s", 1, "", 0, "") for i in range(2700)]
+    data += [(5000 + i, plain.format(i).replace(" ", "## "), langs[i % 3], "s", 1, "", 0, "") for i in range(30)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(2700)], LABELS)
+    got = {r.row.doc_id: r.kept for r in apply_rules(rows.frame(spark, data), labels).collect()}
+    assert sum(got[i] for i in range(2700)) >= 2646
+    assert not any(got[5000 + i] for i in range(30))
+
+
 def test_few_clean_rejected_and_junk_caught(spark):
     plain = "some plain words of a text that is long enough to pass number {} and then goes on a bit more here"
     data = [(i, plain.format(i), "en", "s", 1, "", 0, "") for i in range(2500)]

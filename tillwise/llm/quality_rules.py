@@ -5,6 +5,10 @@ documents: a cutoff is certified if an exact (Clopper-Pearson) upper bound on th
 clean documents it rejects stays under the allowed risk, and the confidence is divided among
 all rules and strata (Bonferroni). Inside one rule and stratum cutoffs are tested from the
 mildest on and testing stops at the first that fails, so the chain needs no further division.
+
+A stratum with too few clean documents to certify even a cutoff that rejects none of them is
+pooled with the others of its kind. The pool is one stratum more, counted in the division; its
+cutoffs bound the share over the pool, not that of each stratum in it.
 """
 
 from __future__ import annotations
@@ -131,14 +135,51 @@ def _at_most(k: int, n: int, p: float) -> float:
     return float(np.exp(logs - top).sum() * math.exp(top))
 
 
-def certified_cutoffs(
-    histogram: Mapping[tuple[str, str], Mapping[int, int]], risk: float, delta: float, strata: int
+def least_clean(risk: float, delta: float, strata: int) -> int:
+    """Clean documents that a stratum needs for any cutoff at all: one that rejects none of them."""
+    alpha, each = _shares(risk, delta, strata)
+    return math.ceil(math.log(alpha) / math.log1p(-each))
+
+
+def _shares(risk: float, delta: float, strata: int) -> tuple[float, float]:
+    """The parts of ``delta`` and ``risk`` of one rule in one stratum."""
+    return delta / (len(RULES) * max(strata, 1)), risk / len(RULES)
+
+
+def pooled_cutoffs(
+    histogram: Mapping[tuple[str, str], Mapping[int, int]], risk: float, delta: float
 ) -> dict[tuple[str, str], float]:
+    """Cutoff per (stratum, rule), where strata too small to certify alone share those of their pool.
+
+    Only the numbers of clean documents decide which strata are pooled, never their measures.
+    """
+    sizes: dict[str, int] = {}
+    for (s, _), counts in histogram.items():
+        sizes[s] = max(sizes.get(s, 0), sum(counts.values()))
+    need = least_clean(risk, delta, len(sizes))
+    if all(n >= need for n in sizes.values()):
+        return certified_cutoffs(histogram, risk, delta, len(sizes))
+    tests = len(sizes) + 1
+    need = least_clean(risk, delta, tests)
+    small = {s for s, n in sizes.items() if n < need}
+    pool: dict[tuple[str | None, str], dict[int, int]] = {}
+    for (s, rule), counts in histogram.items():
+        own = pool.setdefault((None if s in small else s, rule), {})
+        for step, n in counts.items():
+            own[step] = own.get(step, 0) + n
+    cut = certified_cutoffs(pool, risk, delta, tests)
+    found = {(s, rule): cut.get((None if s in small else s, rule)) for s, rule in histogram}
+    return {key: c for key, c in found.items() if c is not None}
+
+
+def certified_cutoffs(
+    histogram: Mapping[tuple[str | None, str], Mapping[int, int]], risk: float, delta: float, strata: int
+) -> dict[tuple[str | None, str], float]:
     """Cutoff per (stratum, rule) from counts of clean documents per step of the grid.
 
     ``risk`` is shared by the rules, so that all rules together reject at most that share.
     """
-    alpha, each = delta / (len(RULES) * max(strata, 1)), risk / len(RULES)
+    alpha, each = _shares(risk, delta, strata)
     out = {}
     for key, counts in histogram.items():
         n, above = sum(counts.values()), 0
@@ -186,7 +227,7 @@ def learn_cutoffs(
     histogram: dict[tuple[str, str], dict[int, int]] = {}
     for r in rows:
         histogram.setdefault((r.stratum, r.rule), {})[r.step] = r.n
-    return certified_cutoffs(histogram, risk, delta, len({s for s, _ in histogram}))
+    return pooled_cutoffs(histogram, risk, delta)
 
 
 def verdict(cutoffs: Mapping[tuple[str, str], float], stratum: str = "lang") -> Column:
@@ -207,9 +248,9 @@ def apply_rules(
 ) -> DataFrame:
     """(row, m, base_failed, kept) for every row of ``docs``; ``row`` holds the input columns.
 
-    NULL and empty texts have no words and fail the base rules. A stratum without enough clean
-    documents to certify any cutoff keeps everything that passes the base rules; a NULL stratum
-    is a stratum. Repeated rows are judged alike. An empty table gives an empty result.
+    NULL and empty texts have no words and fail the base rules. Strata without enough clean
+    documents to certify any cutoff share those of their pool; one without any, or with a pool that
+    is too small as well, keeps everything that passes the base rules. A NULL stratum is a stratum. Repeated rows are judged alike. An empty table gives an empty result.
     """
     narrow = docs.select("doc_id", stratum, "text")
     counted = measured(narrow)
