@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.small_star import raw_tables, tiny_star
+from tillcheck.registry import _contents, file_queries
 from tillwise import model
 from tillwise.operators import cleaning
 from tillwise.plans import slicing
@@ -154,3 +155,16 @@ def test_loaded_star_keeps_the_unknown_member_and_is_checked(star):
     broken = {**frames, "products": star.products.filter("product_id <> 'P1'")}
     with pytest.raises(AssertionError, match="sales: foreign_key:product_id->products"):
         files.load_tables(broken, files.cleaned_schemas(star), "t_", check=True)
+
+
+def test_content_shows_damage_in_every_table(star):
+    assert {"write_cleaned_content", "load_tables_content"} <= set(file_queries())
+    whole = {r.table_name: r for r in _contents(star).collect()}
+    assert set(whole) == set(model.TABLES)
+    for name in model.TABLES:
+        df = star.table(name)
+        key = df.columns[0]
+        one = df.select(key).first()[0]
+        for damaged in (df.filter(F.col(key) != F.lit(one)), df.withColumn(df.columns[1], F.lit(None).cast(df.dtypes[1][1]))):
+            got = {r.table_name: r for r in _contents(star.replace(**{name: damaged})).collect()}
+            assert {n for n in got if got[n] != whole[n]} == {name}

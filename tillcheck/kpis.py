@@ -380,7 +380,29 @@ def demand() -> dict[str, str]:
     }
 
 
+# Columns of the star tables by name; money counts as cents.
+CONTENT = {
+    "customers": "city customer_id customer_name customer_segment province signup_date",
+    "products": "category product_id product_name subcategory supplier unit_cost* unit_price*",
+    "stores": "city opening_date province store_id store_name store_type",
+    "sales": """cost* customer_id discount_pct* gross_revenue* month net_revenue* order_date order_id product_id
+                profit* quantity store_id unit_cost* unit_price*""",
+    "inventory": """closing_stock date month opening_stock product_id reorder_level store_id units_received
+                    units_sold""",
+    "returns": "order_id product_id quantity_returned return_date return_id return_reason",
+}
+
+
+def _content(table: str) -> str:
+    values = [f"CAST({c[:-1]} * 100 AS BIGINT)" if c[-1] == "*" else c for c in CONTENT[table].split()]
+    cells = " || '|' || ".join(f"COALESCE(CAST({v} AS VARCHAR), '~')" for v in values)
+    digest = f"CAST('0x' || substr(md5({cells}), 1, 8) AS BIGINT)"
+    return f"""SELECT '{table}' AS table_name, COUNT(*) AS row_count,
+                      {big(f'SUM({digest})')} AS content FROM {table}"""
+
+
 def files() -> dict[str, str]:
+    contents = star_query(" UNION ALL ".join(_content(t) for t in CONTENT))
     counts = all_analyses()["table_row_counts"]
     exported = {
         "frame_monthly": "revenue", "frame_stores": "revenue", "frame_products": "revenue",
@@ -399,7 +421,9 @@ def files() -> dict[str, str]:
             f"""SELECT month, COUNT(*) AS row_count, {dbl('SUM(net_revenue)')} AS revenue
                 FROM sales GROUP BY month"""
         ),
+        "write_cleaned_content": contents,
         "load_tables": star_tables()["star_products"],
+        "load_tables_content": contents,
         "load_tables_counts": counts,
         "load_tables_customers": all_analyses()["customer_summary"],
         "export_results": " UNION ALL ".join(

@@ -411,6 +411,21 @@ def _digest(columns: Sequence[str]) -> Column:
     return F.conv(F.substring(F.md5(cells), 1, 8), 16, 10).cast("long")
 
 
+def _contents(t: RetailTables) -> DataFrame:
+    """Per table its rows and a digest of all its cells; money counts as cents."""
+    parts = []
+    for n in model.TABLES:
+        df = t.table(n)
+        money = {f.name for f in df.schema if f.dataType.typeName() == "decimal"}
+        text = df.select(*[((F.col(c) * 100).cast("long") if c in money else F.col(c)).cast("string").alias(c) for c in sorted(df.columns)])
+        parts.append(
+            text.agg(F.count(F.lit(1)).alias("row_count"), lng(F.sum(_digest(text.columns))).alias("content")).select(
+                F.lit(n).alias("table_name"), "row_count", "content"
+            )
+        )
+    return union_all(parts)
+
+
 def _round_trip(spark: SparkSession, sf_dir: str) -> RetailTables:
     t = benchmark_star(spark, sf_dir)
     path = new_path(spark, "cleaned")
@@ -486,9 +501,11 @@ def file_queries() -> dict[str, Query]:
     return {
         "read_raw": _read_raw,
         "write_cleaned": _write_cleaned,
+        "write_cleaned_content": lambda spark, sf_dir: _contents(_round_trip(spark, sf_dir)),
         "read_cleaned": _read_cleaned,
         "write_cleaning_summary": _write_summary,
         "load_tables": _on_star(_load_values),
+        "load_tables_content": _on_star(lambda t: _contents(_load(t))),
         "load_tables_counts": _on_star(lambda t: _counts(_load(t))),
         "load_tables_customers": _on_star(lambda t: ANALYSES["customer_summary"](_load(t))),
         "export_results": _export,
