@@ -3,9 +3,11 @@ from __future__ import annotations
 import math
 import random
 
+import duckdb
 import pytest
 
-from tillwise.llm import topk
+from tillcheck.compare import compare
+from tillwise.llm import queries, topk
 
 SCHEMA = "vec_id long, embedding array<float>, cell int, id string"
 
@@ -54,5 +56,19 @@ def test_awkward_rows(spark):
     )
 
 
+def test_repeated_ids_against_sql(spark, monkeypatch, tmp_path):
+    """Other vectors under one id are candidates, a query's own id never is, and queries of one id rank together."""
+    monkeypatch.setattr(topk, "CELL_ROWS", 100)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 16)
+    data = [(i // 3 if i < 300 else i - 200, v) for i, v, *_ in vectors(500, 8, 9)] + [(40, [0.5] * 8)] * 150
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    ok, note = compare(queries.op3_topk(spark, str(tmp_path)), con, queries.OP3_SQL)
+    assert ok, note
+    assert not compare(topk.top_k(df), con, queries.OP3_SQL)[0]
+
+
 def test_empty(spark):
     assert topk.top_k(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -33,7 +33,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(table(spark, sf_dir, "embeddings"), each_row=True)
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

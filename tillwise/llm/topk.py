@@ -55,24 +55,25 @@ def _cell(queries: pd.DataFrame, rows: pd.DataFrame):
 
 def _split(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
     asks = pdf["asks"].to_numpy(bool)
-    return pdf[asks].sort_values("id"), pdf[~asks].sort_values("id")
+    return pdf[asks].sort_values(["id", "rid"]), pdf[~asks].sort_values(["id", "rid"])
 
 
 def _heads(k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         queries, rows = _split(pdf)
-        out = {"id": [], "found": []}
+        out = {"rid": [], "found": []}
         if len(queries) and len(rows):
-            ids, own = queries["id"].to_numpy(), rows["id"].to_numpy()
+            ids, own, rid = queries["id"].to_numpy(), rows["id"].to_numpy(), queries["rid"].to_numpy()
             for at, lists in _cell(queries, rows):
                 mine = ids[at][:, None] == own[None, :]
                 total = sum(lists)
-                head = min(k + 1, len(own))
+                same = np.searchsorted(own, ids[at], "right") - np.searchsorted(own, ids[at], "left")
+                head = min(k + int(same.max()), len(own))  # a query's own rows take no place of the others
                 heads = [np.argpartition(-p, head - 1, axis=1)[:, :head] for p in lists]
                 for i in range(len(at)):
                     there = np.unique(np.concatenate([h[i] for h in heads]))
                     there = there[~mine[i, there]]
-                    out["id"].append(ids[at[i]])
+                    out["rid"].append(rid[at[i]])
                     out["found"].append(np.sort(total[i, there])[::-1][:k])
         return pd.DataFrame(out)
 
@@ -107,42 +108,47 @@ def _resolved(k: int):
 
 
 def top_k(
-    vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding"
+    vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col: str = "vec_id",
+    vector_col: str = "embedding", each_row: bool = False,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of every query, ties by smaller id.
 
     Queries are the rows whose id is divisible by ``every``; candidates are all rows with another
-    id. Rows with a NULL id, a NULL vector, or a NULL or non-finite component take no part; of
-    rows with one id the least vector counts; a shorter vector ends in zeros. Scores are exact
+    id. Rows with a NULL id, a NULL vector, or a NULL or non-finite component take no part. Of
+    rows with one id the least vector counts; with ``each_row`` all of them do, each as a candidate of
+    its own, and the queries of one id share one ranking. A shorter vector ends in zeros. Scores are exact
     as long as partial sums stay below 2**53. A query with fewer candidates than k gets them
     all; an empty table gives an empty result.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("vector"))
-    rows = rows.filter("id IS NOT NULL AND vector IS NOT NULL").groupBy("id").agg(F.min("vector").alias("vector"))
-    rows = stage(rows, "vectors")
+    rows = rows.filter("id IS NOT NULL AND vector IS NOT NULL")
+    if not each_row:
+        rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
+    # the row numbers are fixed once written
+    rows = stage(rows.withColumn("rid", F.monotonically_increasing_id()), "vectors")
     n = rows.count()
     cells, parts = max(1, math.ceil(n / CELL_ROWS)), max(1, math.ceil(n / every / QUERY_ROWS))
     none = F.lit(None).cast("double")
     spread = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    bucket = lambda count, salt: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(count)).cast("int")
+    bucket = lambda count, salt: F.pmod(F.xxhash64(F.lit(salt), "rid"), F.lit(count)).cast("int")
     candidates = rows.select(
-        bucket(cells, 1).alias("cell"), "id", "vector", none.alias("cutoff"), F.lit(False).alias("asks")
+        bucket(cells, 1).alias("cell"), "rid", "id", "vector", none.alias("cutoff"), F.lit(False).alias("asks")
     ).select("*", spread(parts).alias("part"))
     asking = rows.filter(F.col("id") % every == 0)
 
     def met(queries: DataFrame) -> DataFrame:
         there = queries.select(
-            spread(cells).alias("cell"), "id", "vector", "cutoff", F.lit(True).alias("asks"),
+            spread(cells).alias("cell"), "rid", "id", "vector", "cutoff", F.lit(True).alias("asks"),
             bucket(parts, 2).alias("part"),
         )
         return candidates.unionByName(there).groupBy("cell", "part")
 
-    heads = met(asking.withColumn("cutoff", none)).applyInPandas(_heads(k), "id long, found array<double>")
+    heads = met(asking.withColumn("cutoff", none)).applyInPandas(_heads(k), "rid long, found array<double>")
     best = F.sort_array(F.flatten(F.collect_list("found")), asc=False)
-    bounds = heads.groupBy("id").agg(best.alias("found")).select(
-        "id", F.coalesce(F.get("found", F.lit(k - 1)), F.lit(float("-inf"))).alias("cutoff")
+    bounds = heads.groupBy("rid").agg(best.alias("found")).select(
+        "rid", F.coalesce(F.get("found", F.lit(k - 1)), F.lit(float("-inf"))).alias("cutoff")
     )
-    final = met(asking.join(bounds, "id")).applyInPandas(_resolved(k), "id long, vec_id long, score double")
+    final = met(asking.join(bounds, "rid")).applyInPandas(_resolved(k), "id long, vec_id long, score double")
     order = Window.partitionBy("id").orderBy(F.desc("score"), "vec_id")
     return final.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         F.col("id").alias("query_id"), "rank", "vec_id", F.col("score").cast("long").alias("score")
