@@ -23,7 +23,7 @@ def test_against_sql(spark, name):
 
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_rules_query(spark):
@@ -34,7 +34,7 @@ def test_rules_query(spark):
         assert r.base_failed == brute.base_failed(want) and not (r.base_failed and r.kept)
 
 
-@pytest.mark.parametrize("name, key", [("op2_sharding", "doc_id"), ("op5_secrets", "doc_id"), ("op10_sentencepiece", "doc_id")])
+@pytest.mark.parametrize("name, key", [("op2_sharding", "doc_id"), ("op5_secrets", "doc_id"), ("op10_sentencepiece", "doc_id"), ("op11_licenses", "doc_id"), ("op12_resampling", "doc_id")])
 def test_one_row_per_document(spark, name, key):
     got = [r[key] for r in queries.QUERIES[name](spark, SF).select(key).collect()]
     assert sorted(got) == sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect())

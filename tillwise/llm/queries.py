@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
-    line_dedup, lm_scoring, mixing, near_dup, quality_gam, quality_rules, secrets, sentencepiece_codec,
-    sharding, topk,
+    filter_audit, licenses, line_dedup, lm_scoring, mixing, near_dup, quality_gam, quality_rules, resampling,
+    secrets, sentencepiece_codec, sharding, topk,
 )
 from tillwise.llm.common import remainder, table
 
@@ -74,6 +74,32 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(coded)
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform(F.filter("places", lambda p: p["base"]), lambda p: p["start"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        F.size(starts).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        F.array_join("expressions", ";").alias("expressions"),
+        "terms",
+    )
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def digest(coded: DataFrame) -> DataFrame:
     """Digest columns of encoded rows; ``covered_bytes`` counts the source bytes of the pieces."""
     return coded.select(
@@ -89,7 +115,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_sharding, op3_topk, op4_lm_scoring, op5_secrets, op6_quality, op7_near_dup,
-        op8_mixing, op9_quality_rules, op10_sentencepiece,
+        op8_mixing, op9_quality_rules, op10_sentencepiece, op11_licenses, op12_resampling, op13_filter_audit,
     )
 }
 
@@ -186,4 +212,43 @@ FROM keyed
 """
 )
 
-SQL = {"op1_line_dedup": OP1_SQL, "op3_topk": OP3_SQL, "op8_mixing": OP8_SQL}
+OP13_SQL = """
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w
+  FROM documents
+), marks AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM texts LEFT JOIN marks USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before + bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM steps, cells GROUP BY ALL
+)
+SELECT * EXCLUDE (bit), sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM counted
+"""
+
+SQL = {"op1_line_dedup": OP1_SQL, "op3_topk": OP3_SQL, "op8_mixing": OP8_SQL, "op13_filter_audit": OP13_SQL}
