@@ -23,12 +23,22 @@ def completes(a, b):
     return (PART[a[1]] == "secret") != (PART[b[1]] == "secret")
 
 
+def gap(a, b):
+    return max(a[0] - b[2], b[0] - a[2])
+
+
 def everything(text):
+    """(strong spans, all spans): linked by gaps, with whole runs of key lines and no keys that are identities."""
     strong = base(text)
     weak = [(m.start(), k, m.end()) for k, p in WEAK.items() for m in re.finditer(p, text, re.A)]
-    both = strong + weak
-    clear = [w for w in weak if not any(s[0] < w[2] and s[2] > w[0] for s in strong)]
-    kept = [w for w in clear if any(completes(o, w) and abs(o[0] - w[0]) <= REACH for o in both)]
+    names = {m.start(1) for m in re.finditer(WEAK["identity"], text, re.A)}
+    both = strong + [w for w in weak if w[1] != "keylike" or w[0] not in names]
+    near = {p for p in both if any(completes(o, p) and gap(o, p) <= REACH for o in both)}
+    lines = [p for p in both if p[1] in ("keylike", "hex")]
+    grown = None
+    while grown != near:
+        grown, near = near, near | {p for p in lines if any(q in near and gap(p, q) <= ADJACENT for q in lines)}
+    kept = [w for w in both if w[1] in WEAK and w in near and not any(s[0] < w[2] and s[2] > w[0] for s in strong)]
     order = lambda spans: sorted(spans, key=lambda s: (s[0], ORDER[s[1]], s[2]))
     show = lambda spans: ",".join(f"{k}:{a}:{b}" for a, k, b in order(spans))
     return show(strong), show(strong + kept)
@@ -90,30 +100,32 @@ def test_env_credentials(spark):
     }
 
 
-def gap(a, b):
-    return max(a[0] - b[2], b[0] - a[2])
+LONG = {
+    "login": ("jo@x", ".b"), "login host": ("jo@", "b-"), "login name": ("", "a."), "keylike": ("", "aB3/"),
+    "identity": ("user=", "a@"), "endpoint": ("https://", "x/"), "host": ("", "10."), "hosts": ("", "10.0.0.1 "),
+    "assign": ("password=", "aB3/"), "access": ("AKIA", "B7"), "hex": ("", "0f"), "quotes": ("", "token=\"' "),
+}
 
 
-def by_gaps(text):
-    """As everything(), with gaps for start distances, whole runs of key lines, and no keys that are identities."""
-    strong = base(text)
-    weak = [(m.start(), k, m.end()) for k, p in WEAK.items() for m in re.finditer(p, text, re.A)]
-    names = {m.start(1) for m in re.finditer(WEAK["identity"], text, re.A)}
-    both = strong + [w for w in weak if w[1] != "keylike" or w[0] not in names]
-    near = {p for p in both if any(completes(o, p) and gap(o, p) <= REACH for o in both)}
-    lines = [p for p in both if p[1] in ("keylike", "hex")]
-    grown = None
-    while grown != near:
-        grown, near = near, near | {p for p in lines if any(q in near and gap(p, q) <= ADJACENT for q in lines)}
-    kept = [w for w in both if w[1] in WEAK and w in near and not any(s[0] < w[2] and s[2] > w[0] for s in strong)]
-    return ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(strong + kept, key=lambda s: (s[0], ORDER[s[1]], s[2])))
+def test_no_pattern_recurses_on_long_texts(spark):
+    """300,000 repeats of what each pattern repeats, whole, followed by something to find."""
+    tail = " \nuser: alice kJ8x2Lm9Qp4Rt7Vw1Zy3Bn5"
+    data = [(i, head + unit * 300_000 + tail, "en", "s", 1, "", 0, "") for i, (head, unit) in enumerate(LONG.values())]
+    got = {r.doc_id: r.spans for r in report(rows.frame(spark, data).repartition(4)).collect()}
+    assert len(got) == len(LONG)
+    for (i, text, *_), (kind, (head, unit)) in zip(data, LONG.items()):
+        end = len(head) + 300_000 * len(unit) + 2
+        assert f"identity:{end}:{end + 11},keylike:{end + 12}:{end + 35}" in got[i], kind
+    assert f"login:0:{4 + 600_000}" in got[0]
 
 
-def test_by_gaps_against_brute_force(spark):
-    some = texts(200, 8)
-    df = rows.frame(spark, [(i, t, "en", "s", 1, "", 0, "") for i, t in enumerate(some)])
-    got = {r.doc_id: r.spans for r in report(df, by_gap=True).collect()}
-    assert got == {i: by_gaps(t) for i, t in enumerate(some)}
+def test_possessive_repeats_find_the_same():
+    greedy = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+    rng = random.Random(6)
+    for _ in range(20_000):
+        text = "".join(rng.choices("ab1.-@% \n", k=rng.randint(1, 24)))
+        find = lambda p: [m.span() for m in re.finditer(p, text, re.A)]
+        assert find(WEAK["login"]) == find(greedy), text
 
 
 def test_long_credentials(spark):
@@ -127,7 +139,7 @@ def test_long_credentials(spark):
     ]
     df = rows.frame(spark, [(*d, "", "", 0, "", 0, "") for d in data])
     lines = lambda at: ",".join(f"keylike:{at + 65 * i}:{at + 65 * i + 64}" for i in range(12))
-    assert {r.doc_id: r.spans for r in report(df, by_gap=True).collect()} == {
+    assert {r.doc_id: r.spans for r in report(df).collect()} == {
         1: "keylike:0:512,identity:513:524", 2: "endpoint:0:418,keylike:425:489",
         3: f"identity:0:11,{lines(12)}", 4: f"{lines(0)},login:1078:1086", 5: "",
     }

@@ -1,11 +1,14 @@
 """Secret scans: strong patterns, and weak parts linked where they complement each other.
 
 A lone identifier, key-like string or endpoint is no finding. Parts are interval-joined within
-a scope: two parts are linked if at most ``REACH`` code points lie between them (``by_gap``, as the
-query asks for) or between their starts. By gap, the lines of a broken key are one part: key-like
-strings with at most ``ADJACENT`` code points between them. A weak part is reported only if linked to one that completes it: an identifier or endpoint to a
-secret, a secret to an identifier or endpoint. A key-like value right behind the name of an
-identifier (``client_id=...``) is that identifier and no secret.
+a scope: two parts are linked if at most ``REACH`` code points lie between them. The lines of a broken
+key are one part: key-like strings with at most ``ADJACENT`` code points between them. A weak part is
+reported only if linked to one that completes it: an identifier or endpoint to a secret, a secret to
+an identifier or endpoint. A key-like value right behind the name of an identifier (``client_id=...``)
+is that identifier and no secret.
+
+Java's matcher calls itself once per round of a repeated group, so a long text could exhaust the
+stack of its thread: repeats here are of single character classes, or possessive.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ ASSIGN_VALUE_CHARS = 6
 # Weak kinds: what each looks like, and which part of a credential it is.
 WEAK = {
     "identity": r"(?i)(?<![A-Za-z0-9_])(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@._-]{3,})",
-    "login": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "login": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "keylike": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}",
     "endpoint": r"(?i)(?<![A-Za-z0-9_])(?:https?|ftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]{3,}",
     "host": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{1,5})?(?![0-9])",
@@ -84,14 +87,6 @@ def _unnamed(parts: DataFrame) -> DataFrame:
     return parts.withColumn("named", named).filter(~F.coalesce(is_name, F.lit(False)))
 
 
-def _near_starts(parts: DataFrame, reach: int) -> DataFrame:
-    """With ``completed``: a complementary part starts within reach of the start."""
-    near = Window.partitionBy("rid").orderBy("start").rangeBetween(-reach, reach)
-    is_secret = F.col("part") == "secret"
-    others = F.when(is_secret, F.count_if(~is_secret).over(near)).otherwise(F.count_if(is_secret).over(near))
-    return parts.withColumn("completed", others > 0)
-
-
 def _near_gaps(parts: DataFrame, reach: int) -> DataFrame:
     """With ``completed``: at most ``reach`` code points lie between a complementary part and this one.
 
@@ -123,7 +118,7 @@ def _near_gaps(parts: DataFrame, reach: int) -> DataFrame:
     )
 
 
-def linked(parts: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFrame:
+def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
     """The strong parts, and the weak ones that complement another part within reach.
 
     Links are frames over the start, so no pairs are formed. A weak part that overlaps
@@ -136,7 +131,7 @@ def linked(parts: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFr
     down = by_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
     kinds = _unnamed(parts).withColumn("part", part)
     return (
-        (_near_gaps if by_gap else _near_starts)(kinds, reach)
+        _near_gaps(kinds, reach)
         .withColumn("covered", F.max(F.when(strong, F.col("end"))).over(up))
         .withColumn("next", F.min(F.when(strong, F.col("start"))).over(down))
         .filter(
@@ -158,7 +153,7 @@ def _listed(spans: Column) -> Column:
     )
 
 
-def scan(docs: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFrame:
+def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """(doc_id, spans, base, n_weak) per row: spans are (start, kind_no, end) structs in order.
 
     ``base`` has the strong kinds only. A NULL or empty text has no spans; repeated rows are
@@ -169,7 +164,7 @@ def scan(docs: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFrame
         "doc_id", F.array(*[_lengths(text, p) for p in {**BASE, **WEAK}.values()]).alias("found")
     ).withColumn("rid", F.monotonically_increasing_id())
     scanned = stage(scanned, "secret-parts")  # the row numbers are fixed once written
-    spans = linked(_parts(scanned), reach, by_gap).groupBy("rid").agg(
+    spans = linked(_parts(scanned), reach).groupBy("rid").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind_no", "end"))).alias("spans")
     )
     none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint>>")
@@ -182,10 +177,10 @@ def scan(docs: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFrame
     )
 
 
-def report(docs: DataFrame, reach: int = REACH, by_gap: bool = False) -> DataFrame:
+def report(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """Counts per strong kind, a digest of the strong spans, and all spans as text."""
     count = lambda k: F.size(F.filter("base", lambda s: s["kind_no"] == ORDER[k])).cast("long")
-    return scan(docs, reach, by_gap).select(
+    return scan(docs, reach).select(
         "doc_id",
         *[count(k).alias(f"n_{k}") for k in BASE],
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
