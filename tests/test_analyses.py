@@ -151,8 +151,8 @@ def test_measures_repeat_over_unrelated_dimensions(star):
     assert sorted(alone) == [("Loyal", 3), ("New", 3)]
 
 
-def test_unrelated_values_stay_distributed(star):
-    """No array of all customers: neither for one row or rows per month, nor for rows per product."""
+def test_unrelated_values_are_not_multiplied(star):
+    """One side that grows with the data is repeated as a DataFrame; two are never multiplied."""
     attributes = {c.customer_id: c.customer_name for c in star.customers.collect()}
     kinds = {s.store_type for s in star.stores.collect()}
     returned = {}
@@ -160,14 +160,41 @@ def test_unrelated_values_stay_distributed(star):
         returned[r.product_id] = returned.get(r.product_id, 0) + r.quantity_returned
     by = measures.measure_by(star, ["total_revenue", "returned_units"], ["customer_id"])
     assert {r[0]: r[2] for r in rows(by)}.items() >= dict.fromkeys(attributes, sum(returned.values())).items()
-    wide = measures.measure_by(star, ["returned_units"], ["customer_id", "customer_name", "product_id", "store_type"])
-    want = {(c, n, p, k, v) for c, n in attributes.items() for p, v in returned.items() for k in kinds}
-    assert set(rows(wide)) == want and wide.count() == len(want)
-    monthly = measures.measure_by(star, ["returned_units"], ["month", "customer_name"])
-    assert len(rows(monthly)) == len({str(r.return_date)[:7] for r in star.returns.collect()}) * len(set(attributes.values()))
+    wide = measures.measure_by(star, ["returned_units"], ["product_id", "store_type"])
+    assert set(rows(wide)) == {(p, k, v) for p, v in returned.items() for k in kinds}
+    monthly = measures.measure_by(star, ["returned_units"], ["month", "customer_name", "store_type"])
+    months = {str(r.return_date)[:7] for r in star.returns.collect()}
+    assert len(rows(monthly)) == len(months) * len(set(attributes.values())) * len(kinds)
     for df in (by, wide, monthly):
-        plan = df._jdf.queryExecution().toString()
-        assert "collect_set" not in plan and "scalar-subquery" not in plan
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "collect_set" not in plan
+
+
+def test_unrelated_keys_are_looked_up_or_refused(star):
+    returned, sold = {}, {}
+    for r in star.returns.collect():
+        returned[r.product_id] = returned.get(r.product_id, 0) + r.quantity_returned
+    for r in star.sales.collect():
+        key = r.customer_id, r.product_id
+        sold[key] = sold.get(key, 0) + r.quantity
+    got = rows(measures.measure_by(star, ["units_sold", "returned_units", "return_rate"], ["customer_id", "product_id"]))
+    assert {r[:2]: r[2:4] for r in got} == {k: (v, returned.get(k[1])) for k, v in sold.items()}
+    assert {r[:2]: r[4] for r in got} == {
+        k: returned[k[1]] / v if k[1] in returned else None for k, v in sold.items()
+    }
+    everywhere = rows(measures.measure_by(star, ["units_sold", "returned_units"], ["customer_id", "store_name"]))
+    assert {r[3] for r in everywhere} == {sum(returned.values())}
+    for dims in (["customer_id", "product_id"], ["customer_name", "store_id"], ["month", "customer_id", "product_name"]):
+        with pytest.raises(ValueError, match="relates to customers and"):
+            measures.measure_by(star, ["returned_units"], dims)
+
+
+def test_repeated_values_are_bounded(star):
+    few = measures.measure_by(star, ["returned_units"], ["product_id", "store_type"], most_values=2)
+    assert few.count() == 2 * star.returns.select("product_id").distinct().count()
+    for dims in (["product_id", "store_type"], ["month", "customer_id"]):
+        with pytest.raises(Exception, match="more than 1 (values of store_type|measures by month)"):
+            measures.measure_by(star, ["returned_units"], dims, most_values=1).collect()
 
 
 def test_no_rows_of_partly_related_facts_are_lost(star):

@@ -100,21 +100,20 @@ BOUNDED_WINDOWS = {
 }
 
 
-@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-def test_no_plan_crosses_or_gathers(spark, broadcast):
+@pytest.mark.parametrize("name", [n for n in all_queries() if n != "run_suite"])  # its members are checked here
+def test_no_plan_crosses_or_gathers(spark, name):
     """No cross join, no Python worker, and single-task windows only where bounded."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        for name, query in all_queries().items():
-            if name == "run_suite":  # its result is a local table; its members are checked here
-                continue
-            plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-            assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
-            assert not re.search(r"Python|Pandas|InArrow", plan), name
+        for broadcast in ("10MB", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+            query = all_queries()[name](spark, "/root/testdata/sf0.001")
+            plan = query._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+            assert not re.search(r"Python|Pandas|InArrow", plan)
             gathered = re.findall(r"Window \[([^\n]*)\n[^\n]*Sort [^\n]*\n[^\n]*Exchange SinglePartition", plan)
             # Offsets of ordered slices are summed over one row per slice.
             gathered = [w for w in gathered if "__slice" not in w]
-            assert not gathered or name in BOUNDED_WINDOWS, name
+            assert not gathered or name in BOUNDED_WINDOWS
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
 

@@ -204,6 +204,21 @@ def measures() -> dict[str, str]:
         f"""SELECT DISTINCT customer_segment, (SELECT {big('SUM(quantity_returned)')} FROM returns) AS returned_units
             FROM customers"""
     )
+    out["measure_by_customer_product"] = star_query(
+        f"""SELECT customer_id, product_id, {dbl('rev')} AS total_revenue, units AS returned_units,
+                   {ratio('units', 'sold')} AS return_rate
+            FROM (SELECT customer_id, product_id, SUM(net_revenue) AS rev, SUM(quantity) AS sold
+                  FROM sales GROUP BY ALL)
+            LEFT JOIN (SELECT product_id, {big('SUM(quantity_returned)')} AS units FROM returns GROUP BY ALL)
+            USING (product_id)"""
+    )
+    out["measure_by_customer"] = star_query(
+        f"""SELECT customer_id, province, {dbl('prof')} AS total_profit,
+                   (SELECT {big('SUM(quantity_returned)')} FROM returns) AS returned_units
+            FROM (SELECT customer_id, province, SUM(profit) AS prof FROM sales JOIN stores USING (store_id) GROUP BY ALL)
+            RIGHT JOIN (SELECT * FROM (SELECT customer_id FROM customers), (SELECT DISTINCT province FROM stores))
+            USING (customer_id, province)"""
+    )
     out["measure_by_company"] = star_query(
         f"""SELECT {dbl('SUM(net_revenue)')} AS total_revenue, COUNT(DISTINCT order_id) AS orders,
                    {ratio('(SELECT SUM(quantity_returned) FROM returns)', 'SUM(quantity)')} AS return_rate,

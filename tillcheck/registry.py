@@ -343,6 +343,14 @@ def measure_queries() -> dict[str, Query]:
     out["measure_by_segment_unrelated"] = _on_star(
         measures.measure_by, names=["returned_units"], dims=["customer_segment"]
     )
+    out["measure_by_customer_product"] = _on_star(
+        measures.measure_by,
+        names=["total_revenue", "returned_units", "return_rate"],
+        dims=["customer_id", "product_id"],
+    )
+    out["measure_by_customer"] = _on_star(
+        measures.measure_by, names=["total_profit", "returned_units"], dims=["customer_id", "province"]
+    )
     out["measure_by_province_category"] = _on_star(
         measures.measure_by,
         names=["total_profit", "closing_inventory_value", "avg_monthly_inventory_value"],

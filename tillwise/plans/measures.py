@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,12 @@ ATTRIBUTES = {
     **{c: "date" for c in ("date", "month", "year", "quarter")},
 }
 
+# Attributes that may have as many values as their table has rows; all others are few by nature.
+GROWING = {
+    "product_id", "product_name", "store_id", "store_name", "customer_id", "customer_name",
+}
+MOST_VALUES = 10_000
+
 
 def _date_attribute(name: str, date: str) -> Column:
     return {
@@ -251,12 +258,19 @@ def measure_by(
     names: Sequence[str],
     dims: Sequence[str] = (),
     where: Mapping[str, object] | None = None,
+    most_values: int = MOST_VALUES,
 ) -> DataFrame:
     """Measures by dimension attributes; no ``dims`` gives one row.
 
     ``where`` holds filters of :func:`slice_star`, applied before aggregating. Rows are the
     full outer combination of the facts. A fact that a dimension does not relate to is not
     split by it: its value repeats over all values of that dimension.
+
+    Keys and names grow with the data, so two tables of them are never multiplied with each
+    other (returns by customer and product). There the value of the less related fact is looked
+    up for the combinations that occur in the other facts asked for; without such a fact it is a
+    ValueError. Everything else that repeats has at most ``most_values`` values, or the query fails
+    by name while it runs.
     """
     dims = list(dims)
     if where:
@@ -265,31 +279,73 @@ def measure_by(
     outputs = [_value(n).alias(n) for n in names]
     if not dims:
         return side_by_side(*[f for _, f in frames]).select(*outputs)
-    spread = [_repeated(t, f, own, dims) for own, f in frames]
+    whole, sparse = [], []
+    for own, frame in frames:
+        (sparse if _grows_twice(own, dims) else whole).append((own, frame))
+    if not whole:
+        apart = sorted({ATTRIBUTES[d] for d in dims if d in GROWING})
+        raise ValueError(
+            f"no measure asked for relates to {' and '.join(apart)} together, so their combinations"
+            f" would be a product; add one that does, or ask for fewer of {', '.join(dims)}"
+        )
+    spread = [_repeated(t, f, own, dims, most_values) for own, f in whole]
     stacked = spread[0]
     for f in spread[1:]:
         stacked = stacked.unionByName(f, allowMissingColumns=True)
     values = [c for c in stacked.columns if c not in dims]
-    return stacked.groupBy(*dims).agg(*[F.max(c).alias(c) for c in values]).select(*dims, *outputs)
+    out = stacked.groupBy(*dims).agg(*[F.max(c).alias(c) for c in values])
+    for own, frame in sparse:
+        out = _looked_up(out, frame, own)
+    return out.select(*dims, *outputs)
+
 
+def _grows_twice(own: Sequence[str], dims: Sequence[str]) -> bool:
+    """If repeating a fact by ``own`` over the other dims multiplies two sides that grow with the data."""
+    missing = {ATTRIBUTES[d] for d in dims if d not in own and d in GROWING}
+    return len(missing) + any(d in GROWING for d in own) > 1
 
-def _repeated(t: RetailTables, frame: DataFrame, own: Sequence[str], dims: Sequence[str]) -> DataFrame:
+
+def _repeated(
+    t: RetailTables, frame: DataFrame, own: Sequence[str], dims: Sequence[str], most: int
+) -> DataFrame:
     """A fact's rows once for every value of the dimension tables it does not relate to.
 
-    The values may be as many as customers, so they stay a DataFrame. The result holds every
-    combination by definition. Only a frame of one row, or of rows per date, is surely small
-    enough to broadcast; for others Spark decides by size.
+    At most one side grows with the data: the rows of the fact, or the values of one table. It stays
+    a DataFrame, and the others, of checked size, are unfolded on each of its rows.
     """
-    small = all(ATTRIBUTES[d] == "date" for d in own)
-    for table in KEYS:
-        missing = [d for d in dims if d not in own and ATTRIBUTES[d] == table]
-        if missing:
-            values = t.table(table).select(*missing).distinct()
-            frame = values.crossJoin(F.broadcast(frame) if small else frame)
-            small = False
+    tables = [k for k in KEYS if any(d not in own and ATTRIBUTES[d] == k for d in dims)]
+    growing = [k for k in tables if any(d in GROWING and ATTRIBUTES[d] == k for d in dims)]
+    for table in sorted(tables, key=lambda k: k in growing):
+        attributes = [d for d in dims if ATTRIBUTES[d] == table]
+        values = t.table(table).select(*attributes).distinct()
+        if table in growing:
+            frame = _unfolded(values, frame, most, f"measures by {', '.join(own) or 'company'}")
+        else:
+            frame = _unfolded(frame, values, most, f"values of {', '.join(attributes)}")
     return frame
 
 
+def _unfolded(rows: DataFrame, few: DataFrame, most: int, what: str) -> DataFrame:
+    """Every row of ``rows`` with every row of ``few``, which must be at most ``most``.
+
+    One row more than allowed is read; it stops the query instead of being dropped.
+    """
+    packed = few.limit(most + 1).agg(F.collect_list(F.struct(*few.columns)).alias("all"))
+    checked = packed.select(
+        F.when(F.size("all") <= most, F.col("all")).otherwise(F.raise_error(F.lit(f"more than {most} {what}")))
+    )
+    return rows.select("*", F.inline(checked.scalar()))
+
+
+def _looked_up(out: DataFrame, frame: DataFrame, own: Sequence[str]) -> DataFrame:
+    """The values of a fact by ``own`` dims on every row of ``out`` that has those."""
+    if not own:
+        return out.select("*", *[frame.select(c).scalar().alias(c) for c in frame.columns])
+    named = frame.withColumnsRenamed({d: f"__own_{d}" for d in own})
+    same = reduce(lambda a, b: a & b, [F.col(d).eqNullSafe(F.col(f"__own_{d}")) for d in own])
+    return out.join(named, same, "left").drop(*[f"__own_{d}" for d in own])
+
+
 def time_measures(
     t: RetailTables, by: Sequence[str] = (), names: Sequence[str] = TIME_MEASURES
 ) -> DataFrame:
