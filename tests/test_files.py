@@ -84,6 +84,60 @@ def test_missing_texts_read_as_null(spark, tmp_path):
     assert tuple(row) == (None, None, None, "ok", None, None)
 
 
+def damaged_folder(tmp_path):
+    """Stores with good, short, long, quoted and blank lines; the other tables have a good line each."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for name in model.TABLES:
+        header = model.RAW_COLUMNS[name]
+        (folder / f"{name}.csv").write_text(f"{','.join(header)}\n{','.join('x' * len(header))}\n")
+    stores = folder / "stores.csv"
+    stores.write_text(
+        stores.read_text()
+        + 'S1,"a, b",c,d,e,f\nS2,b,c,d,e,f,EXTRA,X\nS3,b\n\nS4,"say ""hi, you""",c,d,e,f\n'
+        + 'S5,"a, b",c,d,e,f,"more, yet"\nS6,,,,,\nS7,b,c,d,e,f,\n'
+    )
+    return str(folder)
+
+
+def test_malformed_lines_fail_by_name(spark, tmp_path):
+    folder = damaged_folder(tmp_path)
+    raw = files.read_raw(spark, folder)
+    assert raw["products"].count() == 1
+    for query in (raw["stores"], raw["stores"].select("store_id")):
+        with pytest.raises(Exception, match="stores: 6 cells expected, (8|2|7) found in .*stores.csv: S"):
+            query.collect()
+    (tmp_path / "raw" / "stores.csv").write_text(",".join(model.RAW_COLUMNS["stores"]) + "\nS3,b\n")
+    with pytest.raises(Exception, match="2 found"):
+        files.read_raw(spark, folder)["stores"].collect()
+    padded = files.read_raw(spark, folder, pad_short=True)["stores"].collect()
+    assert [tuple(r) for r in padded] == [("S3", "b", None, None, None, None)]
+
+
+@pytest.mark.parametrize("keep", [None, staging.stage])
+def test_malformed_lines_are_kept_apart(spark, tmp_path, keep):
+    good, bad = files.split_raw(spark, damaged_folder(tmp_path), keep=keep)
+    assert {r.store_id: r.store_name for r in good["stores"].collect()} == {
+        "x": "x", "S1": "a, b", "S4": 'say "hi, you"', "S6": None,
+    }
+    assert all(good[n].count() == 1 and good[n].columns == model.RAW_COLUMNS[n] for n in good if n != "stores")
+    got = {r.line: (r.table, r.cells, r.expected, r.file.rsplit("/", 1)[1]) for r in bad.collect()}
+    assert got == {
+        "S2,b,c,d,e,f,EXTRA,X": ("stores", 8, 6, "stores.csv"), "S3,b": ("stores", 2, 6, "stores.csv"),
+        'S5,"a, b",c,d,e,f,"more, yet"': ("stores", 7, 6, "stores.csv"), "S7,b,c,d,e,f,": ("stores", 7, 6, "stores.csv"),
+    }
+
+
+def test_malformed_line_over_several_lines(spark, tmp_path):
+    folder = damaged_folder(tmp_path)
+    (tmp_path / "raw" / "stores.csv").write_text(
+        ",".join(model.RAW_COLUMNS["stores"]) + '\nS1,"two\nlines",c,d,e,f\nS2,"two\nlines, too",c,d,e,f,g\n'
+    )
+    good, bad = files.split_raw(spark, folder, multi_line=True)
+    assert [r.store_name for r in good["stores"].collect()] == ["two\nlines"]
+    assert [(r.cells, r.line) for r in bad.collect()] == [(7, 'S2,"two\nlines, too",c,d,e,f,g')]
+
+
 def test_load_tables_checks_and_casts(spark, star):
     frames = {n: star.table(n) for n in model.TABLES}
     frames["stores"] = star.stores.withColumn("surplus", star.stores.city)

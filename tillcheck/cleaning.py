@@ -310,6 +310,7 @@ def all_cleaning() -> dict[str, str]:
         messy_suspect(),
     )
     out["read_raw"] = star_query(" UNION ALL ".join(_read(t) for t in KEYS), RAW_CTES)
+    out["read_raw_malformed"] = star_query(" UNION ALL ".join(_read_malformed(t) for t in KEYS), RAW_CTES)
     return out
 
 
@@ -321,6 +322,16 @@ def _read(table: str) -> str:
                       {big(f'SUM({digest})')} AS content FROM raw_{table}"""
 
 
+def _read_malformed(table: str) -> str:
+    cells = " || '|' || ".join(f"COALESCE({c}, '~')" for c in RAW_COLUMNS[table])
+    n = len(RAW_COLUMNS[table])
+    return f"""SELECT '{table}' AS table_name, COUNT(*) FILTER (d % 40 > 1) AS row_count,
+                      {big('SUM(d) FILTER (d % 40 > 1)')} AS content, COUNT(*) FILTER (d % 40 = 0) AS n_long,
+                      COUNT(*) FILTER (d % 40 = 1) AS n_short,
+                      {big(f'COALESCE(SUM(CASE d % 40 WHEN 0 THEN {n + 2} WHEN 1 THEN {n - 1} ELSE 0 END), 0)')} AS cells_apart
+               FROM (SELECT CAST('0x' || substr(md5({cells}), 1, 8) AS BIGINT) AS d FROM raw_{table})"""
+
+
 def messy_suspect() -> str:
     from tillcheck.defects import SUSPECT
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,33 +46,99 @@ def _load_all(load, names: Sequence[str], what: str) -> dict[str, DataFrame]:
     return found
 
 
+_BAD = "__bad_line"
+
+
+def _raw_lines(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """A raw CSV table as text, with ``__bad_line``: the line, where it has not one cell per column.
+
+    While that column is read no other is skipped, so every line is counted out in full. Spark
+    refuses to read it alone, so none of another column's characters are added to it.
+    """
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options, inferSchema=False).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _BAD]])
+    # With the schema given and not enforced, every part file's header is held against it.
+    df = (
+        spark.read.schema(text)
+        .options(**options, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, columnPruning=False)
+        .csv(path)
+    )
+    return df.select(
+        *[F.when(F.col(f"`{c}`").isin(*MISSING_TEXT), None).otherwise(F.col(f"`{c}`")).alias(c) for c in names],
+        F.concat(F.col(_BAD), F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0)).alias(_BAD),
+        F.col("_metadata.file_path").alias("__file"),
+    )
+
+
+def _cells(line: Column) -> Column:
+    """Cells of a CSV line: commas outside quotes, and one. Doubled quotes close and open again."""
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    return F.char_length(bare) - F.char_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def read_raw(
-    spark: SparkSession, directory: str, multi_line: bool = False
+    spark: SparkSession, directory: str, multi_line: bool = False, pad_short: bool = False
 ) -> dict[str, DataFrame]:
     """The six raw CSV tables with headers; every column is read as text, none is inferred.
 
-    Part files of one table must have one header; another order of columns is an error.
+    Part files of one table must have one header; another order of columns is an error. A line with
+    more or fewer cells than the header fails the query that meets it, naming table, file and line;
+    :func:`split_raw` keeps such lines apart instead. ``pad_short`` admits short lines, their last
+    columns missing.
 
     ``multi_line`` admits line breaks inside quoted cells, but then a file is one task.
     """
 
     def load(name: str) -> DataFrame:
-        options = {"header": True, "escape": '"', "multiLine": multi_line}
-        path = f"{directory}/{name}.csv"
-        names = spark.read.options(**options, inferSchema=False).csv(path).columns
-        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-        # With the schema given and not enforced, every part file's header is held against it.
-        df = spark.read.schema(text).options(**options, enforceSchema=False).csv(path)
-        return df.select(
-            *[
-                F.when(F.col(f"`{c}`").isin(*MISSING_TEXT), None).otherwise(F.col(f"`{c}`")).alias(c)
-                for c in names
-            ]
+        df = _raw_lines(spark, f"{directory}/{name}.csv", multi_line)
+        columns = [c for c in df.columns if c not in (_BAD, "__file")]
+        fits = F.col(_BAD).isNull()
+        if pad_short:
+            fits = fits | (_cells(F.col(_BAD)) < len(columns))
+        what = F.concat(
+            F.lit(f"{name}: {len(columns)} cells expected, "), _cells(F.col(_BAD)).cast("string"),
+            F.lit(" found in "), F.col("__file"), F.lit(": "), F.col(_BAD),
         )
+        return df.filter(F.when(fits, True).otherwise(F.raise_error(what))).select(*columns)
 
     return _load_all(load, model.TABLES, "raw CSV files")
 
 
+def split_raw(
+    spark: SparkSession,
+    directory: str,
+    multi_line: bool = False,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The raw CSV tables without malformed lines, and those lines.
+
+    The second result has (table, file, cells, expected, line) for every line that has not one cell
+    per column; together with the tables it holds every line. ``keep`` writes a table once, such as
+    :func:`stage`, so that the files are not read for either result anew.
+    """
+
+    def load(name: str) -> DataFrame:
+        df = _raw_lines(spark, f"{directory}/{name}.csv", multi_line)
+        return keep(df, f"raw-{name}") if keep else df
+
+    lines = _load_all(load, model.TABLES, "raw CSV files")
+    good, bad = {}, []
+    for name, df in lines.items():
+        columns = [c for c in df.columns if c not in (_BAD, "__file")]
+        good[name] = df.filter(F.col(_BAD).isNull()).select(*columns)
+        bad.append(
+            df.filter(F.col(_BAD).isNotNull()).select(
+                F.lit(name).alias("table"),
+                F.col("__file").alias("file"),
+                _cells(F.col(_BAD)).alias("cells"),
+                F.lit(len(columns)).alias("expected"),
+                F.col(_BAD).alias("line"),
+            )
+        )
+    return good, union_all(bad)
+
+
 def write_raw(tables: Mapping[str, DataFrame], directory: str) -> None:
     """Write text tables as CSV folders, keeping the white space around cells."""
     for name, df in tables.items():
