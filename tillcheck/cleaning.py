@@ -309,6 +309,7 @@ def all_cleaning() -> dict[str, str]:
              AND r.quantity_returned <= s.quantity""",
         messy_suspect(),
     )
+    out["match_returns_stored"] = out["match_returns"]
     out["read_raw"] = star_query(" UNION ALL ".join(_read(t) for t in KEYS), RAW_CTES)
     out["read_raw_malformed"] = star_query(" UNION ALL ".join(_read_malformed(t) for t in KEYS), RAW_CTES)
     return out

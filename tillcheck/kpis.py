@@ -437,6 +437,30 @@ def files() -> dict[str, str]:
                 FROM sales GROUP BY month"""
         ),
         "write_cleaned_content": contents,
+        "stored_tables": contents,
+        "stored_tables_by_name": star_query(
+            f"""SELECT s.month, p.province, COUNT(*) AS row_count, {dbl('SUM(s.net_revenue)')} AS revenue
+                FROM sales s JOIN stores p USING (store_id) GROUP BY ALL"""
+        ),
+        "stored_loads": star_query(
+            """SELECT load_no, table_name, CASE load_no WHEN 1 THEN early ELSE n END AS offered,
+                      CASE load_no WHEN 1 THEN early WHEN 2 THEN n - early ELSE 0 END AS added
+               FROM counted, (SELECT unnest([1, 2, 3]) AS load_no)""",
+            """early_sales AS (SELECT order_id, product_id FROM sales WHERE order_date <= DATE '1996-12-31'),
+               counted AS ("""
+            + " UNION ALL ".join(
+                f"SELECT '{t}' AS table_name, COUNT(*) AS n, {early} AS early FROM {t}"
+                for t, early in {
+                    **dict.fromkeys(("customers", "products", "stores"), "COUNT(*)"),
+                    "sales": "(SELECT COUNT(*) FROM early_sales)",
+                    "inventory": "COUNT(*) FILTER (date <= DATE '1996-12-31')",
+                    "returns": "(SELECT COUNT(*) FROM returns SEMI JOIN early_sales USING (order_id, product_id))",
+                }.items()
+            )
+            + ")",
+        ),
+        "store_return_rate_stored": all_analyses()["store_return_rate"],
+        "enrich_returns_stored": report()["enrich_returns"],
         "load_tables": star_tables()["star_products"],
         "load_tables_content": contents,
         "load_tables_counts": counts,

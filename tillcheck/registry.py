@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import threading
 from collections.abc import Callable, Sequence
 
@@ -12,24 +13,26 @@ from tillcheck.defects import CATEGORIES, RAW, SUSPECT, messy_frame
 from tillwise import model
 from tillwise.catalog import ANALYSES
 from tillwise.functions.numeric import dbl, lng
-from tillwise.functions.relations import union_all
+from tillwise.functions.relations import rows_for, union_all
 from tillwise.functions.text import normalize_province, normalize_text
 from tillwise.model import RetailTables
 from tillwise.operators import cleaning, demand, sales, sampling, validation
 from tillwise.operators.frames import FRAMES
 from tillwise.plans import calendar, measures, report, slicing
 from tillwise.plans.suite import run_suite
-from tillwise.sources import files
+from tillwise.sources import files, stored
 from tillwise.sources.staging import new_path, stage
 from tillwise.sources.star import benchmark_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 _LOCK = threading.Lock()
 _LOCKS: dict[tuple[str, str], threading.Lock] = {}
 _CLEANED: dict[tuple[str, str], dict[str, cleaning.Cleaned]] = {}
+_STORED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
 def raw_table(t: RetailTables, name: str) -> DataFrame:
@@ -506,6 +509,61 @@ def _load_values(t: RetailTables) -> DataFrame:
     return _plain_money(t.sales.sparkSession.table("retail_products"))
 
 
+
+
+def _database(spark: SparkSession, sf_dir: str) -> str:
+    name = f"{spark.sparkContext.applicationId}|{sf_dir}"
+    return f"retail_{hashlib.md5(name.encode()).hexdigest()[:12]}"
+
+
+def _stored(spark: SparkSession, sf_dir: str, other: bool = False) -> tuple[RetailTables, DataFrame]:
+    """The star stored in three loads, and what each load added; ``other`` opens it in a session of its own.
+
+    The first load has the sales and stock before 1997 and their returns, the second everything,
+    the third the same again.
+    """
+    key = (spark.sparkContext.applicationId, str(sf_dir))
+    with _LOCK:
+        lock = _LOCKS.setdefault((*key, "stored"), threading.Lock())
+    t = benchmark_star(spark, sf_dir)
+    schemas = files.cleaned_schemas(t)
+    database = _database(spark, sf_dir)
+    with lock:
+        if key not in _STORED:
+            root = new_path(spark, "stored")
+            early = slicing.slice_star(t, date_to="1996-12-31")
+            early = early.replace(returns=rows_for(t.returns, early.sales, ["order_id", "product_id"]))
+            parts = []
+            for n, star in enumerate((early, t, t), 1):
+                added = stored.load(
+                    spark, {n: star.table(n) for n in model.TABLES}, root, database, schemas, 0,
+                    validation.declared_rules(segments=SEGMENTS), buckets=8,
+                )
+                parts.append(added.select(F.lit(n).alias("load_no"), F.col("table").alias("table_name"), "offered", "added"))
+            _STORED[key] = root, union_all(parts)
+    root, added = _STORED[key]
+    return stored.open_tables(spark.newSession() if other else spark, root, database, schemas, 0), added
+
+
+def _on_stored(op, other: bool = False, **params) -> Query:
+    return lambda spark, sf_dir: op(_stored(spark, sf_dir, other)[0], **params)
+
+
+def _match_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suspects = suspect_star(benchmark_star(spark, sf_dir)).returns
+    matched = cleaning.match_returns(suspects, _stored(spark, sf_dir)[0].sales, keep=stage)
+    return matched.select("return_id", "order_id", "product_id")
+
+
+def _stored_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain SQL over the stored tables, in a session that did not load them."""
+    session = _stored(spark, sf_dir, other=True)[0].sales.sparkSession
+    return session.sql(
+        """SELECT s.month, p.province, count(*) AS row_count, CAST(sum(s.net_revenue) AS DOUBLE) AS revenue
+           FROM {db}.sales s JOIN {db}.stores p ON s.store_id = p.store_id GROUP BY ALL""".format(db=_database(spark, sf_dir))
+    )
+
+
 # Result of every frame export: the column whose largest value is compared.
 EXPORTED = {
     "frame_monthly": "revenue",
@@ -550,6 +608,12 @@ def file_queries() -> dict[str, Query]:
         "write_cleaned_content": lambda spark, sf_dir: _contents(_round_trip(spark, sf_dir)),
         "read_cleaned": _read_cleaned,
         "write_cleaning_summary": _write_summary,
+        "stored_tables": _on_stored(_contents, other=True),
+        "stored_tables_by_name": _stored_by_name,
+        "stored_loads": lambda spark, sf_dir: _stored(spark, sf_dir)[1],
+        "store_return_rate_stored": _on_stored(ANALYSES["store_return_rate"]),
+        "enrich_returns_stored": _on_stored(report.enrich_returns, keep=stage),
+        "match_returns_stored": _match_stored,
         "load_tables": _on_star(_load_values),
         "load_tables_content": _on_star(lambda t: _contents(_load(t))),
         "load_tables_counts": _on_star(lambda t: _counts(_load(t))),

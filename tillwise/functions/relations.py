@@ -24,6 +24,15 @@ def null_safe_on(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> C
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
+def rows_for(df: DataFrame, wanted: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose key occurs in ``wanted``.
+
+    Only distinct keys meet ``df``: if it is bucketed by them it is not shuffled, and a key that
+    occurs very often is one row.
+    """
+    return df.join(wanted.select(*key).distinct(), list(key), "left_semi")
+
+
 def checked_lookup(
     df: DataFrame, dim: DataFrame, key: str, columns: Sequence[str], how: str = "left"
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tillwise import model
 from tillwise.functions.dates import ISO, to_date
 from tillwise.functions.numeric import close_to, is_integral, to_number
-from tillwise.functions.relations import side_by_side
+from tillwise.functions.relations import rows_for, side_by_side
 from tillwise.functions.text import full_match, normalize_province, normalize_text
 from tillwise.sources.staging import stage
 
@@ -183,13 +183,20 @@ def filter_valid(df: DataFrame, rules: Sequence[Column]) -> DataFrame:
     return df.filter(all_true(rules))
 
 
-def match_returns(returns: DataFrame, sales: DataFrame) -> DataFrame:
+def match_returns(
+    returns: DataFrame, sales: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """Returns that agree with a sale line: same order and product, sold no later, and at
     least the (positive, whole) quantity returned.
 
     Quantities are checked per return row, not summed over one sale line. A semi join
-    cannot multiply rows, and adaptive execution may split it on a hot sale line.
+    cannot multiply rows, and adaptive execution may split it on a hot sale line. With ``keep``,
+    such as :func:`stage`, the lines returned are found and written first, so sales stored in
+    buckets of their key are not shuffled.
     """
+    if keep:
+        key = ["order_id", "product_id"]
+        sales = keep(rows_for(sales.select(*key, "order_date", "quantity"), returns, key), "returned_lines")
     lines = sales.select(
         F.col("order_id").alias("__o"),
         F.col("product_id").alias("__p"),

@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise import model
 from tillwise.functions.numeric import dbl, ratio
-from tillwise.functions.relations import side_by_side
+from tillwise.functions.relations import rows_for, side_by_side
 from tillwise.model import RetailTables
 from tillwise.plans.measures import measure_by
 from tillwise.plans.ordered import global_rank
 
 
-def enrich_returns(t: RetailTables) -> DataFrame:
+def enrich_returns(
+    t: RetailTables, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """Returns with store and customer of their sale line.
 
     A cleaned sales key is unique, so no row is added or dropped;
     :func:`enrichment_check` confirms it.
+
+    With ``keep``, such as :func:`stage`, the lines that were returned are found and written first.
+    Sales stored in buckets are then not shuffled, and a line with very many returns can still be
+    split between tasks.
     """
     lines = t.sales.select("order_id", "product_id", "store_id", "customer_id")
+    if keep:
+        lines = keep(rows_for(lines, t.returns, ["order_id", "product_id"]), "returned_lines")
     return t.returns.join(lines, ["order_id", "product_id"], "left").select(
         *t.returns.columns, "store_id", "customer_id"
     )

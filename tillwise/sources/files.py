@@ -200,6 +200,14 @@ def read_cleaned(
     return RetailTables(unknown_customer=unknown_customer, **tables)
 
 
+def typed_table(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` by name, cast losslessly; ``month`` follows the fact's date."""
+    found = require_columns(df, name, [f.name for f in schema if f.name != "month"])
+    if "month" in schema.names:
+        found = with_month(found, PARTITIONED[name])
+    return found.to(schema)
+
+
 def load_tables(
     tables: Mapping[str, DataFrame],
     schemas: Mapping[str, T.StructType],
@@ -215,11 +223,7 @@ def load_tables(
     """
     out = {}
     for name in model.TABLES:
-        required = [f.name for f in schemas[name] if f.name != "month"]
-        found = require_columns(tables[name], name, required)
-        if "month" in schemas[name].names:
-            found = with_month(found, PARTITIONED[name])
-        typed = found.to(schemas[name])
+        typed = typed_table(tables[name], name, schemas[name])
         typed.createOrReplaceTempView(f"{prefix}{name}")
         out[name] = typed
     loaded = RetailTables(unknown_customer=unknown_customer, **out)
