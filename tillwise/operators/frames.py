@@ -11,6 +11,7 @@ from tillwise.functions.relations import checked_lookup, side_by_side
 from tillwise.model import RetailTables
 from tillwise.operators.customers import known_sales
 from tillwise.operators.inventory import inventory_value
+from tillwise.plans.distinct import distinct_and_sums
 from tillwise.plans.ordered import with_order_stats
 
 
@@ -176,21 +177,23 @@ def frame_returns_reason(t: RetailTables) -> DataFrame:
 
 def executive_kpis(t: RetailTables) -> DataFrame:
     """The ten headline numbers as (metric, value); ratios are 0 on a zero denominator."""
-    sold = t.sales.agg(
-        money_sum("net_revenue").alias("revenue"),
-        money_sum("profit").alias("profit"),
-        money_sum("cost").alias("cost"),
-        F.sum("quantity").alias("units"),
-    )
-    # One distinct count per aggregation: together they would multiply the fact rows.
-    orders = t.sales.agg(F.countDistinct("order_id").alias("orders"))
-    customers = known_sales(t).agg(F.countDistinct("customer_id").alias("customers"))
+    known = F.col("customer_id") != F.lit(t.unknown_customer)
+    money = {"revenue": "net_revenue", "profit": "profit", "cost": "cost"}
+    sold = distinct_and_sums(
+        t.sales,
+        [],
+        {"orders": ("order_id", F.lit(True)), "customers": ("customer_id", known)},
+        {
+            **{out: lambda own, c=c: money_sum(own(F.col(c))) for out, c in money.items()},
+            "units": lambda own: F.sum(own(F.col("quantity"))),
+        },
+    )
     stock = t.inventory.agg(
         F.count_if(F.col("closing_stock") == 0).alias("out"), F.count(F.lit(1)).alias("seen")
     )
     value = inventory_value(t, "date").agg(mean("inventory_value").alias("stock_value"))
     returned = t.returns.agg(F.sum("quantity_returned").alias("returned"))
-    one = side_by_side(sold, orders, customers, stock, value, returned)
+    one = side_by_side(sold, stock, value, returned)
     kpis = one.select(
         dbl("revenue").alias("Total Revenue"),
         dbl("profit").alias("Gross Profit"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.dates import with_month
 from tillwise.functions.numeric import dbl, growth_pct, money_sum, pct, ratio, round2
 from tillwise.model import RetailTables
+from tillwise.plans.distinct import distinct_and_sums
 from tillwise.plans.ordered import global_rank
 
 
@@ -49,31 +50,18 @@ def store_scorecard(t: RetailTables) -> DataFrame:
 
 
 def province_performance(t: RetailTables) -> DataFrame:
-    """Selling stores, revenue, profit and distinct orders per province.
-
-    Sums and the store count go through store grain. The order count is a separate
-    aggregation, because two distinct counts in one would triple the fact rows.
-    """
-    province = t.stores.select("store_id", "province")
-    per_store = t.sales.groupBy("store_id").agg(
-        money_sum("net_revenue").alias("revenue"), money_sum("profit").alias("profit")
-    )
-    sums = (
-        per_store.join(province, "store_id")
-        .groupBy("province")
-        .agg(
-            F.count(F.lit(1)).alias("stores"),
-            dbl(F.sum("revenue")).alias("revenue"),
-            dbl(F.sum("profit")).alias("profit"),
+    """Selling stores, revenue, profit and distinct orders per province, in one scan of the sales."""
+    lines = t.sales.select("store_id", "order_id", "net_revenue", "profit")
+    return (
+        distinct_and_sums(
+            lines.join(t.stores.select("store_id", "province"), "store_id"),
+            ["province"],
+            {"stores": ("store_id", F.lit(True)), "orders": ("order_id", F.lit(True))},
+            {c: lambda own, c=c: money_sum(own(F.col(c))) for c in ("net_revenue", "profit")},
         )
+        .select("province", "stores", dbl("net_revenue").alias("revenue"), dbl("profit").alias("profit"), "orders")
+        .orderBy(F.desc("revenue"), "province")
     )
-    orders = (
-        t.sales.select("store_id", "order_id")
-        .join(province, "store_id")
-        .groupBy("province")
-        .agg(F.countDistinct("order_id").alias("orders"))
-    )
-    return sums.join(orders, "province").orderBy(F.desc("revenue"), "province")
 
 
 def monthly_store_rank(t: RetailTables) -> DataFrame:

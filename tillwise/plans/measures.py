@@ -19,6 +19,7 @@ from tillwise.functions.numeric import dbl, lng, money_sum, ratio
 from tillwise.functions.relations import side_by_side
 from tillwise.model import RetailTables
 from tillwise.plans.calendar import calendar_lag, growth, on_month_axis, year_to_date
+from tillwise.plans.distinct import distinct_and_sums
 from tillwise.plans.slicing import FACT_DATE, KEYS, slice_star
 
 # dimension attribute -> dimension table
@@ -55,17 +56,22 @@ class Additive:
     money: bool = False  # report as double
     cents: bool = False  # a two-decimal column
 
-    def total(self) -> Column:
-        return money_sum(self.source()) if self.cents else F.sum(self.source())
+    def total(self, own: Callable[[Column], Column] = lambda c: c) -> Column:
+        value = own(self.source())
+        return money_sum(value) if self.cents else F.sum(value)
 
 
 @dataclass(frozen=True)
 class Distinct:
-    """Distinct count on the sales lines."""
+    """Distinct count of an id on the sales lines; ``known`` leaves the unknown member out."""
 
-    value: Callable[[object], Column]
+    column: str
+    known: bool = False
     fact: str = "sales"
 
+    def condition(self, unknown: object) -> Column:
+        return F.col(self.column) != F.lit(unknown) if self.known else F.lit(True)
+
 
 @dataclass(frozen=True)
 class Nested:
@@ -99,18 +105,14 @@ def _repeat_customers(t: RetailTables, dims: Sequence[str], out: str) -> DataFra
     return per_customer.groupBy(*dims).agg(F.count_if(F.col("__n") >= 2).alias(out))
 
 
-def _known_customer(unknown: object) -> Column:
-    return F.when(F.col("customer_id") != F.lit(unknown), F.col("customer_id"))
-
-
 MEASURES: dict[str, Additive | Distinct | Nested | Ratio] = {
     "total_revenue": Additive("sales", lambda: F.col("net_revenue"), money=True, cents=True),
     "total_profit": Additive("sales", lambda: F.col("profit"), money=True, cents=True),
     "profit_margin": Ratio("total_profit", "total_revenue"),
-    "orders": Distinct(lambda unknown: F.col("order_id")),
+    "orders": Distinct("order_id"),
     "units_sold": Additive("sales", lambda: F.col("quantity")),
     "average_order_value": Ratio("total_revenue", "orders"),
-    "customers": Distinct(_known_customer),
+    "customers": Distinct("customer_id", known=True),
     "average_discount": Ratio("discount_sum", "sales_lines"),
     "returned_units": Additive("returns", lambda: F.col("quantity_returned")),
     "return_rate": Ratio("returned_units", "units_sold"),
@@ -203,7 +205,8 @@ def _direct(
     aggregates = []
     for name, m in measures.items():
         if isinstance(m, Distinct):
-            aggregates.append(F.countDistinct(m.value(t.unknown_customer)).alias(name))
+            value = F.when(m.condition(t.unknown_customer), F.col(m.column))
+            aggregates.append(F.countDistinct(value).alias(name))
         else:
             aggregates.append(m.total().alias(name))
     return _described(t, t.table(fact), fact, dims).groupBy(*dims).agg(*aggregates)
@@ -244,12 +247,10 @@ def _fact_frames(t: RetailTables, names: Sequence[str], dims: Sequence[str]):
             yield own, _additive(t, fact, weighted, own)
         counts = {n: m for n, m in rest.items() if isinstance(m, Distinct)}
         if len(counts) > 1:
-            # Several distinct counts in one aggregation multiply every fact row.
-            for name, m in counts.items():
-                yield own, _direct(t, fact, {name: m}, own)
-            rest = {n: m for n, m in rest.items() if n not in counts}
-            counts = {}
-        if rest:
+            sums = {n: m.total for n, m in rest.items() if n not in counts}
+            ids = {n: (m.column, m.condition(t.unknown_customer)) for n, m in counts.items()}
+            yield own, distinct_and_sums(_described(t, t.table(fact), fact, own), own, ids, sums)
+        elif rest:
             yield own, (_direct if counts else _additive)(t, fact, rest, own)
 
 
