@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -307,3 +309,32 @@ def test_results_do_not_depend_on_shuffle_partitions(star, partitions):
         partitions(n)
         seen.append(_snapshot(star))
     assert seen[0] == seen[1] == seen[2]
+
+
+@pytest.mark.parametrize("n", [1, 150, 999, 1000, 1500])
+def test_large_samples_are_the_same_rows(spark, n):
+    """Cutoffs from histograms against sorting, for spread, tied and repeated keys."""
+    df = spark.range(1000).selectExpr(
+        "id", "id % 7 AS few", "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN -1D ELSE exp(id % 40 - 20D) END AS w"
+    ).repartition(5)
+    for pick in (
+        lambda **m: sampling.sample_rows(df, n, ["id"], seed=3, **m),
+        lambda **m: sampling.sample_rows(df, n, ["few", "id"], seed=3, **m),
+        lambda **m: sampling.weighted_sample(df, n, "w", ["id"], seed=3, **m),
+    ):
+        want = sorted(r.id for r in pick().collect())
+        for most in (0, 1, 10, 200):
+            got = pick(most_sorted=most)
+            assert sorted(r.id for r in got.collect()) == want
+            assert got.columns == df.columns
+    want = sorted(r.few for r in sampling.sample_rows(df, n, ["few"]).collect())  # a key on a seventh of the rows
+    assert sorted(r.few for r in sampling.sample_rows(df, n, ["few"], most_sorted=20).collect()) == want
+
+
+def test_large_sample_sorts_only_the_edge(spark):
+    df = spark.range(100_000).withColumn("w", F.col("id") + 1)
+    got = sampling.weighted_sample(df, 20_000, "w", ["id"], most_sorted=100)
+    assert got.count() == 20_000 and got.select("id").distinct().count() == 20_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"TakeOrderedAndProject\(limit=\d{1,3},", plan)
+    assert sampling.sample_rows(df.limit(0), 20_000, ["id"]).count() == 0

@@ -358,6 +358,7 @@ def report() -> dict[str, str]:
 
 def demand() -> dict[str, str]:
     u = "CAST('0x' || substr(md5('7|' || product_id), 1, 13) AS BIGINT)"
+    v = "CAST('0x' || substr(md5('7|' || order_id || '|' || product_id), 1, 13) AS BIGINT)"
     return {
         "monthly_demand": star_query(
             f"""SELECT last_day(order_date) AS date, store_id, product_id, {big('SUM(quantity)')} AS units
@@ -388,6 +389,16 @@ def demand() -> dict[str, str]:
             """SELECT product_id, product_name FROM products
                ORDER BY md5('42|' || product_id), product_id LIMIT 100"""
         ),
+        "sample_tenth": star_query(
+            """SELECT order_id, product_id FROM sales
+               ORDER BY md5('42|' || order_id || '|' || product_id), order_id, product_id
+               LIMIT (SELECT COUNT(*) // 10 FROM sales)"""
+        ),
+        "weighted_tenth": star_query(
+            f"""SELECT order_id, product_id FROM sales WHERE quantity > 0
+                ORDER BY -ln(({v} + 1e0) / 4503599627370496e0) / {dbl('quantity')}, order_id, product_id
+                LIMIT (SELECT COUNT(*) // 10 FROM sales)"""
+        ),
         "weighted_sample": star_query(
             f"""SELECT product_id, product_name FROM products WHERE unit_price > 0
                 ORDER BY -ln(({u} + 1e0) / 4503599627370496e0) / {dbl('unit_price')}, product_id LIMIT 100"""

@@ -391,6 +391,12 @@ def report_queries() -> dict[str, Query]:
         "weighted_sample": lambda t: sampling.weighted_sample(
             t.products, 100, "unit_price", ["product_id"], seed=7
         ).select("product_id", "product_name"),
+        "sample_tenth": lambda t: sampling.sample_rows(
+            t.sales, t.sales.count() // 10, ["order_id", "product_id"], most_sorted=100
+        ).select("order_id", "product_id"),
+        "weighted_tenth": lambda t: sampling.weighted_sample(
+            t.sales, t.sales.count() // 10, "quantity", ["order_id", "product_id"], seed=7, most_sorted=100
+        ).select("order_id", "product_id"),
         "run_suite": run_suite,
     }
     return {name: _on_star(op) for name, op in on_star.items()}
