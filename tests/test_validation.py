@@ -115,3 +115,17 @@ def test_star_rejects_unknown_tables(star):
     with pytest.raises(KeyError, match="returns"):
         RetailTables(sales=star.sales).returns
     assert star.names() == list(model.TABLES) and d("2023-01-10") is not None
+
+
+def test_foreign_keys_read_a_child_once(spark, star):
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/keys"
+    star.sales.withColumn("store_id", F.expr("if(order_id = 'O1', null, store_id)")).write.mode("overwrite").parquet(path)
+    read = star.replace(sales=spark.read.parquet(path), products=star.products.filter("product_id <> 'P1'"))
+    report = v.check_foreign_keys(read)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan" in line for line in plan.split("\n")) == 1
+    each = [v.check_foreign_key(read, *fk).first() for fk in v.SINGLE]
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, each))
+    assert sum(r.violations for r in each) > 2 and len(each) == 5
+    nulls = [r for r in v.foreign_key_report(read).collect() if r.value == "NULL"]
+    assert [(r.table, r.parent) for r in nulls] == [("sales", "stores")]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwise import model
@@ -38,18 +38,25 @@ def _one(df: DataFrame, table: str, rule: str, violations: Column) -> DataFrame:
 
 
 def check_rules(
-    df: DataFrame, table: str, rules: Mapping[str, Column], weight: str | None = None
+    df: DataFrame,
+    table: str,
+    rules: Mapping[str, Column],
+    weight: str | None = None,
+    row_count: bool = False,
 ) -> DataFrame:
     """Rows breaking each rule, all rules in one pass; NULL counts as broken.
 
-    ``weight`` is a column saying how many table rows a row of ``df`` stands for.
+    ``weight`` is a column saying how many table rows a row of ``df`` stands for; ``row_count``
+    adds a row of that name with all rows.
     """
     rows = F.col(weight) if weight else F.lit(1)
     broken = {name: F.when(~_holds(rule), rows).otherwise(0) for name, rule in rules.items()}
+    if row_count:
+        broken["row_count"] = rows
     wide = df.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for n, c in broken.items()]
     )
-    long = wide.unpivot([], list(rules), "rule", "violations")
+    long = wide.unpivot([], list(broken), "rule", "violations")
     return long.select(F.lit(table).alias("table"), "rule", "violations")
 
 
@@ -125,12 +132,46 @@ def check_foreign_key(
 ) -> DataFrame:
     """Child rows whose key is NULL or has no parent; works for composite keys too."""
     lost = _orphans(t.table(child), columns, t.table(parent))
-    return _one(lost, child, f"foreign_key:{'+'.join(columns)}->{parent}", F.sum("count"))
+    return _one(lost, child, _rule_of((child, columns, parent)), F.sum("count"))
 
 
-def check_foreign_keys(t: RetailTables) -> DataFrame:
-    """The five single-column relationships."""
-    return union_all([check_foreign_key(t, *fk) for fk in model.FOREIGN_KEYS if len(fk[1]) == 1])
+ForeignKey = tuple[str, Sequence[str], str]  # child table, its columns, parent table
+SINGLE = tuple(fk for fk in model.FOREIGN_KEYS if len(fk[1]) == 1)
+
+
+def _orphan_values(t: RetailTables, keys: Sequence[ForeignKey]) -> DataFrame:
+    """(no, value, count) of the values without a parent row, for single-column keys by number.
+
+    A child is read once for all its keys: its rows become (relationship, value) pairs, which are
+    counted before they leave their task, and all pairs meet all parents in one anti-join.
+    """
+    pairs, parents = [], []
+    for child in dict.fromkeys(c for c, _, _ in keys):
+        own = [
+            F.struct(F.lit(no).alias("no"), F.col(columns[0]).cast("string").alias("value"))
+            for no, (c, columns, _) in enumerate(keys)
+            if c == child
+        ]
+        pairs.append(t.table(child).select(F.inline(F.array(*own))).groupBy("no", "value").count())
+    for no, (_, columns, parent) in enumerate(keys):
+        parents.append(t.table(parent).select(F.lit(no).alias("no"), F.col(columns[0]).cast("string").alias("value")))
+    return union_all(pairs).join(union_all(parents), ["no", "value"], "left_anti")
+
+
+def _rule_of(key: ForeignKey) -> str:
+    return f"foreign_key:{'+'.join(key[1])}->{key[2]}"
+
+
+def check_foreign_keys(t: RetailTables, keys: Sequence[ForeignKey] = SINGLE) -> DataFrame:
+    """Several single-column relationships at once, by default all five."""
+    lost = _orphan_values(t, keys).groupBy("no").agg(F.sum("count").alias("count"))
+    found = [F.coalesce(F.sum(F.when(F.col("no") == no, F.col("count"))), F.lit(0)) for no in range(len(keys))]
+    rows = [
+        F.struct(F.lit(key[0]).alias("table"), F.lit(_rule_of(key)).alias("rule"), F.col(f"n{no}").alias("violations"))
+        for no, key in enumerate(keys)
+    ]
+    one = lost.agg(*[c.cast("long").alias(f"n{no}") for no, c in enumerate(found)])
+    return one.select(F.inline(F.array(*rows)))
 
 
 def check_composite_foreign_key(t: RetailTables) -> DataFrame:
@@ -142,21 +183,21 @@ def foreign_key_report(t: RetailTables, limit: int = 5) -> DataFrame:
 
     ``orphan_values`` and ``orphan_rows`` are the totals of the relationship, so a cut shows.
     """
-    parts = []
-    for child, columns, parent in model.FOREIGN_KEYS:
+    lost = [_orphan_values(t, SINGLE)]
+    keys = [*SINGLE, *[fk for fk in model.FOREIGN_KEYS if fk not in SINGLE]]
+    for no, (child, columns, parent) in list(enumerate(keys))[len(SINGLE) :]:
         value = F.concat_ws("+", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
-        lost = _orphans(t.table(child), columns, t.table(parent)).select(
-            F.lit(child).alias("table"),
-            F.lit(parent).alias("parent"),
-            value.alias("value"),
-            F.col("count").alias("row_count"),
-        )
-        totals = lost.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum("row_count").alias("s")).alias("t"))
-        top = lost.orderBy(F.desc("row_count"), "value").limit(limit).withColumn("t", totals.scalar())
-        parts.append(
-            top.select("table", "parent", "value", "row_count", F.col("t.n").alias("orphan_values"), F.col("t.s").alias("orphan_rows"))
-        )
-    return union_all(parts)
+        composite = _orphans(t.table(child), columns, t.table(parent))
+        lost.append(composite.select(F.lit(no).alias("no"), value.alias("value"), "count"))
+    every = union_all(lost).withColumn("value", F.coalesce("value", F.lit("NULL")))
+    totals = every.groupBy("no").agg(F.count(F.lit(1)).alias("orphan_values"), F.sum("count").alias("orphan_rows"))
+    frequent = Window.partitionBy("no").orderBy(F.desc("count"), "value")  # cut to the limit in every task first
+    top = every.withColumn("place", F.row_number().over(frequent)).filter(F.col("place") <= limit)
+    names = lambda at: F.element_at(F.array(*[F.lit(k[at]) for k in keys]), F.col("no") + 1)
+    return top.join(totals, "no").select(
+        names(0).alias("table"), names(2).alias("parent"), "value",
+        F.col("count").alias("row_count"), "orphan_values", "orphan_rows",
+    )
 
 
 def derived_rules(atol: float = 0.01) -> dict[str, Column]:
@@ -347,15 +388,20 @@ def validate_all(
     line = [*model.PRIMARY_KEYS["sales"], "order_date", "quantity"]
     lines = keep(sale_lines_by_key(t), "sale_lines_by_key") if keyed("sales", line) else None
     parts = [check_required_columns(t.table("sales").sparkSession, t)]
-    parts += [check_rules(t.table(n), n, _answerable(t.table(n), named)) for n, named in rules.items()]
-    parts += [_one(t.table(n), n, "row_count", F.count(F.lit(1))) for n in model.TABLES]
+    parts += [
+        check_rules(t.table(n), n, _answerable(t.table(n), named), row_count=True) for n, named in rules.items()
+    ]
     parts += [
         check_primary_key(t.table(n), n, lines if n == "sales" else None)
         for n in model.TABLES
         if keyed(n, model.PRIMARY_KEYS[n])
     ]
-    for child, columns, parent in model.FOREIGN_KEYS:
-        if keyed(child, columns) and keyed(parent, columns):
+    known = [fk for fk in model.FOREIGN_KEYS if keyed(fk[0], fk[1]) and keyed(fk[2], fk[1])]
+    single = [fk for fk in known if fk in SINGLE]
+    if single:
+        parts.append(check_foreign_keys(t, single))
+    for child, columns, parent in known:
+        if (child, columns, parent) not in SINGLE:
             star = t.replace(sales=lines) if parent == "sales" and lines is not None else t
             parts.append(check_foreign_key(star, child, columns, parent))
     if lines is not None and keyed("returns", ["order_id", "product_id", "return_date", "quantity_returned"]):

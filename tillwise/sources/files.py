@@ -236,7 +236,7 @@ def load_tables(
 def _check_loaded(source: RetailTables, loaded: RetailTables) -> None:
     """Fail unless every row arrived and every key has its parent; one row per rule is read."""
     counts = validation.reconcile_row_counts(source, loaded).filter(~F.col("matches")).collect()
-    keys = union_all([validation.check_foreign_key(loaded, *fk) for fk in model.FOREIGN_KEYS])
+    keys = validation.check_foreign_keys(loaded).unionByName(validation.check_composite_foreign_key(loaded))
     wrong = [f"{r['table']}: {r.source_rows} rows became {r.loaded_rows}" for r in counts]
     wrong += [f"{r['table']}: {r.rule} ({r.violations} rows)" for r in keys.filter("violations > 0").collect()]
     if wrong:
