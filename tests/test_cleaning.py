@@ -112,6 +112,24 @@ def test_keeping_checked_rows_changes_nothing(spark, cleaned):
         assert lazy[name].counts.collect() == cleaned[name].counts.collect()
 
 
+def test_the_report_reads_no_table(spark, cleaned):
+    eager = cleaning.clean_all(raw_tables(spark))
+    for name in model.TABLES:
+        counts = eager[name].counts
+        assert counts.collect() == cleaned[name].counts.collect()
+        assert "FileScan" not in counts._jdf.queryExecution().executedPlan().toString()
+        stored = eager[name].rows._jdf.queryExecution().analyzed().toString()
+        assert "__rows" not in stored and "__valid" not in stored
+
+
+def test_empty_raw_tables(spark):
+    empty = {n: df.limit(0) for n, df in raw_tables(spark).items()}
+    eager, lazy = cleaning.clean_all(empty), cleaning.clean_all(empty, keep=cleaning.as_is)
+    for name in model.TABLES:
+        assert eager[name].counts.collect() == lazy[name].counts.collect()
+        assert eager[name].rows.count() == (1 if name == "customers" else 0)
+
+
 def test_cleaned_star_satisfies_every_rule(spark, cleaned):
     # The one balance that cannot be repaired is kept by cleaning and caught here.
     report = validation.validate_all(cleaning.cleaned_tables(cleaned))

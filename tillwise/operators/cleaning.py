@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillwise import model
@@ -24,7 +24,7 @@ from tillwise.sources.staging import stage
 
 _VALID = "__valid"
 
-Keep = Callable[[DataFrame, str], DataFrame]
+Keep = Callable[[DataFrame, str], DataFrame]  # writes a table and reads it back, such as ``stage``
 
 
 def as_is(df: DataFrame, name: str) -> DataFrame:
@@ -279,6 +279,22 @@ def _report(table: str, totals: DataFrame, extras: Sequence[str] = ()) -> DataFr
     )
 
 
+def _observed(
+    df: DataFrame, totals: Sequence[Column], keep: Keep, name: str, then: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """What ``then`` makes of ``df``, kept, and one row of totals over ``df``.
+
+    The totals are counted while the kept table is written, in the stage that writes it, so neither
+    a second pass nor the counting columns are stored. A lost task is counted once, when it succeeds.
+    """
+    if keep is as_is:
+        return then(df), df.agg(*totals)
+    seen = Observation()
+    kept = keep(then(df.observe(seen, *totals)), name)
+    found = [F.lit(n).cast("long").alias(c) for c, n in seen.get.items()]
+    return kept, df.sparkSession.range(1).select(*found)
+
+
 def _cleaned(
     table: str,
     checked: DataFrame,
@@ -287,14 +303,15 @@ def _cleaned(
     extras: Mapping[str, str] | None = None,
 ) -> Cleaned:
     """Split rows by the validity flag; ``extras`` are boolean columns to count."""
-    checked = keep(checked, table)
-    totals = checked.agg(
+    totals = [
         *_totals(table),
         F.count_if(F.col(_VALID)).alias("rows_after"),
         *[F.count_if(F.col(c)).alias(n) for n, c in (extras or {}).items()],
+    ]
+    rows, counted = _observed(
+        checked, totals, keep, table, lambda df: _typed(table, finish(df.filter(F.col(_VALID))))
     )
-    rows = _typed(table, finish(checked.filter(F.col(_VALID))))
-    return Cleaned(rows, _report(table, totals, list(extras or {})))
+    return Cleaned(rows, _report(table, counted, list(extras or {})))
 
 
 def clean_customers(
@@ -554,13 +571,15 @@ def clean_returns(
         coerce_numeric(coerce_date(first, "return_date"), {"quantity_returned": "double"}),
         {"return_reason": F.lit(model.DEFAULTS["return_reason"])},
     )
-    typed = keep(typed, "typed_returns")
-    named = filter_valid(typed, [full_match("return_id", patterns["return_id"])])
-    rows = keep(match_returns(named, sales), "returns")
-    totals = side_by_side(
-        typed.agg(*_totals("returns")), rows.agg(F.count(F.lit(1)).alias("rows_after"))
+    named, before = _observed(
+        typed, _totals("returns"), keep, "typed_returns",
+        lambda df: filter_valid(df, [full_match("return_id", patterns["return_id"])]).select(*columns),
+    )
+    rows, after = _observed(
+        match_returns(named, sales), [F.count(F.lit(1)).alias("rows_after")], keep, "returns",
+        lambda df: _typed("returns", df),
     )
-    return Cleaned(_typed("returns", rows), _report("returns", totals))
+    return Cleaned(rows, _report("returns", side_by_side(before, after)))
 
 
 # ---------------------------------------------------------------- whole star
@@ -578,8 +597,8 @@ def clean_all(
 ) -> dict[str, Cleaned]:
     """Clean dimensions, then sales and inventory, then returns.
 
-    Later tables look up earlier ones and the report reads all, so each checked table is
-    written to shared storage as it is reached; pass ``keep=as_is`` to stay lazy.
+    Later tables look up earlier ones, so each cleaned table is written to shared storage as it is
+    reached, and counted for the report on the way; pass ``keep=as_is`` to stay lazy.
     """
     after = dedupe_after_normalize
     part = clean_customers(raw["customers"], patterns, segments, after, keep)
