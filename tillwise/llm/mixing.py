@@ -83,7 +83,7 @@ def budgets(
     ``budget`` None asks for as many tokens as there are.
     """
     table = F.create_map(*[F.lit(x) for path, w in sorted(weights.items()) for x in (path, w)]) if weights else None
-    total = F.sum("available").over(Window.partitionBy("root"))
+    total = leaves.agg(F.sum("available")).scalar()
     rows = leaves.withColumn("root", F.lit(0))
     rows = rows.withColumn("budget", (total if budget is None else F.lit(budget)).cast("double"))
     for depth in range(1, len(_PATH) + 1):
