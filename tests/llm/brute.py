@@ -78,6 +78,89 @@ def base_failed(m):
     return m["n_words"] < 20 or 100 * m["n_repeat_words"] > 30 * m["n_words"]
 
 
+def learnt_cutoffs(docs, labels, rules, risk, delta, steps, stratum="lang"):
+    """({(stratum, rule): cutoff}, {stratum: bound}) from the definition, document by document.
+
+    A cutoff is certified if the exact binomial chance of seeing so few rejected clean documents, were
+    their true share the allowed one, is at most alpha; the mildest is tried first.
+    """
+    good = {i for i, quality, *_ in labels if quality == 1 and i is not None}
+    held = defaultdict(list)
+    for d in docs:
+        m = measures(d["text"])
+        if d["doc_id"] in good and not base_failed(m):
+            held[d[stratum] or ""].append({rule: math.ceil(share * steps - 1e-12) for rule, share in rules(m).items()})
+    names = list(rules(measures("")))
+
+    def certified(rejected, n, alpha):
+        p = risk / len(names)
+        tail = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(rejected + 1))
+        return rejected < n and tail <= alpha
+
+    def learn(found, strata):
+        alpha, out = delta / (len(names) * strata), {}
+        for rule in names:
+            for step in range(steps, -1, -1):
+                if not certified(sum(f[rule] > step for f in found), len(found), alpha):
+                    break
+                out[rule] = step / steps
+        return out
+
+    def can(found, strata):
+        return certified(0, len(found), delta / (len(names) * strata))
+
+    every = len(held)
+    pooled = [] if all(can(f, every) for f in held.values()) else [s for s, f in held.items() if not can(f, every + 1)]
+    tests = every if all(can(f, every) for f in held.values()) else every + 1
+    pool = learn([f for s in pooled for f in held[s]], tests)
+    cutoffs, bound = {}, {}
+    for s, found in held.items():
+        own = pool if s in pooled else learn(found, tests)
+        cutoffs.update({(s, rule): c for rule, c in own.items()})
+        if own:
+            bound[s] = "pool" if s in pooled else "own"
+    return cutoffs, bound
+
+
+FEATURE_BYTES = {
+    "symbols": b"#*$%&<>@^~=+_\\", "bars": b"|", "shouts": b"!?", "stops": b".,;:", "digits": b"0123456789",
+    "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "quotes": b"\"'`()[]{}", "vowels": b"aeiouAEIOU",
+    "wide": bytes(range(128, 256)), "breaks": b"\n",
+}
+
+
+def quality_features(text):
+    """The features of the quality classifier by name, from their definitions."""
+    text = text or ""
+    data, tokens, m = text.encode(), words(text), measures(text)
+    solid = max(sum(b not in SPACES.encode() for b in data), 1)
+    n = max(len(tokens), 1)
+    counts = Counter(tokens)
+    lengths = [len(t.encode()) for t in tokens]
+    return {
+        **{name: sum(b in chosen for b in data) / solid for name, chosen in FEATURE_BYTES.items()},
+        "log_words": math.log1p(len(tokens)),
+        "word_length": sum(lengths) / n,
+        "long_words": sum(x > 20 for x in lengths) / n,
+        "distinct_share": len(counts) / n,
+        "top_share": max(counts.values(), default=0) / n,
+        "adjacent_share": sum(a == b for a, b in zip(tokens, tokens[1:])) / n,
+        "repeat_share": m["n_repeat_words"] / n,
+        "dup_lines": m["n_dup_lines"] / m["n_lines"],
+    }
+
+
+def additive_score(model, x):
+    """One document's probability, looked up entry by entry."""
+    at = lambda edges, value: sum(value >= e for e in edges)
+    total = model.intercept
+    for edges, values, value in zip(model.edges, model.tables, x):
+        total += values[at(edges, value)]
+    for (a, b), values in zip(model.pairs, model.pair_tables):
+        total += values[at(model.coarse[a], x[a])][at(model.coarse[b], x[b])]
+    return 1 / (1 + math.exp(-min(max(total, -30), 30)))
+
+
 def shingle_weights(text, size=5):
     tokens = tuple(words(text))
     if len(tokens) < size:

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 import pytest
 
 from tests.llm import brute, rows
 from tillwise.llm.quality_rules import (
-    RULES, apply_rules, certified_cutoffs, least_clean, pooled_cutoffs, rejection_bound,
+    N_CUTOFFS, RULES, apply_rules, certified_cutoffs, judge, learn_cutoffs, least_clean, measured, pooled_cutoffs,
+    rejection_bound,
 )
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -84,5 +86,38 @@ def test_few_clean_rejected_and_junk_caught(spark):
     assert all(got[6000 + i] for i in range(20))  # no clean document of that stratum proves a cutoff
 
 
+def shares(m):
+    return {rule: share(rule, m) for rule in RULES}
+
+
+@pytest.mark.parametrize("sizes", [{"en": 2000, "fr": 1800}, {"en": 2200, "fr": 900, "de": 900, None: 30}, {"en": 40, "xx": 0}])
+def test_learnt_cutoffs_against_plain_version(spark, sizes):
+    """From rows and labels to cutoffs, verdicts and the bound that each row is told."""
+    rng = random.Random(len(sizes))
+    plain = "some plain words of a text that is long enough to pass number {} and then goes on a bit more here"
+    data, labels = [], []
+    for lang, n in sizes.items():
+        for _ in range(n + 20):
+            i = len(data)
+            text = plain.format(i) + " #" * rng.choice([0] * 300 + [1, 3, 9]) + " LOUD" * rng.choice([0] * 200 + [1, 6])
+            data.append((i, text, lang, "s", 1, "", 0, ""))
+            labels.append((i, int(len(labels) % (n + 20) < n), 0))
+    labels += [(0, 0, 0), (None, 1, 0), (10**6, 1, 0)]
+    cutoffs, held = brute.learnt_cutoffs(rows.dicts(data), labels, shares, 0.02, 0.05, N_CUTOFFS)
+    frame, marked = rows.frame(spark, data), spark.createDataFrame(labels, LABELS)
+    got, bound = learn_cutoffs(measured(frame), marked)
+    assert got == pytest.approx(cutoffs) and bound == held
+    for judged in (apply_rules(frame, marked), judge(frame, marked)):
+        for r in judged.collect():
+            d = data[r.row.doc_id]
+            m, lang = brute.measures(d[1]), d[2] or ""
+            above = [
+                (lang, rule) in cutoffs and math.ceil(s * N_CUTOFFS - 1e-12) > round(cutoffs[lang, rule] * N_CUTOFFS)
+                for rule, s in shares(m).items()
+            ]
+            assert r.kept == (not brute.base_failed(m) and not any(above))
+            assert r.bound == held.get(lang, "none")
+
+
 def test_empty(spark):
     assert apply_rules(rows.frame(spark, []), spark.createDataFrame([], LABELS)).collect() == []

@@ -146,22 +146,41 @@ def _shares(risk: float, delta: float, strata: int) -> tuple[float, float]:
     return delta / (len(RULES) * max(strata, 1)), risk / len(RULES)
 
 
-def pooled_cutoffs(
+def _pooling(
     histogram: Mapping[tuple[str, str], Mapping[int, int]], risk: float, delta: float
-) -> dict[tuple[str, str], float]:
-    """Cutoff per (stratum, rule), where strata too small to certify alone share those of their pool.
-
-    Only the numbers of clean documents decide which strata are pooled, never their measures.
-    """
+) -> tuple[set[str], set[str], int]:
+    """(all strata, those too small to certify alone, number of strata tested)."""
     sizes: dict[str, int] = {}
     for (s, _), counts in histogram.items():
         sizes[s] = max(sizes.get(s, 0), sum(counts.values()))
     need = least_clean(risk, delta, len(sizes))
     if all(n >= need for n in sizes.values()):
-        return certified_cutoffs(histogram, risk, delta, len(sizes))
+        return set(sizes), set(), len(sizes)
     tests = len(sizes) + 1
     need = least_clean(risk, delta, tests)
-    small = {s for s, n in sizes.items() if n < need}
+    return set(sizes), {s for s, n in sizes.items() if n < need}, tests
+
+
+def bounds(
+    histogram: Mapping[tuple[str, str], Mapping[int, int]], cutoffs: Mapping[tuple[str, str], float],
+    risk: float, delta: float,
+) -> dict[str, str]:
+    """Per stratum whose bound its cutoffs keep: its ``own``, or that of the ``pool`` it is part of."""
+    strata, small, _ = _pooling(histogram, risk, delta)
+    held = {s for s, _ in cutoffs}
+    return {s: "pool" if s in small else "own" for s in strata if s in held}
+
+
+def pooled_cutoffs(
+    histogram: Mapping[tuple[str, str], Mapping[int, int]], risk: float, delta: float
+) -> dict[tuple[str, str], float]:
+    """Cutoff per (stratum, rule), where strata too small to certify alone share those of their pool.
+
+    Only the numbers of clean documents decide which strata are pooled, never their measures.
+    """
+    _, small, tests = _pooling(histogram, risk, delta)
+    if not small:
+        return certified_cutoffs(histogram, risk, delta, tests)
     pool: dict[tuple[str | None, str], dict[int, int]] = {}
     for (s, rule), counts in histogram.items():
         own = pool.setdefault((None if s in small else s, rule), {})
@@ -201,9 +220,11 @@ def _share(rule: str) -> Column:
 
 def learn_cutoffs(
     counted: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, delta: float = 0.05
-) -> dict[tuple[str, str], float]:
+) -> tuple[dict[tuple[str, str], float], dict[str, str]]:
     """Certified cutoffs from all documents labelled clean (quality 1) that pass the base rules.
 
+    The second result says per stratum whose bound they keep.
+
     A document labelled twice is clean if any label says so. What returns to the driver is one
     count per stratum, rule and step of the grid.
     """
@@ -227,7 +248,8 @@ def learn_cutoffs(
     histogram: dict[tuple[str, str], dict[int, int]] = {}
     for r in rows:
         histogram.setdefault((r.stratum, r.rule), {})[r.step] = r.n
-    return pooled_cutoffs(histogram, risk, delta)
+    cutoffs = pooled_cutoffs(histogram, risk, delta)
+    return cutoffs, bounds(histogram, cutoffs, risk, delta)
 
 
 def verdict(cutoffs: Mapping[tuple[str, str], float], stratum: str = "lang") -> Column:
@@ -243,19 +265,54 @@ def verdict(cutoffs: Mapping[tuple[str, str], float], stratum: str = "lang") ->
     return ~fails
 
 
+def bound_of(held: Mapping[str, str], stratum: str = "lang") -> Column:
+    """Whose bound holds for a row's stratum: ``own``, ``pool``, or ``none`` without any cutoff."""
+    if not held:
+        return F.lit("none")
+    table = F.create_map(*[F.lit(x) for pair in sorted(held.items()) for x in pair])
+    return F.coalesce(F.try_element_at(table, _stratum(F.col("row"), stratum)), F.lit("none"))
+
+
+def _slim(docs: DataFrame, stratum: str) -> DataFrame:
+    """The measures of every row beside its id and stratum, written once."""
+    row = F.col("row")
+    counted = measured(docs.select("doc_id", stratum, "text"))
+    return stage(
+        counted.select(F.struct(row["doc_id"].alias("doc_id"), row[stratum].alias(stratum)).alias("row"), "m"),
+        "rule-measures",
+    )
+
+
+def judge(
+    docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, delta: float = 0.05
+) -> DataFrame:
+    """As :func:`apply_rules`, with ids and strata alone in ``row``; every text is measured once."""
+    slim = _slim(docs, stratum)
+    return _judged(slim, *learn_cutoffs(slim, labels, stratum, risk, delta), stratum)
+
+
+def _judged(
+    counted: DataFrame, cutoffs: Mapping[tuple[str, str], float], held: Mapping[str, str], stratum: str
+) -> DataFrame:
+    return counted.select(
+        "row", "m", base_failed(F.col("m")).alias("base_failed"), verdict(cutoffs, stratum).alias("kept"),
+        bound_of(held, stratum).alias("bound"),
+    )
+
+
 def apply_rules(
     docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, delta: float = 0.05
 ) -> DataFrame:
-    """(row, m, base_failed, kept) for every row of ``docs``; ``row`` holds the input columns.
+    """(row, m, base_failed, kept, bound) for every row of ``docs``; ``row`` holds the input columns.
 
     NULL and empty texts have no words and fail the base rules. Strata without enough clean
     documents to certify any cutoff share those of their pool; one without any, or with a pool that
-    is too small as well, keeps everything that passes the base rules. A NULL stratum is a stratum. Repeated rows are judged alike. An empty table gives an empty result.
+    is too small as well, keeps everything that passes the base rules. ``bound`` says which of these
+    holds for the row: ``own``, ``pool`` or ``none``. A NULL stratum is a stratum. Repeated rows are
+    judged alike. An empty table gives an empty result.
+
+    The texts are measured twice, for the cutoffs and beside their rows, as that is less than to join
+    them; :func:`judge` measures them once and leaves them out.
     """
-    narrow = docs.select("doc_id", stratum, "text")
-    counted = measured(narrow)
-    slim = counted.select(F.struct(F.col("row")["doc_id"].alias("doc_id"), F.col("row")[stratum].alias(stratum)).alias("row"), "m")
-    cutoffs = learn_cutoffs(stage(slim, "rule-measures"), labels, stratum, risk, delta)
-    return measured(docs).select(
-        "row", "m", base_failed(F.col("m")).alias("base_failed"), verdict(cutoffs, stratum).alias("kept")
-    )
+    learnt = learn_cutoffs(_slim(docs, stratum), labels, stratum, risk, delta)
+    return _judged(measured(docs), *learnt, stratum)

@@ -63,9 +63,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
-        "row.doc_id", *[F.col(f"m.{c}").alias(c) for c in quality_rules.COUNTS], "base_failed", "kept"
+        "row.doc_id", *[F.col(f"m.{c}").alias(c) for c in quality_rules.COUNTS], "base_failed", "kept", "bound"
     )
 
 
