@@ -5,7 +5,7 @@ import os
 import numpy as np
 import pytest
 
-from tests.llm import rows
+from tests.llm import brute, rows
 from tillwise.llm import quality_gam
 from tillwise.llm.quality_gam import classify, fit
 from tillwise.llm.queries import op6_quality
@@ -55,3 +55,21 @@ def test_awkward_rows(spark):
     assert all(again[r.row.doc_id] == r.score for r in got if r.row.doc_id != 9)
     assert classify(df.limit(0), labels).collect() == []
     assert {r.score for r in classify(df, labels.limit(0)).collect()} == {0.5}
+
+
+def test_features_and_scores_against_plain_version(spark):
+    data = rows.awkward()
+    data += [(300, "x|y| |z !? 12 (a) [b] {c} \"q\" `r` aa aa AA ~^ ünï 日本 \n\n x|y|\n", "en", "s", 1, "", 0, "")]
+    data += [(301, "w" * 21 + " " + "w" * 20 + " " + "é" * 11, "en", "s", 1, "", 0, ""), (302, "a b c d e f g h " * 4, "en", "s", 1, "", 0, "")]
+    vectors = quality_gam.featured(rows.frame(spark, data)).collect()
+    assert len(vectors) == len(data)
+    for r in vectors:
+        want = brute.quality_features(r.row.text)
+        assert dict(zip(quality_gam.FEATURES, r.x)) == pytest.approx(want, abs=1e-12), r.row.text
+    rng = np.random.default_rng(5)
+    x = np.array([r.x for r in vectors])
+    model = fit(np.repeat(x, 20, axis=0), rng.integers(0, 2, 20 * len(x)).astype(float), rounds=6)
+    assert model.pairs
+    df = quality_gam.featured(rows.frame(spark, data))
+    for r in quality_gam.score_vectors(df, model).collect():
+        assert r.score == pytest.approx(brute.additive_score(model, r.x), abs=1e-12)
