@@ -4,8 +4,12 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
+import xxhash
+
 from tests.llm import rows
-from tillwise.llm.sharding import assign_shards, first_map, grown, map_versions, rebalanced
+from tillwise.llm.sharding import append_map, assign_shards, first_map, grown, load_map, map_versions, rebalanced
+from tillwise.sources.staging import new_path
 
 
 def test_sizes_places_and_checksums(spark):
@@ -45,11 +49,109 @@ def test_map_edits():
     assert rebalanced(shards, loads, 7) == shards
 
 
-def test_versions_are_kept(spark):
-    stored = map_versions(spark, [[0, 0, 1], [0, 1, 1]], [5, 6, 7]).collect()
-    assert sorted((r.version, r.v_slot, r.shard, r.bytes) for r in stored) == [
-        (0, 0, 0, 5), (0, 1, 0, 6), (0, 2, 1, 7), (1, 0, 0, 5), (1, 1, 1, 6), (1, 2, 1, 7),
-    ]
+def where(docs, folder=None, n_shards=24, n_slots=4096, **more):
+    return {r.doc_id: r for r in assign_shards(docs, n_shards, n_slots, folder, **more).collect()}
+
+
+def many(n, seed=1):
+    rng = random.Random(seed)
+    return [(i, "word " * rng.randint(5, 200), "en", "s", 1, "", 0, "") for i in range(n)]
+
+
+def new_folder(spark):
+    return new_path(spark, "maps")
+
+
+def test_few_rows_more_or_less_move_few_rows(spark):
+    data, folder = many(6000), new_folder(spark)
+    first = where(rows.frame(spark, data), folder)
+    again = where(rows.frame(spark, data), folder)
+    assert again == first and {r.map_version for r in first.values()} == {1}
+    less = where(rows.frame(spark, data[30:]), folder, tolerance=0.005)
+    assert {r.map_version for r in less.values()} == {2}
+    moved = [i for i in less if less[i].shard != first[i].shard]
+    assert len(moved) < 60  # 1 % of the rows
+    assert all(less[i].v_slot == first[i].v_slot for i in less)
+    fresh = where(rows.frame(spark, data[30:]))
+    assert len([i for i in fresh if fresh[i].shard != first[i].shard]) > len(moved)
+    sizes = defaultdict(int)
+    for r in less.values():
+        sizes[r.shard] += r.size
+    assert max(sizes.values()) - min(sizes.values()) < 0.005 * max(sizes.values())
+
+
+def test_versions_accumulate_in_one_place(spark):
+    data, folder = many(500), new_folder(spark)
+    assert load_map(spark, folder) is None and map_versions(spark, folder).collect() == []
+    for n in (500, 450, 450, 400):
+        where(rows.frame(spark, data[:n]), folder, 5, 64)
+    stored = map_versions(spark, folder).groupBy("version").count().collect()
+    assert sorted((r.version, r["count"]) for r in stored) == [(0, 64), (1, 64), (2, 64), (3, 64)]
+    assert load_map(spark, folder).version == 3 and load_map(spark, folder, 0).shards == first_map(64, 5)
+    assert sum(load_map(spark, folder).loads) == sum(len(d[1]) + 8 for d in data[:400])
+    with pytest.raises(ValueError, match="64 slots"):
+        where(rows.frame(spark, data), folder, 5, 32)
+    with pytest.raises(Exception, match="exist"):
+        append_map(spark, folder, load_map(spark, folder))
+
+
+def test_more_and_fewer_shards(spark):
+    data, folder = many(3000, 4), new_folder(spark)
+    docs = rows.frame(spark, data)
+    before = where(docs, folder, 6)
+    after = where(docs, folder, 8)
+    assert {r.shard for r in after.values()} == set(range(8))
+    weight = lambda found, which: sum(r.size for r in found.values() if which(r))
+    kept = weight(after, lambda r: r.shard == before[r.doc_id].shard)
+    assert kept > 0.7 * weight(after, lambda r: True)  # a quarter must move into two new shards
+    back = where(docs, folder, 5)
+    assert {r.shard for r in back.values()} == set(range(5))
+    stayed = weight(back, lambda r: r.shard == after[r.doc_id].shard)
+    assert stayed > 0.9 * weight(after, lambda r: r.shard < 5)
+
+
+def plain_slot(doc_id, text, n_slots):
+    """Spark's 64-bit hash chained over (9, id, mark of id and text), where NULL leaves it as it is."""
+
+    def chain(*values):
+        h = 42
+        for v in values:
+            if v is not None:
+                data = v.encode() if isinstance(v, str) else v
+                h = xxhash.xxh64_intdigest(data, seed=h)
+        return h - (1 << 64) if h >= 1 << 63 else h
+
+    number = lambda v, size: None if v is None else int(v).to_bytes(size, "little", signed=True)
+    mark = chain(number(5, 4), number(doc_id, 8), text or "")
+    return chain(number(9, 4), number(doc_id, 8), number(mark, 8)) % n_slots
+
+
+def test_assignment_against_plain_version(spark):
+    data, folder = rows.awkward(300), new_folder(spark)
+    n_slots, n_shards = 128, 5
+    for part in (data, data[:250]):
+        got = assign_shards(rows.frame(spark, part), n_shards, n_slots, folder, tolerance=0.0).collect()
+        size = lambda d: len((d[1] or "").encode()) + 8
+        loads = [0] * n_slots
+        for d in part:
+            loads[plain_slot(d[0], d[1], n_slots)] += size(d)
+        shards = load_map(spark, folder).shards
+        assert load_map(spark, folder).loads == loads
+        total = [sum(x for x, s in zip(loads, shards) if s == k) for k in range(n_shards)]
+        # No slot can leave the heaviest shard for the lightest and make the two more alike.
+        high, low = total.index(max(total)), total.index(min(total))
+        gap = total[high] - total[low]
+        assert not any(0 < loads[s] < gap for s in range(n_slots) if shards[s] == high)
+        want = sorted((d[0] or -1, d[1] or "", shards[plain_slot(d[0], d[1], n_slots)]) for d in part)
+        crc = {zlib.crc32((d[1] or "").encode()): d[1] or "" for d in part}
+        assert sorted((r.doc_id or -1, crc[r.text_crc32], r.shard) for r in got) == want
+        order = sorted(
+            ((r.shard, r.v_slot, r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size), r.slot) for r in got
+        )
+        at = defaultdict(int)
+        for (shard, *_), slot in order:
+            assert slot == at[shard]
+            at[shard] += 1
 
 
 def test_empty(spark):

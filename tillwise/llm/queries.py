@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,6 +14,7 @@ from tillwise.llm import (
     secrets, sentencepiece_codec, sharding, topk,
 )
 from tillwise.llm.common import remainder, table
+from tillwise.sources.staging import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +31,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+    # One folder per input and application: asked again, the stored map is edited.
+    folder = f"{shared_dir(spark)}/slot-map-{hashlib.md5(sf_dir.encode()).hexdigest()[:12]}"
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), folder=folder)
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,9 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Sequence
+from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -18,6 +20,7 @@ from tillwise.llm.common import text_mark
 from tillwise.sources.staging import new_path, stage
 
 N_SLOTS = 8192
+TOLERANCE = 0.002  # of an even shard, when a map is edited
 
 
 def record_slot(n_slots: int = N_SLOTS) -> Column:
@@ -30,10 +33,13 @@ def first_map(n_slots: int, n_shards: int) -> list[int]:
     return [slot * n_shards // n_slots for slot in range(n_slots)]
 
 
-def rebalanced(shards: Sequence[int], loads: Sequence[int], n_shards: int) -> list[int]:
+def rebalanced(
+    shards: Sequence[int], loads: Sequence[int], n_shards: int, tolerance: float = 0.0
+) -> list[int]:
     """The map edited until no single move or swap of slots lowers the spread of loads further.
 
-    Moves go from the heaviest shard to the lightest: first the largest slot that shrinks the
+    ``tolerance`` stops earlier, once the heaviest and the lightest shard differ by no more than that
+    share of an even one. Moves go from the heaviest shard to the lightest: first the largest slot that shrinks the
     gap most, then swaps of two slots. It works on the bounded map only, never on records.
     """
     out = list(shards)
@@ -43,10 +49,13 @@ def rebalanced(shards: Sequence[int], loads: Sequence[int], n_shards: int) -> li
         if loads[slot]:
             total[shard] += loads[slot]
             held[shard][slot] = loads[slot]
+    enough = tolerance * sum(total) / n_shards
     for _ in range(4 * len(out)):
         high = max(range(n_shards), key=lambda s: (total[s], -s))
         low = min(range(n_shards), key=lambda s: (total[s], s))
         gap = total[high] - total[low]
+        if gap <= enough:
+            break
         best = min(
             ((abs(gap - 2 * load), slot) for slot, load in held[high].items() if load < gap),
             default=(gap, -1),
@@ -63,6 +72,8 @@ def rebalanced(shards: Sequence[int], loads: Sequence[int], n_shards: int) -> li
         high = max(range(n_shards), key=lambda s: (total[s], -s))
         low = min(range(n_shards), key=lambda s: (total[s], s))
         gap = total[high] - total[low]
+        if gap <= enough:
+            break
         theirs = sorted((load, slot) for slot, load in held[low].items())
         best, pick = gap, None
         for slot, load in held[high].items():
@@ -114,24 +125,119 @@ def grown(shards: Sequence[int], loads: Sequence[int], n_shards: int) -> list[in
         out[slot] = n_shards
 
 
-def map_versions(spark: SparkSession, versions: Sequence[Sequence[int]], loads: Sequence[int]) -> DataFrame:
-    """Store the map: (version, v_slot, shard, bytes), one row per version and slot."""
-    path = new_path(spark, "slot-map")
+def shrunk(shards: Sequence[int], loads: Sequence[int], n_shards: int) -> list[int]:
+    """The map without the shards from ``n_shards`` on: their slots go to the then lightest others."""
+    out, total = list(shards), [0] * n_shards
+    for slot, shard in enumerate(out):
+        if shard < n_shards:
+            total[shard] += loads[slot]
+    queue = [(t, s) for s, t in enumerate(total)]
+    heapq.heapify(queue)
+    homeless = [slot for slot, shard in enumerate(out) if shard >= n_shards]
+    for slot in sorted(homeless, key=lambda s: (-loads[s], s)):
+        least, shard = queue[0]
+        out[slot] = shard
+        heapq.heapreplace(queue, (least + loads[slot], shard))
+    return out
+
+
+class SlotMap(NamedTuple):
+    """One version of the map: shard and bytes per virtual slot."""
+
+    version: int
+    shards: list[int]
+    loads: list[int]
+
+    @property
+    def n_shards(self) -> int:
+        return max(self.shards) + 1
+
+
+_MAP = "v_slot int, shard int, bytes bigint, version int"
+
+
+def map_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """(v_slot, shard, bytes, version): every version that was ever stored in the folder."""
+    try:
+        return spark.read.schema(_MAP).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _MAP)
+
+
+def load_map(spark: SparkSession, folder: str, version: int | None = None) -> SlotMap | None:
+    """The latest version of the map in a folder, or the one asked for; None if there is none."""
+    stored = map_versions(spark, folder)
+    if version is None:
+        version = stored.agg(F.max("version")).first()[0]
+    rows = stored.filter(F.col("version") == version).orderBy("v_slot").collect()  # one row per slot
+    return SlotMap(version, [r.shard for r in rows], [r.bytes for r in rows]) if rows else None
+
+
+def append_map(spark: SparkSession, folder: str, found: SlotMap) -> None:
+    """Store a version beside the earlier ones; to store one again is an error."""
     schema = "array<struct<v_slot:int,shard:int,bytes:bigint>>"
-    for version, shards in enumerate(versions):
-        text = json.dumps([{"v_slot": s, "shard": x, "bytes": loads[s]} for s, x in enumerate(shards)])
-        rows = spark.range(1).select(F.inline(F.from_json(F.lit(text), schema)))
-        rows.coalesce(1).write.parquet(f"{path}/version={version}")
-    return spark.read.schema("v_slot int, shard int, bytes bigint, version int").parquet(path)
+    text = json.dumps([{"v_slot": s, "shard": x, "bytes": found.loads[s]} for s, x in enumerate(found.shards)])
+    rows = spark.range(1).select(F.inline(F.from_json(F.lit(text), schema)))
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{folder}/version={found.version}")
 
 
-def assign_shards(docs: DataFrame, n_shards: int = 24, n_slots: int = N_SLOTS) -> DataFrame:
+def edited(last: SlotMap, loads: Sequence[int], n_shards: int, tolerance: float = TOLERANCE) -> SlotMap:
+    """The next version for new loads or another number of shards, with few slots moved.
+
+    Shards that are new receive slots from the heaviest, shards that go hand theirs on, and then
+    single slots move or change places until the shards are level within the tolerance; the first
+    records are levelled as far as slots allow. The same version comes back if neither the map nor
+    the loads change.
+    """
+    if len(loads) != len(last.shards):
+        raise ValueError(f"the stored map has {len(last.shards)} slots, not {len(loads)}")
+    shards = last.shards
+    if last.n_shards > n_shards:
+        shards = shrunk(shards, loads, n_shards)
+    for count in range(max(shards) + 1, n_shards):
+        shards = grown(shards, loads, count)
+    shards = rebalanced(shards, loads, n_shards, tolerance if any(last.loads) else 0.0)
+    if shards == last.shards and list(loads) == last.loads:
+        return last
+    return SlotMap(last.version + 1, shards, list(loads))
+
+
+def rebalance(
+    spark: SparkSession, folder: str, loads: Sequence[int], n_shards: int, tolerance: float = TOLERANCE
+) -> SlotMap:
+    """Load the latest map of the folder, edit it for these loads, and append what changed.
+
+    An empty folder starts with version 0, equal runs of slots before any record is known.
+    """
+    last = load_map(spark, folder)
+    if last is None:
+        last = SlotMap(0, first_map(len(loads), n_shards), [0] * len(loads))
+        append_map(spark, folder, last)
+    found = edited(last, loads, n_shards, tolerance)
+    if found.version != last.version:
+        append_map(spark, folder, found)
+    return found
+
+
+def assign_shards(
+    docs: DataFrame,
+    n_shards: int = 24,
+    n_slots: int = N_SLOTS,
+    folder: str | None = None,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, v_slot, map_version) per row.
 
     Law ``bytes``: sizes (UTF-8 bytes plus 8) of the shards are as near to equal as moving
     whole virtual slots allows. ``slot`` is the row's place in its shard, without gaps from 0.
     NULL texts have size 8 and the checksum of an empty text; NULL ids hash like any id; equal
     rows lie side by side; an empty table gives an empty result.
+
+    ``folder`` holds the versions of the map on shared storage. A later call with the same folder
+    edits the latest of them until shards differ by ``tolerance`` at most, so rows keep their shard
+    unless their slot had to move; by default the call starts a folder of its own.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
     records = docs.select(
@@ -146,26 +252,25 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, n_slots: int = N_SLOTS) -
     loads, counts = [0] * n_slots, [0] * n_slots
     for row in sums.collect():  # at most n_slots rows
         loads[row.v_slot], counts[row.v_slot] = row.bytes, row.n
-    start = first_map(n_slots, n_shards)
-    shards = rebalanced(start, loads, n_shards)
-    stored = map_versions(spark, [start, shards], loads)
+    found = rebalance(spark, folder or new_path(spark, "slot-map"), loads, n_shards, tolerance)
+    shards = found.shards
     # Where each slot begins inside its shard: sums over the map, not over records.
     begins, filled = [0] * n_slots, [0] * n_shards
     for slot, shard in enumerate(shards):
         begins[slot] = filled[shard]
         filled[shard] += counts[slot]
     starts = F.from_json(F.lit(json.dumps(begins)), "array<bigint>")
-    current = stored.filter(F.col("version") == 1).select("v_slot", "shard", "version")
+    homes = F.from_json(F.lit(json.dumps(shards)), "array<int>")
     order = Window.partitionBy("v_slot").orderBy("doc_id", "text_crc32", "size")
     placed = records.withColumn("at", F.row_number().over(order) - 1)
-    return placed.join(F.broadcast(current), "v_slot").select(  # n_slots rows
+    return placed.select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
-        "shard",
+        F.get(homes, F.col("v_slot")).alias("shard"),
         (F.get(starts, F.col("v_slot")) + F.col("at")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "v_slot",
-        F.col("version").alias("map_version"),
+        F.lit(found.version).alias("map_version"),
     )
