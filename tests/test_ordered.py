@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -73,6 +74,30 @@ def test_random_rows(pairs):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+@pytest.mark.parametrize("slices", [1, 3, 16])
+@pytest.mark.parametrize("distinct", [1, 2, 5, 1000])
+def test_ranks_without_windows(spark, partitions, slices, distinct):
+    """Ranks and row numbers counted along the slices, alone and per group, rows shuffled once."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        partitions(slices)
+        rng = random.Random(slices * 999 + distinct)
+        rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, *range(distinct)]), k) for k in range(400)]
+        df = spark.createDataFrame(rows, "g string, v long, k long")
+        want = expected(rows)
+        grouped = with_order_stats(df, ["-v"], ["k"], within=["g"], rank="r", row_number="n", total={"t": "v"})
+        assert {(x.g, x.k): (x.r, x.n) for x in grouped.collect()} == {k: x[:2] for k, x in want.items()}
+        assert {x.t for x in grouped.collect()} == {sum(v or 0 for _, v, _ in rows)}
+        alone = {k: x for (_, k), x in expected([(0, v, k) for _, v, k in rows]).items()}
+        got = global_rank(df, ["-v"], ["k"], "r")
+        assert {x.k: x.r for x in got.collect()} == {k: x[0] for k, x in alone.items()}
+        assert got.columns == ["g", "v", "k", "r"]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange (hash|range)partitioning\([^)]*\bk\b", plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_one_hot_value_spreads_over_slices(spark, partitions):
     """Most rows share one value; they must still land in several slices."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

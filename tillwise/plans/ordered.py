@@ -55,8 +55,8 @@ def with_order_stats(
     """
     running = dict(running or {})
     within = list(within)
-    if row_number and not (rank or running or within):
-        return _positions(df, order, key, row_number, total or {})
+    if not running:
+        return _places(df, order, key, within, rank, row_number, total or {})
     values = [_name(c) for c in order]
     by_key = [_sort(c) for c in order] + [F.col(k).asc() for k in key]
     part = [_SLICE, *within]
@@ -123,28 +123,64 @@ def with_order_stats(
     )
 
 
-def _positions(
-    df: DataFrame, order: Sequence[str], key: Sequence[str], out: str, total: Mapping[str, str]
+def _places(
+    df: DataFrame,
+    order: Sequence[str],
+    key: Sequence[str],
+    within: Sequence[str],
+    rank: str | None,
+    row_number: str | None,
+    total: Mapping[str, str],
 ) -> DataFrame:
-    """Row numbers alone need no window: they are counted along the sorted slices.
+    """Ranks and row numbers need no window: places are counted along the sorted slices.
 
-    A generated id holds the slice in its upper bits and the place in it in the lower 33.
+    A generated id holds the slice in its upper bits and the place in it in the lower 33. The rows
+    cross the network once, by range. A rank is the place of the first row with its value, so only
+    values that occur more than once are looked up; the ids and values alone are shuffled to find them.
     """
-    by_key = [_sort(c) for c in order] + [F.col(k).asc() for k in key]
+    by_key = [*[F.col(w).asc() for w in within], *[_sort(c) for c in order], *[F.col(k).asc() for k in key]]
     sliced = df.repartitionByRange(*by_key).sortWithinPartitions(*by_key)
     staged = stage(sliced.withColumn("__id", F.monotonically_increasing_id()), "ordered")
-    part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    part = F.shiftright("__id", 33)
     sizes = staged.groupBy(part.alias(_SLICE)).agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(_SLICE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
-    joined = staged.withColumn(_SLICE, part).join(F.broadcast(before), _SLICE)  # one row per slice
-    return joined.select(
+
+    def placed(rows: DataFrame, first: str, out: str) -> DataFrame:
+        """The ids in a column as places from 1."""
+        found = rows.withColumn(_SLICE, F.shiftright(first, 33)).join(F.broadcast(before), _SLICE)  # one row per slice
+        local = F.col(first).bitwiseAND(F.lit((1 << 33) - 1))
+        return found.withColumn(out, F.col("__before") + local + 1).drop(_SLICE, "__before")
+
+    out = placed(staged, "__id", "__place")
+    first = F.col("__place")
+    if rank:
+        values = [_name(c) for c in order]
+        ties = staged.groupBy(*within, *values).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+        # Written, so a value that most rows share can be split between tasks.
+        ties = stage(ties.filter("__n > 1").drop("__n"), "ties")
+        out = _look_up(out, placed(ties, "__first", "__tie").drop("__first"), [*within, *values])
+        first = F.coalesce("__tie", "__place")
+    group = F.lit(0)
+    if within:
+        groups = staged.groupBy(*within).agg(F.min("__id").alias("__first"))
+        out = _look_up(out, placed(groups, "__first", "__group").drop("__first"), within)
+        group = F.col("__group") - 1
+    numbers = {rank: first, row_number: F.col("__place")}
+    return out.select(
         *df.columns,
-        (F.col("__before") + place + 1).cast("long").alias(out),
+        *[(c - group).cast("long").alias(name) for name, c in numbers.items() if name],
         *[staged.agg(F.sum(c)).scalar().alias(name) for name, c in total.items()],
     )
 
 
+def _look_up(df: DataFrame, found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A left join in which NULL matches NULL; the columns stay those of ``df``."""
+    named = found.withColumnsRenamed({c: f"__f_{c}" for c in columns})
+    same = _all([F.col(c).eqNullSafe(F.col(f"__f_{c}")) for c in columns])
+    return df.join(named, same, "left").drop(*[f"__f_{c}" for c in columns])
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
