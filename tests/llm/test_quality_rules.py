@@ -8,7 +8,7 @@ import pytest
 
 from tests.llm import brute, rows
 from tillwise.llm.quality_rules import (
-    N_CUTOFFS, RULES, apply_rules, certified_cutoffs, judge, learn_cutoffs, least_clean, measured, pooled_cutoffs,
+    N_CUTOFFS, RULES, apply_rules, certified_cutoffs, judge, learn, learn_cutoffs, least_clean, measured, pooled_cutoffs,
     rejection_bound,
 )
 
@@ -105,8 +105,9 @@ def test_learnt_cutoffs_against_plain_version(spark, sizes):
     labels += [(0, 0, 0), (None, 1, 0), (10**6, 1, 0)]
     cutoffs, held = brute.learnt_cutoffs(rows.dicts(data), labels, shares, 0.02, 0.05, N_CUTOFFS)
     frame, marked = rows.frame(spark, data), spark.createDataFrame(labels, LABELS)
-    got, bound = learn_cutoffs(measured(frame), marked)
+    got, bound = learn(measured(frame), marked)
     assert got == pytest.approx(cutoffs) and bound == held
+    assert learn_cutoffs(measured(frame), marked) == got
     for judged in (apply_rules(frame, marked), judge(frame, marked)):
         for r in judged.collect():
             d = data[r.row.doc_id]

@@ -19,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,13 +94,14 @@ def measures(block: Block) -> dict[str, np.ndarray]:
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, m): every row of ``docs`` with the counts of its whole text; NULL has no words."""
-    packed = passed_through(docs, text=F.col(text))
+    packed = passed_through(docs)
     names = [*COUNTS, *EXTRA]
     kind = T.StructType([T.StructField(n, T.LongType()) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, block in blocks(batch.column("text")):
+            # taken out of the row, so a text crosses into Python once
+            for low, block in blocks(pc.struct_field(batch.column("row"), text)):
                 found = measures(block)
                 m = pa.StructArray.from_arrays([pa.array(found[n], pa.int64()) for n in names], names)
                 rows = batch.column("row").slice(low, block.n)
@@ -220,6 +222,13 @@ def _share(rule: str) -> Column:
 
 def learn_cutoffs(
     counted: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, delta: float = 0.05
+) -> dict[tuple[str, str], float]:
+    """The cutoffs of :func:`learn`."""
+    return learn(counted, labels, stratum, risk, delta)[0]
+
+
+def learn(
+    counted: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, delta: float = 0.05
 ) -> tuple[dict[tuple[str, str], float], dict[str, str]]:
     """Certified cutoffs from all documents labelled clean (quality 1) that pass the base rules.
 
@@ -288,7 +297,7 @@ def judge(
 ) -> DataFrame:
     """As :func:`apply_rules`, with ids and strata alone in ``row``; every text is measured once."""
     slim = _slim(docs, stratum)
-    return _judged(slim, *learn_cutoffs(slim, labels, stratum, risk, delta), stratum)
+    return _judged(slim, *learn(slim, labels, stratum, risk, delta), stratum)
 
 
 def _judged(
@@ -314,5 +323,5 @@ def apply_rules(
     The texts are measured twice, for the cutoffs and beside their rows, as that is less than to join
     them; :func:`judge` measures them once and leaves them out.
     """
-    learnt = learn_cutoffs(_slim(docs, stratum), labels, stratum, risk, delta)
+    learnt = learn(_slim(docs, stratum), labels, stratum, risk, delta)
     return _judged(measured(docs), *learnt, stratum)

@@ -12,11 +12,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import passed_through, whole_text
+from tillwise.llm.common import passed_through
 
 _SPACE_PIECE = "▁".encode()
 _OUT_ROWS = 256
@@ -181,7 +181,7 @@ def encode(docs: DataFrame, model_path: str, add_eos: bool = True) -> DataFrame:
     nothing); ``decoded`` is the library's text for the ids. A NULL text is encoded as empty.
     The model's path must be readable where tasks run; the file is not copied.
     """
-    packed = passed_through(docs, text=whole_text(F.col("text")))
+    packed = passed_through(docs)
     fields = [
         T.StructField("ids", T.ArrayType(T.IntegerType())),
         T.StructField("starts", T.ArrayType(T.IntegerType())),
@@ -195,7 +195,8 @@ def encode(docs: DataFrame, model_path: str, add_eos: bool = True) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, _OUT_ROWS):
                 part = batch.slice(low, _OUT_ROWS)
-                texts = part.column("text").to_pylist()
+                # taken out of the row, so a text crosses into Python once
+                texts = [t or "" for t in pc.struct_field(part.column("row"), "text").to_pylist()]
                 coded = processor.encode(texts, num_threads=1)
                 ids, starts, ends = [], [], []
                 for text, row in zip(texts, coded):
