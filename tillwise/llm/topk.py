@@ -1,15 +1,22 @@
 """Exact top-k search by the three-phase uniform threshold.
 
 A score is the sum of partial inner products over ``LISTS`` runs of components; each run is a
-list that ranks the candidates on its own. Candidates lie in cells spread over the cluster.
+list that ranks the candidates on its own. Candidates lie in blocks of one direction and one
+range of distances from it, which are split into cells of bounded size.
 
-1. Every cell takes the head of each of its local lists and adds up the whole scores of what it
-   finds there. The k-th best of all cells is a lower bound of the k-th best score.
-2. That bound goes back to the cells as a cutoff. A candidate whose partial scores all lie below
-   the cutoff divided by the number of lists cannot reach it, whatever the signs, so each cell
-   collects the entries at or above it in any list.
+1. The cells of the blocks nearest to a query take the head of each of their local lists and add
+   up the whole scores of what they find there. A cell's k-th best of these is its own cutoff,
+   and the k-th best entry of all these cells is a lower bound of the k-th best score.
+2. That bound goes out as the cutoff. No candidate of a block scores more than the query's product
+   with the direction plus its length times the block's radius, nor than its length times the
+   block's greatest length: blocks below the cutoff are skipped, their vectors do not move. In
+   the others, a candidate whose partial scores all lie below the cutoff divided by the number
+   of lists cannot reach it, whatever the signs, so each cell collects the entries at or above it
+   in any list.
 3. The scores of the collected candidates are added up exactly, and those that reach the cutoff
    are ranked, first in the cell, then over all cells.
+
+A query meets every candidate at most once.
 """
 
 from __future__ import annotations
@@ -25,8 +32,10 @@ from pyspark.sql import Window
 from tillwise.sources.staging import stage
 
 LISTS = 2
-CELL_ROWS, QUERY_ROWS = 1024, 4096
-_STEP = 512
+DIRECTIONS, RINGS = 256, 8  # at most so many blocks: their table goes to every task
+CELL_ROWS, CELL_BYTES = (2048, 16384), 64 << 20
+QUERY_ROWS = 4096
+_STEP = 1 << 22  # products held at once
 
 
 def quantised(vector: Column, scale: int) -> Column:
@@ -48,8 +57,9 @@ def _cell(queries: pd.DataFrame, rows: pd.DataFrame):
     width = max(int(queries["vector"].map(len).max()), int(rows["vector"].map(len).max()), 1)
     q, c = _matrix(queries["vector"], width), _matrix(rows["vector"], width)
     cuts = [i * width // LISTS for i in range(LISTS + 1)]
-    for low in range(0, len(q), _STEP):
-        part = slice(low, low + _STEP)
+    step = max(1, _STEP // len(c))
+    for low in range(0, len(q), step):
+        part = slice(low, low + step)
         yield np.arange(len(q))[part], [q[part, a:b] @ c[:, a:b].T for a, b in zip(cuts, cuts[1:])]
 
 
@@ -58,55 +68,181 @@ def _split(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
     return pdf[asks].sort_values(["id", "rid"]), pdf[~asks].sort_values(["id", "rid"])
 
 
-def _heads(k: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        queries, rows = _split(pdf)
-        out = {"rid": [], "found": []}
-        if len(queries) and len(rows):
-            ids, own, rid = queries["id"].to_numpy(), rows["id"].to_numpy(), queries["rid"].to_numpy()
-            for at, lists in _cell(queries, rows):
-                mine = ids[at][:, None] == own[None, :]
-                total = sum(lists)
-                same = np.searchsorted(own, ids[at], "right") - np.searchsorted(own, ids[at], "left")
-                head = min(k + int(same.max()), len(own))  # a query's own rows take no place of the others
-                heads = [np.argpartition(-p, head - 1, axis=1)[:, :head] for p in lists]
-                for i in range(len(at)):
-                    there = np.unique(np.concatenate([h[i] for h in heads]))
-                    there = there[~mine[i, there]]
-                    out["rid"].append(rid[at[i]])
-                    out["found"].append(np.sort(total[i, there])[::-1][:k])
-        return pd.DataFrame(out)
+def _own_cutoffs(lists: list[np.ndarray], ids: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """Per query the k-th best whole score among the heads of the cell's lists, else -inf."""
+    same = np.searchsorted(own, ids, "right") - np.searchsorted(own, ids, "left")
+    head = min(k + int(same.max()), len(own))  # a query's own rows take no place of the others
+    heads = [np.argpartition(-p, head - 1, axis=1)[:, :head] for p in lists]
+    out = np.full(len(ids), -np.inf)
+    for i in range(len(ids)):
+        there = np.unique(np.concatenate([h[i] for h in heads]))
+        there = there[own[there] != ids[i]]
+        if len(there) >= k:
+            score = sum(p[i, there] for p in lists)
+            out[i] = np.partition(score, len(score) - k)[len(score) - k]
+    return out
 
-    return run
 
+def _entries(k: int):
+    """Per query of a cell its best k entries that reach the cutoff, the cell's own if none is given."""
 
-def _resolved(k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         queries, rows = _split(pdf)
         found = []
         if len(queries) and len(rows):
-            ids, own = queries["id"].to_numpy(), rows["id"].to_numpy()
-            bound = queries["cutoff"].to_numpy(float)
+            ids, own, rid = queries["id"].to_numpy(), rows["id"].to_numpy(), queries["rid"].to_numpy()
+            given = queries["cutoff"].to_numpy(float)
             for at, lists in _cell(queries, rows):
-                share = bound[at][:, None] / LISTS
+                bound = given[at]
+                if np.isnan(bound).any():
+                    bound = _own_cutoffs(lists, ids[at], own, k)
+                share = bound[:, None] / LISTS
                 reach = lists[0] >= share
                 for p in lists[1:]:
                     reach |= p >= share
                 i, j = np.nonzero(reach)
                 score = sum(p[i, j] for p in lists)
-                good = (score >= bound[at][i]) & (ids[at][i] != own[j])
+                good = (score >= bound[i]) & (ids[at][i] != own[j])
                 i, j, score = i[good], j[good], score[good]
                 order = np.lexsort((own[j], -score, i))
                 i, j, score = i[order], j[order], score[order]
                 place = np.arange(len(i)) - np.searchsorted(i, i)
                 best = place < k
-                found.append((ids[at][i[best]], own[j[best]], score[best]))
-        columns = [np.concatenate(c) if found else [] for c in (zip(*found) if found else ((), (), ()))]
-        return pd.DataFrame(dict(zip(("id", "vec_id", "score"), columns)))
+                found.append((rid[at][i[best]], ids[at][i[best]], own[j[best]], score[best]))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [[], [], [], []]
+        return pd.DataFrame(dict(zip(("rid", "id", "vec_id", "score"), columns)))
 
     return run
 
 
+def _block_of(pivots: np.ndarray):
+    """A vector's (block, distance, length): its nearest pivot, and its ring of distances around it."""
+
+    def run(vectors: pd.Series) -> pd.DataFrame:
+        x = _matrix(vectors, pivots.shape[1])
+        nearest = np.empty(len(x), int)
+        for low in range(0, len(x), 4096):
+            part = x[low : low + 4096]
+            nearest[low : low + 4096] = np.argmin((pivots**2).sum(1) - 2 * part @ pivots.T, axis=1)
+        far = np.linalg.norm(x - pivots[nearest], axis=1)
+        scale = np.linalg.norm(pivots[nearest], axis=1)
+        ring = np.minimum((RINGS * far / (far + scale + 1)).astype(int), RINGS - 1)
+        return pd.DataFrame({"block": nearest * RINGS + ring, "far": far, "length": np.linalg.norm(x, axis=1)})
+
+    return F.pandas_udf(run, "block int, far double, length double")
+
+
+class _Bounds:
+    """What every task knows of the blocks: pivots, sizes, radii and greatest lengths."""
+
+    def __init__(self, pivots: np.ndarray, blocks: list) -> None:
+        blocks = sorted(blocks, key=lambda b: b.block)
+        self.pivots = pivots
+        self.block = np.array([b.block for b in blocks], int)
+        self.rows = np.array([b.n for b in blocks], int)
+        self.far = np.array([b.far for b in blocks], float)
+        self.length = np.array([b.length for b in blocks], float)
+
+    def _steps(self, vectors: pd.Series):
+        for low in range(0, len(vectors), 512):
+            q = _matrix(vectors.iloc[low : low + 512], self.pivots.shape[1])
+            yield low, q, (q @ self.pivots.T)[:, self.block // RINGS]
+
+    def nearest(self, least: int):
+        """The blocks of the best directions, from the inside, that hold at least so many rows."""
+
+        def run(vectors: pd.Series) -> pd.Series:
+            out = []
+            for _, _, product in self._steps(vectors):
+                order = np.argsort(-product, axis=1, kind="stable")
+                held = self.rows[order]
+                take = held.cumsum(1) - held < least
+                out += [self.block[o[t]] for o, t in zip(order, take)]
+            return pd.Series(out, dtype=object)
+
+        return F.pandas_udf(run, "array<int>")
+
+    def reaching(self):
+        """The blocks not yet met whose upper bound reaches the cutoff."""
+
+        def run(vectors: pd.Series, cutoffs: pd.Series, met: pd.Series) -> pd.Series:
+            out = []
+            for low, q, product in self._steps(vectors):
+                size = np.linalg.norm(q, axis=1)[:, None]
+                bound = np.minimum(product + size * self.far, size * self.length)
+                slack = 1e-9 * size * (self.length + 2 * self.far) + 1e-6  # rounding never skips a block
+                reach = bound + slack >= cutoffs.to_numpy(float)[low : low + len(q), None]
+                for i, mask in enumerate(reach):
+                    out.append(np.setdiff1d(self.block[mask], np.asarray(met.iloc[low + i], int)))
+            return pd.Series(out, dtype=object)
+
+        return F.pandas_udf(run, "array<int>")
+
+
+def cell_rows(n: int, width: int) -> int:
+    """Rows of a cell: they grow with the root of the table, as each query goes to each cell that it
+    meets, within what a task can hold."""
+    return max(1, min(max(CELL_ROWS[0], 8 * math.isqrt(n)), CELL_ROWS[1], CELL_BYTES // (8 * width)))
+
+
+def search(rows: DataFrame, k: int, every: int) -> tuple[DataFrame, DataFrame]:
+    """(entries, visits) for stored rows (rid, id, vector).
+
+    Entries (rid, id, vec_id, score) hold the k best of every query; visits (rid, block, n) say
+    which blocks a query met and how many candidates they hold.
+    """
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).first()
+    width = max(size.width or 1, 1)
+    per_cell = cell_rows(size.n, width)
+    n_pivots = min(DIRECTIONS, math.ceil(size.n / per_cell))
+    drawn = rows.orderBy(F.xxhash64(F.lit(3), "rid")).limit(n_pivots).select("vector").toPandas()["vector"]
+    pivots = np.unique(_matrix(drawn, width), axis=0)
+    placed = stage(
+        rows.withColumn("at", _block_of(pivots)("vector")).select(
+            "rid", "id", "vector", F.col("at.block").alias("block"), "at.far", "at.length"
+        ),
+        "placed",
+    )
+    blocks = placed.groupBy("block").agg(
+        F.count(F.lit(1)).alias("n"), F.max("far").alias("far"), F.max("length").alias("length")
+    )
+    blocks = stage(blocks, "blocks")  # at most DIRECTIONS * RINGS rows
+    bounds = _Bounds(pivots, blocks.collect())
+    cells = F.ceil(F.col("n") / per_cell).cast("int").alias("cells")
+    bucket = lambda count, salt: F.pmod(F.xxhash64(F.lit(salt), "rid"), F.col(count)).cast("int")
+    spread = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    def visited(asking: DataFrame) -> DataFrame:
+        return asking.select("rid", "id", "vector", "cutoff", F.explode("blocks").alias("block"))
+
+    def entries(asking: DataFrame) -> DataFrame:
+        visits = visited(asking)
+        parts = F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("parts")
+        load = F.broadcast(visits.groupBy("block").agg(parts).join(blocks.select("block", cells), "block"))
+        there = visits.join(load, "block").select(
+            "block", spread("cells").alias("cell"), bucket("parts", 2).alias("part"), "rid", "id", "vector",
+            "cutoff", F.lit(True).alias("asks"),
+        )
+        candidates = placed.join(load, "block").select(
+            "block", bucket("cells", 1).alias("cell"), spread("parts").alias("part"), "rid", "id", "vector",
+            F.lit(None).cast("double").alias("cutoff"), F.lit(False).alias("asks"),
+        )
+        met = candidates.unionByName(there).groupBy("block", "cell", "part")
+        return met.applyInPandas(_entries(k), "rid long, id long, vec_id long, score double")
+
+    asking = placed.filter(F.col("id") % every == 0).select("rid", "id", "vector")
+    first = asking.withColumn("cutoff", F.lit(None).cast("double"))
+    first = stage(first.withColumn("blocks", bounds.nearest(per_cell)("vector")), "first-blocks")
+    near = stage(entries(first), "near-entries")
+    order = Window.partitionBy("rid").orderBy(F.desc("score"))
+    kth = near.withColumn("at", F.row_number().over(order)).filter(F.col("at") == k).select("rid", F.col("score").alias("kth"))
+    cut = first.join(kth, "rid", "left").withColumn("cutoff", F.coalesce("kth", F.lit(float("-inf")))).drop("kth")
+    rest = cut.withColumn("blocks", bounds.reaching()("vector", "cutoff", "blocks"))
+    rest = stage(rest, "other-blocks")
+    visits = visited(first).union(visited(rest)).select("rid", "block").join(blocks.select("block", "n"), "block")
+    return near.unionByName(entries(rest)), visits
+
+
 def top_k(
     vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, id_col: str = "vec_id",
     vector_col: str = "embedding", each_row: bool = False,
@@ -126,29 +262,7 @@ def top_k(
         rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
     # the row numbers are fixed once written
     rows = stage(rows.withColumn("rid", F.monotonically_increasing_id()), "vectors")
-    n = rows.count()
-    cells, parts = max(1, math.ceil(n / CELL_ROWS)), max(1, math.ceil(n / every / QUERY_ROWS))
-    none = F.lit(None).cast("double")
-    spread = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    bucket = lambda count, salt: F.pmod(F.xxhash64(F.lit(salt), "rid"), F.lit(count)).cast("int")
-    candidates = rows.select(
-        bucket(cells, 1).alias("cell"), "rid", "id", "vector", none.alias("cutoff"), F.lit(False).alias("asks")
-    ).select("*", spread(parts).alias("part"))
-    asking = rows.filter(F.col("id") % every == 0)
-
-    def met(queries: DataFrame) -> DataFrame:
-        there = queries.select(
-            spread(cells).alias("cell"), "rid", "id", "vector", "cutoff", F.lit(True).alias("asks"),
-            bucket(parts, 2).alias("part"),
-        )
-        return candidates.unionByName(there).groupBy("cell", "part")
-
-    heads = met(asking.withColumn("cutoff", none)).applyInPandas(_heads(k), "rid long, found array<double>")
-    best = F.sort_array(F.flatten(F.collect_list("found")), asc=False)
-    bounds = heads.groupBy("rid").agg(best.alias("found")).select(
-        "rid", F.coalesce(F.get("found", F.lit(k - 1)), F.lit(float("-inf"))).alias("cutoff")
-    )
-    final = met(asking.join(bounds, "rid")).applyInPandas(_resolved(k), "id long, vec_id long, score double")
+    final, _ = search(rows, k, every)
     order = Window.partitionBy("id").orderBy(F.desc("score"), "vec_id")
     return final.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         F.col("id").alias("query_id"), "rank", "vec_id", F.col("score").cast("long").alias("score")
