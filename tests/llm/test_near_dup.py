@@ -112,6 +112,22 @@ def test_benchmark_documents(spark):
     assert sorted(r.doc_id for r in keep_one(docs).collect()) == sorted({r.class_id for r in got})
 
 
+def test_hub_texts_travel_once_a_run(spark, monkeypatch):
+    """Pairs of hubs in several runs, pairs of members and an empty set of pairs, against the plain similarity."""
+    monkeypatch.setattr(near_dup, "HUB_PAIRS", 16)
+    rng = random.Random(10)
+    base = [f"w{rng.randrange(90)}" for _ in range(80)]
+    texts = {i: " ".join(edited(rng, base, i % 4)) for i in range(120)}
+    pairs = [(i, 7) if i % 3 else (7, i) for i in range(120) if i != 7] + [(i, i + 1) for i in range(20, 60)]
+    nodes = spark.createDataFrame(list(texts.items()), "node long, text string")
+    got = near_dup.verified(spark.createDataFrame(pairs, "x long, y long"), nodes)
+    weights = {i: brute.shingle_weights(t) for i, t in texts.items()}
+    near = {frozenset(p) for p in pairs if brute.probability_jaccard(weights[p[0]], weights[p[1]]) >= 0.8}
+    rows_ = [frozenset(r) for r in got.collect()]
+    assert set(rows_) == near and 0 < len(rows_) == len(near) < len(pairs)
+    assert near_dup.verified(spark.createDataFrame([], "x long, y long"), nodes).collect() == []
+
+
 def test_keep_one_of_equal_rows(spark):
     data = rows.awkward()
     df = rows.frame(spark, data)

@@ -24,6 +24,7 @@ from tillwise.sources.staging import stage
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 6  # a pair at 0.8 shares no band with probability (1 - 0.8**6)**40 = 5e-6
 MORE_HUBS = 1  # rounds of random hubs after the first; they only spare the exact pass work
+HUB_PAIRS = 256  # pairs for which a text is sent once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -162,31 +163,52 @@ def sketched(docs: DataFrame) -> DataFrame:
     return packed.mapInArrow(run, schema)
 
 
-def _weighted(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    out = []
+def _weighted(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for _, block in blocks(texts):
         doc, element, weight = shingles(block)
         cuts = np.searchsorted(doc, np.arange(block.n + 1))
-        out += [(element[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:])]
-    return out
+        yield from ((element[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:]))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Those (x, y) pairs of nodes whose similarity reaches the threshold, computed exactly."""
-    left = texts.select(F.col("node").alias("x"), F.col("text").alias("text_x"))
-    right = texts.select(F.col("node").alias("y"), F.col("text").alias("text_y"))
-    met = pairs.join(left, "x").join(right, "y").select("x", "y", "text_x", "text_y")
-    schema = T.StructType([met.schema["x"], met.schema["y"]])
+    """Those (x, y) pairs of nodes whose similarity reaches the threshold, computed exactly.
+
+    The end of a pair that is in more pairs is its hub. A hub's pairs are dealt into runs of about
+    ``HUB_PAIRS``; in front of each run its text comes once and the others stream past it.
+    """
+    ends = pairs.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    left = ends.select(F.col("node").alias("x"), F.col("n").alias("n_x"))
+    right = ends.select(F.col("node").alias("y"), F.col("n").alias("n_y"))
+    flip = F.col("n_x") > F.col("n_y")
+    dealt = (
+        pairs.join(left, "x").join(right, "y")
+        .select(
+            F.when(flip, F.col("x")).otherwise(F.col("y")).alias("hub"),
+            F.when(flip, F.col("y")).otherwise(F.col("x")).alias("member"),
+            F.ceil(F.greatest("n_x", "n_y") / HUB_PAIRS).alias("runs"),
+        )
+        .select("hub", F.pmod(F.xxhash64("member"), F.col("runs")).alias("run"), "member")
+    )
+    members = dealt.join(texts.select(F.col("node").alias("member"), "text"), "member")
+    hubs = dealt.select("hub", "run").distinct().join(texts.select(F.col("node").alias("hub"), "text"), "hub")
+    lined = members.select("hub", "run", "member", "text").unionByName(
+        hubs.select("hub", "run", F.lit(None).cast("long").alias("member"), "text")
+    )
+    lined = lined.repartition("hub", "run").sortWithinPartitions("hub", "run", F.asc_nulls_first("member"))
+    schema = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = None
         for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                both = zip(_weighted(part.column("text_x")), _weighted(part.column("text_y")))
-                near = [probability_jaccard(*a, *b) >= threshold - 1e-12 for a, b in both]
-                yield part.select(["x", "y"]).filter(pa.array(near, pa.bool_()))
-
-    return met.mapInArrow(run, schema)
+            near = []
+            for first, own in zip(batch.column("member").is_null().to_pylist(), _weighted(batch.column("text"))):
+                if first:
+                    hub = own
+                near.append(not first and probability_jaccard(*hub, *own) >= threshold - 1e-12)
+            met = pa.record_batch([batch.column("hub"), batch.column("member")], names=["x", "y"])
+            yield met.filter(pa.array(near, pa.bool_()))
+
+    return lined.mapInArrow(run, schema)
 
 
 def _shingle_rows(nodes: DataFrame) -> DataFrame:
