@@ -54,5 +54,21 @@ def test_many_leaves(spark):
     assert Counter((r.doc_id, r.copies) for r in got) == Counter((d[0], c) for d, c in zip(data, want))
 
 
+@pytest.mark.parametrize("digits", [3, 1])
+def test_edge_is_cut_again(spark, monkeypatch, digits):
+    """Ranges are cut until few places are left; equal rows, also under no id, are one place."""
+    monkeypatch.setattr(mixing, "EDGE_ROWS", 2)
+    monkeypatch.setattr(mixing, "_DIGITS", digits)
+    rng = random.Random(7)
+    data = [(i, "w " * rng.randint(0, 9), "l", "s", 1, "", 0, "") for i in range(800)]
+    data += [(5, "a b c", "l", "s", 1, "", 0, "")] * 30 + [(None, "d e", "l", "t", 1, "", 0, "")] * 30
+    data += [(i, "w w", "l", "t", 1, "", 0, "") for i in range(100)]
+    got = allocate(rows.frame(spark, data), 2, "q", budget=3000).collect()
+    want = brute.mixing_copies(rows.dicts(data), mixing.DOMAINS, mixing.WEIGHTS, 2, "q", 3000)
+    assert Counter((r.doc_id, r.n_tokens, r.copies) for r in got) == Counter(
+        (d[0], len(d[1].split()), c) for d, c in zip(data, want, strict=True)
+    )
+
+
 def test_empty(spark):
     assert allocate(rows.frame(spark, [])).collect() == [] and mixed(rows.frame(spark, [])).collect() == []

@@ -29,6 +29,8 @@ DOMAINS = {
 WEIGHTS = {"web": 5, "reference": 3, "forum": 2, "web/en": 3, "reference/en": 2, "web/en/src0": 4}
 MAX_EPOCHS = 3
 SEED = "mix-1"
+EDGE_ROWS = 4096  # so many places of a leaf are ordered in one task
+PLACE_DIGITS, _DIGITS = 48, 3
 
 
 def domain_of(source: Column, domains: Mapping[str, str] = DOMAINS) -> Column:
@@ -100,9 +102,13 @@ def budgets(
     return rows.select(*_PATH, "available", F.floor("budget").cast("long").alias("target"))
 
 
-def _order_key(seed: str) -> Column:
-    """The document's place in the seeded order of the leaf's last, partial epoch."""
-    return F.md5(F.concat_ws(":", F.lit(seed), F.col("epochs"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+def _place(seed: str) -> Column:
+    """The row's place in the seeded order of the leaf's last, partial epoch, as hexadecimal digits.
+
+    Rows under one id are told apart by their mark, the sign bit turned so that digits order it.
+    """
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("epochs"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    return F.concat(key, F.lpad(F.hex(F.col("mark").bitwiseXOR(F.lit(-(2**63)))), 16, "0"))
 
 
 def plan(
@@ -115,8 +121,9 @@ def plan(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, leaves): the documents' tokens, and per leaf its target, epochs and cutoff.
 
-    The order keys are cut into 4,096 ranges. Sums per range find the one in which the prefix
-    ends, and only that range is ordered document by document.
+    Places are cut into 4,096 ranges by their first digits. Sums per range find the one in which
+    the prefix ends; as long as that of any leaf holds more than ``EDGE_ROWS`` places it is cut
+    again by the next digits. Only the last range is ordered place by place.
     """
     rows = docs.select("doc_id", text_mark().alias("mark"), *_keyed(docs, domains), token_count(whole_text()).alias("n_tokens"))
     rows = stage(rows, "mix-rows")
@@ -125,32 +132,48 @@ def plan(
     epochs = F.when(F.col("available") > 0, F.floor(F.col("target") / F.col("available"))).otherwise(0).cast("long")
     asked = asked.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("available"))
     asked = stage(asked, "mix-budgets")
-    keyed = rows.join(asked, _PATH).withColumn("key", _order_key(seed)).withColumn("range", F.substring("key", 1, 3))
-    ranges = keyed.groupBy(*_PATH, "rest", "range").agg(F.sum("n_tokens").alias("tokens"))
-    upto = Window.partitionBy(*_PATH).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (
-        ranges.withColumn("upto", F.sum("tokens").over(upto)).filter(F.col("upto") > F.col("rest"))
-        .groupBy(*_PATH).agg(F.min(F.struct("range", (F.col("upto") - F.col("tokens")).alias("before"))).alias("edge"))
-    )
-    place = F.struct("key", "doc_id", "mark")
-    inside = keyed.join(edge, _PATH).filter(F.col("range") == F.col("edge.range"))
-    upto = Window.partitionBy(*_PATH).orderBy("key", "doc_id", "mark")  # equal rows go together
+    keyed = rows.join(asked.select(*_PATH, "epochs"), _PATH).withColumn("place", _place(seed))
+    edge = asked.select(*_PATH, "rest", F.lit("").alias("edge"), F.lit(0).cast("long").alias("before"))
+    for digits in range(_DIGITS, PLACE_DIGITS + 1, _DIGITS):
+        edge = stage(_narrowed(keyed, edge, digits), "mix-edges")
+        if edge.filter(F.col("n") > EDGE_ROWS).isEmpty():
+            break
+    inside = keyed.join(edge, _PATH).filter(F.startswith("place", "edge"))
+    places = inside.groupBy(*_PATH, "rest", "before", "place").agg(F.sum("n_tokens").alias("tokens"))  # equal rows go together
+    upto = Window.partitionBy(*_PATH).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     last = (
-        inside.withColumn("sum", F.col("edge.before") + F.sum("n_tokens").over(upto))
-        .filter(F.col("sum") <= F.col("rest")).groupBy(*_PATH).agg(F.max(place).alias("last"))
+        places.withColumn("upto", F.col("before") + F.sum("tokens").over(upto))
+        .filter(F.col("upto") <= F.col("rest")).groupBy(*_PATH).agg(F.max("place").alias("last"))
     )
-    cutoffs = asked.join(edge.select(*_PATH, F.col("edge.range").alias("edge")), _PATH, "left").join(last, _PATH, "left")
+    cutoffs = asked.join(edge.select(*_PATH, "edge"), _PATH, "left").join(last, _PATH, "left")
     return rows, stage(cutoffs, "mix-cutoffs")
 
 
+def _narrowed(keyed: DataFrame, edge: DataFrame, digits: int) -> DataFrame:
+    """Per leaf the range of so many digits in which the prefix ends, the tokens before it and its places.
+
+    A range of equal places can't be cut and counts as one.
+    """
+    ranges = (
+        keyed.join(edge.drop("n"), _PATH).filter(F.startswith("place", "edge"))
+        .groupBy(*_PATH, "rest", "before", F.substring("place", 1, digits).alias("range"))
+        .agg(
+            F.sum("n_tokens").alias("tokens"),
+            F.when(F.min("place") == F.max("place"), 1).otherwise(F.count(F.lit(1))).alias("n"),
+        )
+    )
+    order = Window.partitionBy(*_PATH).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    upto = ranges.withColumn("upto", F.col("before") + F.sum("tokens").over(order)).filter(F.col("upto") > F.col("rest"))
+    first = F.min(F.struct("range", (F.col("upto") - F.col("tokens")).alias("before"), "n")).alias("e")
+    return upto.groupBy(*_PATH, "rest").agg(first).select(
+        *_PATH, "rest", F.col("e.range").alias("edge"), "e.before", "e.n"
+    )
+
+
 def _copies(max_epochs: int) -> Column:
     """Whole epochs, and one more for rows of the prefix."""
-    place = F.struct("key", "doc_id", "mark")
-    prefix = F.substring("key", 1, 3)
-    inside = (
-        F.col("edge").isNull() | (prefix < F.col("edge"))
-        | ((prefix == F.col("edge")) & F.coalesce(place <= F.col("last"), F.lit(False)))
-    )
+    at_edge = F.startswith("place", "edge") & F.coalesce(F.col("place") <= F.col("last"), F.lit(False))
+    inside = F.col("edge").isNull() | (F.col("place") < F.col("edge")) | at_edge
     return F.least(F.col("epochs") + inside.cast("long"), F.lit(max_epochs).cast("long"))
 
 
@@ -163,7 +186,7 @@ def allocate(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED, **
     empty table gives an empty result.
     """
     rows, cutoffs = plan(docs, max_epochs=max_epochs, seed=seed, **options)
-    return rows.join(cutoffs, _PATH).withColumn("key", _order_key(seed)).select(
+    return rows.join(cutoffs, _PATH).withColumn("place", _place(seed)).select(
         "doc_id", *[F.col(f"t_{level}").alias(level) for level in LEVELS],
         "n_tokens", "available", "target", _copies(max_epochs).alias("copies"),
     )
@@ -174,5 +197,5 @@ def mixed(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED, **opt
     _, cutoffs = plan(docs, max_epochs=max_epochs, seed=seed, **options)
     domains = options.get("domains", DOMAINS)
     packed = docs.select(F.struct("*").alias("row"), "doc_id", text_mark().alias("mark"), *_keyed(docs, domains))
-    copies = packed.join(cutoffs, _PATH).withColumn("key", _order_key(seed)).withColumn("copies", _copies(max_epochs))
+    copies = packed.join(cutoffs, _PATH).withColumn("place", _place(seed)).withColumn("copies", _copies(max_epochs))
     return copies.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
