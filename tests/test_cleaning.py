@@ -218,3 +218,17 @@ def test_default_ids_may_grow(spark):
     raw = spark.createDataFrame(rows + [("CUST12", "B", "Toronto", "ON", "2023-01-01", "New")], columns)
     assert cleaning.clean_customers(raw).rows.count() == 20
     assert cleaning.clean_customers(raw, model.EXACT_ID_PATTERNS).rows.count() == 10
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_first_rows_shuffle_the_raw_table_once(spark, after):
+    raw = spark.createDataFrame(
+        [("K1", None), ("K1", None), ("K1", "b"), (" k1", "a"), (None, "c"), (None, "c"), (None, None), ("K2", "d")],
+        "k string, v string",
+    ).repartition(3)
+    first = cleaning._first_rows(raw.select("k", "v"), ["k"], {"k": F.upper(F.trim("k"))}, after)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in plan
+    got = {(r["k"], r["v"], r["__rows"], r["__distinct"], r["__missing_k"], r["__missing_v"]) for r in first.collect()}
+    one = {("K1", None, 4, 3, 0, 2)} if after else {("K1", None, 3, 2, 0, 2), ("K1", "a", 1, 1, 0, 0)}
+    assert got == one | {(None, None, 3, 2, 3, 1), ("K2", "d", 1, 1, 0, 0)}
