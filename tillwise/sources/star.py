@@ -80,9 +80,12 @@ def _stores(read) -> DataFrame:
 
 
 def _sale_lines(read) -> DataFrame:
-    """Sales plus the three line columns that returns are derived from."""
+    """Sales plus the three line columns that returns are derived from.
+
+    Lines are dealt by order once, which serves both the first line per key and the orders joined.
+    """
     lines = dedupe_by_key(
-        read("lineitem"),
+        read("lineitem").repartition("l_orderkey"),
         ["l_orderkey", "l_partkey"],
         order=[
             "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
