@@ -145,3 +145,20 @@ def test_components(spark):
 def test_empty(spark):
     assert near_classes(rows.frame(spark, [])).collect() == []
     assert keep_one(rows.frame(spark, [])).collect() == []
+
+
+def test_pairs_inside_a_component_are_not_compared(spark, monkeypatch):
+    """Two dense groups whose members are candidates of each other: only pairs across them are all compared."""
+    pairs = [(x, y, 5 if (x + y) % 2 == 0 else 1) for y in range(40) for x in range(y)]
+    compared = []
+
+    def by_parity(some, texts, threshold):
+        compared.append(some.count())
+        return some.filter("(x + y) % 2 = 0")
+
+    monkeypatch.setattr(near_dup, "verified", by_parity)
+    none = spark.createDataFrame([], "a long, b long")
+    got = near_dup._linked(spark.createDataFrame(pairs, "x long, y long, met long"), none, None, 0.8)
+    assert {(r.a, r.b) for r in got.collect()} == {(i, i % 2) for i in range(2, 40)}
+    across = sum((x + y) % 2 for x, y, _ in pairs)
+    assert across <= sum(compared) < across + 2 * 40 * near_dup.PAIR_TURNS < len(pairs)

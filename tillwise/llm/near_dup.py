@@ -24,6 +24,7 @@ from tillwise.sources.staging import stage
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 6  # a pair at 0.8 shares no band with probability (1 - 0.8**6)**40 = 5e-6
 MORE_HUBS = 1  # rounds of random hubs after the first; they only spare the exact pass work
+PAIR_TURNS = 2  # rounds of one pair a node in the exact pass; they only spare it pairs inside a component
 HUB_PAIRS = 256  # pairs for which a text is sent once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -236,7 +237,7 @@ def _shingle_rows(nodes: DataFrame) -> DataFrame:
 
 
 def unsettled_pairs(mixed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Candidate pairs (x, y) between components among the nodes of mixed buckets.
+    """Candidate pairs (x, y, met) between components among the nodes of mixed buckets.
 
     If texts of weights m and x meet in shingles that weigh M in one and X in the other, their
     similarity is at most 1 / (m / M + x / X - 1). Under any common order of shingles nothing
@@ -245,7 +246,7 @@ def unsettled_pairs(mixed: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     The order is by rarity, and a pair is formed only on a shingle at which the bound still
     allows the threshold: a passage that many documents share makes no pairs, and texts with
     much of their own drop out. Within a shingle, pairs are formed against its largest
-    component, never inside one.
+    component, never inside one. ``met`` counts the shingles at which a pair was formed.
     """
     rows = stage(_shingle_rows(mixed), "shingles")
     spread = rows.groupBy("shingle").agg(
@@ -278,25 +279,59 @@ def unsettled_pairs(mixed: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     met_there = F.least("rest2", F.col("rest") + F.col("extra2"))
     near = F.col("total") / met_here + F.col("total2") / met_there <= most
     met = minor.join(other, (minor["shingle"] == other["shingle"]) & (F.col("comp") != F.col("comp2")) & near)
-    return met.select(F.least("node", "node2").alias("x"), F.greatest("node", "node2").alias("y")).distinct()
+    ends = F.least("node", "node2").alias("x"), F.greatest("node", "node2").alias("y")
+    return met.groupBy(*ends).agg(F.count(F.lit(1)).alias("met"))
+
+
+def _first_hubs(shared: DataFrame) -> DataFrame:
+    """Pairs (x, y) of each node with the least hub of its buckets, one per node."""
+    met = shared.filter("node != hub").groupBy("node").agg(F.min("hub").alias("hub"))
+    return met.select(F.col("hub").alias("x"), F.col("node").alias("y"))
 
 
 def _parted(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, node, comp) of the buckets that hold several components."""
+    """(key, node, hub, comp) of the buckets that hold several components."""
     roots = found.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    labelled = shared.select("key", "node").join(roots, "node", "left")
-    labelled = labelled.select("key", "node", F.coalesce("root", "node").alias("comp"))
+    labelled = shared.join(roots, "node", "left")
+    labelled = labelled.select("key", "node", "hub", F.coalesce("root", "node").alias("comp"))
     spread = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     return labelled.join(spread.filter("lo != hi").select("key"), "key", "left_semi")
 
 
+def _own_hubs(parted: DataFrame) -> DataFrame:
+    """Pairs (x, y) of each node with the hub of its bucket, if their components differ."""
+    hubs = parted.filter("node = hub").select("key", F.col("comp").alias("hub_comp"))
+    met = parted.join(hubs, "key").filter("comp != hub_comp")
+    return met.select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct()
+
+
 def _other_hubs(parted: DataFrame, turn: int) -> DataFrame:
     """Pairs (x, y) of each member with a random one of its bucket, if their components differ."""
     draw = F.struct(F.xxhash64(F.lit(turn), "key", "node").alias("draw"), "node", "comp")
-    hubs = parted.groupBy("key").agg(F.min(draw).alias("hub"))
-    met = parted.join(hubs, "key").filter(F.col("comp") != F.col("hub.comp"))
-    hub = F.col("hub.node")
-    return met.select(F.least("node", hub).alias("x"), F.greatest("node", hub).alias("y")).distinct()
+    drawn = parted.groupBy("key").agg(F.min(draw).alias("other"))
+    met = parted.join(drawn, "key").filter(F.col("comp") != F.col("other.comp"))
+    other = F.col("other.node")
+    return met.select(F.least("node", other).alias("x"), F.greatest("node", other).alias("y")).distinct()
+
+
+def _linked(pairs: DataFrame, found: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Components ``found`` with the links among ``pairs``, which need no look inside a component.
+
+    In the first turns a node meets only the partner with which it shares most: in a dense group
+    that joins most of it, and what then lies in one component is not compared. All the rest follows.
+    """
+    draw = F.struct("met", F.xxhash64("x", "y"))
+    for _ in range(PAIR_TURNS):
+        best = [
+            pairs.groupBy(n).agg(F.max_by(o, draw).alias(o)).select("x", "y") for n, o in (("x", "y"), ("y", "x"))
+        ]
+        some = stage(best[0].union(best[1]).distinct(), "pairs")
+        found = connected(found.union(verified(some, texts, threshold)))
+        left, right = (found.select(F.col("a").alias(n), F.col("b").alias(f"{n}_comp")) for n in ("x", "y"))
+        apart = F.coalesce("x_comp", "x") != F.coalesce("y_comp", "y")
+        labelled = pairs.join(some, ["x", "y"], "left_anti").join(left, "x", "left").join(right, "y", "left")
+        pairs = stage(labelled.filter(apart).select("x", "y", "met"), "pairs")
+    return connected(found.union(verified(pairs.select("x", "y"), texts, threshold)))
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -329,11 +364,7 @@ def _near_classes(docs: DataFrame, threshold: float) -> DataFrame:
     shared = stage(
         buckets.join(hubs.filter("hub != last").drop("last"), "key").select("key", "node", "hub"), "buckets"
     )
-    pairs = stage(
-        shared.filter("node != hub").select(F.col("node").alias("x"), F.col("hub").alias("y")).distinct(),
-        "pairs",
-    )
-    wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+    wanted = shared.select("node").distinct()
     wanted = wanted.join(reps.select("node", "rep"), "node").select(
         "node", F.col("rep.doc_id").alias("r_id"), F.col("rep.mark").alias("r_mark")
     )
@@ -344,17 +375,19 @@ def _near_classes(docs: DataFrame, threshold: float) -> DataFrame:
         .agg(F.any_value("text").alias("text")),
         "texts",
     )
-    found = connected(verified(pairs, texts, threshold))
-    seen = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    for turn in range(MORE_HUBS):
-        again = stage(_other_hubs(_parted(shared, found), turn).join(seen, ["x", "y"], "left_anti"), "pairs")
+    pairs = stage(_first_hubs(shared), "pairs")
+    seen, found = pairs, connected(verified(pairs, texts, threshold))
+    for turn in range(MORE_HUBS + 1):
+        parted = _parted(shared, found)
+        again = _other_hubs(parted, turn - 1) if turn else _own_hubs(parted)
+        again = stage(again.join(seen, ["x", "y"], "left_anti"), "pairs")
         seen = seen.union(again)
         found = connected(found.union(verified(again, texts, threshold)))
     mixed = _parted(shared, found).select("node", "comp").distinct()
     mixed = stage(mixed.join(texts, "node"), "mixed")
     if not mixed.isEmpty():
-        rest = unsettled_pairs(mixed, threshold).join(seen, ["x", "y"], "left_anti")
-        found = connected(found.union(verified(rest, texts, threshold)))
+        rest = stage(unsettled_pairs(mixed, threshold).join(seen, ["x", "y"], "left_anti"), "pairs")
+        found = _linked(rest, found, texts, threshold)
     rooted = reps.drop("bands").join(
         found.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left"
     ).withColumn("root", F.coalesce("root", "node"))
