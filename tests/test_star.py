@@ -35,3 +35,22 @@ def test_lines_meet_their_orders_without_a_second_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == [(1, 7, 1, 5), (1, 8, 3, 5), (2, 7, 1, 6)]
+
+
+def test_columns_derived_from_a_row_are_not_shuffled_by_month(spark, tmp_path):
+    """Money and stock columns are added as rows are written; the staged facts hold them, months last."""
+    spark.createDataFrame([(1, DAY, 5, 9, 7, 3, "10.00", "0.10", "4.00", "1997-01")],
+        "order_id long, order_date timestamp, customer_id long, store_id long, product_id long, quantity long,"
+        " unit_price string, discount_pct string, unit_cost string, month string").createOrReplaceTempView("bare")
+    bare = spark.sql(
+        "SELECT order_id, CAST(order_date AS DATE) order_date, customer_id, store_id, product_id, quantity,"
+        " CAST(unit_price AS DECIMAL(10,2)) unit_price, CAST(discount_pct AS DECIMAL(4,2)) discount_pct,"
+        " CAST(unit_cost AS DECIMAL(10,2)) unit_cost, month FROM bare"
+    )
+    lines = star.stage(bare, "lines", ["month"], star._with_money)
+    assert "gross_revenue" not in bare.columns and lines.columns[-5:] == ["gross_revenue", "net_revenue", "cost", "profit", "month"]
+    assert [str(v) for v in lines.first()[-5:]] == ["30.00", "27.00", "12.00", "15.00", "1997-01"]
+    sold = star._units_sold(lines)
+    assert sold.columns == ["date", "store_id", "product_id", "units_sold", "month"]
+    stock = star.stage(sold, "stock", ["month"], star._inventory).first()
+    assert stock["closing_stock"] == stock["opening_stock"] + stock["units_received"] - 3 and stock["month"] == "1997-01"
