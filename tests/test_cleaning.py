@@ -232,3 +232,12 @@ def test_first_rows_shuffle_the_raw_table_once(spark, after):
     got = {(r["k"], r["v"], r["__rows"], r["__distinct"], r["__missing_k"], r["__missing_v"]) for r in first.collect()}
     one = {("K1", None, 4, 3, 0, 2)} if after else {("K1", None, 3, 2, 0, 2), ("K1", "a", 1, 1, 0, 0)}
     assert got == one | {(None, None, 3, 2, 3, 1), ("K2", "d", 1, 1, 0, 0)}
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_raw_tables_are_dealt_into_every_shuffle_partition(spark, partitions, after):
+    """Adaptive execution merges partitions by compressed size; the rows of one were too many to sort in memory."""
+    partitions(7)
+    raw = spark.range(500).selectExpr("concat('K', id) k", "'v' v").repartition(3)
+    first = cleaning._first_rows(raw, ["k"], {"k": F.upper(F.trim("k"))}, after)
+    assert first.rdd.getNumPartitions() == 7 and first.count() == 500

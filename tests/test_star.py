@@ -54,3 +54,15 @@ def test_columns_derived_from_a_row_are_not_shuffled_by_month(spark, tmp_path):
     assert sold.columns == ["date", "store_id", "product_id", "units_sold", "month"]
     stock = star.stage(sold, "stock", ["month"], star._inventory).first()
     assert stock["closing_stock"] == stock["opening_stock"] + stock["units_received"] - 3 and stock["month"] == "1997-01"
+
+
+def test_stock_is_summed_after_lines_are_dealt(spark):
+    """Sums are close to a row per line, so no task that reads lines holds sums of them."""
+    lines = spark.createDataFrame([(DAY, 1, 7, 2), (DAY, 1, 7, 3), (DAY, None, 7, 4)], "order_date timestamp, store_id long, product_id long, quantity long")
+    sold = star._units_sold(lines)
+    plan = sold._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
+    assert plan.rfind("HashAggregate") < plan.find("Exchange")
+    end = datetime.date(1997, 1, 31)
+    got = {(r.date, r.store_id, r.product_id, r.units_sold, r.month) for r in sold.collect()}
+    assert got == {(end, 1, 7, 5, "1997-01"), (end, None, 7, 4, "1997-01")}
