@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tests.small_star import tiny_star
 from tillwise.functions.numeric import money_sum
+from tillwise.model import RetailTables
 from tillwise.operators import frames, stores
+from tillwise.plans import measures
 from tillwise.plans.distinct import distinct_and_sums
 from tillwise.plans.measures import measure_by
 
@@ -76,3 +78,17 @@ def test_sales_are_read_once(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert sum("FileScan" in line and "order_id" in line for line in plan.split("\n")) == 1
         assert plan.count("SortAggregate") == 0
+
+
+def test_repeat_customers_are_counted_after_lines_are_dealt(spark, partitions):
+    """No task that reads lines holds their orders; a NULL order is none, and several lines of one order are one."""
+    partitions(7)
+    rows = [(1, 5), (1, 5), (2, 5), (3, 6), (3, 6), (None, 6), (4, None), (5, None), (6, 0), (7, 0), (8, 9), (9, 9), (9, 9)]
+    sales = spark.createDataFrame(rows, "order_id long, customer_id long")
+    t = RetailTables(unknown_customer=0, sales=sales)
+    found = measures._repeat_customers(t, [], "n")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.rstrip().rfind("HashAggregate") < plan.rfind("Exchange hashpartitioning")
+    assert found.first().n == 2
+    by = measures._repeat_customers(t, ["customer_id"], "n").collect()
+    assert {r.customer_id: r.n for r in by} == {5: 1, 6: 0, 9: 1}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.dates import month_key
 from tillwise.functions.numeric import dbl, lng, money_sum, ratio
-from tillwise.functions.relations import side_by_side
+from tillwise.functions.relations import dealt, side_by_side
 from tillwise.model import RetailTables
 from tillwise.plans.calendar import calendar_lag, growth, on_month_axis, year_to_date
 from tillwise.plans.distinct import distinct_and_sums
@@ -96,12 +96,16 @@ def _average_monthly_value(t: RetailTables, dims: Sequence[str], out: str) -> Da
 
 def _repeat_customers(t: RetailTables, dims: Sequence[str], out: str) -> DataFrame:
     known = t.sales.filter(F.col("customer_id") != F.lit(t.unknown_customer))
-    inner = [c for c in dims if c != "customer_id"]
-    per_customer = (
-        _described(t, known, "sales", dims)
-        .groupBy(*inner, "customer_id")
-        .agg(F.countDistinct("order_id").alias("__n"))
-    )
+    """Customers with two orders or more.
+
+    Orders of a customer are close to a row per line, so lines are dealt before they are counted:
+    tasks that read them would hold a row per line and save nothing. The orders of a customer who
+    has very many are spread, and only counted in one task.
+    """
+    key = [*[c for c in dims if c != "customer_id"], "customer_id"]
+    lines = _described(t, known, "sales", dims).select(*key, "order_id")
+    orders = dealt(lines, *key, "order_id").distinct()
+    per_customer = dealt(orders, *key).groupBy(*key).agg(F.count("order_id").alias("__n"))
     return per_customer.groupBy(*dims).agg(F.count_if(F.col("__n") >= 2).alias(out))
 
 
