@@ -56,6 +56,23 @@ def test_formats_round_trip(spark, star, tmp_path, fmt):
         files.write_cleaned(star, path, "xlsx")
 
 
+def test_facts_that_lie_by_month_are_written_without_a_shuffle(spark, star, tmp_path, monkeypatch):
+    files.write_cleaned(star, str(tmp_path / "first"))
+    lying = files.read_cleaned(spark, str(tmp_path / "first"), files.cleaned_schemas(star))
+    hinted, hint = [], type(star.sales).hint
+    monkeypatch.setattr(type(star.sales), "hint", lambda df, name, *more: hinted.append(name) or hint(df, name, *more))
+    files.write_cleaned(lying, str(tmp_path / "second"), by_month=("sales", "inventory"))
+    assert not hinted
+    back = files.read_cleaned(spark, str(tmp_path / "second"), files.cleaned_schemas(star))
+    for name in model.TABLES:
+        assert same(back.table(name), star.table(name)), name
+    assert all("/month=" in f for f in back.sales.inputFiles())
+    files.write_cleaned(lying, str(tmp_path / "third"))
+    assert hinted == ["rebalance", "rebalance"]
+    with pytest.raises(ValueError, match="sales has no column month"):
+        files.write_cleaned(lying.replace(sales=lying.sales.drop("month")), str(tmp_path / "fourth"), by_month=("sales",))
+
+
 def test_month_filter_prunes_partitions(spark, star, tmp_path):
     files.write_cleaned(star, str(tmp_path / "clean"))
     back = files.read_cleaned(spark, str(tmp_path / "clean"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import functions as F
+
 from tillwise.sources import star
 
 DAY = datetime.datetime(1997, 1, 5)
@@ -56,6 +58,22 @@ def test_columns_derived_from_a_row_are_not_shuffled_by_month(spark, tmp_path):
     assert stock["closing_stock"] == stock["opening_stock"] + stock["units_received"] - 3 and stock["month"] == "1997-01"
 
 
+def test_stock_is_written_by_month_where_it_was_summed(spark, partitions):
+    """Each task sums a range of dates, so no month needs to be gathered for its file."""
+    partitions(4)
+    lines = spark.range(4000).selectExpr(
+        "date_add(date '1997-01-01', cast(id % 360 as int)) order_date", "id % 7 store_id", "id % 40 product_id", "1L quantity"
+    )
+    sold = star._units_sold(lines)
+    stock = star.stage(sold, "stock", ["month"], star._inventory, rebalance=False)
+    assert sold._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert "rangepartitioning(date" in sold._jdf.queryExecution().executedPlan().toString()
+    months = sold.select("month", F.spark_partition_id().alias("task")).distinct().groupBy("task").count()
+    assert max(r["count"] for r in months.collect()) <= 6  # 12 months in 4 ranges; dealt by hash a task had all 12
+    assert stock.agg(F.sum("units_sold")).first()[0] == 4000
+    assert stock.select("month").distinct().count() == 12
+
+
 def test_stock_is_summed_after_lines_are_dealt(spark):
     """Sums are close to a row per line, so no task that reads lines holds sums of them."""
     lines = spark.createDataFrame([(DAY, 1, 7, 2), (DAY, 1, 7, 3), (DAY, None, 7, 4)], "order_date timestamp, store_id long, product_id long, quantity long")

@@ -151,16 +151,24 @@ def _formatted(writer, fmt: str):
     return writer.format(fmt).options(**(_EXACT_CSV if fmt == "csv" else {}))
 
 
-def write_cleaned(t: RetailTables, directory: str, fmt: str = "parquet") -> None:
+def write_cleaned(
+    t: RetailTables, directory: str, fmt: str = "parquet", by_month: Sequence[str] = ()
+) -> None:
     """A folder per table, as Parquet or CSV; the two large facts are partitioned by month.
 
     Rows are rebalanced on the month first, so writers get even shares whatever the
-    month sizes are.
+    month sizes are. Facts named in ``by_month`` are read as they are from files partitioned by
+    month, such as staged or stored ones: a task that reads them holds the months of its files alone,
+    so they are written without that shuffle, with a file at most per file read and task.
     """
     for name in t.names():
         df = t.table(name)
         if name in PARTITIONED:
-            df = with_month(df, PARTITIONED[name]).hint("rebalance", F.col("month"))
+            if name in by_month and "month" not in df.columns:
+                raise ValueError(f"{name} has no column month, so it is not read by month")
+            df = with_month(df, PARTITIONED[name])
+            if name not in by_month:
+                df = df.hint("rebalance", F.col("month"))
             writer = df.write.partitionBy("month")
         else:
             writer = df.write

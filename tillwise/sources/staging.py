@@ -42,18 +42,20 @@ def stage(
     name: str,
     partition_by: Sequence[str] = (),
     then: Callable[[DataFrame], DataFrame] = lambda df: df,
+    rebalance: bool = True,
 ) -> DataFrame:
     """Write ``df`` once and read it back.
 
     With ``partition_by`` the rows are first rebalanced on those columns: adaptive
     execution splits an oversized value over several writers and merges tiny ones,
     so neither a hot month nor eighty small ones decide the file layout. ``then`` adds
-    columns as rows are written, so that they are not shuffled.
+    columns as rows are written, so that they are not shuffled. Without ``rebalance`` rows are
+    written where they are: for those dealt by ranges that begin with these columns.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     out = df
-    if partition_by:
+    if partition_by and rebalance:
         out = df.hint("rebalance", *[F.col(c) for c in partition_by])
     out = then(out)
     writer = out.write.mode("errorifexists")
