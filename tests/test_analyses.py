@@ -12,6 +12,7 @@ from tillwise.catalog import ANALYSES
 from tillwise.operators import basic, customers, demand, frames, inventory, products, returns, sales, sampling, stores
 from tillwise.plans import calendar, measures, report, slicing
 from tillwise.plans.suite import run_suite
+from tillwise.sources.staging import stage
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +31,50 @@ def test_all_42_run(star):
     assert done["table_row_counts"] == 6 and done["monthly_sales"] == 3
 
 
+SHARING = (
+    "lowest_revenue_products", "slow_catalog_products", "high_revenue_low_margin", "category_performance", "inventory_turnover",
+    "product_returns", "category_return_rate", "customer_summary", "customer_frequency_value", "top_customers",
+    "customer_value_segments", "new_vs_repeat_orders", "rfm_segments",
+)
+
+
+@pytest.mark.parametrize("name", SHARING)
+def test_shared_totals_give_the_same_rows(star, shared, name):
+    assert rows(ANALYSES[name](shared)) == rows(ANALYSES[name](star))
+
+
+@pytest.fixture(scope="module")
+def shared(star):
+    return star.sharing(stage)
+
+
+def test_shared_totals_are_written_once(star):
+    kept = []
+    t = star.sharing(lambda df, name: kept.append(name) or stage(df, name))
+    for op in ANALYSES.values():
+        op(t)
+    assert sorted(kept) == ["customer_totals", "product_totals"]
+    for op in (products.abc_classification, products.top_products_by_profit, returns.category_return_rate, customers.rfm_segments):
+        assert "FileScan parquet" in op(t)._jdf.queryExecution().executedPlan().toString()
+    assert not star.shares and not t.replace(sales=star.sales.limit(1)).shares
+
+
+def test_orders_of_stores_are_counted_apart(star):
+    """The pairs of store and order that are shuffled carry no sums; NULL orders count for nothing."""
+    more = star.replace(sales=star.sales.unionByName(star.sales.withColumn("order_id", F.lit(None).cast("string"))))
+    plan = stores.store_scorecard(more)
+    got = {r.store_id: (r.orders, r.units_sold) for r in plan.collect()}
+    lines = more.sales.collect()
+    for store in got:
+        own = [r for r in lines if r.store_id == store]
+        assert got[store] == (len({r.order_id for r in own if r.order_id}), sum(r.quantity for r in own))
+
+
+def test_levels_of_all_products_are_one_subquery(star):
+    plan = products.high_revenue_low_margin(star)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"scalar-subquery#\d+", plan)) == 2 and "mean_revenue" in plan
+
+
 def test_suite_names_the_failure(star):
     def broken(t):
         raise RuntimeError("boom")

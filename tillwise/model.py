@@ -159,6 +159,8 @@ class RetailTables:
             raise ValueError(f"not tables of the star: {', '.join(stray)}")
         self.unknown_customer = unknown_customer
         self._tables = dict(tables)
+        self._keep: Callable[[DataFrame, str], DataFrame] | None = None
+        self._shared: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
@@ -179,3 +181,21 @@ class RetailTables:
     def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> RetailTables:
         """Same star with some tables swapped."""
         return RetailTables(unknown_customer=self.unknown_customer, **{**self._tables, **tables})
+
+    def sharing(self, keep: Callable[[DataFrame, str], DataFrame]) -> RetailTables:
+        """Same star for several analyses: totals that more than one asks for are written once by ``keep``."""
+        out = self.replace()
+        out._keep = keep
+        return out
+
+    @property
+    def shares(self) -> bool:
+        return self._keep is not None
+
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """What ``build`` gives, kept under ``name`` if this star shares."""
+        if self._keep is None:
+            return build()
+        if name not in self._shared:
+            self._shared[name] = self._keep(build(), name)
+        return self._shared[name]

@@ -6,6 +6,8 @@ customer-order) grain before anything is joined.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,29 @@ def known_sales(t: RetailTables) -> DataFrame:
     return t.sales.filter(F.col("customer_id") != F.lit(t.unknown_customer))
 
 
+def customer_totals(t: RetailTables, *names: str) -> DataFrame:
+    """``names`` of orders, spend, profit, first_date and last_date per known customer.
+
+    A star that shares counts and sums all of them once for all who ask.
+    """
+    totals = {
+        "orders": F.countDistinct("order_id"),
+        "spend": money_sum("net_revenue"),
+        "profit": money_sum("profit"),
+        "first_date": F.min("order_date"),
+        "last_date": F.max("order_date"),
+    }
+
+    def summed(wanted: Sequence[str]) -> DataFrame:
+        return known_sales(t).groupBy("customer_id").agg(*[totals[n].alias(n) for n in wanted])
+
+    if not t.shares:
+        return summed(names)
+    return t.shared("customer_totals", lambda: summed([*totals])).select("customer_id", *names)
+
+
 def _spend(t: RetailTables) -> DataFrame:
-    return known_sales(t).groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("orders"), money_sum("net_revenue").alias("spend")
-    )
+    return customer_totals(t, "orders", "spend")
 
 
 def customer_summary(t: RetailTables) -> DataFrame:
@@ -37,12 +58,7 @@ def customer_summary(t: RetailTables) -> DataFrame:
 
 def customer_frequency_value(t: RetailTables) -> DataFrame:
     """Frequency, spend, average order value and order span of each customer."""
-    per_customer = known_sales(t).groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("purchase_frequency"),
-        money_sum("net_revenue").alias("spend"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("latest_order_date"),
-    )
+    per_customer = customer_totals(t, "orders", "spend", "first_date", "last_date")
     who = t.customers.select("customer_id", "customer_name", "customer_segment")
     return (
         per_customer.join(who, "customer_id")
@@ -51,21 +67,17 @@ def customer_frequency_value(t: RetailTables) -> DataFrame:
             "customer_id",
             "customer_name",
             "customer_segment",
-            "purchase_frequency",
+            F.col("orders").alias("purchase_frequency"),
             dbl("spend").alias("total_spend"),
-            round2(ratio("spend", "purchase_frequency")).alias("average_order_value"),
-            "first_order_date",
-            "latest_order_date",
+            round2(ratio("spend", "orders")).alias("average_order_value"),
+            F.col("first_date").alias("first_order_date"),
+            F.col("last_date").alias("latest_order_date"),
         )
     )
 
 
 def top_customers(t: RetailTables, n: int = 20) -> DataFrame:
-    per_customer = known_sales(t).groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("orders"),
-        money_sum("net_revenue").alias("spend"),
-        money_sum("profit").alias("profit"),
-    )
+    per_customer = customer_totals(t, "orders", "spend", "profit")
     who = t.customers.select("customer_id", "customer_name", "city", "province")
     return (
         per_customer.join(who, "customer_id")
@@ -121,9 +133,7 @@ def new_vs_repeat_orders(t: RetailTables) -> DataFrame:
         F.count(F.lit(1)).alias("orders")
     )
     firsts = (
-        known_sales(t)
-        .groupBy("customer_id")
-        .agg(F.min("order_date").alias("first_date"))
+        customer_totals(t, "first_date")
         .groupBy(month_key("first_date").alias("month"))
         .agg(F.count(F.lit(1)).alias("firsts"))
     )
@@ -152,10 +162,8 @@ def rfm_segments(
     that fits wins, and what fits none is Developing.
     """
     as_of = t.sales.agg(F.max("order_date")).scalar()
-    per_customer = known_sales(t).groupBy("customer_id").agg(
-        F.max("order_date").alias("last_date"),
-        F.countDistinct("order_id").alias("frequency"),
-        money_sum("net_revenue").alias("value"),
+    per_customer = customer_totals(t, "last_date", "orders", "spend").withColumnsRenamed(
+        {"orders": "frequency", "spend": "value"}
     )
     aged = per_customer.withColumn("recency_days", lng(F.datediff(as_of, F.col("last_date"))))
 

@@ -16,13 +16,24 @@ from tillwise.plans.ordered import with_order_stats
 
 MONEY_COLUMNS = ("gross_revenue", "net_revenue", "cost", "profit")
 NAMES = ("product_id", "product_name", "category")
+TOTALS = ("net_revenue", "profit", "cost", "quantity")
 
 
 def product_totals(t: RetailTables, **sums: str) -> DataFrame:
-    """Exact sums per product: ``product_totals(t, revenue="net_revenue")``."""
-    return t.sales.groupBy("product_id").agg(
-        *[(money_sum(c) if c in MONEY_COLUMNS else F.sum(c)).alias(n) for n, c in sums.items()]
-    )
+    """Exact sums per product: ``product_totals(t, revenue="net_revenue")``.
+
+    A star that shares sums the columns of ``TOTALS`` once for all who ask.
+    """
+
+    def summed(named: dict[str, str]) -> DataFrame:
+        return t.sales.groupBy("product_id").agg(
+            *[(money_sum(c) if c in MONEY_COLUMNS else F.sum(c)).alias(n) for n, c in named.items()]
+        )
+
+    if not t.shares or not set(sums.values()) <= set(TOTALS):
+        return summed(sums)
+    whole = t.shared("product_totals", lambda: summed({c: c for c in TOTALS if c in t.sales.columns}))
+    return whole.select("product_id", *[F.col(c).alias(n) for n, c in sums.items()])
 
 
 def _named(t: RetailTables, totals: DataFrame, *columns: str) -> DataFrame:
@@ -31,7 +42,10 @@ def _named(t: RetailTables, totals: DataFrame, *columns: str) -> DataFrame:
 
 def category_units(t: RetailTables, fact: str, column: str, out: str) -> DataFrame:
     """Units of a fact per category, through product grain."""
-    per_product = t.table(fact).groupBy("product_id").agg(F.sum(column).alias(out))
+    if fact == "sales":
+        per_product = product_totals(t, **{out: column})
+    else:
+        per_product = t.table(fact).groupBy("product_id").agg(F.sum(column).alias(out))
     return (
         per_product.join(t.products.select("product_id", "category"), "product_id")
         .groupBy("category")
@@ -83,10 +97,13 @@ def slow_catalog_products(t: RetailTables, n: int = 20) -> DataFrame:
 def high_revenue_low_margin(t: RetailTables) -> DataFrame:
     """At least the mean product's revenue, but below the company margin."""
     totals = product_totals(t, revenue="net_revenue", profit="profit")
-    mean_revenue = totals.agg(ratio(F.sum("revenue"), F.count(F.lit(1)))).scalar()
-    company = totals.agg(ratio(F.sum("profit"), F.sum("revenue"))).scalar()
+    both = F.struct(  # one subquery, whose sums per product are those of the rows filtered
+        ratio(F.sum("revenue"), F.count(F.lit(1))).alias("mean_revenue"),
+        ratio(F.sum("profit"), F.sum("revenue")).alias("company"),
+    )
+    level = totals.agg(both.alias("level")).scalar()
     picked = totals.filter(
-        (dbl("revenue") >= mean_revenue) & (ratio("profit", "revenue") < company)
+        (dbl("revenue") >= level["mean_revenue"]) & (ratio("profit", "revenue") < level["company"])
     )
     return (
         _named(t, picked)

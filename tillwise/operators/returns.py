@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.numeric import pct
 from tillwise.functions.relations import side_by_side
 from tillwise.model import RetailTables
-from tillwise.operators.products import NAMES, category_units
+from tillwise.operators.products import NAMES, category_units, product_totals
 
 
 def _with_rate(df: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def overall_return_rate(t: RetailTables) -> DataFrame:
 
 def product_returns(t: RetailTables, n: int = 25) -> DataFrame:
     """Products with most returned units."""
-    sold = _units(t, "sales", "quantity", "product_id", "units_sold")
+    sold = product_totals(t, units_sold="quantity")
     returned = _units(t, "returns", "quantity_returned", "product_id", "units_returned")
     joined = t.products.select(*NAMES).join(sold, "product_id").join(returned, "product_id", "left")
     return (

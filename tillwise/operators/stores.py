@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.dates import with_month
 from tillwise.functions.numeric import dbl, growth_pct, money_sum, pct, ratio, round2
+from tillwise.functions.relations import dealt
 from tillwise.model import RetailTables
 from tillwise.plans.distinct import distinct_and_sums
 from tillwise.plans.ordered import global_rank
@@ -21,14 +22,19 @@ def _monthly_store(t: RetailTables) -> DataFrame:
 
 
 def store_scorecard(t: RetailTables) -> DataFrame:
-    """Margin, average order value and revenue rank of every store."""
+    """Margin, average order value and revenue rank of every store.
+
+    A store and order are close to a row per line, so orders are counted apart: sums would travel
+    with every such row.
+    """
     per_store = t.sales.groupBy("store_id").agg(
         money_sum("net_revenue").alias("revenue"),
         money_sum("profit").alias("profit"),
-        F.countDistinct("order_id").alias("orders"),
         F.sum("quantity").alias("units_sold"),
     )
-    described = per_store.join(t.stores.drop("opening_date"), "store_id")
+    pairs = dealt(t.sales.select("store_id", "order_id"), "store_id", "order_id").distinct()
+    orders = pairs.groupBy("store_id").agg(F.count("order_id").alias("orders"))
+    described = per_store.join(orders, "store_id").join(t.stores.drop("opening_date"), "store_id")
     return (
         global_rank(described, ["-revenue"], ["store_id"], "revenue_rank")
         .orderBy("revenue_rank", "store_id")
