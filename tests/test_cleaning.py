@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.small_star import d, money, raw_tables
 from tillwise import model
 from tillwise.operators import cleaning, validation
+from tillwise.sources.staging import stage
 
 
 @pytest.fixture(scope="module")
@@ -241,3 +242,40 @@ def test_raw_tables_are_dealt_into_every_shuffle_partition(spark, partitions, af
     raw = spark.range(500).selectExpr("concat('K', id) k", "'v' v").repartition(3)
     first = cleaning._first_rows(raw, ["k"], {"k": F.upper(F.trim("k"))}, after)
     assert first.rdd.getNumPartitions() == 7 and first.count() == 500
+
+
+def test_rows_alone_under_their_key_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Of a table whose keys seldom repeat only key hashes are dealt; the report and the rows are those of one deal."""
+    raw = spark.range(3000).selectExpr("concat('K', id) k", "if(id % 5 = 0, null, 'v') v")
+    copies = raw.filter("k in ('K1', 'K5')").union(spark.sql("SELECT 'K1', 'a'")).union(spark.sql("SELECT null, 'b'"))
+    raw = stage(raw.union(copies).union(spark.sql("SELECT null, null")), "raw")
+    sent = []
+    whole = cleaning._first_rows
+    monkeypatch.setattr(cleaning, "_first_rows", lambda rest, *more: (sent.append(rest.count()), whole(rest, *more))[1])
+    for after in (False, True):
+        first = cleaning._firsts(raw, ["k"], {"k": F.upper(F.trim("k"))}, after, stage)
+        expected = whole(raw, ["k"], {"k": F.upper(F.trim("k"))}, after)
+        assert sorted(map(str, first.select(expected.columns).collect())) == sorted(map(str, expected.collect()))
+    assert all(7 <= n < 40 for n in sent)  # K1, K5, the missing key, and a few that share their bits
+    got = cleaning.first_by_key(raw, ["k"], stage).collect()
+    assert sorted(map(str, got)) == sorted(map(str, cleaning.dedupe_by_key(raw, ["k"]).collect()))
+
+
+def test_rows_meet_only_keys_without_a_parent(spark, monkeypatch):
+    """The dimension is not sent past the rows: with many parents they meet the few values that have none."""
+    sales = stage(spark.range(1000).selectExpr("id", "if(id % 7 = 0, null, concat(' c', id % 100)) c"), "lines")
+    dim = spark.range(98).selectExpr("concat('C', id) c")
+    upper = {"c": F.upper(F.trim("c"))}
+    monkeypatch.setattr(cleaning, "_MOST_KEYS", 50)
+    written = []
+
+    def watched(df, name):
+        written.append(name)
+        return stage(df, name)
+
+    rows = sales.withColumns(upper)
+    plain = cleaning.map_unknown_member(rows, dim, "c", "none", "changed")
+    mapped = cleaning.map_unknown_member(rows, dim, "c", "none", "changed", watched, cleaning._values(sales, upper, "c"))
+    assert sorted(map(tuple, mapped.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    assert "Exchange hashpartitioning" not in mapped._jdf.queryExecution().executedPlan().toString()
+    assert written == ["lookup_c", "strays_c"]
